@@ -2,8 +2,17 @@
 
 from textmill.llm.byte_bpe import op3_byte_bpe
 from textmill.llm.exact_dedup import OP10_SQL, op10_exact_dedup
+from textmill.llm.language_id import op8_language_id
+from textmill.llm.near_dedup import op2_minhash_near_dedup
 from textmill.llm.packing import op5_best_fit_packing
 from textmill.llm.substring_dedup import OP9_SQL, op9_substring_dedup
 
-QUERIES = {"op3_byte_bpe": op3_byte_bpe, "op5_best_fit_packing": op5_best_fit_packing, "op9_substring_dedup": op9_substring_dedup, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_byte_bpe": op3_byte_bpe,
+    "op5_best_fit_packing": op5_best_fit_packing,
+    "op8_language_id": op8_language_id,
+    "op9_substring_dedup": op9_substring_dedup,
+    "op10_exact_dedup": op10_exact_dedup,
+}
 ORACLES = {"op9_substring_dedup": OP9_SQL, "op10_exact_dedup": OP10_SQL}
