@@ -6,6 +6,7 @@ from textmill.llm.language_id import op8_language_id
 from textmill.llm.license_scan import op4_license_scan
 from textmill.llm.near_dedup import op2_minhash_near_dedup
 from textmill.llm.packing import op5_best_fit_packing
+from textmill.llm.quality_rules import op7_quality_rules
 from textmill.llm.substring_dedup import OP9_SQL, op9_substring_dedup
 from textmill.llm.warc import OP1_SQL, op1_warc_salvage
 
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_license_scan": op4_license_scan,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op7_quality_rules": op7_quality_rules,
     "op8_language_id": op8_language_id,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_exact_dedup": op10_exact_dedup,
