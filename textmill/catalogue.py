@@ -1,6 +1,430 @@
-"""Queries over the driver's tables, and the same in DuckDB SQL."""
+"""Queries over the driver's tables, and the same in DuckDB SQL.
+
+Documents stand for normalised ones: lang is the domain, doc_id the order; ids are strings where they are compared as such.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from textmill.functions import text as X
+from textmill.operators import dedup, filters, mix, pack, reports, transforms
+from textmill.sources import hub, jsonl
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+
+
+def query(sql: str | None = None):
+    """Registers a query by its name, with its SQL."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def docs(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").select(F.col("doc_id").alias("ord"), F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), "source", F.col("lang").alias("domain"))
+
+
+# --- SQL parts
+T = "coalesce(text, '')"
+TOKENS = f"greatest(1, round_even(length({T}) / 4.0, 0))::BIGINT"
+COLLAPSED = rf"trim(regexp_replace({T}, '\s+', ' ', 'g'))"
+_SOURCE = "SELECT doc_id AS ord, doc_id::VARCHAR AS doc_id, coalesce(text, '') AS text, source, lang AS domain FROM documents"
+
+
+def _reason(ascii_rule: bool) -> str:
+    rule = r"WHEN length(regexp_replace(text, '[^\x00-\x7F]', '', 'g')) / greatest(length(text), 1) < 0.8 THEN 'low_ascii_ratio'" if ascii_rule else ""
+    return rf"""
+WITH d AS ({_SOURCE}),
+line AS (SELECT ord, trim(unnest(string_split_regex(text, '\r\n|[\n\r\x0b\x0c]')), ' ' || chr(9) || chr(28) || chr(29)) AS l FROM d),
+freq AS (SELECT ord, l, count(*) AS n FROM line WHERE l <> '' GROUP BY ord, l),
+rep AS (SELECT ord, sum(n) >= 6 AND max(n) / sum(n) > 0.3 AS r FROM freq GROUP BY ord),
+judged AS (SELECT d.*, CASE WHEN length(text) < 200 THEN 'too_short' WHEN length(text) > 1000000 THEN 'too_long' {rule}
+  WHEN length(regexp_replace(text, '[\p{{L}}\p{{N}}\s]', '', 'g')) / greatest(length(text), 1) > 0.45 THEN 'symbol_ratio'
+  WHEN coalesce(r, false) THEN 'boilerplate_repeat' WHEN regexp_matches(lower(text), '{"|".join(filters.PHRASES)}') THEN 'boilerplate_phrase'
+  WHEN regexp_matches(text, '(?i)\b(?:{"|".join(filters.TOXIC_WORDS)})\b') THEN 'toxicity' END AS drop_reason FROM d LEFT JOIN rep ON d.ord = rep.ord)"""
+
+
+_SUMMARY = "SELECT coalesce(drop_reason, 'keep') AS outcome, count(*) AS docs, sum(strlen(text))::BIGINT AS bytes, sum(" + TOKENS + ")::BIGINT AS est_tokens FROM judged GROUP BY 1"
+
+
+def _summary(d: DataFrame) -> DataFrame:
+    return d.groupBy(F.coalesce("drop_reason", F.lit("keep")).alias("outcome")).agg(F.count(F.lit(1)).alias("docs"), F.sum(X.n_bytes("text")).alias("bytes"), F.sum(X.est_tokens("text")).alias("est_tokens"))
+
+
+# --- filters
+@query(_reason(True) + "SELECT ord AS doc_id, drop_reason FROM judged")
+def filter_reasons(spark, sf):
+    return filters.judged(docs(spark, sf)).select(F.col("ord").alias("doc_id"), "drop_reason")
+
+
+@query(_reason(True) + _SUMMARY)
+def filter_summary(spark, sf):
+    return _summary(filters.judged(docs(spark, sf)))
+
+
+@query(_reason(False) + _SUMMARY)
+def filter_no_lang(spark, sf):
+    return _summary(filters.judged(docs(spark, sf), filters.WITHOUT_LANGUAGE))
+
+
+@query(_reason(True) + ", l AS (SELECT doc_id, min(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id) SELECT coalesce(drop_reason, 'keep') AS outcome, quality, toxic, count(*) AS docs FROM judged JOIN l ON judged.ord = l.doc_id GROUP BY ALL")
+def filter_vs_labels(spark, sf):
+    labels = table(spark, sf, "labels").groupBy(F.col("doc_id").alias("ord")).agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    judged = filters.judged(docs(spark, sf)).select("ord", F.coalesce("drop_reason", F.lit("keep")).alias("outcome"))
+    return judged.join(labels, "ord").groupBy("outcome", "quality", "toxic").agg(F.count(F.lit(1)).alias("docs"))
+
+
+# --- scalars
+@query(f"SELECT lang AS domain, count(*) AS docs, sum({TOKENS})::BIGINT AS est_tokens FROM documents GROUP BY 1")
+def est_tokens_by_domain(spark, sf):
+    return reports.tokens_by(docs(spark, sf), "domain")
+
+
+@query(f"SELECT source, count(*) AS docs, sum({TOKENS})::BIGINT AS est_tokens FROM documents GROUP BY 1")
+def est_tokens_by_source(spark, sf):
+    return reports.tokens_by(docs(spark, sf), "source")
+
+
+_REP = f"""WITH d AS ({_SOURCE}), t AS (SELECT ord, text, [x FOR x IN string_split({COLLAPSED}, ' ') IF x <> ''][1:4000] AS w FROM d),
+r AS (SELECT ord, text, CASE WHEN len(w) < 3 THEN 0.0 ELSE 1.0 - len(list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)])) / (len(w) - 2) END AS rep FROM t)"""
+
+
+@query(_REP + "SELECT ord AS doc_id, round(rep, 6) AS ratio FROM r")
+def repetition_3gram(spark, sf):
+    return docs(spark, sf).select(F.col("ord").alias("doc_id"), F.round(X.repetition_3gram("text"), 6).alias("ratio"))
+
+
+_PRINTABLE = r"(length(text) - length(regexp_replace(regexp_replace(text, '[^\p{C}\p{Z}]', '', 'g'), ' ', '', 'g'))) / length(text)"
+
+
+@query(f"SELECT doc_id, CASE WHEN length(text) > 0 THEN round({_PRINTABLE}, 6) ELSE 0.0 END AS ratio FROM (SELECT doc_id, {T} AS text FROM documents)")
+def printable_ratio(spark, sf):
+    return docs(spark, sf).select(F.col("ord").alias("doc_id"), F.round(X.printable_ratio("text"), 6).alias("ratio"))
+
+
+_QUALITY = rf"""{_REP}, q AS (SELECT ord, text, CASE WHEN length(text) = 0 THEN -10.0 ELSE least(length(text) / 1000.0, 5.0) - CASE WHEN length(text) < 200 THEN 2.0 ELSE 0.0 END
+  - CASE WHEN length(text) > 20000 THEN least((length(text) - 20000) / 20000.0, 2.0) ELSE 0.0 END + ({_PRINTABLE} - 0.85) * 2.0 - rep * 2.0 END AS score FROM r)"""
+
+
+@query(_QUALITY + "SELECT ord AS doc_id, round(score, 6) AS score FROM q")
+def quality_score(spark, sf):
+    return docs(spark, sf).select(F.col("ord").alias("doc_id"), F.round(X.quality_score("text"), 6).alias("score"))
+
+
+@query(f"SELECT page_id, CASE WHEN regexp_matches(lower(url), '{'|'.join(h.replace('.', '[.]') for h in X.LOW_SIGNAL_HOSTS)}') THEN -0.5 ELSE 0.0 END AS penalty FROM pages")
+def url_penalty(spark, sf):
+    return table(spark, sf, "pages").select("page_id", X.url_penalty("url").alias("penalty"))
+
+
+@query("SELECT page_id, CASE WHEN s = '' THEN 'unknown' ELSE s END AS name FROM (SELECT page_id, regexp_replace(coalesce(url, ''), '[^A-Za-z0-9._-]+', '_', 'g') AS s FROM pages)")
+def safe_names(spark, sf):
+    return table(spark, sf, "pages").select("page_id", X.safe_name("url").alias("name"))
+
+
+@query(r"SELECT doc_id, least(50, len([x FOR x IN regexp_extract_all(text, '[\p{L}\p{N}_]+') IF regexp_full_match(x, '[A-Za-z_][A-Za-z0-9_]*')]))::INT AS n_ident, len(regexp_extract_all(text, '(?i)\b(\d+(?:\.\d+)?e[+-]?\d+)\b', 1)[1:20])::INT AS n_sci FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)")
+def ident_sci_counts(spark, sf):
+    return docs(spark, sf).select(F.col("ord").alias("doc_id"), F.size(X.identifiers("text")).alias("n_ident"), F.size(X.sci_numbers("text")).alias("n_sci"))
+
+
+_HTML = r"trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce({0}, ''), '(?s)<pre><code>(.*?)</code></pre>', '\1', 'g'), '(?s)<code>(.*?)</code>', '\1', 'g'), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))"
+
+
+@query(f"SELECT page_id, {_HTML.format('html')} AS text FROM pages")
+def strip_html_pages(spark, sf):
+    return table(spark, sf, "pages").select("page_id", X.strip_html("html").alias("text"))
+
+
+@query(r"SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?s)\{\{.*?\}\}', ' ', 'g'), '\[\[(?:[^\]|]+\|)?([^\]]+)\]\]', '\1', 'g'), '''''+', '', 'g'), '(?s)<ref[^>]*>.*?</ref>', ' ', 'g'), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM pages")
+def strip_wikitext_pages(spark, sf):
+    return table(spark, sf, "pages").select("page_id", X.strip_wikitext("html").alias("text"))
+
+
+# --- records to documents
+@query(f"SELECT page_id::VARCHAR AS doc_id, {_HTML.format('html')} AS text, 'pages' AS source, 'filtered_web' AS domain, url FROM pages WHERE html <> ''")
+def normalise_pages(spark, sf):
+    records = table(spark, sf, "pages").select(F.col("page_id").alias("id"), X.strip_html("html").alias("content"), "url")
+    made = transforms.normalise(records, "filtered_web", "pages").where("text <> ''")
+    return made.select("doc_id", "text", "source", "domain", F.try_element_at("meta", F.lit("url")).alias("url"))
+
+
+_QA = rf"""WITH c AS (SELECT conv_id, turn, role, text FROM conversations),
+q AS (SELECT conv_id, arg_min(text, turn) AS body FROM c WHERE role = 'user' GROUP BY 1),
+a AS (SELECT conv_id, text FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY length({T}) DESC, turn) AS r FROM c WHERE role = 'assistant') WHERE r = 1)
+SELECT q.conv_id::VARCHAR AS doc_id, trim('Q: ' || chr(10) || {_HTML.format('q.body')} || chr(10) || 'A: ' || {_HTML.format('a.text')}, ' ' || chr(10)) AS text FROM q LEFT JOIN a ON q.conv_id = a.conv_id"""
+
+
+@query(_QA)
+def qa_pairs(spark, sf):
+    """The first question of each conversation with its longest answer, as posts are assembled."""
+    c = table(spark, sf, "conversations")
+    first = c.where("role = 'user'").groupBy("conv_id").agg(F.min_by("text", "turn").alias("Body"), F.min("turn").alias("turn"))
+    order = F.col("conv_id") * 100000 + F.col("turn")
+    q = first.select(F.col("conv_id").cast("string").alias("Id"), F.lit("1").alias("PostTypeId"), F.lit(None).cast("string").alias("ParentId"), "Body", F.lit(0).alias("Score"), order.alias("ord"))
+    a = c.where("role = 'assistant'").select(F.concat(F.lit("a"), order.cast("string")).alias("Id"), F.lit("2").alias("PostTypeId"), F.col("conv_id").cast("string").alias("ParentId"), F.col("text").alias("Body"), F.length(F.coalesce("text", F.lit(""))).alias("Score"), order.alias("ord"))
+    return transforms.stackexchange(q.unionByName(a)).select("doc_id", "text")
+
+
+@query(f"SELECT doc_id::VARCHAR || '::chunk' || i AS doc_id, i::INT AS chunk_index, (i * 800)::INT AS chunk_start, substr(text, i * 800 + 1, 1000) AS text FROM (SELECT doc_id, {T} AS text, unnest(range(0, ((length({T}) + 799) // 800))) AS i FROM documents)")
+def chunk_documents(spark, sf):
+    return transforms.chunk(docs(spark, sf), 1000, 200).select("doc_id", "chunk_index", "chunk_start", "text")
+
+
+@query(f"SELECT doc_id, substr({T}, 1, 300) AS text FROM documents")
+def truncate_documents(spark, sf):
+    return transforms.truncate(docs(spark, sf), 300).select(F.col("ord").alias("doc_id"), "text")
+
+
+# --- dedup
+_KEPT = f"SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY {{}}md5({COLLAPSED}) ORDER BY doc_id) AS r FROM documents) WHERE r = 1"
+
+
+@query(_KEPT.format(""))
+def exact_dedup_global(spark, sf):
+    return dedup.exact_kept(docs(spark, sf), "global").select(F.col("ord").alias("doc_id"))
+
+
+@query(_KEPT.format("lang, source, "))
+def exact_dedup_per_source(spark, sf):
+    return dedup.exact_kept(docs(spark, sf), "per-source").select(F.col("ord").alias("doc_id"))
+
+
+@query(f"""SELECT doc_id, r = 1 AS keep, CASE WHEN r = 1 THEN 'keep' ELSE 'exact_dup' END AS reason, CASE WHEN r > 1 THEN f END AS dup_of FROM
+(SELECT doc_id, row_number() OVER w AS r, first_value(doc_id) OVER w AS f FROM documents WINDOW w AS (PARTITION BY md5({COLLAPSED}) ORDER BY doc_id))""")
+def exact_dedup_decisions(spark, sf):
+    return dedup.exact_decisions(docs(spark, sf), "global", with_hash=False).select(F.col("ord").alias("doc_id"), "keep", "reason", F.col("dup_of").cast("long").alias("dup_of"))
+
+
+@query(_QUALITY + f"""SELECT ord AS doc_id, n AS group_size FROM (SELECT ord, count(*) OVER (PARTITION BY k) AS n, row_number() OVER (PARTITION BY k ORDER BY round(score, 6) DESC, ord DESC) AS r
+FROM (SELECT ord, score, md5({COLLAPSED}) AS k FROM q)) WHERE r = 1""")
+def best_of_exact_group(spark, sf):
+    key = F.sha2(X.collapse("text"), 256)
+    d = docs(spark, sf).select("ord", key.alias("k"), F.round(X.quality_score("text"), 6).alias("score"))
+    return d.groupBy("k").agg(F.max_by("ord", F.struct("score", "ord")).alias("doc_id"), F.count(F.lit(1)).alias("group_size")).drop("k")
+
+
+@query()
+def near_dedup_best(spark, sf):
+    return dedup.near_decisions(docs(spark, sf), "both", "global", "best")
+
+
+@query()
+def near_dedup_first(spark, sf):
+    return dedup.near_decisions(docs(spark, sf), "near", "global", "first")
+
+
+@query()
+def near_dedup_greedy(spark, sf):
+    return dedup.greedy(docs(spark, sf))
+
+
+@query()
+def near_dedup_stats(spark, sf):
+    return dedup.stats(dedup.near_decisions(docs(spark, sf), "both", "per-source", "best"))
+
+
+_BANDS = """WITH p AS (SELECT o_custkey AS c, o_orderkey % 8 AS low, min(o_orderkey) AS first FROM orders GROUP BY 1, 2)
+SELECT a.first AS a, b.first AS b, k AS band, bit_count(xor(a.low, b.low))::INT AS distance FROM p a JOIN p b ON a.c = b.c AND a.first > b.first, (SELECT unnest([1, 2, 3])::INT AS k)"""
+
+
+@query(_BANDS)
+def hamming_band_join(spark, sf):
+    """Fingerprints made of a hash of the customer, with the lowest three bits from the order's number."""
+    o = table(spark, sf, "orders")
+    high = F.conv(F.substring(F.md5(F.col("o_custkey").cast("string")), 1, 15), 16, 10).cast("long")
+    fp = high.bitwiseAND(F.lit(~7)).bitwiseOR(F.col("o_orderkey") % 8)
+    prints = o.groupBy(F.array(fp).alias("fp")).agg(F.min("o_orderkey").alias("first")).select(F.lit("").alias("scope"), "first", "fp")
+    return dedup.band_pairs(prints, 3).select("a", "b", "band", "distance")
+
+
+# --- reports
+@query(_reason(True) + f", k AS (SELECT *, (row_number() OVER (ORDER BY ord) - 1) // 100 AS shard_id FROM judged WHERE drop_reason IS NULL) SELECT shard_id::BIGINT AS shard_id, count(*) AS docs, sum(strlen(text))::BIGINT AS bytes, sum({TOKENS})::BIGINT AS est_tokens FROM k GROUP BY 1")
+def shard_manifest(spark, sf):
+    return reports.shard_manifest(reports.sharded(filters.kept(docs(spark, sf)), 100))
+
+
+@query(_reason(True) + "SELECT domain, drop_reason, count(*) AS n FROM judged WHERE drop_reason IS NOT NULL GROUP BY 1, 2")
+def drops_by_domain(spark, sf):
+    return reports.drops(filters.judged(docs(spark, sf)), "domain")
+
+
+@query(f"SELECT 'domain' AS kind, lang AS name, count(*) AS docs, sum({TOKENS})::BIGINT AS est_tokens FROM documents GROUP BY lang UNION ALL SELECT 'source', source, count(*), sum({TOKENS})::BIGINT FROM documents GROUP BY source")
+def pack_manifest(spark, sf):
+    return reports.pack_manifest(docs(spark, sf))
+
+
+@query(f"SELECT source, count(*) AS docs, sum({TOKENS})::BIGINT AS est_tokens FROM documents GROUP BY 1 ORDER BY est_tokens DESC, source LIMIT 10")
+def top_sources(spark, sf):
+    return reports.top_sources(docs(spark, sf))
+
+
+@query(_QUALITY + f""", e AS (SELECT ord, round(score, 6) AS score, row_number() OVER (PARTITION BY md5({COLLAPSED}) ORDER BY ord) AS r FROM q)
+SELECT ord::VARCHAR AS doc_id, score FROM e WHERE r > 1 ORDER BY score, doc_id LIMIT 5""")
+def worst_examples(spark, sf):
+    d = dedup.exact_first(docs(spark, sf), "global").select("doc_id", (F.col("nth") == 1).alias("keep"), F.round(X.quality_score("text"), 6).alias("score"))
+    return reports.worst(d).select("doc_id", "score")
+
+
+_ALIAS = "CASE " + " ".join(f"WHEN {{0}} = '{k}' THEN '{v}'" for k, v in transforms.DOMAIN_ALIASES.items()) + " ELSE {0} END"
+_NAMED = "CASE source WHEN 'src0' THEN 'web' WHEN 'src1' THEN 'wiki' WHEN 'src2' THEN 'code' WHEN 'src3' THEN 'filtered_web' ELSE source END"
+
+
+def _renamed(d: DataFrame) -> DataFrame:
+    """Sources as domains, some under an alias."""
+    s = F.col("source")
+    return d.withColumn("domain", F.when(s == "src0", "web").when(s == "src1", "wiki").when(s == "src2", "code").when(s == "src3", "filtered_web").otherwise(s))
+
+
+@query(f"""WITH r AS (SELECT {_NAMED} AS domain, count(*) AS docs, sum(strlen({T}))::BIGINT AS bytes FROM documents GROUP BY 1)
+SELECT 'raw' AS kind, domain, docs, bytes FROM r UNION ALL SELECT 'canonical', {_ALIAS.format('domain')}, sum(docs)::BIGINT, sum(bytes)::BIGINT FROM r GROUP BY 2""")
+def domain_histogram_raw_canonical(spark, sf):
+    return reports.histogram(_renamed(docs(spark, sf)))
+
+
+@query("SELECT domain_safe, count(*) AS docs FROM (SELECT regexp_replace(lang || '/' || source, '[^A-Za-z0-9._-]+', '_', 'g') AS domain_safe FROM documents) GROUP BY 1 ORDER BY docs DESC, domain_safe LIMIT 50")
+def split_counts(spark, sf):
+    lines = docs(spark, sf).select(F.to_json(F.struct("doc_id", F.concat_ws("/", "domain", "source").alias("domain"))).alias("value"))
+    return jsonl.split_counts(jsonl.split_by_domain(lines))
+
+
+_YIELD = f"SELECT lang AS domain, count(*) AS docs, round(avg(length({T})), 6) AS avg_yield FROM documents GROUP BY 1"
+
+
+@query(_YIELD)
+def domain_yield(spark, sf):
+    return reports.domain_yield(docs(spark, sf)).withColumn("avg_yield", F.round("avg_yield", 6))
+
+
+@query(f"WITH y AS ({_YIELD}), w AS (SELECT domain, 0.25 / avg_yield AS w FROM y) SELECT domain, round(w / sum(w) OVER (), 6) AS weight FROM w")
+def yield_corrected_weights(spark, sf):
+    yields = reports.domain_yield(docs(spark, sf))
+    return mix.yield_corrected(yields.select("domain", F.lit(0.25).alias("weight")), yields).withColumn("weight", F.round("weight", 6))
+
+
+@query(_QUALITY + "SELECT doc_id, text FROM (SELECT ord AS doc_id, text, round(score, 6) AS s FROM q) ORDER BY s, doc_id LIMIT 20")
+def lowest_quality(spark, sf):
+    d = docs(spark, sf).select(F.col("ord").alias("doc_id"), "text", F.round(X.quality_score("text"), 6).alias("s"))
+    return d.orderBy("s", "doc_id").limit(20).drop("s")
+
+
+@query("SELECT doc_id, 'text' AS at FROM documents WHERE contains(text, 'placeholder')")
+def placeholder_audit(spark, sf):
+    return reports.placeholders(table(spark, sf, "documents")).select("doc_id", F.col("where").alias("at"))
+
+
+# --- mixing
+@query(f"""WITH g AS (SELECT lang AS domain, count(*) AS docs, sum(length({T}))::BIGINT AS chars, sum(strlen({T}))::BIGINT AS bytes FROM documents GROUP BY 1)
+SELECT *, round(chars / sum(chars) OVER (), 6) AS share_chars, round(bytes / sum(bytes) OVER (), 6) AS share_bytes FROM g""")
+def mix_shares(spark, sf):
+    return mix.shares(docs(spark, sf)).withColumns({k: F.round(k, 6) for k in ("share_chars", "share_bytes")})
+
+
+_TARGETS = ", ".join(f"('{k}', {v})" for k, v in mix.BASE_WEIGHTS.items())
+
+
+@query(f"""WITH d AS (SELECT {_ALIAS.format('s')} AS domain FROM (SELECT {_NAMED} AS s FROM documents)), n AS (SELECT domain, count(*) AS n FROM d GROUP BY 1)
+SELECT t.domain, round(coalesce(n, 0) / (SELECT count(*) FROM d), 6) AS observed, target::DOUBLE AS target, round(coalesce(n, 0) / (SELECT count(*) FROM d) - target::DOUBLE, 6) AS delta FROM (VALUES {_TARGETS}) t(domain, target) LEFT JOIN n ON n.domain = t.domain""")
+def mix_vs_target(spark, sf):
+    named = _renamed(docs(spark, sf)).withColumn("domain", transforms.canonical_domain("domain"))
+    return mix.against_target(named).withColumns({k: F.round(k, 6) for k in ("observed", "delta")})
+
+
+@query("""WITH f AS (SELECT source, lang AS file, count(*) AS n_docs FROM documents GROUP BY 1, 2)
+SELECT * FROM (SELECT *, coalesce(sum(n_docs) OVER (PARTITION BY source ORDER BY file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM f) WHERE before < 10""")
+def file_cap_running(spark, sf):
+    """Files of a source, here one per language, until 10 documents are reached."""
+    files = table(spark, sf, "documents").groupBy("source", F.col("lang").alias("file")).agg(F.count(F.lit(1)).alias("n_docs"))
+    return mix.capped_files(files, 10)
+
+
+@query(f"""WITH b AS (SELECT lang, doc_id, strlen({T}) AS n, coalesce(sum(strlen({T})) OVER (PARTITION BY lang ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM documents WHERE lang IN ('en', 'de'))
+SELECT doc_id, least(n, 100000 - before)::BIGINT AS bytes_used FROM b WHERE before < 100000 AND least(n, 100000 - before) > 0""")
+def byte_budget(spark, sf):
+    return mix.byte_budget(docs(spark, sf), {"en": 100000, "de": 100000}).select(F.col("ord").alias("doc_id"), "bytes_used")
+
+
+@query("SELECT doc_id, lang AS domain FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY md5('7:' || doc_id), doc_id) AS r FROM documents) WHERE r <= 25")
+def per_domain_sample(spark, sf):
+    return mix.sample_per_domain(table(spark, sf, "documents").select("doc_id", F.col("lang").alias("domain")), 25, 7)
+
+
+@query("SELECT doc_id, row_number() OVER (ORDER BY sha256('7:all:0:' || doc_id), doc_id) AS place FROM documents")
+def shuffled_order(spark, sf):
+    """Places in the shuffled order: running counts over ranges of the hash, so no one task sorts all rows."""
+    h = F.sha2(F.concat_ws(":", F.lit("7:all:0"), F.col("doc_id").cast("string")), 256)
+    d = table(spark, sf, "documents").select("doc_id", h.alias("h"), F.conv(F.substring(h, 1, 3), 16, 10).cast("int").alias("range"))
+    before = d.groupBy("range").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.sum("n").over(Window.orderBy("range")) - F.col("n")).drop("n")
+    return d.join(F.broadcast(before), "range").select("doc_id", (F.row_number().over(Window.partitionBy("range").orderBy("h", "doc_id")) + F.col("before")).alias("place"))
+
+
+@query()
+def sampler_plan(spark, sf):
+    sources = {d: {f"src{i}": 0.25 for i in range(4)} for d in ("en", "de", "fr", "es")}
+    return mix.sampler_plan(docs(spark, sf), {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}, sources, 200, seed=1, repeat=True)
+
+
+# --- packing and loading
+def _lengths(spark, sf) -> DataFrame:
+    """Documents with their words' lengths for tokens."""
+    return docs(spark, sf).withColumns({"tokens": F.transform(X.tokens("text"), F.length), "mix_ord": F.col("ord")})
+
+
+@query()
+def pack_rows(spark, sf):
+    return pack.pack(_lengths(spark, sf), 256, 0).select("row", F.array_join("input_ids", ",").alias("input_ids"), "domain", "source", F.size("segments").alias("n_segments"))
+
+
+@query()
+def pack_segments(spark, sf):
+    return pack.index(pack.pack(_lengths(spark, sf), 256, 0)).select("row", F.explode("segments").alias("s"), "start_token").select("row", "s.doc_id", "s.start", "s.end", "start_token")
+
+
+_IDS = f"WITH d AS ({_SOURCE}), l AS (SELECT ord AS doc_id, [length(x) FOR x IN string_split({COLLAPSED}, ' ') IF x <> ''][1:16] AS ids FROM d), i AS (SELECT * FROM l WHERE len(ids) > 0)"
+
+
+def _rows(spark, sf) -> DataFrame:
+    return docs(spark, sf).select(F.col("ord").alias("doc_id"), F.slice(F.transform(X.tokens("text"), F.length), 1, 16).alias("ids")).where(F.size("ids") > 0)
+
+
+@query(_IDS + "SELECT doc_id, array_to_string(ids[2:] || [-100], ',') AS labels FROM i")
+def loader_shift(spark, sf):
+    return _rows(spark, sf).select("doc_id", F.array_join(pack.labels("ids"), ",").alias("labels"))
+
+
+@query(_IDS + "SELECT doc_id, array_to_string([999] || ids[1:len(ids) - 1], ',') AS ids FROM i")
+def loader_prefix(spark, sf):
+    return _rows(spark, sf).select("doc_id", F.array_join(pack.domain_prefix("ids", 999), ",").alias("ids"))
+
+
+@query(_IDS + "SELECT doc_id, array_to_string(CASE WHEN len(ids) < 8 THEN ids ELSE ([901] || ids[1:4] || [902] || ids[7:] || [903] || ids[5:6])[1:len(ids)] END, ',') AS ids FROM i")
+def loader_fim(spark, sf):
+    return _rows(spark, sf).select("doc_id", F.array_join(pack.fill_in_middle("ids", F.lit(4), F.lit(6), 901, 902, 903), ",").alias("ids"))
+
+
+@query("SELECT config FROM (VALUES ('eng_Latn'), ('eng_Cyrl')) t(config)")
+def hf_config_filter(spark, sf):
+    configs = spark.createDataFrame([(c,) for c in ("asm_Beng", "fra_Latn", "eng_Latn", "eng_Cyrl")], "config string")
+    return hub.matching_configs(configs, lang="eng")
+
+
+@query(f"SELECT doc_id::VARCHAR AS doc_id, {T} AS text, 'web' AS source, 'filtered_web' AS domain FROM documents")
+def hub_documents(spark, sf):
+    rows = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text", F.col("doc_id").alias("ord"))
+    return hub.documents(rows, "web", "filtered_web").select("doc_id", "text", "source", "domain")
+
+
+@query(f"SELECT doc_id::VARCHAR AS doc_id, CASE WHEN {T} = '' THEN '' ELSE lang || chr(10) || chr(10) || text END AS text FROM documents")
+def wikipedia_documents(spark, sf):
+    pages = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("title"), "text")
+    return transforms.wikipedia(pages).select("doc_id", "text")
