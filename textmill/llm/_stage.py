@@ -50,3 +50,9 @@ class Stage:
 
 def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def plain(docs: DataFrame, kept: tuple[str, ...] = ("doc_id", "text")) -> tuple[DataFrame, list[str]]:
+    """The frame with all columns but the `kept` ones under names that clash with none, and those names in order."""
+    names = [c if c in kept else f"c{i}_" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), names

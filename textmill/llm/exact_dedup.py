@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textmill.llm._stage import Stage
+from textmill.llm._stage import Stage, plain
 
 COUNTERS = 256
 
@@ -76,10 +76,11 @@ def groups(docs: DataFrame, k: int = COUNTERS) -> DataFrame:
 def dedup(docs: DataFrame, k: int = COUNTERS) -> DataFrame:
     """The documents that stay, with all their columns."""
     stage = Stage(docs.sparkSession, "exact")
-    table = stage.save(docs.withColumn("row_key", F.monotonically_increasing_id()), "docs")
+    renamed, names = plain(docs)
+    table = stage.save(renamed.withColumn("row_key", F.monotonically_increasing_id()), "docs")
     s = _settled(table.select("doc_id", "row_key", "text"), stage, k)
     gone = s.where(F.col("row_key") != F.col("best.row_key")).select("row_key")
-    return table.join(gone, "row_key", "left_anti").select(*docs.columns)
+    return table.join(gone, "row_key", "left_anti").select(*names).toDF(*docs.columns)
 
 
 def op10_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 A shingle is SHINGLE consecutive words; a text with fewer words, but one at least, is one shingle.
 Its weight in a document is its count there times its inverse document frequency over all
-documents, ln((1 + n) / (1 + df)) + 1. Two texts are linked if the weighted Jaccard similarity of their
+documents, normalised to lie between 1 and 1.5: 1 + ln((1 + n) / (1 + df)) / ln(1 + n) / 2. In a large group of near
+copies the common shingles are frequent for that very reason; a wider range would let the few
+that differ outweigh them and break up the group. Two texts are linked if the weighted Jaccard similarity of their
 shingles, sum of minima over sum of maxima, is `threshold` or more.
 
 1. Chunks of documents exchange their distinct shingles' document frequencies (see _chunks).
@@ -17,7 +19,8 @@ shingles, sum of minima over sum of maxima, is `threshold` or more.
 5. Every candidate is verified with the exact weights, in groups of VERIFY texts per centre.
 6. Connected components of the links are the classes.
 
-Words are unchanged; a text without words (null, empty, blank) is a class of its own. Rows that share
+Words are unchanged; a text without words (null, empty, blank) is a class of its own. A row without doc_id
+is a document for frequencies but has no class, and stays. Rows that share
 a doc_id count as one document each for frequencies and are one node in classes. Extra columns are
 ignored by `classes` and kept by `dedup`. An empty table gives an empty result.
 """
@@ -142,7 +145,7 @@ def _sign(n_docs: int, size: int, threshold: float, bands: int, rows: int):
             i = np.searchsorted(keys[:-1], h)
             df = np.where(keys[i] == h, dfs[i], 1)
             df[i == len(keys) - 1] = 1
-            weight = tf * (np.log((1 + n_docs) / (1 + df)) + 1)
+            weight = tf * (1 + np.log((1 + n_docs) / (1 + df)) / np.log(1 + n_docs) / 2)
             total, shared = np.bincount(doc, weight, w.n_docs), np.bincount(doc, weight * (df > 1), w.n_docs)
             go = np.flatnonzero((total > 0) & (shared >= threshold * total * (1 - 1e-9)))
             keep = np.zeros(w.n_docs, bool)
@@ -273,7 +276,7 @@ def dedup(docs: DataFrame, threshold: float = THRESHOLD, chunk_bytes: int = C.CH
     members, links = linked(docs, stage, threshold, chunk_bytes=chunk_bytes)
     parts = components(links, stage)
     gone = members.join(parts, F.col("text_id") == F.col("node"), "left").where(F.col("doc_id") > F.coalesce("class_id", "text_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
 
 
 def op2_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:

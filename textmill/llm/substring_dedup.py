@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textmill.llm import _chunks as C
-from textmill.llm._stage import Stage
+from textmill.llm._stage import Stage, plain
 from textmill.llm._text import Words, inside, member, mix, ranges, slices, texts, unpack, unpack_sorted, windows
 
 BLOCK = 10
@@ -235,13 +235,15 @@ def repeats(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = C.CHUNK) -
 def dedup(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = C.CHUNK) -> DataFrame:
     """The documents, repeated passages cut out of `text`: a document that loses words becomes its kept
     words joined by spaces, and goes if none is left; any other stays as it is. Columns stay, with n_chars, if there, counted anew."""
-    order = docs.columns
-    schema = T.StructType([docs.schema["doc_id"], *[f for f in docs.schema if f.name != "doc_id"], T.StructField("_words", T.LongType()), T.StructField("_removed", T.LongType())])
-    out = _run(docs, window, True, schema, chunk_bytes)
+    renamed, names = plain(docs)
+    rest = [f for f in renamed.schema if f.name != "doc_id"]
+    schema = T.StructType([renamed.schema["doc_id"], *rest, T.StructField("_words", T.LongType()), T.StructField("_removed", T.LongType())])
+    out = _run(renamed, window, True, schema, chunk_bytes)
     out = out.where((F.col("_removed") == 0) | (F.col("_removed") < F.col("_words")))
-    if "n_chars" in order:
-        out = out.withColumn("n_chars", F.when(F.col("_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*order)
+    if "n_chars" in docs.columns:
+        c = names[docs.columns.index("n_chars")]
+        out = out.withColumn(c, F.when(F.col("_removed") > 0, F.length("text")).otherwise(F.col(c)).cast(docs.schema["n_chars"].dataType))
+    return out.select(*names).toDF(*docs.columns)
 
 
 def op9_substring_dedup(spark, sf_dir: str) -> DataFrame:
