@@ -30,8 +30,6 @@ NONE = np.int32(2**31 - 1)
 #: Widest matrix; longer pieces are merged one by one.
 WIDEST = 256
 _WIDTHS = np.array([2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 24, 32, 64, 128, WIDEST])
-#: White space beyond ASCII, as in the Unicode property.
-_WIDE_SPACE = regex.compile("[\x85\xa0  -     　]")
 
 
 class Pairs:
