@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmill.functions.text import est_tokens, n_bytes
@@ -14,8 +14,9 @@ from textmill.functions.text import est_tokens, n_bytes
 BASE_WEIGHTS = {"filtered_web": 0.30, "books_longform": 0.18, "reference": 0.08, "forums_qa": 0.10, "code_docs": 0.18, "math": 0.12, "tutorials_notebooks": 0.02, "paper_teasers": 0.02}
 
 
-#: Over all rows of a table that has a row per domain.
-ALL = Window.partitionBy()
+def _all(c: str) -> Column:
+    """The sum over all rows of a table that has a row per domain."""
+    return F.sum(c).over(Window.partitionBy())
 
 
 def validated(weights: dict[str, float], label: str) -> dict[str, float]:
@@ -32,13 +33,13 @@ def yield_corrected(weights: DataFrame, yields: DataFrame) -> DataFrame:
     """(domain, weight) divided by the domain's avg_yield where there is a positive one, then normalised."""
     y = yields.select("domain", F.col("avg_yield").try_cast("double").alias("y"))
     w = weights.join(y, "domain", "left").withColumn("weight", F.when(F.col("y") > 0, F.col("weight") / F.col("y")).otherwise(F.col("weight")))
-    return w.select("domain", (F.col("weight") / F.sum("weight").over(ALL)).alias("weight"))
+    return w.select("domain", (F.col("weight") / _all("weight")).alias("weight"))
 
 
 def shares(docs: DataFrame) -> DataFrame:
     """(domain, docs, chars, bytes, share_chars, share_bytes)."""
     by = docs.groupBy("domain").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.length(F.coalesce("text", F.lit("")))).alias("chars"), F.sum(n_bytes("text")).alias("bytes"))
-    part = lambda a: F.when(F.sum(a).over(ALL) > 0, F.col(a) / F.sum(a).over(ALL)).otherwise(0.0)
+    part = lambda a: F.when(_all(a) > 0, F.col(a) / _all(a)).otherwise(0.0)
     return by.select("domain", "docs", "chars", "bytes", part("chars").alias("share_chars"), part("bytes").alias("share_bytes"))
 
 
@@ -47,7 +48,7 @@ def against_target(docs: DataFrame, targets: dict[str, float] = BASE_WEIGHTS) ->
     spark = docs.sparkSession
     t = spark.createDataFrame(list(targets.items()), "domain string, target double")
     counts = docs.groupBy("domain").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.select("domain", (F.col("n") / F.sum("n").over(ALL)).alias("share"))
+    counts = counts.select("domain", (F.col("n") / _all("n")).alias("share"))
     seen = t.join(counts, "domain", "left").withColumn("observed", F.coalesce("share", F.lit(0.0)))
     return seen.select("domain", "observed", "target", (F.col("observed") - F.col("target")).alias("delta"))
 
