@@ -146,6 +146,11 @@ def test_loader(spark):
     assert d.select(pack.fill_in_middle("ids", F.lit(2), F.lit(5), 91, 92, 93)).first()[0] == [91, 0, 1, 92, 5, 6, 7, 8, 9, 93]
 
 
+def test_mixture(spark):
+    n = {r.pack: r["count"] for r in pack.mixture(spark, {"a": 3.0, "b": 1.0}, 4000).groupBy("pack").count().collect()}
+    assert abs(n["a"] / 4000 - 0.75) < 0.05 and sum(n.values()) == 4000
+
+
 def test_tokenizers(spark, tmp_path):
     from tokenizers import Tokenizer, models, pre_tokenizers
 

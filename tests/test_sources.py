@@ -33,6 +33,18 @@ def test_jsonl_order_and_repair(spark, tmp_path):
     assert (r.records_ok, r.records_bad) == (4, 1) and (tmp_path / "r.jsonl.zst.bak").exists()
 
 
+def test_order_over_splits(spark, tmp_path):
+    for name in ("a", "b"):
+        lines(tmp_path / f"{name}.jsonl", [{"doc_id": f"{name}{i:04d}", "text": "x" * (i % 50)} for i in range(2000)])
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = jsonl.read(spark, jsonl.walk(str(tmp_path)), "doc_id string, text string").orderBy("ord").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    assert [r.doc_id for r in got] == [f"{n}{i:04d}" for n in "ab" for i in range(2000)]
+
+
 def test_shards_and_split(spark, tmp_path):
     d = spark.createDataFrame([(i, str(i), "text", "s", "dom" if i % 2 else None) for i in range(7)], "ord long, doc_id string, text string, source string, domain string")
     shards = reports.sharded(d, 3)

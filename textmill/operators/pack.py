@@ -151,3 +151,16 @@ def sampled_rows(rows: DataFrame, n: int, n_rows: int, seed: int = 0) -> DataFra
     """n rows with replacement, as (draw, row, ...): a hash of the draw picks the row."""
     draws = rows.sparkSession.range(n).select(F.col("id").alias("draw"), F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(n_rows)).alias("row"))
     return draws.join(rows, "row")
+
+
+def mixture(spark, weights: dict[str, float], n: int, seed: int = 0) -> DataFrame:
+    """n draws (draw, pack) of packs by weight: a hash of the draw against the running sums of the weights."""
+    total = sum(weights.values())
+    if total <= 0:
+        raise ValueError("no weight")
+    u = F.pmod(F.xxhash64(F.lit("pack"), "id", F.lit(seed)), F.lit(1 << 40)) / F.lit(1 << 40)
+    names, reached, choice = list(weights), 0.0, None
+    for name in names[:-1]:
+        reached += weights[name] / total
+        choice = F.when(u < reached, name) if choice is None else choice.when(u < reached, name)
+    return spark.range(n).select(F.col("id").alias("draw"), (F.lit(names[0]) if choice is None else choice.otherwise(names[-1])).alias("pack"))

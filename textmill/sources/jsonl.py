@@ -53,17 +53,19 @@ def read(spark: SparkSession, paths: list[str], schema: T.StructType | str, stri
     kind = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
     full = kind if strict else T.StructType([*kind, T.StructField("_bad", T.StringType())])
     r = spark.read.schema(full).option("mode", "FAILFAST" if strict else "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad")
-    # a compressed file is one split, and ids rise within a split; plain files are read whole as well
-    rows = r.option("wholeFile", "true").json(paths).select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_id"))
+    rows = r.json(paths).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_id"))
+    if not all(f.endswith(".zst") for f in paths):
+        # a plain file can be several splits: ids count from a split's first row on, and a row is a byte long at least
+        first = rows.groupBy("_file", "_start").agg(F.min("_id").alias("_first"))
+        rows = rows.join(first, ["_file", "_start"]).withColumn("_id", F.col("_start") + F.col("_id") - F.col("_first")).drop("_first")
     if not strict:
         rows = rows.where("_bad IS NULL").drop("_bad")
-    files = sorted(set(paths))
-    place = F.pmod("_id", F.lit(1 << 33))
-    if len(files) > 200:
-        spark_files = spark.createDataFrame([(f"file://{os.path.abspath(f)}", i) for i, f in enumerate(files)], "_file string, _n long")
-        return rows.join(F.broadcast(spark_files), "_file").withColumn("ord", F.col("_n") * (1 << 33) + place).drop("_file", "_id", "_n")
-    at = F.coalesce(*[F.when(F.col("_file").endswith(os.path.abspath(f)), F.lit(i)) for i, f in enumerate(files)], F.lit(0))
-    return rows.withColumn("ord", at * F.lit(1 << 33) + place).drop("_file", "_id")
+    # a compressed file is one split, within which ids rise
+    place = F.pmod("_id", F.lit(1 << 43)) if not all(f.endswith(".zst") for f in paths) else F.pmod("_id", F.lit(1 << 33))
+    names = spark.createDataFrame([(os.path.abspath(f), i) for i, f in enumerate(sorted(set(paths)))], "_path string, _n long")
+    rows = rows.withColumn("_path", F.regexp_replace("_file", "^file:/*", "/")).join(names, "_path")
+    columns = [f.name for f in kind]
+    return rows.select(*columns, (F.col("_n") * F.lit(1 << 43) + place).alias("ord"))
 
 
 def first_line(path: str, most: int = FIRST_LINE_MOST) -> tuple[str, str]:
