@@ -25,9 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textmill.llm._text import Words, mix, pack, ranges, slices, spans, texts, unpack
+from textmill.llm._text import SLICE, Words, mix, pack, ranges, slices, spans, texts, unpack
 
 PER_LANG, BITS, PENALTY, FLOOR = 2000, 16, 6.0, -12.0
+#: Slices of text decoded at once, times languages: a step of Viterbi is the dearer the fewer texts it moves.
+TOGETHER = 32
 #: A language uses a script that makes up this share of its letters.
 USES = 0.01
 # First code points of the ranges of scripts, by the Unicode blocks.
@@ -84,7 +86,7 @@ class Model:
         order = sorted(range(len(langs)), key=lambda i: langs[i])
         self.langs = [langs[i] for i in order]
         c = np.array([counts[i] for i in order], np.float64).reshape(len(langs), -1) + 0.1
-        self.log_p = np.ascontiguousarray((np.log(c) - np.log(c.sum(axis=1, keepdims=True))).T.astype(np.float32)) if langs else np.zeros((1, 0), np.float32)
+        self.log_p = (np.log(c) - np.log(c.sum(axis=1, keepdims=True))).astype(np.float32)
         s = np.array([scripts[i] for i in order], np.float64).reshape(len(langs), -1)
         self.uses = ((s >= USES * s.sum(axis=1, keepdims=True)) & (s > 0)) @ (1 << np.arange(s.shape[1])) if langs else np.zeros(0, np.int64)
 
@@ -92,15 +94,15 @@ class Model:
         """Log posteriors of the languages per word (0 for all where there is no letter), and whether it has a letter."""
         _, one, inverse = np.unique(mix(spans(w.data, w.start, w.end)), return_index=True, return_inverse=True)
         start, end = w.start[one], w.end[one]
-        bits = np.bitwise_or.reduceat(np.r_[letter_bits(w.data), np.uint32(0)], np.c_[start, end].ravel())[::2].astype(np.int64)
         g, first = grams(w.data, start, end)
-        s = np.add.reduceat(self.log_p[g], first, axis=0).astype(np.float64)
+        bits = np.bitwise_or.reduceat(letter_bits(w.data)[ranges(start, end - start)], first).astype(np.int64)
+        s = np.stack([np.add.reduceat(p[g], first) for p in self.log_p], 1)
         can = (bits[:, None] & self.uses[None, :]) > 0
         can |= ~can.any(axis=1, keepdims=True)
         s = np.where(can, s, -np.inf)
         s -= s.max(axis=1, keepdims=True)
         s -= np.log(np.exp(s).sum(axis=1, keepdims=True))
-        s = np.maximum(s, FLOOR)
+        s = np.maximum(s, np.float32(FLOOR))
         s[bits == 0] = 0
         return s[inverse], (bits > 0)[inverse]
 
@@ -205,7 +207,7 @@ def _predict(model: Model, columns: list[str], with_spans: bool):
         for batch in batches:
             data, off = texts(batch.column("text"))
             lang, score, found = [], [], []
-            for a, b in slices(off):
+            for a, b in slices(off, SLICE * max(1, TOGETHER // max(1, len(model.langs)))):
                 w = Words(data[off[a] : off[b]], off[a : b + 1] - off[a])
                 x, y, labels = predict(model, w)
                 lang += x
