@@ -85,9 +85,9 @@ class Model:
     def __init__(self, langs: list[str], counts: list[np.ndarray], scripts: list[np.ndarray]):
         order = sorted(range(len(langs)), key=lambda i: langs[i])
         self.langs = [langs[i] for i in order]
-        c = np.array([counts[i] for i in order], np.float64).reshape(len(langs), -1) + 0.1
+        c = np.array([counts[i] for i in order], np.float64).reshape(len(langs), 1 << BITS) + 0.1
         self.log_p = (np.log(c) - np.log(c.sum(axis=1, keepdims=True))).astype(np.float32)
-        s = np.array([scripts[i] for i in order], np.float64).reshape(len(langs), -1)
+        s = np.array([scripts[i] for i in order], np.float64).reshape(len(langs), 32)
         self.uses = ((s >= USES * s.sum(axis=1, keepdims=True)) & (s > 0)) @ (1 << np.arange(s.shape[1])) if langs else np.zeros(0, np.int64)
 
     def scores(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
