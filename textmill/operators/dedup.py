@@ -29,13 +29,16 @@ def scope_key(scope: str) -> Column:
     return F.lit("") if scope == "global" else F.concat_ws(":", F.coalesce("domain", F.lit("")), F.coalesce("source", F.lit("")))
 
 
-def exact_first(docs: DataFrame, scope: str = "per-source") -> DataFrame:
-    """The rows with `first_id` and `nth`: the first of its text within its scope, and the place among its equals. A
-    row's shuffle key is a digest, so texts do not move to be compared, and empty texts are one group."""
+def _copies(docs: DataFrame, scope: str) -> DataFrame:
+    """(ord, nth, first_id) from digests alone: texts do not move to be compared."""
     key = F.sha2(F.concat_ws("\x01", scope_key(scope), collapse(F.coalesce("text", F.lit("")))), 256)
     w = Window.partitionBy("_key").orderBy("ord")
-    slim = docs.select("ord", "doc_id", key.alias("_key")).select("ord", F.row_number().over(w).alias("nth"), F.first("doc_id").over(w).alias("first_id"))
-    return docs.join(slim, "ord")
+    return docs.select("ord", "doc_id", key.alias("_key")).select("ord", F.row_number().over(w).alias("nth"), F.first("doc_id").over(w).alias("first_id"))
+
+
+def exact_first(docs: DataFrame, scope: str = "per-source") -> DataFrame:
+    """The rows with `first_id` and `nth`: the first of its text within its scope, and the place among its equals."""
+    return docs.join(_copies(docs, scope), "ord")
 
 
 def exact_decisions(docs: DataFrame, scope: str = "per-source", with_hash: bool = True) -> DataFrame:
@@ -47,7 +50,8 @@ def exact_decisions(docs: DataFrame, scope: str = "per-source", with_hash: bool
 
 
 def exact_kept(docs: DataFrame, scope: str = "per-source") -> DataFrame:
-    return exact_first(docs, scope).where("nth = 1").drop("nth", "first_id")
+    """The first of each text. What goes is the smaller side of the join, which adaptive execution broadcasts if it is small."""
+    return docs.join(_copies(docs, scope).where("nth > 1").select("ord"), "ord", "left_anti")
 
 
 def _keys(fp: Column, bits: int, threshold: int) -> Column:
@@ -163,7 +167,8 @@ def decisions(docs: DataFrame, mode: str = "both", scope: str = "per-source", no
 
 
 def kept(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    return docs.join(decided.where("keep").select("ord"), "ord", "left_semi")
+    """The documents whose decision is to keep; every document has one."""
+    return docs.join(decided.where(~F.col("keep")).select("ord"), "ord", "left_anti")
 
 
 def greedy(docs: DataFrame, threshold: int = 3, bits: int = 64) -> DataFrame:
