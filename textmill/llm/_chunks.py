@@ -32,7 +32,10 @@ def chunked(stage: Stage, docs: DataFrame, size: int, chunk_bytes: int = CHUNK)
     """A written table of the columns of docs and `chunk`; how many chunks there are. doc_id decides the chunk."""
     n = max(1, -(-size // chunk_bytes))
     df = docs.repartitionByRange(n, F.col("doc_id").asc_nulls_first()) if n > 1 else docs.coalesce(1)
-    return stage.save(df.withColumn("chunk", F.spark_partition_id()), "chunks"), n
+    table = stage.save(df.withColumn("chunk", F.spark_partition_id()), "chunks")
+    del df
+    stage.release()
+    return table, n
 
 
 def buckets(n_chunks: int, spark: SparkSession) -> int:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,9 +44,11 @@ class Stage:
         self.release()
 
     def release(self) -> None:
-        """Shuffle files go once the driver has collected the plans that named them."""
-        gc.collect()
-        self.spark._jvm.System.gc()
+        """Shuffle files go once the driver has collected the plans that named them: Python's references first, then the JVM's."""
+        for _ in range(2):
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(0.3)
 
 
 def width(spark: SparkSession) -> int:
