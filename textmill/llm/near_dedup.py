@@ -12,11 +12,12 @@ shingles, sum of minima over sum of maxima, is `threshold` or more.
    less than `threshold` of its weight therefore has no link, and goes no further. This is exact.
 3. Of the rest, each gets BANDS * ROWS consistent weighted samples (Ioffe 2010): a pair of similarity s
    agrees in a sample with probability s, and in one band at least with 1 - (1 - s ** ROWS) ** BANDS, 0.99999 at 0.8.
-4. Equal texts are one text from here on. Texts that share a band are candidates: all pairs in a band of
-   SMALL texts or fewer; in a larger one each text with the band's centre, and once more all pairs, or
-   each with the centre, in the parts of it that agree in further samples. So a band of any size makes candidates in proportion to its
-   texts, and what one band's centre leaves out, other bands with other centres take in.
-5. Every candidate is verified with the exact weights, in groups of VERIFY texts per centre.
+4. Equal texts are one text from here on. Texts that share a band are candidates, all pairs of them: in a band of SMALL
+   texts or fewer by a join. The texts of larger (crowded) bands lie in blocks of about BLOCK texts, each in one block of the largest
+   crowded band it is in; two blocks that meet in a crowded band are compared text against text, for all pairs that share such
+   a band and no small one, so a pair is seen once. The work on a crowded band grows with the square of its distinct texts; rows do not:
+   of the links of two blocks only a spanning forest is returned.
+5. Every candidate is verified with the exact weights.
 6. Connected components of the links are the classes.
 
 Words are unchanged; a text without words (null, empty, blank) is a class of its own. A row without doc_id
@@ -34,11 +35,13 @@ from pyspark.sql import functions as F
 
 from textmill.llm import _chunks as C
 from textmill.llm._stage import Stage
-from textmill.llm._text import Words, inside, mix, pack, slices, texts, unpack, unpack_sorted, whole, windows
+from textmill.llm._text import Words, inside, member, mix, pack, ranges, slices, texts, unpack, unpack_sorted, whole, windows
 from textmill.llm.components import components
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS, SMALL, VERIFY = 16, 3, 8, 256
+#: Texts of a block, about.
+BLOCK = 1024
 
 
 def shingles(w: Words, wh: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -159,7 +162,7 @@ def _sign(n_docs: int, size: int, threshold: float, bands: int, rows: int):
             first = np.r_[np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]), len(doc)]
             w32 = weight.astype(np.float32)
             s = [samples(h, w32, first, k) for k in range(bands * rows)]
-            key = np.stack([windows_key(s[i * rows : i * rows + rows], i) for i in range(bands)] + [mix(s[i], 50 + i) for i in range(4)], 1)
+            key = np.stack([windows_key(s[i * rows : i * rows + rows], i) for i in range(bands)], 1)
             same = np.stack([whole(wh, w.first, 21)[go], whole(mix(wh, 5), w.first, 22)[go]], 1)
             out[0] += ids.slice(a, b - a).take(pa.array(go)).to_pylist()
             out[1] += [x.tobytes() for x in same]
@@ -181,28 +184,133 @@ def windows_key(s: list[np.ndarray], band: int) -> np.ndarray:
     return key
 
 
-def _pairs_in(bands: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
-    """Candidates (a, b) of (band, key, text_id, more): all pairs of small bands; and the larger ones, each text with the centre."""
-    # the centre is another text in each band, as the least of a hash
-    rank = F.xxhash64("text_id", "band")
-    groups = bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(rank.alias("rank"), "text_id"))["text_id"].alias("centre")).where("n > 1")
-    full = bands.join(groups, ["band", "key"])
-    few, many = full.where(F.col("n") <= small), full.where(F.col("n") > small)
+def grouped(signed: DataFrame) -> DataFrame:
+    """(band, key, text_id, n) of the bands that n > 1 texts share."""
+    bands = signed.select("text_id", F.posexplode("bands").alias("band", "key"))
+    return bands.join(bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), ["band", "key"])
+
+
+def candidates(groups: DataFrame, small: int = SMALL) -> DataFrame:
+    """Distinct pairs (a, b) of text_ids that share a band of `small` texts or fewer."""
+    few = groups.where(F.col("n") <= small)
     left = few.select("band", "key", F.col("text_id").alias("a"))
     right = few.select("band", "key", F.col("text_id").alias("b"))
-    return left.join(right, ["band", "key"]).where("a < b").select("a", "b"), many
+    return left.join(right, ["band", "key"]).where("a < b").select("a", "b").distinct()
+
+
+def blocks(groups: DataFrame, stage: Stage, small: int = SMALL, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """Texts of crowded bands (text_id, block, crowded: a bit per band), and pairs (p, q) of blocks, p <= q, that share a crowded band."""
+    many = groups.where(F.col("n") > small)
+    home = F.max(F.struct("n", F.xxhash64("band", "key").alias("home")))["home"].alias("home")
+    homes = stage.save(many.groupBy("text_id").agg(home, F.sum(F.expr("shiftleft(1L, band)")).alias("crowded")), "homes")
+    parts = homes.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / block).alias("parts"))
+    placed = homes.join(parts, "home").select("text_id", F.xxhash64("home", F.pmod(F.xxhash64("text_id"), F.col("parts"))).alias("block"), "crowded")
+    placed = stage.save(placed, "placed")
+    there = stage.save(many.join(placed, "text_id").select("band", "key", "block").distinct(), "there")
+    p, q = there.withColumnRenamed("block", "p"), there.withColumnRenamed("block", "q")
+    return placed, p.join(q, ["band", "key"]).where("p <= q").select("p", "q").distinct()
+
+
+def common(left: list[tuple[np.ndarray, np.ndarray]], right: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Sums of minima of all pairs of two lists of (shingles, weights)."""
+
+    def flat(side):
+        return np.repeat(np.arange(len(side)), [len(h) for h, _ in side]), np.concatenate([h for h, _ in side]), np.concatenate([w for _, w in side])
+
+    (i, h, w), (j, g, v) = flat(left), flat(right)
+    both = np.intersect1d(h, g)
+    m, n = member(both, h), member(both, g)
+    i, h, w, j, g, v = i[m], np.searchsorted(both, h[m]), w[m], j[n], np.searchsorted(both, g[n]), v[n]
+    # a shingle's weights as steps: what two texts have in common is the sum of the steps that both reach
+    steps = np.unique(np.stack([np.r_[h, g].astype(np.float64), np.r_[w, v]], 1), axis=0)
+    of, height = steps[:, 0].astype(np.int64), steps[:, 1]
+    rise = height - np.where(np.r_[True, of[1:] != of[:-1]], 0, np.r_[0, height[:-1]])
+    begin = np.searchsorted(of, np.arange(len(both)))
+    key = of + 0.5 * height / (height.max() if len(height) else 1)
+
+    def reached(x, h, w):
+        up = np.searchsorted(key, h + 0.5 * w / (height.max() if len(height) else 1)) - begin[h] + 1
+        return np.repeat(x, up), ranges(begin[h], up)
+
+    (i, h), (j, g) = reached(i, h, w), reached(j, g, v)
+    out = np.zeros((len(left), len(right)))
+    n_h, n_g = np.bincount(h, minlength=len(of)), np.bincount(g, minlength=len(of))
+    # steps that few pairs reach: pair by pair; the others: as a product of matrices
+    rare = n_h * n_g * 64 <= out.size
+    order = np.argsort(g, kind="stable")
+    start = np.cumsum(n_g) - n_g
+    m = np.flatnonzero(rare[h])
+    for m in np.array_split(m, 1 + int(n_g[h[m]].sum()) // 4_000_000):
+        k = n_g[h[m]]
+        at = np.repeat(i[m], k) * len(right) + j[order[ranges(start[h[m]], k)]]
+        out += np.bincount(at, np.repeat(rise[h[m]], k), out.size).reshape(out.shape)
+    often = np.flatnonzero(~rare)
+    place = np.full(len(of), -1)
+    for a in range(0, len(often), 2048):
+        now = often[a : a + 2048]
+        place[:] = -1
+        place[now] = np.arange(len(now))
+        x, y = np.zeros((len(left), len(now))), np.zeros((len(right), len(now)))
+        m, n = place[h] >= 0, place[g] >= 0
+        x[i[m], place[h[m]]] = rise[h[m]]
+        y[j[n], place[g[n]]] = 1
+        out += x @ y.T
+    return out
+
+
+def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Numbers of links (a, b) between nodes under n that connect what all of them connect, without cycles."""
+    root, taken = np.arange(n), []
+    live = np.arange(len(a))
+    while len(live):
+        x, y = root[a[live]], root[b[live]]
+        live, x, y = live[x != y], x[x != y], y[x != y]
+        # each part takes one link to a part with a lesser number, if it has one
+        hi, lo = np.maximum(x, y), np.minimum(x, y)
+        part, first = np.unique(hi, return_index=True)
+        taken.append(live[first])
+        root[part] = lo[first]
+        while (root[root] != root).any():
+            root = root[root]
+    return np.concatenate(taken) if taken else live
+
+
+def _compare(threshold: float):
+    def run(group: pa.Table) -> pa.Table:
+        right = group.column("right").to_numpy()
+        own = not right.any()
+        sides = []
+        for t in (group.filter(pa.array(~right)), group.filter(pa.array(right if not own else ~right))):
+            v = [(unpack(h, np.uint64), unpack(w, np.float32).astype(np.float64)) for h, w in zip(t.column("shingles").to_pylist(), t.column("weights").to_pylist())]
+            sides.append((t.column("text_id").to_numpy(), t.column("total").to_numpy(), np.array(t.column("bands").to_pylist()), t.column("crowded").to_numpy(), v))
+        (a, total_a, bands_a, crowded, va), (b, total_b, bands_b, _, vb) = sides
+        found = ([], [], [])
+        if len(a) and len(b):
+            hot, few = np.zeros((len(a), len(b)), bool), np.zeros((len(a), len(b)), bool)
+            for k in range(bands_a.shape[1]):
+                same, many = bands_a[:, k, None] == bands_b[None, :, k], (crowded >> k & 1).astype(bool)[:, None]
+                hot |= same & many
+                few |= same & ~many
+            hot &= ~few
+            if own:
+                hot &= a[:, None] < b[None, :]
+            if hot.any():
+                low = common(va, vb)
+                s = low / (total_a[:, None] + total_b[None, :] - low)
+                x, y = np.nonzero(hot & (s >= threshold - 1e-6))
+                go = forest(x, y if own else y + len(a), len(a) if own else len(a) + len(b))
+                found = a[x[go]], b[y[go]], s[x[go], y[go]]
+        return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64()), "similarity": pa.array(found[2], pa.float64())})
 
+    return run
 
-def candidates(signed: DataFrame, small: int = SMALL, n_bands: int = BANDS) -> DataFrame:
-    """Distinct pairs (a, b) of text_ids of signed (text_id, bands); b is the centre in large bands."""
-    bands = signed.select("text_id", F.posexplode(F.slice("bands", 1, n_bands)).alias("band", "key"), F.slice("bands", n_bands + 1, 4).alias("more"))
-    pairs, many = _pairs_in(bands, small)
-    star = many.where(F.col("text_id") != F.col("centre")).select(F.col("text_id").alias("a"), F.col("centre").alias("b"))
-    finer = many.select("band", F.xxhash64("key", F.element_at("more", F.col("band") % 4 + 1)).alias("key"), "text_id", "more")
-    pairs2, many2 = _pairs_in(finer, small)
-    star2 = many2.where(F.col("text_id") != F.col("centre")).select(F.col("text_id").alias("a"), F.col("centre").alias("b"))
-    found = pairs.unionByName(star).unionByName(pairs2).unionByName(star2)
-    return found.groupBy(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).agg(F.first("b").alias("b")).select(F.when(F.col("b") == F.col("hi"), F.col("lo")).otherwise(F.col("hi")).alias("a"), "b")
+
+def compared(placed: DataFrame, meet: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b, similarity) that connect all linked texts of the blocks that meet."""
+    texts_ = placed.join(signed, "text_id").select("block", "text_id", "total", "bands", "crowded", "shingles", "weights")
+    left = meet.join(texts_, F.col("p") == F.col("block")).withColumn("right", F.lit(False))
+    right = meet.where("p < q").join(texts_, F.col("q") == F.col("block")).withColumn("right", F.lit(True))
+    return left.unionByName(right).drop("block").groupBy("p", "q").applyInArrow(_compare(threshold), "a long, b long, similarity double")
 
 
 def _verify(threshold: float):
@@ -239,6 +347,15 @@ def verified(pairs: DataFrame, signed: DataFrame, threshold: float) -> DataFrame
     return members.unionByName(centres).groupBy("b", "part").applyInArrow(_verify(threshold), "a long, b long, similarity double")
 
 
+def links_of(texts_: DataFrame, stage: Stage, threshold: float, small: int = SMALL, block: int = BLOCK) -> DataFrame:
+    """Links (a, b, similarity) of texts (text_id, total, bands, shingles, weights)."""
+    groups = stage.save(grouped(texts_), "groups")
+    pairs = stage.save(candidates(groups, small), "pairs")
+    few = stage.save(verified(pairs, texts_, threshold), "few")
+    placed, meet = blocks(groups, stage, small, block)
+    return few.unionByName(stage.save(compared(placed, stage.save(meet, "meet"), texts_, threshold), "many"))
+
+
 def linked(docs: DataFrame, stage: Stage, threshold: float = THRESHOLD, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, chunk_bytes: int = C.CHUNK) -> tuple[DataFrame, DataFrame]:
     """Members (doc_id, text_id) of texts that have a partner or a copy or might; links (a, b, similarity) between texts."""
     n_docs, n_bytes = C.measure(docs)
@@ -251,9 +368,8 @@ def linked(docs: DataFrame, stage: Stage, threshold: float = THRESHOLD, size: in
     reps = signed.groupBy("same").agg(F.min("doc_id").alias("text_id"))
     members = stage.save(signed.select("doc_id", "same").distinct().join(reps, "same").select("doc_id", "text_id"), "members")
     texts_ = stage.save(signed.join(reps.select(F.col("text_id").alias("doc_id"), F.col("same").alias("its")), "doc_id").where(F.col("same") == F.col("its")).withColumnRenamed("doc_id", "text_id").drop("its", "same").dropDuplicates(["text_id"]), "texts")
-    pairs = stage.save(candidates(texts_, SMALL, bands), "pairs")
-    links = stage.save(verified(pairs, texts_, threshold), "links")
-    stage.drop("signed", "texts", "pairs")
+    links = links_of(texts_, stage, threshold)
+    stage.drop("signed", "texts", "groups", "pairs", "homes", "placed", "there", "meet")
     return members, links
 
 
