@@ -23,7 +23,7 @@ def crowd_frame(spark, vectors):
     rows = []
     for i, v in enumerate(vectors):
         h = np.array(sorted(v), np.uint64)
-        rows.append((i, sum(v.values()), [7] + [100 * k + i for k in range(15)], bytearray(pack(h)), bytearray(pack(np.array([v[int(x)] for x in h], np.float32)))))
+        rows.append((i, sum(v.values()), [7] + [1000 * k + max(i, 1) for k in range(15)], bytearray(pack(h)), bytearray(pack(np.array([v[int(x)] for x in h], np.float32)))))
     return spark.createDataFrame(rows, "text_id long, total double, bands array<long>, shingles binary, weights binary")
 
 
@@ -43,10 +43,24 @@ def test_pairs_of_crowded_bands(spark):
     assert want == {(i, i + 1) for i in range(0, 40, 2)}
     texts = crowd_frame(spark, vectors)
     for block in (7, 1024):
-        got = near_dedup.links_of(texts, Stage(spark, "t"), 0.8, block=block).collect()
+        got = near_dedup.links_of(texts, Stage(spark, "t"), 0.8, block=block)[0].collect()
         assert sorted(tuple(sorted((r.a, r.b))) for r in got) == sorted(want)
 
 
+def test_every_link_of_a_group_is_counted(spark):
+    """A group of near copies in a crowded band, and a pair that meets in it and in a small one."""
+    rng = random.Random(1)
+    base, vectors = [rng.randrange(1 << 63) for _ in range(200)], crowd(3)
+    for i in range(60):
+        vectors.append({h: 1.5 for h in base[: 170 + i % 31] + [rng.randrange(1 << 63) for _ in range(i % 9)]})
+    want = collections.Counter(i for link in brute_links(vectors, 0.8) for i in link)
+    assert max(want.values()) > 50
+    for block in (7, 1024):
+        links, n_links = near_dedup.links_of(crowd_frame(spark, vectors), Stage(spark, "t"), 0.8, block=block)
+        assert {r.text_id: r.n_links for r in n_links.collect()} == want
+        assert len({r.a for r in links.collect()} | {r.b for r in links.collect()}) == len(want)
+
+
 def test_common_weights_and_forest():
     rng = np.random.default_rng(0)
     for n, m, most in ((3, 4, 10), (40, 30, 60), (1, 1, 1)):

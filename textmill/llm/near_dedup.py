@@ -16,7 +16,7 @@ shingles, sum of minima over sum of maxima, is `threshold` or more.
    texts or fewer by a join. The texts of larger (crowded) bands lie in blocks of about BLOCK texts, each in one block of the largest
    crowded band it is in; two blocks that meet in a crowded band are compared text against text, for all pairs that share such
    a band and no small one, so a pair is seen once. The work on a crowded band grows with the square of its distinct texts; rows do not:
-   of the links of two blocks only a spanning forest is returned.
+   of the links of two blocks only a spanning forest is returned, and how many links each text has. n_links counts them all.
 5. Every candidate is verified with the exact weights.
 6. Connected components of the links are the classes.
 
@@ -284,7 +284,7 @@ def _compare(threshold: float):
             v = [(unpack(h, np.uint64), unpack(w, np.float32).astype(np.float64)) for h, w in zip(t.column("shingles").to_pylist(), t.column("weights").to_pylist())]
             sides.append((t.column("text_id").to_numpy(), t.column("total").to_numpy(), np.array(t.column("bands").to_pylist()), t.column("crowded").to_numpy(), v))
         (a, total_a, bands_a, crowded, va), (b, total_b, bands_b, _, vb) = sides
-        found = ([], [], [])
+        found, ids, n = ([], [], []), [], []
         if len(a) and len(b):
             hot, few = np.zeros((len(a), len(b)), bool), np.zeros((len(a), len(b)), bool)
             for k in range(bands_a.shape[1]):
@@ -300,17 +300,21 @@ def _compare(threshold: float):
                 x, y = np.nonzero(hot & (s >= threshold - 1e-6))
                 go = forest(x, y if own else y + len(a), len(a) if own else len(a) + len(b))
                 found = a[x[go]], b[y[go]], s[x[go], y[go]]
-        return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64()), "similarity": pa.array(found[2], pa.float64())})
+                ids, n = np.r_[a, b], np.r_[np.bincount(x, minlength=len(a)), np.bincount(y, minlength=len(b))]
+                ids, n = ids[n > 0], n[n > 0]
+        column = lambda links, counts, kind: pa.concat_arrays([pa.array(links, kind), pa.array(counts, kind)])
+        none = [None] * len(ids)
+        return pa.table({"a": column(found[0], ids, pa.int64()), "b": column(found[1], none, pa.int64()), "similarity": column(found[2], none, pa.float64()), "n": column([None] * len(found[0]), n, pa.int64())})
 
     return run
 
 
 def compared(placed: DataFrame, meet: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b, similarity) that connect all linked texts of the blocks that meet."""
+    """Rows (a, b, similarity, n): links that connect all linked texts of the blocks that meet; and, without b, the numbers n of links of texts a."""
     texts_ = placed.join(signed, "text_id").select("block", "text_id", "total", "bands", "crowded", "shingles", "weights")
     left = meet.join(texts_, F.col("p") == F.col("block")).withColumn("right", F.lit(False))
     right = meet.where("p < q").join(texts_, F.col("q") == F.col("block")).withColumn("right", F.lit(True))
-    return left.unionByName(right).drop("block").groupBy("p", "q").applyInArrow(_compare(threshold), "a long, b long, similarity double")
+    return left.unionByName(right).drop("block").groupBy("p", "q").applyInArrow(_compare(threshold), "a long, b long, similarity double, n long")
 
 
 def _verify(threshold: float):
@@ -347,17 +351,22 @@ def verified(pairs: DataFrame, signed: DataFrame, threshold: float) -> DataFrame
     return members.unionByName(centres).groupBy("b", "part").applyInArrow(_verify(threshold), "a long, b long, similarity double")
 
 
-def links_of(texts_: DataFrame, stage: Stage, threshold: float, small: int = SMALL, block: int = BLOCK) -> DataFrame:
-    """Links (a, b, similarity) of texts (text_id, total, bands, shingles, weights)."""
+def links_of(texts_: DataFrame, stage: Stage, threshold: float, small: int = SMALL, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """Of texts (text_id, total, bands, shingles, weights): links (a, b, similarity), those of crowded bands only as far as they
+    connect what is not connected by others of the same two blocks; and for each text with links the number n of all (text_id, n)."""
     groups = stage.save(grouped(texts_), "groups")
     pairs = stage.save(candidates(groups, small), "pairs")
     few = stage.save(verified(pairs, texts_, threshold), "few")
     placed, meet = blocks(groups, stage, small, block)
-    return few.unionByName(stage.save(compared(placed, stage.save(meet, "meet"), texts_, threshold), "many"))
+    many = stage.save(compared(placed, stage.save(meet, "meet"), texts_, threshold), "many")
+    ends = [few.select(F.col(c).alias("text_id"), F.lit(1).cast("long").alias("n")) for c in ("a", "b")]
+    counted = many.where("b IS NULL").select(F.col("a").alias("text_id"), "n")
+    n_links = ends[0].unionByName(ends[1]).unionByName(counted).groupBy("text_id").agg(F.sum("n").alias("n_links"))
+    return few.unionByName(many.where("b IS NOT NULL").drop("n")), n_links
 
 
-def linked(docs: DataFrame, stage: Stage, threshold: float = THRESHOLD, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, chunk_bytes: int = C.CHUNK) -> tuple[DataFrame, DataFrame]:
-    """Members (doc_id, text_id) of texts that have a partner or a copy or might; links (a, b, similarity) between texts."""
+def linked(docs: DataFrame, stage: Stage, threshold: float = THRESHOLD, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, chunk_bytes: int = C.CHUNK) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Members (doc_id, text_id) of texts that have a partner or a copy or might; links between texts, and their numbers, as links_of() gives them."""
     n_docs, n_bytes = C.measure(docs)
     table, n = C.chunked(stage, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), n_bytes, chunk_bytes)
     sent = table.select("chunk", "text").mapInArrow(_send(C.buckets(n, docs.sparkSession), size), C.SENT)
@@ -368,19 +377,18 @@ def linked(docs: DataFrame, stage: Stage, threshold: float = THRESHOLD, size: in
     reps = signed.groupBy("same").agg(F.min("doc_id").alias("text_id"))
     members = stage.save(signed.select("doc_id", "same").distinct().join(reps, "same").select("doc_id", "text_id"), "members")
     texts_ = stage.save(signed.join(reps.select(F.col("text_id").alias("doc_id"), F.col("same").alias("its")), "doc_id").where(F.col("same") == F.col("its")).withColumnRenamed("doc_id", "text_id").drop("its", "same").dropDuplicates(["text_id"]), "texts")
-    links = links_of(texts_, stage, threshold)
+    links, n_links = links_of(texts_, stage, threshold)
     stage.drop("signed", "texts", "groups", "pairs", "homes", "placed", "there", "meet")
-    return members, links
+    return members, links, n_links
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, chunk_bytes: int = C.CHUNK) -> DataFrame:
     """Per row of (doc_id, text): doc_id, text_id (least doc_id of the same text), class_id (least text_id that
-    is linked to it, in any number of steps), n_links (other texts that its text is linked to)."""
+    is linked to it, in any number of steps), n_links (all other texts that its text is linked to)."""
     stage = Stage(docs.sparkSession, "near")
-    members, links = linked(docs, stage, threshold, chunk_bytes=chunk_bytes)
+    members, links, n_links = linked(docs, stage, threshold, chunk_bytes=chunk_bytes)
     parts = components(links, stage)
-    ends = links.select(F.col("a").alias("text_id")).unionByName(links.select(F.col("b").alias("text_id")))
-    known = members.join(parts, F.col("text_id") == F.col("node"), "left").drop("node").join(ends.groupBy("text_id").agg(F.count(F.lit(1)).alias("n_links")), "text_id", "left")
+    known = members.join(parts, F.col("text_id") == F.col("node"), "left").drop("node").join(n_links, "text_id", "left")
     known = known.groupBy("doc_id").agg(F.min("text_id").alias("text_id"), F.min(F.coalesce("class_id", "text_id")).alias("class_id"), F.max(F.coalesce("n_links", F.lit(0))).alias("n_links"))
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(known, "doc_id", "left")
     return out.select("doc_id", F.coalesce("text_id", "doc_id").alias("text_id"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
@@ -389,7 +397,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, chunk_bytes: int = C.
 def dedup(docs: DataFrame, threshold: float = THRESHOLD, chunk_bytes: int = C.CHUNK) -> DataFrame:
     """The documents, of each class only that with the least doc_id, with all their columns."""
     stage = Stage(docs.sparkSession, "near")
-    members, links = linked(docs, stage, threshold, chunk_bytes=chunk_bytes)
+    members, links, _ = linked(docs, stage, threshold, chunk_bytes=chunk_bytes)
     parts = components(links, stage)
     gone = members.join(parts, F.col("text_id") == F.col("node"), "left").where(F.col("doc_id") > F.coalesce("class_id", "text_id")).select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
