@@ -9,7 +9,10 @@ Reader: an archive is one row of Spark's binary source (2 GiB at most; the write
 ARCHIVE bytes) and may mix gzip members and plain records. Each record is checked: member CRC, version line,
 headers, Content-Length, the two line ends after the block, payload digest. After a failed check the
 reader searches for the next gzip member that opens, or the next version line, that begins a record
-which passes; it goes on there, and the bytes in between are returned as a gap, with the reason.
+which passes; it goes on there, and the bytes in between are returned as a gap, with the reason. A member is
+searched in the same way for version lines in what it decompresses to, as far as it does; a gap in a member
+has the member's offset and length, and its place in the decompressed bytes in the reason. What follows
+a member's damage, up to the next member or record of the archive that passes, counts to its length.
 
 Nulls and so on: a null payload is empty, and empty payloads are equal; null page_ids sort after all
 others when the least is sought, and a group without any page_id, and each of several rows that share the least, is
@@ -128,54 +131,99 @@ def payload_of(block: bytes) -> bytes:
     return block[i + 4 :] if i >= 0 else b""
 
 
-def _member(raw: bytes, at: int) -> tuple[list[tuple[dict, bytes]], int]:
-    """Records and end of the gzip member at a place."""
-    z = zlib.decompressobj(31)
-    try:
-        plain = z.decompress(memoryview(raw)[at:]) + z.flush()
-    except zlib.error as e:
-        raise Bad(f"gzip: {e}") from None
-    if not z.eof:
-        raise Bad("gzip: member without end")
-    found, i = [], 0
-    while i < len(plain):
-        head, block, i = parse(plain, i)
-        found.append((head, block))
-    return found, len(raw) - len(z.unused_data)
+#: Compressed bytes that are decompressed at once.
+_STEP = 1 << 16
 
 
-def salvage(raw: bytes) -> Iterator[tuple[int, int, dict | None, bytes, str | None]]:
-    """(offset, length, headers, block, None) of each record and (offset, length, None, b"", reason) of each gap, in order."""
+def _inflate(raw: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """What the gzip member at a place decompresses to before its end or first error; where that is; the error."""
+    z, out, i = zlib.decompressobj(31), [], at
+    while not z.eof and i < len(raw):
+        before, step = z.copy(), raw[i : i + _STEP]
+        try:
+            out.append(z.decompress(step))
+        except zlib.error as e:
+            # the step again byte by byte: what comes before the error counts
+            for k in range(len(step)):
+                try:
+                    out.append(before.decompress(step[k : k + 1]))
+                except zlib.error:
+                    return b"".join(out), i + k, f"gzip: {e}"
+        i += len(step)
+    return b"".join(out), i - len(z.unused_data), None if z.eof else "gzip: member without end"
+
+
+def _plain(raw: bytes) -> Iterator[tuple[int, int, dict | None, bytes, str | None]]:
+    """salvage() of bytes that hold plain records only."""
     at = 0
     while at < len(raw):
         try:
-            found, end = _next(raw, at)
+            head, block, end = parse(raw, at)
+            yield at, end - at, head, block, None
+            at = end
         except Bad as e:
-            reason, go = str(e), at + 1
-            while True:
-                m = _MEMBER.search(raw, go)
-                if not m:
-                    yield at, len(raw) - at, None, b"", reason
-                    return
+            go = at + 1
+            while m := _VERSION.search(raw, go):
+                go = m.start()
                 try:
-                    found, end = _next(raw, m.start())
-                    if found:
-                        break
+                    parse(raw, go)
+                    break
                 except Bad:
-                    pass
-                go = m.start() + 1
-            yield at, m.start() - at, None, b"", reason
-            at = m.start()
-        for head, block in found:
-            yield at, end - at, head, block, None
+                    go += 1
+            else:
+                go = len(raw)
+            yield at, go - at, None, b"", str(e)
+            at = go
+
+
+def _member(raw: bytes, at: int) -> tuple[list[tuple[dict | None, bytes, str | None]], int | None]:
+    """Records and gaps of the gzip member at a place, in order; its end, None if it is damaged."""
+    plain, end, error = _inflate(raw, at)
+    found = [(head, block, reason and f"{reason}, at {a} to {a + n} of the member") for a, n, head, block, reason in _plain(plain)]
+    if not any(head for head, _, _ in found) and (error or found):
+        raise Bad(error or found[0][2].rsplit(", at ", 1)[0])
+    if error and not found[-1][2]:
+        found.append((None, b"", f"{error}, at {len(plain)} of the member"))
+    return found, None if error else end
+
+
+def salvage(raw: bytes) -> Iterator[tuple[int, int, dict | None, bytes, str | None]]:
+    """(offset, length, headers, block, None) of each record and (offset, length, None, b"", reason) of each gap, in order."""
+    at, ready = 0, None
+    while at < len(raw):
+        failed = None
+        try:
+            found, end = ready or _next(raw, at)
+        except Bad as e:
+            found, end, failed = [], None, str(e)
+        ready = None
+        if end is None:
+            end, *ready = _after(raw, at + 1)
+        if failed:
+            yield at, end - at, None, b"", failed
+        for head, block, reason in found:
+            yield at, end - at, head, block, reason
         at = end
 
 
-def _next(raw: bytes, at: int) -> tuple[list[tuple[dict, bytes]], int]:
+def _after(raw: bytes, go: int) -> tuple[int, list, int | None]:
+    """Where the next member or record that passes begins, what it holds and where it ends."""
+    while m := _MEMBER.search(raw, go):
+        try:
+            found, end = _next(raw, m.start())
+            if found:
+                return m.start(), found, end
+        except Bad:
+            pass
+        go = m.start() + 1
+    return len(raw), [], len(raw)
+
+
+def _next(raw: bytes, at: int) -> tuple[list[tuple[dict | None, bytes, str | None]], int | None]:
     if raw[at : at + 2] == b"\x1f\x8b":
         return _member(raw, at)
     head, block, end = parse(raw, at)
-    return [(head, block)], end
+    return [(head, block, None)], end
 
 
 READ = "file string, offset long, length long, reason string, type string, record_id string, uri string, refers_to string, payload_bytes long, payload_digest string"
