@@ -1,7 +1,8 @@
 """License scans by sentence rules.
 
-A sentence ends at a line end, or at . ! ? before white space, but for a single letter's full stop; a
-text is also read with its single line ends as spaces, for notices that are wrapped. A sentence is normalised to its words in
+A sentence ends at a line end, or at . ! ? before white space, but for a single letter's full stop, and
+after the mark of a list (1. or a. or 2) or (3), at the begin of a line); a
+text is also read with its single line ends as spaces, for notices that are wrapped; a line whose words all vanish is blank there. A sentence is normalised to its words in
 lower case without any ASCII character but letters and digits; words that vanish (comment marks, bullets) are
 skipped. Known sentences have an identifier, found by the hash of the normalised sentence and
 confirmed on the words themselves. The identifiers of a text, in order, are then matched against RULES, in
@@ -100,8 +101,20 @@ class Sentences:
         some = b > a
         closes = _STOPS[data[w.end - 1]] & (b - a != 1)
         newline = np.r_[0, np.cumsum(data == 10)]
-        between = np.r_[newline[w.start[1:]] - newline[w.end[:-1]], 0]
+        # line ends since the word before that does not vanish
+        last = np.maximum.accumulate(np.where(some, np.arange(w.n), -1))[:-1]
+        between = np.r_[newline[w.start[1:]] - np.where(last >= 0, newline[w.end[last]], 0), 0]
         closes |= between >= (1 if lines else 2)
+        # a list's mark, the first word of a line that does not vanish, is a sentence of its own
+        before = np.r_[1, between[:-1]] > 0
+        begins = before & some
+        begins[w.first[:-1][np.diff(w.first) > 0]] |= some[w.first[:-1][np.diff(w.first) > 0]]
+        head = data[w.start + (data[w.start] == ord("(")) * (w.end - w.start > 1)]
+        digit = (head >= 48) & (head <= 57)
+        tail = data[w.end - 1]
+        mark = begins & (w.end - w.start - (b - a) == 1 + (data[w.start] == ord("("))) & ((tail == ord(".")) | (tail == ord(")"))) & ((b - a == 1) | (digit & (b - a == 2)))
+        closes |= mark
+        closes[:-1] |= mark[1:]
         closes[w.first[1:][np.diff(w.first) > 0] - 1] = True
         ends = np.flatnonzero(closes)
         first = np.r_[0, ends[:-1] + 1]
