@@ -18,8 +18,12 @@ from pyspark.sql import functions as F
 from textmill.llm._stage import Stage, width
 
 CHUNK = 12 << 20
-#: Buckets at most; the number of a bucket times 2 ** 48 has to fit in 64 bits.
-MOST_BUCKETS = 1 << 15
+#: Up to so many bytes of text, a chunk has CHUNK; beyond, chunks grow with the square root, so that the rows between
+#: chunks and buckets, number times number, grow as the text does: 120 MB a chunk, 20 million hashes a bucket at 100 TB.
+LEVEL = 1 << 40
+#: Buckets at most; the number of a bucket times 2 ** _HIGH has to fit in 64 bits.
+_HIGH = 42
+MOST_BUCKETS = 1 << (64 - _HIGH)
 
 
 def measure(docs: DataFrame) -> tuple[int, int]:
@@ -29,8 +33,8 @@ def measure(docs: DataFrame) -> tuple[int, int]:
 
 
 def chunked(stage: Stage, docs: DataFrame, size: int, chunk_bytes: int = CHUNK) -> tuple[DataFrame, int]:
-    """A written table of the columns of docs and `chunk`; how many chunks there are. doc_id decides the chunk."""
-    n = max(1, -(-size // chunk_bytes))
+    """A written table of the columns of docs and `chunk`; how many chunks there are. doc_id decides the chunk; chunks are even in rows."""
+    n = max(1, -(-size // chunk_size(size, chunk_bytes)))
     df = docs.repartitionByRange(n, F.col("doc_id").asc_nulls_first()) if n > 1 else docs.coalesce(1)
     table = stage.save(df.withColumn("chunk", F.spark_partition_id()), "chunks")
     del df
@@ -38,8 +42,21 @@ def chunked(stage: Stage, docs: DataFrame, size: int, chunk_bytes: int = CHUNK)
     return table, n
 
 
+def chunk_size(size: int, chunk_bytes: int = CHUNK) -> int:
+    return chunk_bytes if size <= LEVEL else int(chunk_bytes * (size / LEVEL) ** 0.5)
+
+
 def buckets(n_chunks: int, spark: SparkSession) -> int:
-    return min(MOST_BUCKETS, max(n_chunks, width(spark)))
+    n = max(n_chunks, width(spark))
+    if n > MOST_BUCKETS:  # some petabytes
+        raise ValueError(f"{n} buckets; larger chunks are needed for so much text")
+    return n
+
+
+def cuts(keys: np.ndarray, n_buckets: int, bits: int = 64) -> np.ndarray:
+    """Where each bucket's keys begin among sorted ones of so many bits. The bucket follows from the upper _HIGH bits."""
+    at = ((keys >> np.uint64(bits - _HIGH)) * np.uint64(n_buckets)) >> np.uint64(_HIGH)
+    return np.searchsorted(at, np.arange(n_buckets + 1).astype(np.uint64))
 
 
 def by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
@@ -56,10 +73,9 @@ SENT = "bucket int, chunk int, a binary, b binary"
 
 
 def send(chunk: int, keys: np.ndarray, n_buckets: int, extra: np.ndarray | None = None, bits: int = 64) -> pa.RecordBatch:
-    """One row per bucket of sorted keys. The bucket follows from the upper 48 of the key's `bits`."""
-    high = keys >> np.uint64(bits - 48) if bits > 48 else keys
-    at = np.searchsorted((high * np.uint64(n_buckets)) >> np.uint64(48), np.arange(n_buckets + 1).astype(np.uint64))
-    rows = [i for i in range(n_buckets) if at[i + 1] > at[i]]
+    """One row per bucket of sorted keys."""
+    at = cuts(keys, n_buckets, bits)
+    rows = np.flatnonzero(np.diff(at)).tolist()
     from textmill.llm._text import pack, pack_sorted
 
     return pa.RecordBatch.from_arrays(

@@ -11,14 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; where that is unset (tests), a new local one."""
+    """The folder named in spark.checkpoint.dir. Where that is unset: the checkpoint folder of the session, or on one machine (tests) a new local one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found
-    jsc = spark.sparkContext._jsc.sc()
-    if not jsc.getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='textmill-')}")
-    return jsc.getCheckpointDir().get()
+    context = spark.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='textmill-')}")
+    return context._jsc.sc().getCheckpointDir().get()
 
 
 class Stage:
@@ -27,7 +29,6 @@ class Stage:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.at = spark, f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
     def save(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
         df.write.option("compression", codec).parquet(f"{self.at}/{name}")

@@ -99,9 +99,9 @@ class Words:
         return mix(spans(self.data, self.start, self.end), seed)
 
 
-def spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def spans(data: np.ndarray, start: np.ndarray, end: np.ndarray, base: np.uint64 = _BASE) -> np.ndarray:
     """A 64-bit hash of each data[start:end]."""
-    p, q = powers(_BASE, len(data))
+    p, q = powers(base, len(data))
     h = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * p[: len(data)], out=h[1:])
     return (h[end] - h[start]) * q[start] + (end - start).astype(np.uint64)

@@ -2,9 +2,10 @@
 
 A shingle is SHINGLE consecutive words; a text with fewer words, but one at least, is one shingle.
 Its weight in a document is its count there times its inverse document frequency over all
-documents, normalised to lie between 1 and 1.5: 1 + ln((1 + n) / (1 + df)) / ln(1 + n) / 2. In a large group of near
-copies the common shingles are frequent for that very reason; a wider range would let the few
-that differ outweigh them and break up the group. Two texts are linked if the weighted Jaccard similarity of their
+documents, 1 + ln((1 + n) / (1 + df)). With a `spread` that logarithm is scaled to lie between 0 and the
+spread. In a large group of near copies the common shingles are frequent for that very reason, and under the plain
+logarithm the few that differ can outweigh them and break up the group; the production parameter is therefore
+NARROW, and the README has figures for both. Two texts are linked if the weighted Jaccard similarity of their
 shingles, sum of minima over sum of maxima, is `threshold` or more.
 
 1. Chunks of documents exchange their distinct shingles' document frequencies (see _chunks).
@@ -40,6 +41,9 @@ from textmill.llm.components import components
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS, SMALL, VERIFY = 16, 3, 8, 256
+#: Range of the inverse document frequencies above 1; None: that of the plain logarithm. NARROW is what op2 and the pipeline take.
+SPREAD: float | None = None
+NARROW = 0.5
 #: Texts of a block, about.
 BLOCK = 1024
 
@@ -129,7 +133,13 @@ def samples(h: np.ndarray, weight: np.ndarray, first: np.ndarray, k: int) -> np.
 SIGNED = "doc_id long, same binary, total double, bands array<long>, shingles binary, weights binary"
 
 
-def _sign(n_docs: int, size: int, threshold: float, bands: int, rows: int):
+def idf(df: np.ndarray, n_docs: int, spread: float | None) -> np.ndarray:
+    """Inverse document frequencies: 1 + ln((1 + n) / (1 + df)), or with a spread that logarithm scaled to lie between 0 and the spread."""
+    log = np.log((1 + n_docs) / (1 + df))
+    return 1 + (log if spread is None else spread * log / np.log(1 + n_docs))
+
+
+def _sign(n_docs: int, size: int, threshold: float, bands: int, rows: int, spread: float | None):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         keys = [unpack_sorted(x) for x in answers.column("a").to_pylist()]
         dfs = [unpack(x, np.int64) for x in answers.column("b").to_pylist()]
@@ -148,7 +158,7 @@ def _sign(n_docs: int, size: int, threshold: float, bands: int, rows: int):
             i = np.searchsorted(keys[:-1], h)
             df = np.where(keys[i] == h, dfs[i], 1)
             df[i == len(keys) - 1] = 1
-            weight = tf * (1 + np.log((1 + n_docs) / (1 + df)) / np.log(1 + n_docs) / 2)
+            weight = tf * idf(df, n_docs, spread)
             total, shared = np.bincount(doc, weight, w.n_docs), np.bincount(doc, weight * (df > 1), w.n_docs)
             go = np.flatnonzero((total > 0) & (shared >= threshold * total * (1 - 1e-9)))
             keep = np.zeros(w.n_docs, bool)
@@ -365,14 +375,14 @@ def links_of(texts_: DataFrame, stage: Stage, threshold: float, small: int = SMA
     return few.unionByName(many.where("b IS NOT NULL").drop("n")), n_links
 
 
-def linked(docs: DataFrame, stage: Stage, threshold: float = THRESHOLD, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, chunk_bytes: int = C.CHUNK) -> tuple[DataFrame, DataFrame, DataFrame]:
+def linked(docs: DataFrame, stage: Stage, threshold: float = THRESHOLD, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, chunk_bytes: int = C.CHUNK, spread: float | None = SPREAD) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Members (doc_id, text_id) of texts that have a partner or a copy or might; links between texts, and their numbers, as links_of() gives them."""
     n_docs, n_bytes = C.measure(docs)
     table, n = C.chunked(stage, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), n_bytes, chunk_bytes)
     sent = table.select("chunk", "text").mapInArrow(_send(C.buckets(n, docs.sparkSession), size), C.SENT)
     answers = stage.save(C.exchange(sent, _frequencies), "frequencies")
     stage.release()
-    signed = stage.save(C.with_answers(table, answers, _sign(n_docs, size, threshold, bands, rows), SIGNED).where("doc_id IS NOT NULL"), "signed")
+    signed = stage.save(C.with_answers(table, answers, _sign(n_docs, size, threshold, bands, rows, spread), SIGNED).where("doc_id IS NOT NULL"), "signed")
     stage.drop("chunks", "frequencies")
     reps = signed.groupBy("same").agg(F.min("doc_id").alias("text_id"))
     members = stage.save(signed.select("doc_id", "same").distinct().join(reps, "same").select("doc_id", "text_id"), "members")
@@ -382,11 +392,11 @@ def linked(docs: DataFrame, stage: Stage, threshold: float = THRESHOLD, size: in
     return members, links, n_links
 
 
-def classes(docs: DataFrame, threshold: float = THRESHOLD, chunk_bytes: int = C.CHUNK) -> DataFrame:
+def classes(docs: DataFrame, threshold: float = THRESHOLD, chunk_bytes: int = C.CHUNK, spread: float | None = SPREAD) -> DataFrame:
     """Per row of (doc_id, text): doc_id, text_id (least doc_id of the same text), class_id (least text_id that
-    is linked to it, in any number of steps), n_links (all other texts that its text is linked to)."""
+    is linked to it, in any number of steps), n_links (how many other texts its text is linked to, those of crowded bands counted in full)."""
     stage = Stage(docs.sparkSession, "near")
-    members, links, n_links = linked(docs, stage, threshold, chunk_bytes=chunk_bytes)
+    members, links, n_links = linked(docs, stage, threshold, chunk_bytes=chunk_bytes, spread=spread)
     parts = components(links, stage)
     known = members.join(parts, F.col("text_id") == F.col("node"), "left").drop("node").join(n_links, "text_id", "left")
     known = known.groupBy("doc_id").agg(F.min("text_id").alias("text_id"), F.min(F.coalesce("class_id", "text_id")).alias("class_id"), F.max(F.coalesce("n_links", F.lit(0))).alias("n_links"))
@@ -394,14 +404,14 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, chunk_bytes: int = C.
     return out.select("doc_id", F.coalesce("text_id", "doc_id").alias("text_id"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
-def dedup(docs: DataFrame, threshold: float = THRESHOLD, chunk_bytes: int = C.CHUNK) -> DataFrame:
+def dedup(docs: DataFrame, threshold: float = THRESHOLD, chunk_bytes: int = C.CHUNK, spread: float | None = SPREAD) -> DataFrame:
     """The documents, of each class only that with the least doc_id, with all their columns."""
     stage = Stage(docs.sparkSession, "near")
-    members, links, _ = linked(docs, stage, threshold, chunk_bytes=chunk_bytes)
+    members, links, _ = linked(docs, stage, threshold, chunk_bytes=chunk_bytes, spread=spread)
     parts = components(links, stage)
     gone = members.join(parts, F.col("text_id") == F.col("node"), "left").where(F.col("doc_id") > F.coalesce("class_id", "text_id")).select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
 
 
 def op2_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
-    return classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return classes(spark.read.parquet(f"{sf_dir}/documents.parquet"), spread=NARROW)

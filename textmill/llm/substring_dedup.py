@@ -7,7 +7,8 @@ of `window` words around it, and those that occur earlier, read in order of (doc
 up the maximal exact repeats: runs of such windows, with all the words they cover.
 
 Hashes go between chunks of documents, never documents or pairs: see _chunks. Index and probes carry
-48 bits, so a false hit can only make more candidates; windows are compared by 80 bits of two hashes.
+48 bits, so a false hit can only make more candidates; windows are compared by 128 bits, two hashes of
+windows over two independent hashes of words (polynomials of other bases over the bytes).
 
 Nulls, ties and so on: a null or empty text has no words, is returned with n_words 0, and removes
 nothing; null doc_ids sort before all others; rows that share a doc_id keep the order that Spark
@@ -26,7 +27,7 @@ from pyspark.sql import types as T
 
 from textmill.llm import _chunks as C
 from textmill.llm._stage import Stage, plain
-from textmill.llm._text import Words, inside, member, mix, ranges, slices, texts, unpack, unpack_sorted, windows
+from textmill.llm._text import Words, inside, member, mix, ranges, slices, spans, texts, unpack, unpack_sorted, windows
 
 BLOCK = 10
 WINDOW = 20
@@ -87,8 +88,12 @@ def _reply_sorted(chunk, keys, keep, extra=None) -> pa.Table:
     return C.reply(out)
 
 
-def _tail(words: Words, wh: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    return (windows(mix(wh, 7), size, 3)[at] >> np.uint64(48)).astype(np.uint16)
+_OTHER = np.uint64(0xA0761D6478BD642F)
+
+
+def _tail(words: Words, at: np.ndarray, size: int) -> np.ndarray:
+    """A second hash of windows, from word hashes of its own."""
+    return windows(mix(spans(words.data, words.start, words.end, _OTHER), 7), size, 3)[at]
 
 
 def _send_windows(n_buckets: int, size: int):
@@ -110,9 +115,9 @@ def _send_windows(n_buckets: int, size: int):
             at = at[hit[at + size - BLOCK + 1] > hit[at]]  # a window with a hit inside
             if len(at):
                 keys.append(windows(wh, size, 1)[at])
-                tails.append(_tail(w, wh, at, size))
+                tails.append(_tail(w, at, size))
         keys = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-        tails = np.concatenate(tails) if tails else np.zeros(0, np.uint16)
+        tails = np.concatenate(tails) if tails else np.zeros(0, np.uint64)
         order = np.lexsort((tails, keys))
         keys, tails = keys[order], tails[order]
         new = np.r_[True, (keys[1:] != keys[:-1]) | (tails[1:] != tails[:-1])] if len(keys) else np.zeros(0, bool)
@@ -125,7 +130,7 @@ def _answer_windows(group: pa.Table) -> pa.Table:
     """For each chunk its windows that an earlier chunk has too."""
     chunk = group.column("chunk").to_pylist()
     keys = [unpack_sorted(x) for x in group.column("a").to_pylist()]
-    tails = [unpack(x, np.uint16) for x in group.column("b").to_pylist()]
+    tails = [unpack(x, np.uint64) for x in group.column("b").to_pylist()]
     k, t = np.concatenate(keys), np.concatenate(tails)
     of = np.repeat(np.array(chunk), [len(x) for x in keys])
     order = np.lexsort((of, t, k))
@@ -162,26 +167,24 @@ def _remove(size: int, with_text: bool):
             return None
         docs = docs.sort_by([("doc_id", "ascending")]) if docs.column("doc_id").null_count == 0 else docs.take(pa.compute.sort_indices(docs, [("doc_id", "ascending")], null_placement="at_start"))
         early = [unpack_sorted(x) for x in answers.column("a").to_pylist()]
-        tails = [unpack(x, np.uint16) for x in answers.column("b").to_pylist()]
+        tails = [unpack(x, np.uint64) for x in answers.column("b").to_pylist()]
         early = np.concatenate(early) if early else np.zeros(0, np.uint64)
-        tails = np.concatenate(tails) if tails else np.zeros(0, np.uint16)
-        early = np.unique(_pair(early, tails))
+        tails = np.concatenate(tails) if tails else np.zeros(0, np.uint64)
         data, off = texts(docs.column("text"))
-        parts, at_all, key_all, base = [], [], [], 0
+        parts, at_all, key_all, tail_all, base = [], [], [], [], 0
         for a, b in slices(off):
             w = Words(data[off[a] : off[b]], off[a : b + 1] - off[a])
             wh = w.hashes()
             at = inside(w.first, size)
             if len(at):
-                key_all.append(_pair(windows(wh, size, 1)[at], _tail(w, wh, at, size)))
+                key_all.append(windows(wh, size, 1)[at])
+                tail_all.append(_tail(w, at, size))
                 at_all.append(at + base)
             parts.append((w, base))
             base += w.n
         keys = np.concatenate(key_all) if key_all else np.zeros(0, np.uint64)
         at = np.concatenate(at_all) if at_all else np.zeros(0, np.int64)
-        again = np.ones(len(keys), bool)
-        again[np.unique(keys, return_index=True)[1]] = False  # the first in this chunk
-        gone = covered(None, at[again | member(early, keys)], size, base)
+        gone = covered(None, at[repeated(keys, np.concatenate(tail_all) if tail_all else keys, early, tails)], size, base)
         n_words, n_removed, digest, text = [], [], [], []
         for w, base in parts:
             g = gone[base : base + w.n]
@@ -205,9 +208,18 @@ def _remove(size: int, with_text: bool):
     return run
 
 
-def _pair(keys: np.ndarray, tails: np.ndarray) -> np.ndarray:
-    """Both hashes in 64 bits, for use within one chunk."""
-    return mix(keys + tails.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), 11)
+def repeated(keys: np.ndarray, tails: np.ndarray, early: np.ndarray, early_tails: np.ndarray) -> np.ndarray:
+    """Whether each window, of two hashes, is among the early ones or is equal to one before it."""
+    n = len(keys)
+    k, t = np.r_[early, keys], np.r_[early_tails, tails]
+    # only windows whose first hash occurs more than once need the second one
+    order = np.argsort(k, kind="stable")
+    same = k[order][1:] == k[order][:-1]
+    order = order[np.r_[same, False] | np.r_[False, same]] if len(k) else order
+    order = order[np.lexsort((order, t[order], k[order]))]
+    again = np.zeros(len(k), bool)
+    again[order[1:]] = (k[order][1:] == k[order][:-1]) & (t[order][1:] == t[order][:-1])
+    return again[len(k) - n :]
 
 
 def _run(docs: DataFrame, window: int, with_text: bool, schema: str | T.StructType, chunk_bytes: int) -> DataFrame:
