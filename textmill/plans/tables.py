@@ -9,14 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; only where that is unset, as in tests, a new local folder."""
+    """spark.checkpoint.dir; where that is unset, the session's checkpoint folder or, on one machine as in tests, a new local one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found
-    context = spark.sparkContext._jsc.sc()
-    if not context.getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='textmill-')}")
-    return context.getCheckpointDir().get()
+    context = spark.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='textmill-')}")
+    return context._jsc.sc().getCheckpointDir().get()
 
 
 class Tables:
