@@ -1,6 +1,11 @@
 """The corpus pipeline: documents through language ID, exact dedup, near-dedup, substring dedup, and packing.
 
 Each stage works on all that its predecessor kept. All but the last return the columns of documents.
+
+Nulls and so on: a document without text, or without any letter, has no language and goes in the first stage, so
+later stages see none. Rows that share a doc_id are rows of their own in the first two stages and one document for
+near-dedup, where they stay or go together; a row without doc_id stays there. Very long texts are read whole. Extra columns,
+whatever their names, are carried along to the last stage, which returns pieces only. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -12,7 +17,7 @@ from textmill.llm._stage import Stage
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a known language stay; the model learns from the labelled ones."""
+    """Documents whose words are mostly of learned languages stay; the model learns from the labelled ones."""
     return language_id.keep(docs, language_id.fit(docs.where(language_id.remainder(4) != 2)))
 
 
@@ -23,7 +28,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near copies the one with the least doc_id stays."""
-    return near_dedup.dedup(docs)
+    return near_dedup.dedup(docs, spread=near_dedup.NARROW)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
