@@ -19,7 +19,7 @@ def test_against_sql(spark):
     c = duckdb.connect()
     for t in ("documents", "pages", "conversations", "labels", "orders"):
         c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
-    for name in ("filter_reasons", "quality_score", "exact_dedup_per_source", "chunk_documents", "qa_pairs", "shard_manifest", "byte_budget", "loader_fim", "hamming_band_join"):
+    for name in ("filter_reasons", "quality_score", "exact_dedup_per_source", "chunk_documents", "qa_pairs", "shard_manifest", "byte_budget", "loader_fim", "pack_rows", "pack_segments", "interleaved_mix", "hamming_band_join"):
         got = entry.queries()[name](spark, sf)
         want = c.sql(entry.oracle_sql()[name])
         order = sorted(got.columns)

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textmill.functions import text as X
+from textmill.functions.simhash import fingerprints
 from textmill.operators import dedup, filters, mix, pack, reports, transforms
+from textmill.plans.tables import Tables
 from textmill.sources import hub, jsonl
 
 QUERIES: dict = {}
@@ -229,6 +231,16 @@ def near_dedup_greedy(spark, sf):
     return dedup.greedy(docs(spark, sf))
 
 
+@query()
+def near_pairs(spark, sf):
+    """Fingerprints of documents within 3 bits of each other, by their first documents, with how many documents have each."""
+    prints = docs(spark, sf).select("ord", fingerprints()("text")["fp"].alias("fp")).groupBy("fp").agg(F.min("ord").alias("first"), F.count(F.lit(1)).alias("n")).select(F.lit("").alias("scope"), "first", "fp", "n")
+    prints = Tables(spark, "prints").save(prints, "prints")
+    pairs = dedup.band_pairs(prints.drop("n"), 3).groupBy("a", "b").agg(F.min("band").alias("band"), F.min("distance").alias("distance"))
+    size = lambda k: prints.select(F.col("first").alias(k), F.col("n").alias(f"n_{k}"))
+    return pairs.join(size("a"), "a").join(size("b"), "b")
+
+
 @query()
 def near_dedup_stats(spark, sf):
     return dedup.stats(dedup.near_decisions(docs(spark, sf), "both", "per-source", "best"))
@@ -251,7 +263,7 @@ def hamming_band_join(spark, sf):
 # --- reports
 @query(_reason(True) + f", k AS (SELECT *, (row_number() OVER (ORDER BY ord) - 1) // 100 AS shard_id FROM judged WHERE drop_reason IS NULL) SELECT shard_id::BIGINT AS shard_id, count(*) AS docs, sum(strlen(text))::BIGINT AS bytes, sum({TOKENS})::BIGINT AS est_tokens FROM k GROUP BY 1")
 def shard_manifest(spark, sf):
-    return reports.shard_manifest(reports.sharded(filters.kept(docs(spark, sf)), 100))
+    return reports.shard_manifest(reports.sharded(reports.sized(filters.kept(docs(spark, sf))), 100))
 
 
 @query(_reason(True) + "SELECT domain, drop_reason, count(*) AS n FROM judged WHERE drop_reason IS NOT NULL GROUP BY 1, 2")
@@ -272,7 +284,7 @@ def top_sources(spark, sf):
 @query(_QUALITY + f""", e AS (SELECT ord, round(score, 6) AS score, row_number() OVER (PARTITION BY md5({COLLAPSED}) ORDER BY ord) AS r FROM q)
 SELECT ord::VARCHAR AS doc_id, score FROM e WHERE r > 1 ORDER BY score, doc_id LIMIT 5""")
 def worst_examples(spark, sf):
-    d = dedup.exact_first(docs(spark, sf), "global").select("doc_id", (F.col("nth") == 1).alias("keep"), F.round(X.quality_score("text"), 6).alias("score"))
+    d = dedup.exact_first(docs(spark, sf), "global").select("doc_id", (~F.col("is_copy")).alias("keep"), F.round(X.quality_score("text"), 6).alias("score"))
     return reports.worst(d).select("doc_id", "score")
 
 
@@ -374,27 +386,59 @@ def sampler_plan(spark, sf):
     return mix.sampler_plan(docs(spark, sf), {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}, sources, 200, seed=1, repeat=True)
 
 
+_SHARES = {(d, f"src{i}"): w * 0.25 for d, w in (("en", 0.4), ("de", 0.2), ("fr", 0.2), ("es", 0.2)) for i in range(4)}
+_MIX = f"""WITH w AS (SELECT * FROM (VALUES {', '.join(f"('{d}', '{s}', {w}::DOUBLE)" for (d, s), w in _SHARES.items())}) t(domain, source, weight)),
+v AS (SELECT w.* FROM w SEMI JOIN documents d ON d.lang = w.domain AND d.source = w.source),
+e AS (SELECT domain, source, weight / (SELECT sum(weight) FROM v) AS weight FROM v),
+t AS (SELECT d.doc_id, d.lang AS domain, d.source, e.weight, {TOKENS} AS n FROM documents d JOIN e ON d.lang = e.domain AND d.source = e.source),
+b AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY domain, source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(n) OVER (PARTITION BY domain, source) AS whole FROM t),
+x AS (SELECT *, unnest(range(0, 1 + greatest(0, floor((weight * 200000 - before) / whole))::BIGINT)) AS epoch FROM b WHERE before < weight * 200000)
+SELECT doc_id, domain, source, epoch::INT AS epoch, n AS est_tokens, round((epoch * whole + before) / weight, 3) AS at FROM x WHERE (epoch * whole + before) / weight < 200000"""
+
+
+@query(_MIX)
+def interleaved_mix(spark, sf):
+    """200000 tokens, sources by their weights, again from their begin where they run out."""
+    d = docs(spark, sf)
+    have = {(r.domain, r.source) for r in d.select("domain", "source").distinct().collect()}  # a row per source
+    mixed = mix.interleaved(d, {k: w for k, w in _SHARES.items() if k in have}, 200000, repeat=True)
+    return mixed.select(F.col("ord").alias("doc_id"), "domain", "source", "epoch", "est_tokens", F.round("at", 3).alias("at"))
+
+
 # --- packing and loading
 def _lengths(spark, sf) -> DataFrame:
     """Documents with their words' lengths for tokens."""
     return docs(spark, sf).withColumns({"tokens": F.transform(X.tokens("text"), F.length), "mix_ord": F.col("ord")})
 
 
-@query()
+_STREAM = f"""WITH RECURSIVE d AS ({_SOURCE}),
+l AS (SELECT ord, doc_id, domain, source, [length(x) FOR x IN string_split({COLLAPSED}, ' ') IF x <> ''] AS ids, row_number() OVER (ORDER BY ord) AS r FROM d),
+z AS (SELECT r, len(ids)::BIGINT AS n FROM l),
+s AS (SELECT 0::BIGINT AS r, 0::BIGINT AS was, 0::BIGINT AS beg, 0::BIGINT AS stop UNION ALL
+  SELECT z.r, s.stop, b, b + n FROM s JOIN z ON z.r = s.r + 1, LATERAL (SELECT CASE WHEN n >= 256 THEN s.stop + (256 - s.stop % 256) % 256 WHEN s.stop % 256 > 0 THEN s.stop + 1 ELSE s.stop END AS b)),
+p AS (SELECT l.*, s.was, s.beg FROM s JOIN l ON l.r = s.r),
+tok AS (SELECT beg + i - 1 AS pos, ids[i] AS id, ord, doc_id, domain, source, i FROM (SELECT *, unnest(range(1, len(ids) + 1)) AS i FROM p) UNION ALL
+  SELECT i, 0, ord, NULL, domain, source, NULL FROM (SELECT *, unnest(range(was, beg)) AS i FROM p)),
+w AS (SELECT pos // 256 AS row, string_agg(id, ',' ORDER BY pos) AS ids, count(*) AS n, arg_max(domain, ord) AS domain, arg_max(source, ord) AS source, count(DISTINCT doc_id) AS n_segments FROM tok GROUP BY 1)
+"""
+
+
+@query(_STREAM + "SELECT row::BIGINT AS row, ids || repeat(',0', (256 - n)::INT) AS input_ids, domain, source, n_segments::INT AS n_segments FROM w")
 def pack_rows(spark, sf):
     return pack.pack(_lengths(spark, sf), 256, 0).select("row", F.array_join("input_ids", ",").alias("input_ids"), "domain", "source", F.size("segments").alias("n_segments"))
 
 
-@query()
+@query(_STREAM + """, g AS (SELECT (pos // 256)::BIGINT AS row, doc_id, (min(i) - 1)::INT AS start, max(i)::INT AS end FROM tok WHERE i IS NOT NULL GROUP BY ALL)
+SELECT *, CASE WHEN count(*) OVER (PARTITION BY row) = 1 THEN start END AS start_token FROM g""")
 def pack_segments(spark, sf):
     return pack.index(pack.pack(_lengths(spark, sf), 256, 0)).select("row", F.explode("segments").alias("s"), "start_token").select("row", "s.doc_id", "s.start", "s.end", "start_token")
 
 
-_IDS = f"WITH d AS ({_SOURCE}), l AS (SELECT ord AS doc_id, [length(x) FOR x IN string_split({COLLAPSED}, ' ') IF x <> ''][1:16] AS ids FROM d), i AS (SELECT * FROM l WHERE len(ids) > 0)"
+_IDS = f"WITH d AS ({_SOURCE}), l AS (SELECT ord AS doc_id, [length(x) FOR x IN string_split({COLLAPSED}, ' ') IF x <> ''] AS ids FROM d), i AS (SELECT * FROM l WHERE len(ids) > 0)"
 
 
 def _rows(spark, sf) -> DataFrame:
-    return docs(spark, sf).select(F.col("ord").alias("doc_id"), F.slice(F.transform(X.tokens("text"), F.length), 1, 16).alias("ids")).where(F.size("ids") > 0)
+    return docs(spark, sf).select(F.col("ord").alias("doc_id"), F.transform(X.tokens("text"), F.length).alias("ids")).where(F.size("ids") > 0)
 
 
 @query(_IDS + "SELECT doc_id, array_to_string(ids[2:] || [-100], ',') AS labels FROM i")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
 import unicodedata
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -13,22 +15,22 @@ from pyspark.sql import functions as F
 
 BANDS = 4
 FP = "fp array<long>, norm_len int, n_tokens int"
-_SPACES = re.compile(r"\s+")
+#: Apostrophes with a letter or digit on either side.
+_INNER = re.compile(r"(?<=[^\W_])['\u2019](?=[^\W_])")
+#: Shingles that are voted on at once.
+TOGETHER = 200_000
+
+
+@lru_cache(1)
+def _blanks() -> dict[int, str]:
+    """Every punctuation mark and symbol, to a space."""
+    return {i: " " for i in range(sys.maxunicode + 1) if unicodedata.category(chr(i))[0] in "PS"}
 
 
 def normalise(text: str) -> str:
     """NFKC and casefold; apostrophes inside words go, other punctuation and symbols become spaces."""
-    s = unicodedata.normalize("NFKC", text or "").casefold()
-    out = []
-    for i, c in enumerate(s):
-        if c in "'’":
-            inner = 0 < i < len(s) - 1 and s[i - 1].isalnum() and s[i + 1].isalnum()
-            out.append("" if inner else " ")
-        elif c.isspace() or unicodedata.category(c)[0] in "PS":
-            out.append(" ")
-        else:
-            out.append(c)
-    return _SPACES.sub(" ", "".join(out)).strip()
+    folded = unicodedata.normalize("NFKC", text or "").casefold()
+    return " ".join(_INNER.sub("", folded).translate(_blanks()).split())
 
 
 def shingles(s: str) -> list[str]:
@@ -40,17 +42,36 @@ def shingles(s: str) -> list[str]:
     return words if len(words) < 3 else [" ".join(words[i : i + 3]) for i in range(len(words) - 2)]
 
 
+def _voted(found: list[list[str]], bits: int) -> np.ndarray:
+    """A row of packed bits for each list of shingles. Each distinct shingle is hashed once."""
+    size, n_words = max(1, -(-bits // 8)), -(-bits // 64)
+    number: dict[str, int] = {}
+    which = np.array([number.setdefault(x, len(number)) for xs in found for x in xs], np.int64)
+    digests = b"".join(hashlib.blake2b(x.encode("utf-8", "ignore"), digest_size=size).digest() for x in number)
+    on = np.zeros((len(found), 64 * n_words), np.uint8)
+    n = np.array([len(xs) for xs in found], np.int64)
+    some = n > 0
+    if some.any():
+        votes = np.unpackbits(np.frombuffer(digests, np.uint8).reshape(-1, size), axis=1, bitorder="little")[:, :bits]
+        total = np.add.reduceat(votes[which], (np.cumsum(n) - n)[some], axis=0, dtype=np.int64)
+        on[some, :bits] = 2 * total > n[some, None]
+    return np.packbits(on, axis=1, bitorder="little").view(np.int64)
+
+
+def fingerprints_of(texts: list[str], bits: int = 64) -> list[list[int]]:
+    """Words, lowest first, of the fingerprints of normalised texts; a bit is set where more shingles have it than not."""
+    out, held, n = [], [], 0
+    for s in texts:
+        held.append(shingles(s))
+        n += len(held[-1])
+        if n >= TOGETHER:
+            out += _voted(held, bits).tolist()
+            held, n = [], 0
+    return out + (_voted(held, bits).tolist() if held else [])
+
+
 def fingerprint(s: str, bits: int = 64) -> list[int]:
-    """Words, lowest first, of the fingerprint of a normalised text; a bit is set where more shingles have it than not."""
-    n_words, size = -(-bits // 64), max(1, -(-bits // 8))
-    found = shingles(s)
-    if not found:
-        return [0] * n_words
-    digests = b"".join(hashlib.blake2b(x.encode("utf-8", "ignore"), digest_size=size).digest() for x in found)
-    votes = np.unpackbits(np.frombuffer(digests, np.uint8).reshape(-1, size), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    on = np.zeros(64 * n_words, np.uint8)
-    on[:bits] = 2 * votes[:bits] > len(found)
-    return np.packbits(on, bitorder="little").view(np.int64).tolist()
+    return fingerprints_of([s], bits)[0]
 
 
 def fingerprints(bits: int = 64):
@@ -59,7 +80,7 @@ def fingerprints(bits: int = 64):
     @F.pandas_udf(FP)
     def run(s: pd.Series) -> pd.DataFrame:
         norm = [normalise(x) for x in s]
-        return pd.DataFrame({"fp": [fingerprint(x, bits) for x in norm], "norm_len": [len(x) for x in norm], "n_tokens": [len(x.split()) for x in norm]})
+        return pd.DataFrame({"fp": fingerprints_of(norm, bits), "norm_len": [len(x) for x in norm], "n_tokens": [len(x.split()) for x in norm]})
 
     return run
 

@@ -30,45 +30,52 @@ def scope_key(scope: str) -> Column:
 
 
 def _copies(docs: DataFrame, scope: str) -> DataFrame:
-    """(ord, nth, first_id) from digests alone: texts do not move to be compared."""
+    """(ord, first_id, is_copy) from digests alone: texts do not move to be compared. The first of a text is an aggregate, made in
+    part before the shuffle; rows meet it by a join, whose hot keys adaptive execution splits."""
     key = F.sha2(F.concat_ws("\x01", scope_key(scope), collapse(F.coalesce("text", F.lit("")))), 256)
-    w = Window.partitionBy("_key").orderBy("ord")
-    return docs.select("ord", "doc_id", key.alias("_key")).select("ord", F.row_number().over(w).alias("nth"), F.first("doc_id").over(w).alias("first_id"))
+    keyed = docs.select("ord", "doc_id", key.alias("_key"))
+    first = keyed.groupBy("_key").agg(F.min("ord").alias("_first"), F.min_by("doc_id", "ord").alias("first_id"))
+    return keyed.drop("doc_id").join(first, "_key").select("ord", "first_id", (F.col("ord") > F.col("_first")).alias("is_copy"))
 
 
 def exact_first(docs: DataFrame, scope: str = "per-source") -> DataFrame:
-    """The rows with `first_id` and `nth`: the first of its text within its scope, and the place among its equals."""
+    """The rows with `first_id`, the first of its text within its scope, and `is_copy`, whether that is another row."""
     return docs.join(_copies(docs, scope), "ord")
 
 
 def exact_decisions(docs: DataFrame, scope: str = "per-source", with_hash: bool = True) -> DataFrame:
     """doc_id, source, domain, keep, reason, dup_of, score, exact_hash of documents with unique `ord`."""
     d = exact_first(docs, scope)
-    keep = F.col("nth") == 1
+    keep = ~F.col("is_copy")
     hashed = exact_hash("text") if with_hash else F.lit(None).cast("string")
     return d.select("ord", "doc_id", "source", "domain", keep.alias("keep"), F.when(keep, "keep").otherwise("exact_dup").alias("reason"), F.when(~keep, F.col("first_id")).alias("dup_of"), F.when(~keep, F.lit(0)).cast("int").alias("score"), hashed.alias("exact_hash"))
 
 
 def exact_kept(docs: DataFrame, scope: str = "per-source") -> DataFrame:
     """The first of each text. What goes is the smaller side of the join, which adaptive execution broadcasts if it is small."""
-    return docs.join(_copies(docs, scope).where("nth > 1").select("ord"), "ord", "left_anti")
+    return docs.join(_copies(docs, scope).where("is_copy").select("ord"), "ord", "left_anti")
 
 
 def _keys(fp: Column, bits: int, threshold: int) -> Column:
-    """Join keys of a fingerprint: (band, value) and, for small thresholds, which further part is equal, and its value."""
+    """Join keys of a fingerprint: (band, key). A key has the band, its bits and, for small thresholds, which further part is equal, and
+    the bits of that: in one long where they fit."""
+    if bits > 64 * BANDS:
+        raise ValueError(f"{bits} bits; a band has 64 at most")
     out = []
     for i, (start, size) in enumerate(bands(bits)):
-        own = part(fp, start, size).cast("string") if size < 64 else F.concat_ws(",", F.transform(fp, lambda x: x.cast("string")))
         others = [(s, n) for j, (s, n) in enumerate(bands(bits)) if j != i]
-        if threshold <= 3 and bits % BANDS == 0 and 4 <= size < 64 and threshold + 1 >= len(others):
+        if size == 64:
+            out.append(F.struct(F.lit(i).alias("band"), F.element_at(fp, i + 1).alias("key")))
+        elif threshold <= 3 and bits % BANDS == 0 and 4 <= size <= 32 and threshold + 1 >= len(others):
             # threshold flips in len(others) bands: halve the bands until there are more parts than flips
             parts = others
             while len(parts) <= threshold:
                 parts = [x for s, n in parts for x in ((s, n // 2), (s + n // 2, n - n // 2))]
             for k, (s, n) in enumerate(parts):
-                out.append(F.struct(F.lit(i).alias("band"), F.concat_ws("-", F.lit(f"{i}.{k}"), own, part(fp, s, n).cast("string")).alias("key")))
+                own = F.shiftleft(part(fp, start, size), n + 5).bitwiseOR(F.shiftleft(part(fp, s, n), 5))
+                out.append(F.struct(F.lit(i).alias("band"), own.bitwiseOR(F.lit(k)).alias("key")))
         else:
-            out.append(F.struct(F.lit(i).alias("band"), F.concat_ws("-", F.lit(str(i)), own).alias("key")))
+            out.append(F.struct(F.lit(i).alias("band"), part(fp, start, size).alias("key")))
     return F.array(*out)
 
 
@@ -135,15 +142,15 @@ def near_decisions(docs: DataFrame, mode: str = "both", scope: str = "per-source
     if mode == "both":
         slim = exact_first(slim, "global") if exact_scope == "global" else exact_first(slim, scope)
     else:
-        slim = slim.withColumns({"nth": F.lit(1), "first_id": F.col("doc_id")})
-    slim = tables.save(slim.select("ord", "doc_id", "source", "domain", "scope", "s.*", "score", "nth", "first_id"), "slim")
-    live = slim.where("nth = 1")
+        slim = slim.withColumns({"is_copy": F.lit(False), "first_id": F.col("doc_id")})
+    slim = tables.save(slim.select("ord", "doc_id", "source", "domain", "scope", "s.*", "score", "is_copy", "first_id"), "slim")
+    live = slim.where("NOT is_copy")
     matches = tables.save(_matches(live.select("ord", "scope", "fp", "norm_len", "doc_id"), tables, threshold, bits), "matches")
     roots = _roots(matches, tables)
     d = slim.join(matches, "ord", "left").join(roots, "ord", "left")
     ids = slim.select(F.col("ord").alias("_o"), F.col("doc_id").alias("_id"))
     d = d.join(ids.select(F.col("_o").alias("root"), F.col("_id").alias("cluster_id")), "root", "left").join(ids.select(F.col("_o").alias("match_ord"), F.col("_id").alias("match_id")), "match_ord", "left")
-    copy = F.col("nth") > 1
+    copy = F.col("is_copy")
     if selection == "best":
         rank = F.struct("score", "n_tokens", F.col("doc_id").cast("string").alias("id"))
         best = d.where(~copy).groupBy("root").agg(F.max_by(F.struct("ord", "doc_id"), rank).alias("best"), F.count(F.lit(1)).cast("int").alias("cluster_size"))
@@ -178,8 +185,8 @@ def greedy(docs: DataFrame, threshold: int = 3, bits: int = 64) -> DataFrame:
     unsettled earlier neighbour left is decided. Neighbours are pairs of fingerprints; rounds follow the longest chain."""
     tables = Tables(docs.sparkSession, "greedy")
     s = docs.select("ord", "doc_id", F.lit("").alias("scope"), F.coalesce("text", F.lit("")).alias("text")).withColumn("s", fingerprints(bits)("text"))
-    s = tables.save(exact_first(s, "global").select("ord", "doc_id", "scope", "s.*", "nth", "first_id"), "slim")
-    prints = s.where("nth = 1").groupBy("scope", "fp").agg(F.min("ord").alias("first"))
+    s = tables.save(exact_first(s, "global").select("ord", "doc_id", "scope", "s.*", "is_copy", "first_id"), "slim")
+    prints = s.where("NOT is_copy").groupBy("scope", "fp").agg(F.min("ord").alias("first"))
     prints = tables.save(prints, "prints")
     pairs = tables.save(band_pairs(prints, threshold, bits), "pairs")
     state = tables.save(prints.select("first", F.lit(None).cast("boolean").alias("keep")), "state0")
@@ -200,7 +207,7 @@ def greedy(docs: DataFrame, threshold: int = 3, bits: int = 64) -> DataFrame:
     same = (F.col("ord") != F.col("first")) & F.col("keep")
     of = F.when(same & (F.col("m.b").isNull() | (F.col("m.band") > 0)), F.struct(F.col("first").alias("b"), F.lit(0).alias("distance"))).otherwise(F.struct("m.b", F.col("m.distance").cast("int").alias("distance")))
     d = d.withColumn("of", of).join(s.select(F.col("ord").alias("_o"), F.col("doc_id").alias("of_id")), F.col("of.b") == F.col("_o"), "left")
-    copy, keep = F.col("nth") > 1, (F.col("nth") == 1) & F.col("keep") & (F.col("ord") == F.col("first"))
+    copy, keep = F.col("is_copy"), ~F.col("is_copy") & F.col("keep") & (F.col("ord") == F.col("first"))
     return d.select("ord", "doc_id", keep.alias("keep"), F.when(copy, "exact_dup").when(keep, "keep").otherwise("near_dup").alias("reason"), F.when(copy, F.col("first_id")).when(~keep, F.col("of_id")).alias("dup_of"), F.when(copy, F.lit(0)).when(~keep, F.col("of.distance")).cast("int").alias("score"))
 
 

@@ -1,19 +1,19 @@
 """Tokenisation and sequential packing into rows of fixed length; loader transforms.
 
-Documents of seq_len tokens or more flush what is buffered and start anew, so what follows one does not depend on what
-came before: a run, from one long document to the next, packs by itself. Runs are numbered by running counts, packed in
-parallel, and their rows numbered by running sums. Within a run of short documents the places follow from lengths
-alone: a walk over the lengths gives each document's place, the tokens never meet in one task but row by row.
+All rows of a pack are one stream of positions. What is buffered when a document comes is the stream's place within a row, so
+where documents lie follows from their lengths alone. A block of documents is summarised as a map from that place, 0 to
+seq_len - 1, to how far the block moves the stream; the maps are followed one after the other, a small row per block,
+and then every block places its documents by itself. Tokens meet only row by row.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textmill.operators.mix import running
-
 SEGMENT = "struct<doc_id:string,start:int,end:int>"
 
 
@@ -42,9 +42,12 @@ class Tokenizer:
                 raise ValueError(f"no tokenizer for {self.path}")
         return self._loaded
 
-    def encode(self, text: str) -> list[int]:
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
         t = self.loaded
-        return t.encode(text, add_special_tokens=False).ids if self.path.endswith(".json") else t.encode(text)
+        return [e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False)] if self.path.endswith(".json") else t.encode(texts)
+
+    def encode(self, text: str) -> list[int]:
+        return self.encode_all([text])[0]
 
     @property
     def eos_id(self) -> int:
@@ -65,57 +68,100 @@ def tokenised(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
 
     @F.pandas_udf("array<int>")
     def encode(s: pd.Series) -> pd.Series:
-        return s.map(tokenizer.encode)
+        return pd.Series(tokenizer.encode_all(s.tolist()))
 
     return docs.withColumn("tokens", encode(F.coalesce("text", F.lit(""))))
 
 
+#: Documents of a block: the stream is followed block by block.
+BLOCK = 1 << 16
+
+
+def _moves(seq_len: int):
+    """(block, moved) of a block's lengths: for each place within a row how far the block moves the stream."""
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by("mix_ord")
+        at = np.arange(seq_len, dtype=np.int64)
+        for n in group.column("n").to_numpy():
+            at = _placed(at, int(n), seq_len) + n
+        moved = (at - np.arange(seq_len)).astype("<i8")
+        return pa.table({"block": group.column("block").slice(0, 1), "moved": pa.array([moved.tobytes()], pa.binary())})
+
+    return run
+
+
+def _placed(at, n: int, seq_len: int):
+    """Where a document of n tokens begins if the stream is at a position, or at each of some."""
+    inside = at % seq_len
+    if n >= seq_len:  # what is buffered is filled up
+        return at + (-inside) % seq_len
+    return at + (inside > 0)  # an end token, if anything is buffered
+
+
+def _begins(seq_len: int):
+    """(block, begin) of all blocks, in order."""
+
+    def run(batches):
+        at = 0
+        for batch in batches:
+            begins = []
+            for moved in batch.column("moved"):
+                begins.append(at)
+                at += int(np.frombuffer(moved.as_py(), "<i8")[at % seq_len])
+            yield pa.RecordBatch.from_pydict({"block": batch.column("block"), "begin": pa.array(begins, pa.int64())})
+
+    return run
+
+
 def _places(seq_len: int):
-    """Per run: where each document's tokens begin, and where an end token goes before them, in the run's own stream."""
-
-    def run(run_docs: pd.DataFrame) -> pd.DataFrame:
-        d = run_docs.sort_values("mix_ord")
-        at, starts, ends = 0, [], []
-        for i, n in enumerate(d["n"].tolist()):
-            if n >= seq_len:  # only the first of a run
-                ends.append(-1)
-            elif at % seq_len:
-                ends.append(at)
-                at += 1
-            else:  # nothing buffered: no end token
-                ends.append(-1)
-            starts.append(at)
-            at += n
-        return pd.DataFrame({"mix_ord": d["mix_ord"], "run": d["run"], "at": starts, "eos_at": ends, "run_len": at})
+    """(mix_ord, at, was) of a block's documents: where their tokens begin, and where the stream was before."""
+
+    def run(docs: pa.Table, begin: pa.Table) -> pa.Table:
+        docs = docs.sort_by("mix_ord")
+        at, was, begins = begin.column("begin")[0].as_py(), [], []
+        for n in docs.column("n").to_pylist():
+            was.append(at)
+            begins.append(_placed(at, n, seq_len))
+            at = begins[-1] + n
+        return pa.table({"mix_ord": docs.column("mix_ord"), "at": pa.array(begins, pa.int64()), "was": pa.array(was, pa.int64())})
 
     return run
 
 
-def pack(docs: DataFrame, seq_len: int, eos_id: int, num_seqs: int | None = None) -> DataFrame:
+def places(lengths: DataFrame, seq_len: int, block: int = BLOCK) -> DataFrame:
+    """(mix_ord, at, was) of documents (mix_ord, n)."""
+    from textmill.plans.tables import Tables
+
+    slim = Tables(lengths.sparkSession, "places").save(lengths.select(F.col("mix_ord").cast("long").alias("mix_ord"), F.col("n").cast("long").alias("n"), F.floor(F.col("mix_ord") / block).cast("long").alias("block")), "lengths")
+    moves = slim.groupBy("block").applyInArrow(_moves(seq_len), "block long, moved binary")
+    begins = moves.coalesce(1).sortWithinPartitions("block").mapInArrow(_begins(seq_len), "block long, begin long")
+    return slim.groupBy("block").cogroup(begins.groupBy("block")).applyInArrow(_places(seq_len), "mix_ord long, at long, was long")
+
+
+def pack(docs: DataFrame, seq_len: int, eos_id: int, num_seqs: int | None = None, block: int = BLOCK) -> DataFrame:
     """Rows (row, input_ids, segments, domain, source) of documents (mix_ord, doc_id, domain, source, tokens); mix_ord is 0, 1, 2 ...
 
-    The last row is filled up with end tokens. A segment without doc_id is an end token or filling; `segments` leaves
-    those out. A row's domain and source are those of the document that completes it, or, for filling, that forces it out."""
-    d = docs.select("mix_ord", F.col("doc_id").cast("string").alias("doc_id"), "domain", "source", "tokens").withColumn("n", F.size("tokens")).withColumn("long", (F.col("n") >= seq_len).cast("long"))
-    slim = running(d.select("mix_ord", "n", "long", F.lit(0).alias("_k")), "_k", "mix_ord", "long").select("mix_ord", "n", (F.col("before") + F.col("long")).alias("run"))
-    placed = slim.groupBy("run").applyInPandas(_places(seq_len), "mix_ord long, run long, at long, eos_at long, run_len long")
-    rows_of = placed.groupBy("run").agg(F.ceil(F.max("run_len") / seq_len).alias("n_rows"), F.max("run_len").alias("run_len"), F.min("mix_ord").alias("first"))
-    base = running(rows_of.withColumn("_k", F.lit(0)), "_k", "run", "n_rows").select("run", F.col("before").alias("base"), "run_len", "n_rows")
-    p = d.drop("n", "long").join(placed.select("mix_ord", "run", "at", "eos_at"), "mix_ord").join(base, "run")
+    A document of seq_len tokens or more begins a row, others follow an end token if anything is in the row. Rows are filled
+    up with end tokens. A segment without doc_id is an end token or filling; `segments` leaves those out. A row's domain
+    and source are those of the document that completes it, or, for filling, that forces it out."""
+    d = docs.select(F.col("mix_ord").cast("long").alias("mix_ord"), F.col("doc_id").cast("string").alias("doc_id"), "domain", "source", "tokens")
+    p = d.join(places(d.select("mix_ord", F.size("tokens").alias("n")), seq_len, block), "mix_ord")
+    row_of = lambda c: F.floor(c / seq_len)
     # parts: a document's tokens cut at row ends
-    first, last = F.floor(F.col("at") / seq_len), F.floor((F.col("at") + F.size("tokens") - 1) / seq_len)
-    part = p.where(F.size("tokens") > 0).withColumn("k", F.explode(F.sequence(first, last)))
-    begin = F.greatest(F.col("k") * seq_len, F.col("at"))
-    stop = F.least((F.col("k") + 1) * seq_len, F.col("at") + F.size("tokens"))
-    part = part.select((F.col("base") + F.col("k")).alias("row"), (begin - F.col("k") * seq_len).cast("int").alias("pos"), F.slice("tokens", (begin - F.col("at") + 1).cast("int"), (stop - begin).cast("int")).alias("ids"), F.struct("doc_id", (begin - F.col("at")).cast("int").alias("start"), (stop - F.col("at")).cast("int").alias("end")).alias("segment"), "mix_ord", "domain", "source")
+    stop_at = F.col("at") + F.size("tokens")
+    part = p.where(F.size("tokens") > 0).withColumn("row", F.explode(F.sequence(row_of(F.col("at")), row_of(stop_at - 1))))
+    begin, stop = F.greatest(F.col("row") * seq_len, F.col("at")), F.least((F.col("row") + 1) * seq_len, stop_at)
+    segment = F.struct("doc_id", (begin - F.col("at")).cast("int").alias("start"), (stop - F.col("at")).cast("int").alias("end"))
+    part = part.select("row", (begin - F.col("row") * seq_len).cast("int").alias("pos"), F.slice("tokens", (begin - F.col("at") + 1).cast("int"), (stop - begin).cast("int")).alias("ids"), segment.alias("segment"), "mix_ord", "domain", "source")
+    # between documents: an end token, or filling to the end of the row
     none = F.lit(None).cast(SEGMENT)
-    end = p.where("eos_at >= 0").select((F.col("base") + F.floor(F.col("eos_at") / seq_len)).alias("row"), (F.col("eos_at") % seq_len).cast("int").alias("pos"), F.array(F.lit(eos_id)).alias("ids"), none.alias("segment"), "mix_ord", "domain", "source")
-    # filling: from the end of a run to the end of its last row; the next run's first document forces it out
-    nxt = d.join(placed.where("at = 0 AND eos_at < 0").select("mix_ord", "run"), "mix_ord").groupBy((F.col("run") - 1).alias("run")).agg(F.min_by(F.struct("mix_ord", "domain", "source"), "mix_ord").alias("n"))
-    fill = base.where(F.col("run_len") % seq_len != 0).join(nxt, "run", "left").select((F.col("base") + F.col("n_rows") - 1).alias("row"), (F.col("run_len") % seq_len).cast("int").alias("pos"), F.array_repeat(F.lit(eos_id), (seq_len - F.col("run_len") % seq_len).cast("int")).alias("ids"), none.alias("segment"), "n.mix_ord", "n.domain", "n.source")
-    pieces = part.unionByName(end).unionByName(fill)
-    rows = pieces.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "ids", "segment"))).alias("p"), F.max_by(F.struct("domain", "source"), F.coalesce("mix_ord", F.lit(-1))).alias("label"))
-    out = rows.select("row", F.flatten(F.col("p.ids")).alias("input_ids"), F.filter("p.segment", lambda s: s.isNotNull()).alias("segments"), "label.domain", "label.source")
+    gap = p.where("at > was").select(row_of(F.col("was")).alias("row"), (F.col("was") % seq_len).cast("int").alias("pos"), F.array_repeat(F.lit(eos_id), (F.col("at") - F.col("was")).cast("int")).alias("ids"), none.alias("segment"), "mix_ord", "domain", "source")
+    pieces = part.unionByName(gap)
+    rows = pieces.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "ids", "segment"))).alias("p"), F.max_by(F.struct("domain", "source"), "mix_ord").alias("label"))
+    ids = F.flatten(F.col("p.ids"))
+    filled = F.concat(ids, F.array_repeat(F.lit(eos_id), seq_len - F.size(ids)))  # the last row
+    out = rows.select("row", filled.alias("input_ids"), F.filter("p.segment", lambda s: s.isNotNull()).alias("segments"), "label.domain", "label.source")
     return out if num_seqs is None else out.where(F.col("row") < num_seqs)
 
 

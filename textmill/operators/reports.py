@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,16 +12,23 @@ from textmill.operators.transforms import canonical_domain
 
 
 def sharded(docs: DataFrame, shard_size: int = 5000, block: int = 4096) -> DataFrame:
-    """The rows with shard_id, shard_size rows by ord in each. Places are running counts over blocks of ord, not one sorted task."""
+    """The rows with shard_id, shard_size rows by ord in each. Places are running counts over blocks of ord, not one sorted task, and
+    ord alone goes through them."""
     from textmill.operators.mix import running
 
-    d = running(docs.withColumns({"_k": F.lit(0), "_one": F.lit(1)}), "_k", "ord", "_one", block)
-    return d.withColumn("shard_id", F.floor(F.col("before") / shard_size)).drop("_k", "_one", "before")
+    d = running(docs.select("ord", F.lit(0).alias("_k"), F.lit(1).alias("_one")), "_k", "ord", "_one", block)
+    return docs.join(d.select("ord", F.floor(F.col("before") / shard_size).alias("shard_id")), "ord")
+
+
+def sized(docs: DataFrame, chars_per_token: float = 4.0) -> DataFrame:
+    """(ord, bytes, est_tokens): what a manifest needs of the texts."""
+    return docs.select("ord", n_bytes("text").alias("bytes"), est_tokens("text", chars_per_token).alias("est_tokens"))
 
 
 def shard_manifest(kept: DataFrame, chars_per_token: float = 4.0) -> DataFrame:
-    """(shard_id, docs, bytes, est_tokens)."""
-    return kept.groupBy("shard_id").agg(F.count(F.lit(1)).alias("docs"), F.sum(n_bytes("text")).alias("bytes"), F.sum(est_tokens("text", chars_per_token)).alias("est_tokens"))
+    """(shard_id, docs, bytes, est_tokens) of documents with shard_id, or of sized() ones."""
+    d = kept if "est_tokens" in kept.columns else kept.withColumns({"bytes": n_bytes("text"), "est_tokens": est_tokens("text", chars_per_token)})
+    return d.groupBy("shard_id").agg(F.count(F.lit(1)).alias("docs"), F.sum("bytes").alias("bytes"), F.sum("est_tokens").alias("est_tokens"))
 
 
 def drops(judged: DataFrame, *keys: str) -> DataFrame:
@@ -88,21 +97,32 @@ def placeholders(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", placeholder(licence, note, "text").alias("where")).where("`where` IS NOT NULL")
 
 
+@lru_cache(4)
+def _sentencepiece(model: str):
+    from sentencepiece import SentencePieceProcessor
+
+    return SentencePieceProcessor(model_file=model)
+
+
+def _short(sp, found) -> list[int]:
+    """How many of each row's strings take two tokens at most; each distinct string is encoded once."""
+    distinct = list({x for xs in found for x in xs})
+    short = {x: len(ids) <= 2 for x, ids in zip(distinct, sp.encode(distinct))} if distinct else {}
+    return [sum(short[x] for x in xs) for xs in found]
+
+
 def acceptance(samples: DataFrame, model: str, most_token_per_char: float = 0.6, most_byte_fallback: float = 0.08, least_ident: float = 0.7, least_sci: float = 0.6) -> DataFrame:
     """(domain, token_per_char, byte_fallback_rate, ident_le2_rate, sci_le2_rate, samples, ok) of a sentencepiece model."""
     import pandas as pd
 
     @F.pandas_udf("tokens long, fallback long, ident long, ident2 long, sci long, sci2 long")
     def evaluate(text: pd.Series, ident: pd.Series, sci: pd.Series) -> pd.DataFrame:
-        from sentencepiece import SentencePieceProcessor
-
-        sp = SentencePieceProcessor(model_file=model)
-        short = lambda xs: sum(len(sp.encode(x)) <= 2 for x in xs)
-        rows = []
-        for t, i, s in zip(text, ident, sci):
-            pieces = sp.encode(t, out_type=str)
-            rows.append((len(pieces), sum(p.startswith("<0x") and p.endswith(">") for p in pieces), len(i), short(i), len(s), short(s)))
-        return pd.DataFrame(rows, columns=["tokens", "fallback", "ident", "ident2", "sci", "sci2"])
+        sp = _sentencepiece(model)
+        pieces = sp.encode(text.tolist(), out_type=str)
+        return pd.DataFrame({
+            "tokens": [len(p) for p in pieces], "fallback": [sum(x.startswith("<0x") and x.endswith(">") for x in p) for p in pieces],
+            "ident": ident.map(len), "ident2": _short(sp, ident), "sci": sci.map(len), "sci2": _short(sp, sci),
+        })
 
     d = samples.where("text IS NOT NULL AND text <> ''").withColumn("e", evaluate("text", identifiers("text"), sci_numbers("text")))
     g = d.groupBy(F.trim(F.coalesce("domain", F.lit("unknown"))).alias("domain")).agg(F.sum(F.length("text")).alias("chars"), F.count(F.lit(1)).alias("samples"), *[F.sum(f"e.{c}").alias(c) for c in ("tokens", "fallback", "ident", "ident2", "sci", "sci2")])

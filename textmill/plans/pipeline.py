@@ -73,9 +73,10 @@ def tokenizer_corpus(docs: DataFrame, target_bytes: int, boost_code: float = 1.0
     return out
 
 
-def packed(docs: DataFrame, tokenizer: pack.Tokenizer, weights: dict[str, float], source_weights: dict[str, dict[str, float]], n_docs: int, seq_len: int = 4096, num_seqs: int | None = None, seed: int = 0, repeat: bool = False, mode: str = "both") -> DataFrame:
-    """Dedup, mix, tokenise and pack documents with `ord`: rows as of pack.pack."""
+def packed(docs: DataFrame, tokenizer: pack.Tokenizer, weights: dict[str, float], source_weights: dict[str, dict[str, float]], tokens: int, seq_len: int = 4096, num_seqs: int | None = None, repeat: bool = False, mode: str = "both") -> DataFrame:
+    """Dedup, mix about so many tokens, tokenise and pack documents with `ord`: rows as of pack.pack."""
     kept = dedup.kept(docs, dedup.decisions(docs, mode))
-    plan = mix.sampler_plan(kept, weights, source_weights, n_docs, seed, repeat)
+    shares = {(d, s): weights[d] * w for d, m in source_weights.items() for s, w in m.items() if d in weights}
+    plan = mix.numbered(mix.interleaved(kept, shares, tokens, repeat), "at", "domain", "source", "ord")
     mixed = plan.select("mix_ord", "ord").join(kept, "ord")
     return pack.pack(pack.tokenised(mixed, tokenizer), seq_len, tokenizer.eos_id, num_seqs)
