@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -113,8 +114,6 @@ def _short(sp, found) -> list[int]:
 
 def acceptance(samples: DataFrame, model: str, most_token_per_char: float = 0.6, most_byte_fallback: float = 0.08, least_ident: float = 0.7, least_sci: float = 0.6) -> DataFrame:
     """(domain, token_per_char, byte_fallback_rate, ident_le2_rate, sci_le2_rate, samples, ok) of a sentencepiece model."""
-    import pandas as pd
-
     @F.pandas_udf("tokens long, fallback long, ident long, ident2 long, sci long, sci2 long")
     def evaluate(text: pd.Series, ident: pd.Series, sci: pd.Series) -> pd.DataFrame:
         sp = _sentencepiece(model)
