@@ -38,5 +38,5 @@ def test_normalise_to_pack(spark, tmp_path):
     records = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(60))) for i in range(5)] + [(5, "short")], "ord long, text string")
     kept, counts, drops = pipeline.normalise(records, "d", "s", shard_size=2)
     assert [r.docs for r in counts.orderBy("shard_id").collect()] == [2, 2, 1] and drops.first().drop_reason == "too_short"
-    rows = pipeline.packed(kept, pack.Tokenizer(str(tmp_path / "t.json")), {"d": 1.0}, {"d": {"s": 1.0}}, 500, seq_len=64)
+    rows = pipeline.packed(kept, pack.Tokenizer(str(tmp_path / "t.json")), {"d": 1.0}, {"d": {"s": 1.0}}, 435, seq_len=64)
     assert rows.count() == 5 and all(len(r.input_ids) == 64 for r in rows.collect())
