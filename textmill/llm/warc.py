@@ -2,8 +2,8 @@
 
 Writer: one record per page, each a gzip member of its own. Pages of equal payload share a digest; the
 one with the least page_id is a `response`, the others are `revisit` records that refer to it and have no payload.
-Archives go through Spark's own writer to any store it can reach: rows are the members, and the
-separator after each is a gzip member of length 0.
+Archives go through Spark's own writer to any store it can reach: a row is about BLOCK bytes of pages, as members one after
+the other, and the separator after each row is a gzip member of length 0.
 
 Reader: an archive is one row of Spark's binary source (2 GiB at most; the writer's hold about
 ARCHIVE bytes) and may mix gzip members and plain records. Each record is checked: member CRC, version line,
@@ -35,6 +35,8 @@ from textmill.llm._stage import Stage
 
 #: Bytes of payload in an archive, about.
 ARCHIVE = 16 << 20
+#: Bytes of payload in a row of the writer, about.
+BLOCK = 1 << 20
 _EMPTY_MEMBER = "\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\x03\x03\x00" + "\x00" * 8
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 _MEMBER = re.compile(rb"\x1f\x8b\x08[\x00-\x1f]|WARC/1\.[01]\r\n", re.S)
@@ -68,24 +70,25 @@ def record(page_id, url, payload: bytes, size: int, sha: str, refers_to) -> byte
 
 def _members(batches):
     for batch in batches:
-        rows, out = batch.to_pydict(), []
+        rows, out, n = batch.to_pydict(), [[]], 0
         for page_id, url, payload, size, sha, first in zip(*(rows[k] for k in ("page_id", "url", "html", "size", "sha", "first"))):
+            if n >= BLOCK:
+                out, n = [*out, []], 0
+            n += size
             z = zlib.compressobj(3, zlib.DEFLATED, 31)
-            out.append(z.compress(record(page_id, url, (payload or "").encode(), size, sha, None if first is None or first == page_id else first)) + z.flush())
-        yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.binary())})
+            out[-1] += [z.compress(record(page_id, url, (payload or "").encode(), size, sha, None if first is None or first == page_id else first)), z.flush()]
+        yield pa.RecordBatch.from_pydict({"value": pa.array([b"".join(x) for x in out if x], pa.binary())})
 
 
 def write(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE) -> None:
     """Archives of pages (page_id, url, html) in a new folder."""
     text = F.coalesce("html", F.lit(""))
     p = pages.select("page_id", "url", "html").withColumns({"sha": base32_sha1(text), "size": F.octet_length(text).cast("long")})
-    n, size = p.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     same = p.groupBy("sha", "size").agg(F.count(F.lit(1)).alias("n"), F.min("page_id").alias("first")).where("n > 1").drop("n")
     marked = p.join(same, ["sha", "size"], "left")
-    per_file = max(1, n * archive_bytes // max(1, size))
     members = marked.select("page_id", "url", "html", "size", "sha", "first").mapInArrow(_members, "value binary")
     out = members.select(F.col("value").cast("string").alias("value")).write.option("encoding", "ISO-8859-1").option("lineSep", _EMPTY_MEMBER)
-    out.option("maxRecordsPerFile", per_file).option("compression", "none").text(path)
+    out.option("maxRecordsPerFile", max(1, archive_bytes // BLOCK)).option("compression", "none").text(path)
 
 
 _FIELD = re.compile(rb"[!-9;-~]+:[^\x00-\x08\x0a-\x1f]*\Z")
@@ -131,15 +134,15 @@ def payload_of(block: bytes) -> bytes:
     return block[i + 4 :] if i >= 0 else b""
 
 
-#: Compressed bytes that are decompressed at once.
-_STEP = 1 << 16
+#: Compressed bytes that are decompressed at once: few at first, as most members are short, and what is left over is copied.
+_FIRST, _STEP = 1 << 12, 1 << 16
 
 
 def _inflate(raw: bytes, at: int) -> tuple[bytes, int, str | None]:
     """What the gzip member at a place decompresses to before its end or first error; where that is; the error."""
     z, out, i = zlib.decompressobj(31), [], at
     while not z.eof and i < len(raw):
-        before, step = z.copy(), raw[i : i + _STEP]
+        before, step = z.copy(), raw[i : i + (_FIRST if i == at else _STEP)]
         try:
             out.append(z.decompress(step))
         except zlib.error as e:
@@ -261,11 +264,13 @@ def read(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame
 
 
 def op1_warc_salvage(spark, sf_dir: str) -> DataFrame:
+    """The records; the gaps, with file, offset, length and reason, stay beside them in the table `read` of the stage's folder."""
     stage = Stage(spark, "warc")
     write(spark.read.parquet(f"{sf_dir}/pages.parquet"), f"{stage.at}/archives")
+    found = stage.save(read(spark, f"{stage.at}/archives", with_payload=False), "read")
     number = lambda c: F.regexp_extract(c, r"<urn:page:(-?\d+)>", 1).try_cast("long")
-    found = read(spark, f"{stage.at}/archives", with_payload=False).where("reason IS NULL")
-    return found.select(number(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), number(F.col("refers_to")).alias("refers_to"))
+    records = found.where("reason IS NULL")
+    return records.select(number(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), number(F.col("refers_to")).alias("refers_to"))
 
 
 OP1_SQL = """
