@@ -5,8 +5,8 @@ numbers, one per length. Best-fit decreasing runs on those: lengths from long to
 tightest open bin, found by a segment tree over remaining capacities. All bins of one
 capacity are alike, so a step places as many pieces as go into that class of bins; it puts every
 piece where placing them one by one would. The resulting plan has a few rows per length whatever
-the size of the corpus. Pieces are ranked within their length by prefix sums over partitions and
-look up their place in the plan.
+the size of the corpus. Pieces are ranked within their length by prefix sums over parts, the scan tasks that made
+them; each part meets its sums, one number per length, by a shuffle and looks up its pieces' places in the plan.
 
 Nulls and so on: a null text is empty and makes one piece, the end token alone; rows that share a doc_id,
 and rows with a null one, are packed each for itself; extra columns are ignored; an empty table gives an empty result.
@@ -145,17 +145,20 @@ def pieces(path: str, seq_len: int):
     return run
 
 
-def placed(rows: list[tuple[int, int, int, int, int]]):
+def placed(rows: list[tuple[int, int, int, int, int]], seq_len: int):
+    """Places a part's pieces: of its row of numbers, how many pieces of each length come before in earlier parts, and the plan."""
     table = np.array(sorted(rows), np.int64).reshape(-1, 5)
     keys = (table[:, 0] << 48) + table[:, 1]
 
-    def run(batches):
-        for batch in batches:
-            length, rank = batch.column("length").to_numpy(), batch.column("rank").to_numpy()
-            r = table[np.searchsorted(keys, (length << 48) + rank, "right") - 1]
-            nth = rank - r[:, 1]
-            columns = {k: batch.column(k) for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
-            yield pa.RecordBatch.from_pydict(columns | {"sequence_id": pa.array(r[:, 2] + nth // r[:, 4]), "offset": pa.array(r[:, 3] + nth % r[:, 4] * length)})
+    def run(pieces: pa.Table, before: pa.Table) -> pa.Table:
+        above = np.zeros(seq_len + 1, np.int64)
+        above[before.column("length").to_numpy()] = before.column("before").to_numpy()
+        length = pieces.column("length").to_numpy()
+        rank = pieces.column("rank").to_numpy() + above[length]
+        r = table[np.searchsorted(keys, (length << 48) + rank, "right") - 1]
+        nth = rank - r[:, 1]
+        columns = {k: pieces.column(k) for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
+        return pa.table(columns | {"sequence_id": pa.array(r[:, 2] + nth // r[:, 4]), "offset": pa.array(r[:, 3] + nth % r[:, 4] * length)})
 
     return run
 
@@ -168,10 +171,10 @@ def pack(docs: DataFrame, seq_len: int = SEQ_LEN, tokenizer: str | None = None)
     # rank is the rank within a task's pieces of that length; those of earlier tasks come before
     per_part = stage.save(made.groupBy("length", "part").agg(F.max("rank").alias("last")).withColumn("n", F.col("last") + 1).drop("last"), "counts")
     counts = {r["length"]: r["n"] for r in per_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # seq_len rows at most
-    before = per_part.select("length", "part", (F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")).alias("before"))
-    ranked = made.join(before, ["length", "part"]).withColumn("rank", F.col("rank") + F.col("before"))
+    before = per_part.select("part", "length", (F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")).alias("before"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(placed(plan(counts, seq_len)), schema)
+    # a part, the pieces of one scan task and seq_len numbers at most, meets its numbers by a shuffle of pieces, not of texts
+    return made.groupBy("part").cogroup(before.groupBy("part")).applyInArrow(placed(plan(counts, seq_len), seq_len), schema)
 
 
 def op5_best_fit_packing(spark, sf_dir: str) -> DataFrame:
