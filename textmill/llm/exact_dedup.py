@@ -1,8 +1,8 @@
 """Exact dedup by a heavy-hitter split.
 
-A Misra-Gries summary of COUNTERS counters per partition, merged, holds every digest that makes up
-more than 1 / COUNTERS of the rows. Those candidates are counted exactly; the verified ones, COUNTERS
-at most, are broadcast and settle their rows where they lie. All other digests, each with a
+A Misra-Gries summary of 4 * COUNTERS counters per partition, merged, holds every digest that makes up
+more than 1 / COUNTERS of the rows. Those candidates are counted exactly; the verified ones, fewer than COUNTERS,
+are broadcast and settle their rows where they lie. All other digests, each with a
 bounded share of the rows, go through an ordinary shuffle of (digest, doc_id).
 
 Texts are equal when they are identical; null counts as empty. Of equal texts the row with the largest
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm._stage import Stage, plain
@@ -42,16 +42,16 @@ def misra_gries(batches, k: int = COUNTERS):
 
 
 def heavy(digests: DataFrame, k: int = COUNTERS) -> DataFrame:
-    """Digests of more than 1 / k of the rows, k at most, with the rows of each and the winner's key.
+    """Digests of more than 1 / k of the rows, so fewer than k, with the rows of each and the winner's key.
 
-    A merged summary undercounts by rows / k at most, so the frequent digests are among those counted
-    here; summaries are merged by adding them up, and only digests that the exact count confirms stay.
+    Summaries have 4 * k counters. Added up, they undercount a digest by rows / (4 * k) at most, so one of more than rows / k has at
+    least three quarters of that left; no more than 4 * k / 3 digests do, and these candidates are counted exactly.
     """
     n = digests.count()
-    summed = digests.select("digest").mapInArrow(lambda b: misra_gries(b, k), "digest string, least long").groupBy("digest").agg(F.sum("least").alias("least"))
-    candidates = summed.orderBy(F.desc("least"), "digest").limit(4 * k)
+    summed = digests.select("digest").mapInArrow(lambda b: misra_gries(b, 4 * k), "digest string, least long").groupBy("digest").agg(F.sum("least").alias("least"))
+    candidates = summed.where(F.col("least") * (4 * k) >= 3 * n)
     exact = digests.join(F.broadcast(candidates.select("digest")), "digest").groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "row_key")).alias("best"))
-    return exact.where(F.col("group_size") * k > n).orderBy(F.desc("group_size"), "digest").limit(k)
+    return exact.where(F.col("group_size") * k > n)
 
 
 def _settled(docs: DataFrame, stage: Stage, k: int) -> DataFrame:
@@ -60,8 +60,9 @@ def _settled(docs: DataFrame, stage: Stage, k: int) -> DataFrame:
     winners = stage.save(heavy(digests, k).coalesce(1), "winners")
     hot = digests.join(F.broadcast(winners), "digest")
     rest = digests.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
-    w = Window.partitionBy("digest")
-    rest = rest.withColumns({"group_size": F.count(F.lit(1)).over(w), "best": F.max(F.struct("doc_id", "row_key")).over(w)})
+    # counts and winners are aggregates, made in part before the shuffle; only digests of several rows are met by a join
+    several = rest.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "row_key")).alias("best")).where("group_size > 1")
+    rest = rest.join(several, "digest", "left").withColumns({"group_size": F.coalesce("group_size", F.lit(1)), "best": F.coalesce("best", F.struct("doc_id", "row_key"))})
     columns = ["doc_id", "row_key", "digest", "group_size", "best"]
     return hot.select(columns).unionByName(rest.select(columns))
 
