@@ -27,9 +27,9 @@ from textmill.llm._lexicon import Lexicon
 from textmill.llm._text import Words, mix, ranges, slices, texts
 
 NONE = np.int32(2**31 - 1)
-#: Widest matrix; longer pieces are merged one by one.
-WIDEST = 256
-_WIDTHS = np.array([2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 24, 32, 64, 128, WIDEST])
+#: Widest matrix. A round costs a row's width, so a piece costs its square; longer pieces are rows of their own, see merge_long.
+WIDEST = 4096
+_WIDTHS = np.array([2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 24, 32, 64, 128, 256, 512, 1024, 2048, WIDEST])
 
 
 class Pairs:
