@@ -6,7 +6,7 @@ from textmill.llm._text import texts
 
 def found(*t):
     data, off = texts(pa.array(t))
-    return [[x for _, _, x in L.match([n for _, _, n in f])] for f in L.recognise(data, off)[1]]
+    return [[x for _, _, x in L.match(f)] for f in L.recognise(data, off)[1]]
 
 
 def commented(lines, mark):
@@ -35,3 +35,30 @@ def test_blank_comment_lines():
         got = found(commented(mit, mark), "/*\n" + commented(mit, mark) + "\n */")
         assert got == [["MIT"], ["MIT"]], mark
         assert found(commented(gpl[:4], mark)) == [["GPL-3.0-or-later"]], mark
+
+
+def test_versions_reserved_rights_and_distance():
+    spdx = "SPDX-License-Identifier: "
+    names = [f"{x}-{k}" for x in ("GPL-2.0", "GPL-3.0", "LGPL-3.0", "AGPL-3.0") for k in ("only", "or-later")]
+    assert found(*[spdx + x for x in names]) == [[x] for x in names]
+    assert found("All rights reserved.", "Copyright X. All rights reserved.\n\n" + "\n".join(bsd(("1.", "2.", "3."), True))) == [["Proprietary"], ["BSD-3-Clause"]]
+    far = L.MIT_GRANT + "\n\n" + "other words here. " * 400 + "\n\n" + L.SENTENCES["as-is"][1]
+    assert found(far) == [["MIT"]]
+    data, off = texts(pa.array([far, L.MIT_GRANT + "\n\n" + L.MIT_NOTICE + "\n\n" + L.SENTENCES["as-is"][1]]))
+    assert [[m[:2] for m in L.match(f)] for f in L.recognise(data, off)[1]] == [[(0, 1)], [(0, 3)]]
+
+
+def test_apache_notice_once():
+    notice = ["Licensed under the Apache License, Version 2.0 (the \"License\");", "you may not use this file except in compliance with the License.", "You may obtain a copy of the License at", "", "    http://www.apache.org/licenses/LICENSE-2.0"]
+    for mark in ("", "#", " *"):
+        assert found(commented(notice, mark) if mark else "\n".join(notice)) == [["Apache-2.0"]]
+
+
+def test_against_every_sentence(spark):
+    """Empty table, nulls, repeated rows, extra columns and a very long text."""
+    line = "Released under the MIT License."
+    rows = [(1, None, "a"), (2, "", "b"), (3, line, "c"), (3, line, "c"), (None, "x\n" * 300_000 + line + "\n" + "y " * 300_000, "d")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, licences string")
+    got = sorted(((r.doc_id or 0, list(r.licences)) for r in L.scan(d).collect()))
+    assert got == [(0, ["MIT"]), (1, []), (2, []), (3, ["MIT"]), (3, ["MIT"])]
+    assert L.scan(d.limit(0)).count() == 0

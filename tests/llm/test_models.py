@@ -57,7 +57,7 @@ def test_licences():
     t = ["Foo bar.\nLicensed under CC BY-NC 4.0.\nmore", "xx&&& yy\nReleased under the MIT License.", None, "", "/*\n * " + notice + "\n */", "All rights reserved. Licensed under the Apache License, Version 2.0.", "licensed under nothing.", "word " * 5000 + "\nMIT License\n"]
     data, off = texts(pa.array(t))
     _, found = license_scan.recognise(data, off)
-    got = [[x for _, _, x in license_scan.match([n for _, _, n in f])] for f in found]
+    got = [[x for _, _, x in license_scan.match(f)] for f in found]
     assert got == [["CC-BY-NC-4.0"], ["MIT"], [], [], ["MIT"], ["Proprietary", "Apache-2.0"], [], ["MIT"]]
 
 

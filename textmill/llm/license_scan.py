@@ -15,6 +15,7 @@ themselves; extra columns are ignored; an empty table gives an empty result. Who
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from functools import lru_cache
 
 import numpy as np
@@ -23,7 +24,10 @@ from pyspark.sql import DataFrame
 
 from textmill.llm._text import Words, member, slices, spans, texts, whole
 
-GAP = 2
+#: Other known sentences, and bytes, between two sentences of a rule at most.
+GAP, REACH = 2, 2000
+#: What a text states that has no other licence and reserves all rights.
+RESERVED = "Proprietary"
 # Sentences of public licence notices, as their authors publish them.
 MIT_GRANT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
 MIT_NOTICE = "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
@@ -35,14 +39,18 @@ SENTENCES = {
     "apache-grant": ["Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.", "Licensed under the Apache License, Version 2.0 (the \"License\");", "Licensed under the Apache License, Version 2.0 (the \"License\")"],
     "apache-use": ["you may not use this file except in compliance with the License."],
     "apache-copy": ["You may obtain a copy of the License at", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"],
-    "gpl3-line": ["This work is licensed under the GNU General Public License, version 3.", "Licensed under the GNU General Public License, version 3.", "Licensed under the GNU GPL, version 3.", "SPDX-License-Identifier: GPL-3.0-only", "SPDX-License-Identifier: GPL-3.0-or-later"],
-    "gpl2-line": ["This work is licensed under the GNU General Public License, version 2.", "Licensed under the GNU General Public License, version 2.", "SPDX-License-Identifier: GPL-2.0-only", "SPDX-License-Identifier: GPL-2.0-or-later"],
+    "gpl3-line": ["This work is licensed under the GNU General Public License, version 3.", "Licensed under the GNU General Public License, version 3.", "Licensed under the GNU GPL, version 3.", "SPDX-License-Identifier: GPL-3.0-only"],
+    "gpl3-later-line": ["SPDX-License-Identifier: GPL-3.0-or-later"],
+    "gpl2-line": ["This work is licensed under the GNU General Public License, version 2.", "Licensed under the GNU General Public License, version 2.", "SPDX-License-Identifier: GPL-2.0-only"],
+    "gpl2-later-line": ["SPDX-License-Identifier: GPL-2.0-or-later"],
     "gpl3-grant": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
     "gpl2-grant": ["This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."],
     "gpl-hope": ["This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."],
     "gpl-see": ["See the GNU General Public License for more details."],
-    "lgpl-line": ["Licensed under the GNU Lesser General Public License, version 3.", "SPDX-License-Identifier: LGPL-3.0-only", "SPDX-License-Identifier: LGPL-3.0-or-later"],
-    "agpl-line": ["Licensed under the GNU Affero General Public License, version 3.", "SPDX-License-Identifier: AGPL-3.0-only", "SPDX-License-Identifier: AGPL-3.0-or-later"],
+    "lgpl-line": ["Licensed under the GNU Lesser General Public License, version 3.", "SPDX-License-Identifier: LGPL-3.0-only"],
+    "lgpl-later-line": ["SPDX-License-Identifier: LGPL-3.0-or-later"],
+    "agpl-line": ["Licensed under the GNU Affero General Public License, version 3.", "SPDX-License-Identifier: AGPL-3.0-only"],
+    "agpl-later-line": ["SPDX-License-Identifier: AGPL-3.0-or-later"],
     "bsd-use": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"],
     "bsd-source": ["Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."],
     "bsd-binary": ["Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."],
@@ -58,17 +66,23 @@ SENTENCES = {
     "cc-by-sa-line": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "SPDX-License-Identifier: CC-BY-SA-4.0"],
     "cc-by-nc-line": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "SPDX-License-Identifier: CC-BY-NC-4.0"],
     "cc-by-nd-line": ["Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."],
-    "as-is": ["The software is provided \"as is\", without warranty of any kind."],
+    "as-is": [
+        "The software is provided \"as is\", without warranty of any kind.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
+    ],
     "reserved": ["All rights reserved."],
 }
 # Licences by the identifiers that state them, the more telling rule first.
 RULES = [
-    ("MIT", ("mit-line", "mit-grant", "mit-notice")), ("MIT", ("mit-grant", "mit-notice")), ("Apache-2.0", ("apache-grant", "apache-use", "apache-copy")), ("Apache-2.0", ("apache-grant", "apache-copy")), ("Apache-2.0", ("apache-grant",)),
+    ("MIT", ("mit-line", "mit-grant", "mit-notice", "as-is")), ("MIT", ("mit-grant", "mit-notice", "as-is")), ("MIT", ("mit-line", "mit-grant", "mit-notice")), ("MIT", ("mit-grant", "mit-notice")), ("MIT", ("mit-grant", "as-is")), ("Apache-2.0", ("apache-grant", "apache-use", "apache-copy")), ("Apache-2.0", ("apache-grant", "apache-copy")), ("Apache-2.0", ("apache-grant",)),
     ("GPL-3.0-or-later", ("gpl3-grant", "gpl-hope", "gpl-see")), ("GPL-2.0-or-later", ("gpl2-grant", "gpl-hope", "gpl-see")), ("GPL-3.0-or-later", ("gpl3-grant",)), ("GPL-2.0-or-later", ("gpl2-grant",)),
-    ("BSD-3-Clause", ("bsd-use", "bsd-source", "bsd-binary", "bsd-name")), ("BSD-2-Clause", ("bsd-use", "bsd-source", "bsd-binary")), ("MPL-2.0", ("mpl-line", "mpl-copy")),
+    ("BSD-3-Clause", ("bsd-use", "bsd-source", "bsd-binary", "bsd-name", "as-is")), ("BSD-3-Clause", ("bsd-use", "bsd-source", "bsd-binary", "bsd-name")), ("BSD-2-Clause", ("bsd-use", "bsd-source", "bsd-binary", "as-is")), ("ISC", ("isc-grant", "as-is")), ("BSD-2-Clause", ("bsd-use", "bsd-source", "bsd-binary")), ("MPL-2.0", ("mpl-line", "mpl-copy")),
     ("MIT", ("mit-line",)), ("MIT", ("mit-grant",)), ("Apache-2.0", ("apache-line",)), ("GPL-3.0-only", ("gpl3-line",)), ("GPL-2.0-only", ("gpl2-line",)), ("LGPL-3.0-only", ("lgpl-line",)), ("AGPL-3.0-only", ("agpl-line",)),
+    ("GPL-3.0-or-later", ("gpl3-later-line",)), ("GPL-2.0-or-later", ("gpl2-later-line",)), ("LGPL-3.0-or-later", ("lgpl-later-line",)), ("AGPL-3.0-or-later", ("agpl-later-line",)),
     ("BSD-3-Clause", ("bsd3-line",)), ("BSD-2-Clause", ("bsd2-line",)), ("ISC", ("isc-grant",)), ("MPL-2.0", ("mpl-line",)), ("Unlicense", ("unlicense",)), ("CC0-1.0", ("cc0-line",)),
-    ("CC-BY-4.0", ("cc-by-line",)), ("CC-BY-SA-4.0", ("cc-by-sa-line",)), ("CC-BY-NC-4.0", ("cc-by-nc-line",)), ("CC-BY-ND-4.0", ("cc-by-nd-line",)), ("Proprietary", ("reserved",)),
+    ("CC-BY-4.0", ("cc-by-line",)), ("CC-BY-SA-4.0", ("cc-by-sa-line",)), ("CC-BY-NC-4.0", ("cc-by-nc-line",)), ("CC-BY-ND-4.0", ("cc-by-nd-line",)), (RESERVED, ("reserved",)),
 ]
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -155,19 +169,33 @@ def recognise(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[l
             k = int(np.searchsorted(keys, s.hash[i]))
             if normalised(data[s.start[i] : s.end[i]].tobytes().decode("utf-8", "replace")) == words[k]:
                 found[s.doc[i]].setdefault((int(s.start[i]), int(s.end[i])), names[k])
-    return count, [sorted((a, b, n) for (a, b), n in f.items()) for f in found]
+    return count, [_apart(f) for f in found]
 
 
-def match(ids: list[str]) -> list[tuple[int, int, str]]:
-    """(first, end, licence) of the rules' matches in a sequence of identifiers, by place."""
-    used, out = [False] * len(ids), []
+def _apart(found: dict[tuple[int, int], str]) -> list[tuple[int, int, str]]:
+    """The sentences that overlap no longer one, in order."""
+    out: list[tuple[int, int, str]] = []
+    for (a, b), name in sorted(found.items(), key=lambda x: (x[0][0] - x[0][1], x[0][0])):
+        i = bisect_left(out, (a, b))
+        if (i == 0 or out[i - 1][1] <= a) and (i == len(out) or b <= out[i][0]):
+            insort(out, (a, b, name))
+    return out
+
+
+def match(found: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """(first, end, licence) of the rules' matches in a sequence of (first byte, end byte, identifier), by place."""
+    ids = [name for _, _, name in found]
+    used, out, where = [False] * len(ids), [], {}
+    for i, x in enumerate(ids):
+        where.setdefault(x, []).append(i)
     for licence, rule in RULES:
-        for i, x in enumerate(ids):
-            if x != rule[0] or used[i]:
-                continue
-            at = [i]
-            for want in rule[1:]:
-                j = next((j for j in range(at[-1] + 1, min(len(ids), at[-1] + 2 + GAP)) if ids[j] == want and not used[j]), None)
+        if not all(x in where for x in rule):
+            continue
+        for i in where[rule[0]]:
+            at = [] if used[i] else [i]
+            for want in rule[1:] if at else ():
+                near = range(at[-1] + 1, min(len(ids), at[-1] + 2 + GAP))
+                j = next((j for j in near if ids[j] == want and not used[j] and found[j][0] - found[at[-1]][1] <= REACH), None)
                 if j is None:
                     break
                 at.append(j)
@@ -175,6 +203,8 @@ def match(ids: list[str]) -> list[tuple[int, int, str]]:
                 for j in at:
                     used[j] = True
                 out.append((at[0], at[-1] + 1, licence))
+    if any(x != RESERVED for _, _, x in out):
+        out = [x for x in out if x[2] != RESERVED]
     return sorted(out)
 
 
@@ -190,7 +220,7 @@ def _scan(batches):
             count, found = recognise(data[off[a] : off[b]], base)
             matches = []
             for i, f in enumerate(found):
-                m = match([n for _, _, n in f]) if f else []
+                m = match(f) if f else []
                 matches.append([{"licence": x, "first_byte": f[s][0] - int(base[i]), "end_byte": f[e - 1][1] - int(base[i])} for s, e, x in m])
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id").slice(a, b - a), "n_sentences": pa.array(count, pa.int64()), "n_known": pa.array([len(f) for f in found], pa.int64()),
