@@ -159,3 +159,82 @@ def test_class_lm(spark, unit):
         assert math.isclose(r.base_score, sum(math.log10((c[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w), rel_tol=1e-9)
     h = [r for r in got if r.held_out]
     assert sum(r.score for r in h) > sum(r.base_score for r in h)
+
+
+def _score_by_hand(rows, out, n_classes, passes):
+    """Scores of rows (doc_id, text), one word after the other; the likelihoods before each pass."""
+    from textmill.llm._text import mix, spans
+
+    low = lambda t: [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in WORD.findall(t or "")] + ["\n"]
+    hashed = lambda w: int(mix(spans(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(w.encode())])), 1)[0].astype(np.int64))
+    train = [low(t) for i, t in rows if not out[i]]
+    count = {}
+    for w in itertools.chain(*train):
+        count[w] = count.get(w, 0) + 1
+    first = sorted((w for w in count if w != "\n"), key=lambda w: (-count[w], hashed(w)))[: n_classes - 2]
+    of = {w: n_classes - 1 for w in count} | {w: i + 1 for i, w in enumerate(first)} | {"\n": 0}
+
+    def bigrams(of):
+        m = np.zeros((n_classes, n_classes), np.int64)
+        for t in train:
+            for a, b in zip(["\n", *t], t):
+                m[of[a], of[b]] += 1
+        return m
+
+    rose = []
+    for _ in range(passes):
+        m = bigrams(of)
+        rose.append(class_lm.likelihood(m))
+        r, new = class_lm.log_ratios(m).astype(np.float32), {"\n": 0}
+        for w in count.keys() - {"\n"}:
+            gain = np.zeros(n_classes, np.float32)
+            for t in train:
+                for a, x, b in zip(["\n", *t], t, t[1:]):
+                    if x == w:
+                        gain += r[of[a]] + r[:, of[b]]
+            gain[0] = -np.inf
+            new[w] = of[w] if of[w] and gain[of[w]] >= gain.max() - 1e-4 else int(gain.argmax())
+        if class_lm.likelihood(bigrams(new)) < rose[-1]:
+            break
+        of = new
+    n1, n2 = (sum(n == k for n in count.values()) for k in (1, 2))
+    types = np.bincount([of[w] for w in count], minlength=n_classes)
+    model = class_lm.ClassModel(bigrams(of), types, sum(count.values()), len(count), n1 / (n1 + 2 * n2) if n1 and n2 else 0.5)
+    scores = []
+    for _, t in rows:
+        before, total = 0, 0.0
+        for w in low(t):
+            c = of.get(w, n_classes)
+            total += model.logs(np.array([count.get(w, 0)]), np.array([before]), np.array([min(c, n_classes - 1)]))[1][0]
+            before = c
+        scores.append(total)
+    return scores, rose
+
+
+def test_class_lm_by_hand(spark, caplog):
+    """Whole scores against the same algorithm word by word; repeated rows, a very long text, extra columns, an empty table."""
+    rng = random.Random(5)
+    grammar = [["the", "A", "one"], ["cat", "dog", "bird", "fish"], ["sees", "hears"], ["the", "a"], ["tree", "sky", "sea"]]
+    rows = [(i, " ".join(rng.choice(g) for g in grammar * rng.randint(1, 4))) for i in range(60)] + [(60, None), (7, "the zebra"), (7, "the zebra"), (61, "the cat " * 3000)]
+    out = {i: i % 5 == 1 for i, _ in rows}
+    d = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, score string")
+    with caplog.at_level("INFO", class_lm.__name__):
+        got = class_lm.scored(d, F.col("doc_id") % 5 == 1, n_classes=7, unit_bytes=700).collect()
+    want, rose = _score_by_hand(rows, out, 7, class_lm.PASSES)
+    key = lambda x: (x[0], x[1])
+    for (i, x), (j, y) in zip(sorted(((r.doc_id, r.score) for r in got), key=key), sorted(zip((i for i, _ in rows), want), key=key), strict=True):
+        assert i == j and math.isclose(x, y, rel_tol=1e-6)
+    logged, kept = caplog.records[-1].args
+    assert np.allclose(logged, rose) and kept >= logged[0]
+    assert class_lm.scored(d.limit(0), F.lit(False)).count() == 0
+
+
+def test_quality_and_language_of_nothing_and_of_repeated_rows(spark):
+    rows = _languages(spark) + [(5, "the house", "en"), (5, "the house", "en"), (90, "the open windows " * 60_000, None)]
+    d = spark.createDataFrame([(i, t, la, "x") for i, t, la in rows], "doc_id long, text string, lang string, score string")
+    model = language_id.fit(d)
+    assert language_id.identify(d.limit(0), model).count() == 0
+    got = [r for r in language_id.identify(d.select("doc_id", "text"), model).collect() if r.doc_id in (5, 90)]
+    assert sorted((r.doc_id, r.lang_pred) for r in got)[-1] == (90, "en") and len(got) == 4
+    kept = language_id.keep(d, model)
+    assert kept.columns == d.columns and {r.score for r in kept.collect()} == {"x"}

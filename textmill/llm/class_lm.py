@@ -5,7 +5,8 @@ most frequent words begin in classes of their own and all others in one; then, P
 exchanged into the class that most raises the likelihood of the class bigrams, that is, the sum over its neighbours'
 classes of the log ratio of a class pair's count to what its classes' counts alone lead to expect. All words move on the same
 frozen class bigram counts, so a pass is one exchange between units of text and buckets of words; no
-vocabulary, and no table of word bigrams, is held in one place. Every word of the training texts
+vocabulary, and no table of word bigrams, is held in one place. Such moves can lower the likelihood; a pass counts only if it
+raises that of the class bigrams, else the classes before it stay and clustering ends. Every word of the training texts
 takes part, whatever its count.
 
 Smoothing: transitions lean on class counts; emissions are discounted by a constant from the counts of counts, and
@@ -22,6 +23,7 @@ result, and without training texts every score is 0 or that of the unknown word.
 
 from __future__ import annotations
 
+import logging
 import struct
 
 import numpy as np
@@ -30,9 +32,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm._stage import Stage, width
+from textmill.llm import _chunks as C
+from textmill.llm._stage import Stage
 from textmill.llm._text import Words, mix, pack, pack_sorted, slices, spans, texts, unpack, unpack_sorted
 
+log = logging.getLogger(__name__)
 UNIT, CLASSES, PASSES, LAMBDA, PRIOR = 12 << 20, 64, 2, 0.95, 20.0
 END = np.uint64(1)  # in place of the end token's hash
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -81,11 +85,6 @@ def _units(unit_bytes: int):
     return run
 
 
-def cuts(vocab: np.ndarray, n_buckets: int) -> np.ndarray:
-    """Where each bucket's words begin in a sorted vocabulary."""
-    return np.searchsorted(((vocab >> np.uint64(16)) * np.uint64(n_buckets)) >> np.uint64(48), np.arange(n_buckets + 1).astype(np.uint64))
-
-
 SENT = "bucket int, unit long, a binary, b binary"
 
 
@@ -94,7 +93,7 @@ def _send_counts(n_buckets: int):
         for batch in batches:
             for unit, v, t in zip(*(batch.column(c).to_pylist() for c in ("unit", "vocab", "train"))):
                 vocab, train = unpack_sorted(v), unpack(t, np.uint32)
-                at = cuts(vocab, n_buckets)
+                at = C.cuts(vocab, n_buckets)
                 rows = np.flatnonzero(np.diff(at)).tolist()
                 yield pa.RecordBatch.from_pydict({"bucket": pa.array(rows, pa.int32()), "unit": pa.array([unit] * len(rows), pa.int64()), "a": pa.array([pack_sorted(vocab[at[i] : at[i + 1]]) for i in rows], pa.binary()), "b": pa.array([pack(train[at[i] : at[i + 1]]) for i in rows], pa.binary())})
 
@@ -178,7 +177,7 @@ def _profiles(u: Unit, classes: np.ndarray, n_buckets: int, n_classes: int) -> p
     n = np.diff(np.r_[begin, len(keys)])
     keys = keys[begin]
     word, code = keys // (2 * n_classes), (keys % (2 * n_classes)).astype(np.uint8)
-    at = cuts(u.vocab, n_buckets)
+    at = C.cuts(u.vocab, n_buckets)
     to = np.searchsorted(word, at)
     per_word = np.bincount(word, minlength=len(u.vocab))
     rows = np.flatnonzero(np.diff(at)).tolist()
@@ -187,13 +186,20 @@ def _profiles(u: Unit, classes: np.ndarray, n_buckets: int, n_classes: int) -> p
     return pa.table({"bucket": pa.array([*rows, -1], pa.int32()), "unit": pa.array([u.id] * (len(rows) + 1), pa.int64()), "a": pa.array([*a, None], pa.binary()), "b": pa.array([*b, pack(_matrix(u, classes, n_classes))], pa.binary())})
 
 
+def likelihood(m: np.ndarray) -> float:
+    """Of class bigrams, but for what no classes change: the sum of n ln n over pairs, less that over first and over second classes."""
+    part = lambda n: float((n[n > 0] * np.log(n[n > 0])).sum())
+    m = m.astype(np.float64)
+    return part(m) - part(m.sum(axis=0)) - part(m.sum(axis=1))
+
+
 def log_ratios(m: np.ndarray) -> np.ndarray:
     """log of a class pair's count to the expected one, both a little raised."""
     m = m.astype(np.float64) + 0.1
     return np.log(m * m.sum() / (m.sum(axis=1, keepdims=True) * m.sum(axis=0, keepdims=True)))
 
 
-def _exchange(matrix: np.ndarray, n_classes: int):
+def _exchange(matrix: np.ndarray, n_classes: int, move: bool = True):
     r = log_ratios(matrix)
 
     def run(group: pa.Table) -> pa.Table:
@@ -216,6 +222,8 @@ def _exchange(matrix: np.ndarray, n_classes: int):
         best = gain.argmax(axis=1).astype(np.uint8)
         stay = (gain[np.arange(len(words)), old] >= gain.max(axis=1)) & (old > 0)
         best[stay] = old[stay]
+        if not move:
+            best = old
         best[words == END] = 0
         types = np.bincount(best[profile.any(axis=1)], minlength=n_classes)  # a word of the training texts has a class before it
         return pa.table({"unit": group.column("unit"), "bucket": group.column("bucket"), "classes": pa.array([pack(best[inverse[x:y]]) for x, y in zip(at[:-1], at[1:])], pa.binary()), "types": pa.array([pack(types)] + [None] * (group.num_rows - 1), pa.binary())})
@@ -257,8 +265,9 @@ def scored(docs: DataFrame, held, n_classes: int = CLASSES, passes: int = PASSES
     """Per row of (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. `held`: which rows not to learn from."""
     spark = docs.sparkSession
     stage = Stage(spark, "classlm")
+    unit_bytes = C.chunk_size(C.measure(docs)[1], unit_bytes)
     units = stage.save(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held.alias("held")).mapInArrow(_units(unit_bytes), UNITS), "units", "none")
-    n_buckets = min(1 << 15, max(2 * units.select("unit").count(), width(spark)))
+    n_buckets = C.buckets(2 * units.select("unit").count(), spark)
     counted = stage.save(units.select("unit", "vocab", "train").mapInArrow(_send_counts(n_buckets), SENT).groupBy("bucket").applyInArrow(_count(n_classes), COUNTED), "counted", "none")
     n_types, n1, n2, n_tokens = (int(x or 0) for x in counted.agg(*[F.sum(c) for c in ("n_types", "n1", "n2", "n_tokens")]).first())
     top = counted.select(F.explode("top").alias("t")).select("t.*").orderBy(F.desc("n"), "hash").limit(n_classes - 2).collect()
@@ -276,21 +285,40 @@ def scored(docs: DataFrame, held, n_classes: int = CLASSES, passes: int = PASSES
         return _profiles(u, gathered(answers, "classes", np.uint8), n_buckets, n_classes)
 
     answered = "unit long, bucket int, classes binary, types binary"
+    rose: list[float] = []  # likelihoods of the classes before each pass
+    classes = before = None
     for i in range(passes):
         made = units.mapInArrow(first_pass, SENT) if i == 0 else units.groupBy("unit").cogroup(classes.groupBy("unit")).applyInArrow(later_pass, SENT)
         made = stage.save(made, f"profiles{i}", "none")
         matrix = _summed(made.where("bucket = -1"), n_classes**2).reshape(n_classes, n_classes)
-        classes = stage.save(made.where("bucket >= 0").groupBy("bucket").applyInArrow(_exchange(matrix, n_classes), answered), f"classes{i}", "none")
-        stage.drop(f"profiles{i}", *[f"classes{i - 1}"] * (i > 0))
-    both = counted.select("unit", "bucket", "counts").join(classes.drop("types"), ["unit", "bucket"])
-    both = stage.save(both, "model", "none")
+        rose.append(likelihood(matrix))
+        if i and rose[i] <= rose[i - 1]:
+            stage.drop(f"profiles{i}")
+            classes, before = before, classes
+            break
+        before, classes = classes, stage.save(made.where("bucket >= 0").groupBy("bucket").applyInArrow(_exchange(matrix, n_classes), answered), f"classes{i}", "none")
+        stage.drop(f"profiles{i}", *[f"classes{i - 2}"] * (i > 1))
+
+    def as_seeded() -> DataFrame:
+        made = units.mapInArrow(first_pass, SENT).where("bucket >= 0")
+        return stage.save(made.groupBy("bucket").applyInArrow(_exchange(np.zeros((n_classes, n_classes), np.int64), n_classes, False), answered), "seeded", "none")
 
     def figures(rows: pa.Table, answers: pa.Table) -> pa.Table:
         u = Unit(rows.to_pylist()[0])
         c = gathered(answers, "classes", np.uint8)
         return pa.table({"unit": pa.array([u.id]), "b": pa.array([pack(_matrix(u, c, n_classes))], pa.binary())})
 
-    matrix = _summed(units.groupBy("unit").cogroup(both.groupBy("unit")).applyInArrow(figures, "unit long, b binary"), n_classes**2).reshape(n_classes, n_classes)
+    def settled(classes: DataFrame, name: str) -> tuple[DataFrame, np.ndarray]:
+        both = stage.save(counted.select("unit", "bucket", "counts").join(classes.drop("types"), ["unit", "bucket"]), name, "none")
+        return both, _summed(units.groupBy("unit").cogroup(both.groupBy("unit")).applyInArrow(figures, "unit long, b binary"), n_classes**2).reshape(n_classes, n_classes)
+
+    if classes is None:
+        classes = as_seeded()
+    both, matrix = settled(classes, "model")
+    if rose and likelihood(matrix) < rose[-1]:  # the last pass lowered it
+        classes = before if before is not None else as_seeded()
+        both, matrix = settled(classes, "model_before")
+    log.info("class bigram likelihood by pass: %s, kept: %s", rose, likelihood(matrix))
     types = _summed(classes.where("types IS NOT NULL").select("unit", F.col("types").alias("b")), n_classes)
     d = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
     model = ClassModel(matrix, types, n_tokens, n_types, d)
