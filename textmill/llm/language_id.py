@@ -29,7 +29,7 @@ from textmill.llm._text import SLICE, Words, mix, pack, ranges, slices, spans, t
 
 PER_LANG, BITS, PENALTY, FLOOR = 2000, 16, 6.0, -12.0
 #: Slices of text decoded at once, times languages: a step of Viterbi is the dearer the fewer texts it moves.
-TOGETHER = 32
+TOGETHER = 8
 #: A language uses a script that makes up this share of its letters.
 USES = 0.01
 # First code points of the ranges of scripts, by the Unicode blocks.
