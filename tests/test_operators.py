@@ -229,3 +229,12 @@ def test_stream(spark, tmp_path):
         exact.filtered_stream(spark.readStream.schema(schema).parquet(src), out, at).awaitTermination()
     got = sorted(r.doc_id for r in spark.read.parquet(out).collect())
     assert got == ["1", "4"]
+
+
+def test_drawn_cuts(spark):
+    d = spark.range(2000).selectExpr("id", "sequence(1, 10) AS ids")
+    a, b = pack.middle_cuts("ids", 3, "id")
+    got = [tuple(r) for r in d.select(a, b).collect()]
+    assert all(0 < x < y < 10 for x, y in got) and len(set(got)) == 36 and got == [tuple(r) for r in d.select(a, b).collect()]
+    moved = d.select(pack.fill_in_middle("ids", a, b, 91, 92, 93).alias("x")).first().x
+    assert len(moved) == 10 and moved[0] == 91 and 92 in moved

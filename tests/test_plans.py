@@ -27,6 +27,8 @@ def test_tokenizer_corpus(spark):
     assert {r[0]: r[1] for r in twice}["filtered_web"] == 202
     with pytest.raises(ValueError):
         pipeline.tokenizer_corpus(docs.limit(1), 1000)
+    numbers = pipeline.tokenizer_corpus(docs, 1000, allow_missing=True, n_numbers=24, seed=1).where("domain = 'numbers'").collect()
+    assert len({r.text for r in numbers}) == 24 and all(r.text.endswith("\n") and r.bytes_used == len(r.text.encode()) for r in numbers)
 
 
 def test_normalise_to_pack(spark, tmp_path):

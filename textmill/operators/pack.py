@@ -187,6 +187,15 @@ def fill_in_middle(ids, a, b, prefix_id: int | None, suffix_id: int | None, midd
     return F.when(n < 8, ids).otherwise(F.slice(parts, F.lit(1), n))
 
 
+def middle_cuts(ids, seed: int, *keys: str) -> tuple[Column, Column]:
+    """Cut points a < b for fill_in_middle, neither at an end, drawn by a hash of seed and key columns: any two places are as likely."""
+    n = F.greatest(F.size(ids) - 1, F.lit(2))  # places inside the row
+    first = F.pmod(F.xxhash64(F.lit("first"), F.lit(seed), *keys), n)
+    other = F.pmod(F.xxhash64(F.lit("other"), F.lit(seed), *keys), n - 1)
+    other = F.when(other < first, other).otherwise(other + 1)
+    return (F.least(first, other) + 1).cast("int"), (F.greatest(first, other) + 1).cast("int")
+
+
 def labels(ids) -> Column:
     """What follows each token; -100 after the last."""
     ids = F.col(ids) if isinstance(ids, str) else ids

@@ -57,9 +57,10 @@ def mix_report(spark: SparkSession, m: Manifest, root: str | None = None, most_d
     return report
 
 
-def tokenizer_corpus(docs: DataFrame, target_bytes: int, boost_code: float = 1.0, boost_math: float = 1.0, passes: int = 1, allow_missing: bool = False) -> DataFrame:
+def tokenizer_corpus(docs: DataFrame, target_bytes: int, boost_code: float = 1.0, boost_math: float = 1.0, passes: int = 1, allow_missing: bool = False, n_numbers: int = 0, seed: int = 0) -> DataFrame:
     """(domain, ord, text, bytes_used): lines in NFC by domain until budgets are filled; a second pass takes rows again where the first
-    leaves a budget open. A domain without a byte is an error unless allowed."""
+    leaves a budget open. A domain without a byte is an error unless allowed. n_numbers lines of numbers are added as the domain `numbers`,
+    beyond the budgets."""
     budgets = mix.boosted_budgets(target_bytes, boost_code, boost_math)
     d = docs.select("ord", transforms.canonical_domain("domain", unknown=True).alias("domain"), nfc_line(F.coalesce("text", F.lit(""))).alias("text"))
     if passes > 1:
@@ -70,6 +71,9 @@ def tokenizer_corpus(docs: DataFrame, target_bytes: int, boost_code: float = 1.0
         have = {r[0] for r in out.select("domain").distinct().collect()}
         if missing := sorted(set(budgets) - have):
             raise ValueError(f"no text for {missing}")
+    if n_numbers:
+        lines = [("numbers", i, x, len(x.encode())) for i, x in enumerate(mix.number_lines(n_numbers, seed))]
+        out = out.unionByName(docs.sparkSession.createDataFrame(lines, "domain string, ord long, text string, bytes_used long"))
     return out
 
 
