@@ -382,8 +382,10 @@ def shuffled_order(spark, sf):
 
 @query()
 def sampler_plan(spark, sf):
-    sources = {d: {f"src{i}": 0.25 for i in range(4)} for d in ("en", "de", "fr", "es")}
-    return mix.sampler_plan(docs(spark, sf), {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}, sources, 200, seed=1, repeat=True)
+    d = docs(spark, sf)
+    have = {(r.domain, r.source) for r in d.select("domain", "source").distinct().collect()}  # a row per source
+    sources = {x: {f"src{i}": 0.25 for i in range(4) if (x, f"src{i}") in have} for x in ("en", "de", "fr", "es")}
+    return mix.sampler_plan(d, {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}, sources, 200, seed=1, repeat=True)
 
 
 _SHARES = {(d, f"src{i}"): w * 0.25 for d, w in (("en", 0.4), ("de", 0.2), ("fr", 0.2), ("es", 0.2)) for i in range(4)}
