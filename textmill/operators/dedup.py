@@ -33,7 +33,7 @@ def _copies(docs: DataFrame, scope: str) -> DataFrame:
     """(ord, first_id, is_copy) from digests alone: texts do not move to be compared. The first of a text is an aggregate, made in
     part before the shuffle; rows meet it by a join, whose hot keys adaptive execution splits."""
     key = F.sha2(F.concat_ws("\x01", scope_key(scope), collapse(F.coalesce("text", F.lit("")))), 256)
-    keyed = docs.select("ord", "doc_id", key.alias("_key"))
+    keyed = Tables(docs.sparkSession, "copies").save(docs.select("ord", "doc_id", key.alias("_key")), "keys")  # texts are hashed once
     first = keyed.groupBy("_key").agg(F.min("ord").alias("_first"), F.min_by("doc_id", "ord").alias("first_id"))
     return keyed.drop("doc_id").join(first, "_key").select("ord", "first_id", (F.col("ord") > F.col("_first")).alias("is_copy"))
 

@@ -14,9 +14,12 @@ from textmill.operators.transforms import canonical_domain
 
 def sharded(docs: DataFrame, shard_size: int = 5000, block: int = 4096) -> DataFrame:
     """The rows with shard_id, shard_size rows by ord in each. Places are running counts over blocks of ord, not one sorted task, and
-    ord alone goes through them."""
+    texts do not go through them: a frame with texts, best a written one as it is read twice, meets its places by a join."""
     from textmill.operators.mix import running
 
+    if "text" not in docs.columns:
+        d = running(docs.withColumns({"_k": F.lit(0), "_one": F.lit(1)}), "_k", "ord", "_one", block)
+        return d.withColumn("shard_id", F.floor(F.col("before") / shard_size)).drop("_k", "_one", "before")
     d = running(docs.select("ord", F.lit(0).alias("_k"), F.lit(1).alias("_one")), "_k", "ord", "_one", block)
     return docs.join(d.select("ord", F.floor(F.col("before") / shard_size).alias("shard_id")), "ord")
 

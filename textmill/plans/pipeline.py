@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from textmill.functions.text import n_bytes, nfc_line
 from textmill.operators import dedup, filters, mix, pack, reports, transforms
 from textmill.plans.manifest import Manifest
+from textmill.plans.tables import Tables
 from textmill.sources import hub, jsonl
 
 
@@ -28,6 +29,7 @@ def normalise(records: DataFrame, domain: str, source: str, license_tag: str | N
     """(kept documents with shard_id, shard manifest, drops by reason) of records with `ord`."""
     d = transforms.normalise(records, domain, source, license_tag)
     judged = filters.judged(d, filters.DEFAULT if language else filters.WITHOUT_LANGUAGE)
+    judged = Tables(records.sparkSession, "normalise").save(judged, "judged")
     kept = reports.sharded(judged.where("drop_reason IS NULL").drop("drop_reason"), shard_size)
     return kept, reports.shard_manifest(kept), reports.drops(judged)
 
