@@ -128,17 +128,17 @@ def _roots(matches: DataFrame, tables: Tables) -> DataFrame:
             return at
 
 
-def near_decisions(docs: DataFrame, mode: str = "both", scope: str = "per-source", selection: str = "best", threshold: int = 3, bits: int = 64, exact_scope: str = "global") -> DataFrame:
+def near_decisions(docs: DataFrame, mode: str = "both", scope: str = "per-source", selection: str = "best", threshold: int = 3, bits: int = 64, exact_scope: str = "global", prints: Column | None = None) -> DataFrame:
     """Decisions, with ord, on documents with unique `ord`; DECISION has the columns.
 
     mode both drops exact copies first, by exact_scope; near clusters all. selection best keeps of each
-    cluster the highest (quality score, words, id); first the one without a match."""
+    cluster the highest (quality score, words, id); first the one without a match. prints, a column like that of simhash.fingerprints, stands in for the texts' own."""
     if mode not in ("near", "both") or selection not in ("best", "first"):
         raise ValueError(f"mode {mode}, selection {selection}")
     tables = Tables(docs.sparkSession, "dedup")
     url = F.try_element_at("meta", F.lit("url")) if "meta" in docs.columns else None
-    made = docs.select("ord", "doc_id", "source", "domain", scope_key(scope).alias("scope"), F.coalesce("text", F.lit("")).alias("text"), *([url.alias("url")] if url is not None else []))
-    slim = made.withColumns({"s": fingerprints(bits)("text"), "score": quality_score("text", "url" if url is not None else None)})
+    made = docs.select("ord", "doc_id", "source", "domain", scope_key(scope).alias("scope"), F.coalesce("text", F.lit("")).alias("text"), *([prints.alias("s")] if prints is not None else []), *([url.alias("url")] if url is not None else []))
+    slim = made.withColumns({"s": fingerprints(bits)("text") if prints is None else F.col("s"), "score": quality_score("text", "url" if url is not None else None)})
     if mode == "both":
         slim = exact_first(slim, "global") if exact_scope == "global" else exact_first(slim, scope)
     else:
@@ -178,13 +178,13 @@ def kept(docs: DataFrame, decided: DataFrame) -> DataFrame:
     return docs.join(decided.where(~F.col("keep")).select("ord"), "ord", "left_anti")
 
 
-def greedy(docs: DataFrame, threshold: int = 3, bits: int = 64) -> DataFrame:
+def greedy(docs: DataFrame, threshold: int = 3, bits: int = 64, prints: Column | None = None) -> DataFrame:
     """The variant in which only kept documents are indexed: exact copies, then near copies of a kept document, go.
 
     A document is kept if no earlier kept one is within reach, so the kept ones are settled in rounds: whoever has no
     unsettled earlier neighbour left is decided. Neighbours are pairs of fingerprints; rounds follow the longest chain."""
     tables = Tables(docs.sparkSession, "greedy")
-    s = docs.select("ord", "doc_id", F.lit("").alias("scope"), F.coalesce("text", F.lit("")).alias("text")).withColumn("s", fingerprints(bits)("text"))
+    s = docs.select("ord", "doc_id", F.lit("").alias("scope"), F.coalesce("text", F.lit("")).alias("text"), (fingerprints(bits)("text") if prints is None else prints).alias("s"))
     s = tables.save(exact_first(s, "global").select("ord", "doc_id", "scope", "s.*", "is_copy", "first_id"), "slim")
     prints = s.where("NOT is_copy").groupBy("scope", "fp").agg(F.min("ord").alias("first"))
     prints = tables.save(prints, "prints")

@@ -187,11 +187,16 @@ def fill_in_middle(ids, a, b, prefix_id: int | None, suffix_id: int | None, midd
     return F.when(n < 8, ids).otherwise(F.slice(parts, F.lit(1), n))
 
 
+def drawn(*keys) -> Column:
+    """A number below 2 ** 60 that keys fix: the begin of an MD5 digest, so that other engines draw the same."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *[k.cast("string") for k in keys])), 1, 15), 16, 10).cast("long")
+
+
 def middle_cuts(ids, seed: int, *keys: str) -> tuple[Column, Column]:
     """Cut points a < b for fill_in_middle, neither at an end, drawn by a hash of seed and key columns: any two places are as likely."""
     n = F.greatest(F.size(ids) - 1, F.lit(2))  # places inside the row
-    first = F.pmod(F.xxhash64(F.lit("first"), F.lit(seed), *keys), n)
-    other = F.pmod(F.xxhash64(F.lit("other"), F.lit(seed), *keys), n - 1)
+    first = F.pmod(drawn(F.lit("first"), F.lit(seed), *map(F.col, keys)), n)
+    other = F.pmod(drawn(F.lit("other"), F.lit(seed), *map(F.col, keys)), n - 1)
     other = F.when(other < first, other).otherwise(other + 1)
     return (F.least(first, other) + 1).cast("int"), (F.greatest(first, other) + 1).cast("int")
 
@@ -204,7 +209,7 @@ def labels(ids) -> Column:
 
 def sampled_rows(rows: DataFrame, n: int, n_rows: int, seed: int = 0) -> DataFrame:
     """n rows with replacement, as (draw, row, ...): a hash of the draw picks the row."""
-    draws = rows.sparkSession.range(n).select(F.col("id").alias("draw"), F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(n_rows)).alias("row"))
+    draws = rows.sparkSession.range(n).select(F.col("id").alias("draw"), F.pmod(drawn(F.lit("row"), F.lit(seed), F.col("id")), F.lit(n_rows)).alias("row"))
     return draws.join(rows, "row")
 
 
@@ -213,7 +218,7 @@ def mixture(spark, weights: dict[str, float], n: int, seed: int = 0) -> DataFram
     total = sum(weights.values())
     if total <= 0:
         raise ValueError("no weight")
-    u = F.pmod(F.xxhash64(F.lit("pack"), "id", F.lit(seed)), F.lit(1 << 40)) / F.lit(1 << 40)
+    u = drawn(F.lit("pack"), F.lit(seed), F.col("id")) / F.lit(1 << 60)
     names, reached, choice = list(weights), 0.0, None
     for name in names[:-1]:
         reached += weights[name] / total

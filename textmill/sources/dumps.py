@@ -3,17 +3,13 @@
 from __future__ import annotations
 
 import os
-import re
 import tempfile
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 POST = "Id string, PostTypeId string, ParentId string, AcceptedAnswerId string, Title string, Body string, Tags string, CreationDate string, Score string"
 _FIELDS = [x.split()[0] for x in POST.split(", ")]
-_ATTRIBUTE = re.compile(r'(\w+)="([^"]*)"')
-_ROW = re.compile(r"""<row((?:[^"'>]|"[^"]*"|'[^']*')*)>""")
 
 
 def posts_path(path: str) -> str:
@@ -28,7 +24,7 @@ def posts_path(path: str) -> str:
             import py7zr
         except ImportError as e:
             raise ImportError("reading .7z takes py7zr") from e
-        to = tempfile.mkdtemp()
+        to = tempfile.mkdtemp(dir=os.path.dirname(os.path.abspath(path)))  # beside the archive, where executors find it too
         with py7zr.SevenZipFile(path) as archive:
             archive.extractall(to)
         return posts_path(to)
@@ -38,27 +34,23 @@ def posts_path(path: str) -> str:
 
 
 def posts(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of POST and `ord` of well-formed XML, read by Spark's own reader, in splits."""
+    """Rows of POST and `ord`, read by Spark's own reader, in splits. If any row is none to it, all are read by posts_broken;
+    to know that takes a scan before the one that reads."""
     schema = ", ".join(f"_{f} string" for f in _FIELDS)
-    rows = spark.read.format("xml").option("rowTag", "row").schema(schema).load(path)
+    rows = spark.read.format("xml").option("rowTag", "row").option("columnNameOfCorruptRecord", "_bad").schema(f"{schema}, _bad string").load(path)
+    if not rows.where("_bad IS NOT NULL AND _Id IS NULL").isEmpty():
+        return posts_broken(spark, path)
     return rows.select(*[F.col(f"_{f}").alias(f) for f in _FIELDS], F.monotonically_increasing_id().alias("ord"))
 
 
-def scan_rows(text: str) -> list[dict[str, str]]:
-    """Attributes of the rows of a text that is no well-formed XML: a row ends at the first > outside quotes; entities stay as they are."""
-    return [dict(a) for m in _ROW.finditer(text) if (a := _ATTRIBUTE.findall(m[1]))]
-
-
 def posts_broken(spark: SparkSession, path: str) -> DataFrame:
-    """The same of XML that no parser takes; a file is one task's work."""
-
-    def run(batches):
-        for pdf in batches:
-            for raw in pdf["content"]:
-                rows = scan_rows(raw.decode("utf-8", "ignore"))
-                yield pd.DataFrame([{f: r.get(f) for f in _FIELDS} | {"ord": i} for i, r in enumerate(rows)], columns=[*_FIELDS, "ord"])
-
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, f"{POST}, ord long")
+    """The same of XML that no parser takes, in splits as well: what stands between two `<row` is a line of text. A row ends at the first >
+    outside quotes, an attribute is a name and a value in double quotes, entities stay as they are; a row without any is none."""
+    lines = spark.read.option("lineSep", "<row").text(path)
+    head = F.regexp_extract("value", r"""^((?:[^"'>]|"[^"]*"|'[^']*')*+)>""", 1)
+    parts = lines.select(head.alias("head")).select(*[F.regexp_extract_all("head", F.lit(r'(\w+)="([^"]*)"'), F.lit(k)).alias(c) for k, c in ((1, "names"), (2, "values"))])
+    rows = parts.where(F.size("names") > 0)
+    return rows.select(*[F.try_element_at("values", F.nullif(F.array_position("names", f).cast("int"), F.lit(0))).alias(f) for f in _FIELDS], F.monotonically_increasing_id().alias("ord"))
 
 
 def wiki_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -6,6 +6,7 @@ import glob
 import io
 import json
 import os
+import re
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textmill.functions.text import safe_name
+from textmill.sources import files
 
 FIRST_LINE_MOST = 8 << 20
 
@@ -70,22 +72,20 @@ def read(spark: SparkSession, paths: list[str], schema: T.StructType | str, stri
 
 def first_line(path: str, most: int = FIRST_LINE_MOST) -> tuple[str, str]:
     """(ok | empty | too_long, the first line)."""
-    opener = (lambda: zstandard.ZstdDecompressor().stream_reader(open(path, "rb"), read_across_frames=True)) if path.endswith(".zst") else (lambda: open(path, "rb"))
-    with opener() as raw:
-        line = io.TextIOWrapper(raw, "utf-8", "replace").readline(most + 1)
+    with files.read(path) as f:
+        raw = zstandard.ZstdDecompressor().stream_reader(f, read_across_frames=True) if path.endswith(".zst") else f
+        line = io.TextIOWrapper(io.BufferedReader(raw), "utf-8", "replace").readline(most + 1)
     return ("empty" if not line else "too_long" if len(line) > most else "ok"), line
 
 
 def write_zst(rows: Iterable[bytes], path: str, level: int | None = None) -> int:
     """One compressed file, in place only when it is whole."""
     level = level if level is not None else int(os.environ.get("TEXTMILL_ZSTD_LEVEL", 3))
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
     n = 0
-    with open(f"{path}.tmp", "wb") as f, zstandard.ZstdCompressor(level=level).stream_writer(f) as w:
+    with files.Written(path) as f, zstandard.ZstdCompressor(level=level).stream_writer(f, closefd=False) as w:
         for row in rows:
             w.write(row + b"\n")
             n += 1
-    os.replace(f"{path}.tmp", path)
     return n
 
 
@@ -116,15 +116,25 @@ def write_manifests(manifest: DataFrame, drops: DataFrame, out_dir: str, domain:
     for r in manifest.toLocalIterator():
         name = f"{prefix}_{r['shard_id']:05d}.jsonl"
         body = {"shard_path": f"{out_dir}/{name}.zst", "domain": domain, "source": source, "seed": seed, "counts": {k: r[k] for k in ("docs", "bytes", "est_tokens")}, "drops": by_shard.get(r["shard_id"], {})}
-        with open(f"{out_dir}/{name}.manifest.json", "w") as f:
-            json.dump(body, f, indent=2)
+        with files.Written(f"{out_dir}/{name}.manifest.json") as f:
+            f.write(json.dumps(body, indent=2).encode())
 
 
-def split_by_domain(lines: DataFrame, out_dir: str | None = None, allow: list[str] | None = None) -> DataFrame:
-    """JSON lines (value) with the safe name of their domain; bad lines left out. Written, if asked, as text by domain, lines unchanged."""
-    # a line is bad if it is no JSON object; without a domain it goes to `unknown`
-    good = lines.where(F.trim("value") != "").where(F.expr("try_parse_json(value) IS NOT NULL"))
-    out = good.select("value", safe_name(F.get_json_object("value", "$.domain")).alias("domain_safe"))
+def _domain_of(fast: bool):
+    """(whether a line is good, its domain): a line is bad if it is no JSON or, with `fast`, has no domain that a pattern finds."""
+    if fast:
+        found = F.regexp_extract("value", '"domain"\\s*:\\s*"([^"]*)"', 0)
+        return found != "", F.regexp_extract("value", '"domain"\\s*:\\s*"([^"]*)"', 1)
+    return F.expr("try_parse_json(value) IS NOT NULL"), F.get_json_object("value", "$.domain")
+
+
+def split_by_domain(lines: DataFrame, out_dir: str | None = None, allow: list[str] | None = None, fast: bool = False) -> DataFrame:
+    """JSON lines (value) with the safe name of their domain; bad lines left out, those without a domain under `unknown`.
+
+    Written, if asked, as text, lines unchanged, a folder per domain: a domain may hold most of all lines, so it is no one
+    task's file. Spark puts the folders in place when all tasks are done."""
+    good, domain = _domain_of(fast)
+    out = lines.where(F.trim("value") != "").where(good).select("value", safe_name(domain).alias("domain_safe"))
     if allow is not None:
         out = out.where(F.col("domain_safe").isin(allow))
     if out_dir:
@@ -132,6 +142,12 @@ def split_by_domain(lines: DataFrame, out_dir: str | None = None, allow: list[st
     return out
 
 
+def bad_lines(lines: DataFrame, fast: bool = False) -> DataFrame:
+    """(lines, bad): how many lines that are not blank a split meets, and how many of them it leaves out."""
+    good, _ = _domain_of(fast)
+    return lines.where(F.trim("value") != "").agg(F.count(F.lit(1)).alias("lines"), F.count_if(~good).alias("bad"))
+
+
 def split_counts(split: DataFrame, k: int = 50) -> DataFrame:
     return split.groupBy("domain_safe").agg(F.count(F.lit(1)).alias("docs")).orderBy(F.desc("docs"), "domain_safe").limit(k)
 
@@ -140,28 +156,28 @@ class RepairError(Exception):
     """More bad records than allowed."""
 
 
+#: What matters outside a string, and inside one, where an escape keeps the byte after it unless that is a line end.
+_OUTSIDE, _INSIDE = re.compile(rb'"|\r\n?|\n'), re.compile(rb'"|\r|\n|\\[^\r\n]', re.DOTALL)
+
+
 def records(raw: bytes) -> Iterator[bytes]:
     """Records of broken JSON lines: line ends inside strings are escaped, outside they end a record; CR LF is one end."""
-    out, quoted, i, n = bytearray(), False, 0, len(raw)
-    while i < n:
-        c = raw[i]
-        if c in (10, 13):
-            if quoted:
-                out += b"\\n" if c == 10 else b"\\r"
-            elif out:
-                yield bytes(out)
-                out.clear()
-            if c == 13 and not quoted and i + 1 < n and raw[i + 1] == 10:
-                i += 1
-        elif quoted and c == 92 and i + 1 < n and raw[i + 1] not in (10, 13):
-            out += raw[i : i + 2]
-            i += 1
+    parts, quoted, at = [], False, 0
+    while m := (_INSIDE if quoted else _OUTSIDE).search(raw, at):
+        mark = m[0]
+        if mark == b'"':
+            parts.append(raw[at : m.end()])
+            quoted = not quoted
+        elif quoted:
+            parts.append(raw[at : m.start()] + {b"\n": b"\\n", b"\r": b"\\r"}.get(mark, mark))
         else:
-            out.append(c)
-            quoted ^= c == 34
-        i += 1
-    if out:
-        yield bytes(out)
+            parts.append(raw[at : m.start()])
+            if record := b"".join(parts):
+                yield record
+            parts = []
+        at = m.end()
+    if record := b"".join([*parts, raw[at:]]):
+        yield record
 
 
 def repaired(raw: bytes, validate: bool = True, most_bad: int = 1000) -> tuple[list[bytes], int]:
@@ -181,31 +197,32 @@ def repaired(raw: bytes, validate: bool = True, most_bad: int = 1000) -> tuple[l
 
 
 def repair(spark: SparkSession, paths: list[str], out_dir: str | None = None, backup: bool = True, validate: bool = True, most_bad: int = 1000) -> DataFrame:
-    """Repairs files in parallel, one a task: into out_dir, or in place with a .bak copy. Returns (path, records_ok, records_bad)."""
-    files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths)))
+    """Repairs files in parallel, one a task: into out_dir, or in place with a .bak copy; what was not compressed gets .zst to its name.
+    Returns (path, records_ok, records_bad)."""
+    listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths)))
 
     def run(batches):
         for pdf in batches:
             for path in pdf["path"]:
-                with open(path, "rb") as f:
+                with files.read(path) as f:
                     raw = zstandard.ZstdDecompressor().stream_reader(f, read_across_frames=True).read() if path.endswith(".zst") else f.read()
                 good, bad = repaired(raw, validate, most_bad)
                 to = f"{out_dir}/{os.path.basename(path)}" if out_dir else path
                 if not out_dir and backup:
-                    os.replace(path, f"{path}.bak")
-                write_zst(good, to)
+                    files.move(path, f"{path}.bak")
+                write_zst(good, to if to.endswith(".zst") else f"{to}.zst")
                 yield pd.DataFrame({"path": [path], "records_ok": [len(good)], "records_bad": [bad]})
 
-    return files.mapInPandas(run, "path string, records_ok long, records_bad long")
+    return listed.mapInPandas(run, "path string, records_ok long, records_bad long")
 
 
-def file_stats(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """(source, domain, file, n_docs, total_chars, total_bytes, n_bad) of files (source, domain, file): every line is a document, and
+def file_stats(spark: SparkSession, listed: DataFrame) -> DataFrame:
+    """(source, domain, file, n_docs, total_chars, total_bytes, n_bad) of listed files (source, domain, file): every line is a document, and
     one that is no JSON counts in n_bad as well."""
-    paths = [r["file"] for r in files.select("file").distinct().collect()]
+    paths = [r["file"] for r in listed.select("file").distinct().collect()]
     lines = spark.read.text(paths).select("value", F.regexp_replace("_metadata.file_path", "^file:/*", "/").alias("file")) if paths else spark.createDataFrame([], "value string, file string")
     text = F.get_json_object("value", "$.text")
     by = lines.groupBy("file").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.length(F.coalesce(text, F.lit("")))).alias("total_chars"), F.sum(F.when(F.expr("try_parse_json(value) IS NULL"), 1).otherwise(0)).alias("n_bad"))
     size = spark.createDataFrame([(p, os.path.getsize(p)) for p in paths], "file string, total_bytes long")
     none = F.lit(0).cast("long")
-    return files.join(size, "file", "left").join(by, "file", "left").select("source", "domain", "file", F.coalesce("n_docs", none).alias("n_docs"), F.coalesce("total_chars", none).alias("total_chars"), F.coalesce("total_bytes", none).alias("total_bytes"), F.coalesce("n_bad", none).alias("n_bad"))
+    return listed.join(size, "file", "left").join(by, "file", "left").select("source", "domain", "file", F.coalesce("n_docs", none).alias("n_docs"), F.coalesce("total_chars", none).alias("total_chars"), F.coalesce("total_bytes", none).alias("total_bytes"), F.coalesce("n_bad", none).alias("n_bad"))
