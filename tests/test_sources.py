@@ -5,7 +5,7 @@ import zstandard
 
 from textmill.operators import reports
 from textmill.plans import manifest
-from textmill.sources import dumps, hub, jsonl, packs
+from textmill.sources import dumps, files, hub, jsonl, packs
 
 
 def lines(path, rows, frames=1):
@@ -56,6 +56,7 @@ def test_shards_and_split(spark, tmp_path):
     assert [r.doc_id for r in back.orderBy("ord").collect()] == [str(i) for i in range(7)]
     text = spark.createDataFrame([('{"domain": "a/b"}',), ('{"x": 1}',), ("{bad",), ("",)], "value string")
     assert {r.domain_safe for r in jsonl.split_by_domain(text, str(tmp_path / "split")).collect()} == {"a_b", "unknown"}
+    assert [tuple(r) for r in jsonl.bad_lines(text).collect()] == [(3, 1)] and [tuple(r) for r in jsonl.bad_lines(text, fast=True).collect()] == [(3, 2)]
     stats = jsonl.file_stats(spark, spark.createDataFrame([("s", "d", got[0].path)], "source string, domain string, file string")).first()
     assert (stats.n_docs, stats.total_chars, stats.n_bad) == (3, 12, 0)
 
@@ -66,6 +67,7 @@ def test_dumps(spark, tmp_path):
     assert (r.Id, r.Body) == ("1", "<p>q</p>")
     (tmp_path / "bad.xml").write_text('<posts><row Id="1" Body="<p>q</p>" /><row Id="2" ParentId="1" Body="a > b" /><row></posts>')
     assert [(r.Id, r.Body, r.ord) for r in dumps.posts_broken(spark, str(tmp_path / "bad.xml")).collect()] == [("1", "<p>q</p>", 0), ("2", "a > b", 1)]
+    assert [r.Body for r in dumps.posts(spark, str(tmp_path / "bad.xml")).orderBy("ord").collect()] == ["<p>q</p>", "a > b"]
     with pytest.raises(ValueError):
         dumps.posts_path("x.txt")
     (tmp_path / "w.xml").write_text("<mediawiki><page><title>A</title><ns>0</ns><id>5</id><revision><timestamp>t</timestamp><text>[[x|y]] {{z}}</text></revision></page><page><title>B</title><ns>1</ns><id>6</id></page></mediawiki>")
@@ -113,3 +115,15 @@ def test_pack_files(spark, tmp_path):
     rows = spark.createDataFrame([(0, [1, 2], [("a", 0, 2)], "x", "s"), (1, [3, 4], [("a", 2, 3), ("b", 0, 1)], "y", "s")], "row long, input_ids array<int>, segments array<struct<doc_id:string,start:int,end:int>>, domain string, source string")
     assert packs.export(rows, str(tmp_path / "p"), 2)["num_seqs"] == 2
     assert [(r.row, r.input_ids, r.domain) for r in packs.read(spark, str(tmp_path / "p")).orderBy("row").collect()] == [(0, [1, 2], "x"), (1, [3, 4], "y")]
+
+
+def test_files(tmp_path):
+    path = f"file:{tmp_path}/deep/a.jsonl.zst"
+    assert jsonl.write_zst([b"1", b"2"], path) == 2 and jsonl.first_line(path) == ("ok", "1\n")
+    files.move(path, f"file://{tmp_path}/b.jsonl.zst")
+    assert jsonl.first_line(str(tmp_path / "b.jsonl.zst")) == ("ok", "1\n")
+    with pytest.raises(ZeroDivisionError):
+        jsonl.write_zst((1 // 0 for _ in "x"), str(tmp_path / "c.zst"))
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["b.jsonl.zst", "deep"]
+    with pytest.raises(ValueError):
+        files.local("s3://bucket/x")

@@ -5,14 +5,18 @@ Documents stand for normalised ones: lang is the domain, doc_id the order; ids a
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textmill.functions import text as X
 from textmill.functions.simhash import fingerprints
 from textmill.operators import dedup, filters, mix, pack, reports, transforms
+from textmill.plans import dedup_run, manifest
 from textmill.plans.tables import Tables
-from textmill.sources import hub, jsonl
+from textmill.sources import dumps, hub, jsonl, packs
+from textmill.streaming import exact
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -260,6 +264,213 @@ def hamming_band_join(spark, sf):
     return dedup.band_pairs(prints, 3).select("a", "b", "band", "distance")
 
 
+#: Twelve documents in a row share a base; two of them each have the same fingerprint, the next two differ by two bits more.
+_FLIPS = [sum(1 << 6 * j for j in range(2 * k)) for k in range(6)]
+_LIVE = "(SELECT * FROM g WHERE ord = copy_of)"
+_CHAINS = _QUALITY.replace("WITH", "WITH RECURSIVE", 1) + f""", fp AS (SELECT ord, text, score, md5({COLLAPSED}) AS k, len([x FOR x IN string_split({COLLAPSED}, ' ') IF x <> '']) AS words,
+  xor(('0x' || substr(md5((ord // 12)::VARCHAR), 1, 15))::BIGINT, {_FLIPS}[(ord // 2) % 6 + 1]::BIGINT) AS fp FROM q),
+g AS (SELECT *, min(ord) OVER (PARTITION BY k) AS copy_of FROM fp),
+key AS (SELECT ord, fp, i AS band, (fp >> (16 * i)::INT) & 65535 AS key FROM @live, (SELECT unnest(range(4)) AS i)),
+pair AS (SELECT a.ord AS a, b.ord AS b, band, bit_count(xor(a.fp, b.fp))::INT AS distance FROM key a JOIN key b USING (band, key) WHERE a.ord > b.ord AND bit_count(xor(a.fp, b.fp)) <= 3)"""
+_MATCHED = """, match AS (SELECT a AS ord, b AS match_ord, distance FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY band, b) AS r FROM pair) WHERE r = 1),
+root AS (SELECT ord, ord AS root FROM @live WHERE ord NOT IN (SELECT ord FROM match) UNION ALL SELECT match.ord, root.root FROM match JOIN root ON match_ord = root.ord)"""
+_BEST = _CHAINS.replace("@live", _LIVE) + _MATCHED.replace("@live", _LIVE) + """,
+ranked AS (SELECT ord, root, row_number() OVER (PARTITION BY root ORDER BY score DESC, words DESC, ord::VARCHAR DESC) AS r, count(*) OVER (PARTITION BY root) AS n FROM root JOIN g USING (ord)),
+decided AS (SELECT ord AS doc_id, coalesce(r.r = 1, false) AS keep, CASE WHEN r.r IS NULL THEN 'exact_dup' WHEN r.r > 1 THEN 'near_dup' WHEN n > 1 THEN 'keep_best' ELSE 'keep' END AS reason,
+  CASE WHEN r.r IS NULL THEN copy_of WHEN r.r > 1 THEN best.ord END AS dup_of, r.root AS cluster_id, n::INT AS cluster_size, match_ord AS match_id, distance
+  FROM g LEFT JOIN ranked r USING (ord) LEFT JOIN (SELECT ord, root FROM ranked WHERE r = 1) best ON best.root = r.root LEFT JOIN match USING (ord))"""
+_DECIDED = ["doc_id", "keep", "reason", "dup_of", "cluster_id", "cluster_size", "match_id", "distance"]
+
+
+def _chained(spark, sf) -> tuple[DataFrame, F.Column]:
+    base = F.conv(F.substring(F.md5(F.floor(F.col("ord") / 12).cast("string")), 1, 15), 16, 10).cast("long")
+    flips = F.element_at(F.array(*map(F.lit, _FLIPS)), (F.floor(F.col("ord") / 2) % 6 + 1).cast("int")).cast("long")
+    fp = F.array(base.bitwiseXOR(flips))
+    return docs(spark, sf), F.struct(fp.alias("fp"), F.length("text").alias("norm_len"), F.size(X.tokens("text")).alias("n_tokens"))
+
+
+def _ids(d: DataFrame) -> DataFrame:
+    return d.withColumns({c: F.col(c).cast("long") for c in ("doc_id", "dup_of", "cluster_id", "match_id") if c in d.columns})
+
+
+@query(_BEST + "SELECT * FROM decided")
+def simhash_best(spark, sf):
+    """Exact copies go, then of each cluster all but the best, over made-up fingerprints: chains of matches longer than the threshold."""
+    d, fp = _chained(spark, sf)
+    return _ids(dedup.near_decisions(d, "both", "global", "best", prints=fp).select(*_DECIDED))
+
+
+@query(_CHAINS.replace("@live", "g") + _MATCHED.replace("@live", "g") + """
+SELECT ord AS doc_id, match_ord IS NULL AS keep, CASE WHEN match_ord IS NULL THEN 'keep' ELSE 'near_dup' END AS reason, CASE WHEN match_ord IS NOT NULL THEN root END AS dup_of, root AS cluster_id,
+  (count(*) OVER (PARTITION BY root ORDER BY ord ROWS UNBOUNDED PRECEDING))::INT AS cluster_size, match_ord AS match_id, distance FROM root LEFT JOIN match USING (ord)""")
+def simhash_first(spark, sf):
+    """The same without exact copies; of each cluster the first stays, sizes are running ones."""
+    d, fp = _chained(spark, sf)
+    return _ids(dedup.near_decisions(d, "near", "global", "first", prints=fp).select(*_DECIDED))
+
+
+@query(_BEST + "SELECT keep, reason, count(*) AS n FROM decided GROUP BY 1, 2")
+def simhash_stats(spark, sf):
+    d, fp = _chained(spark, sf)
+    return dedup.stats(dedup.near_decisions(d, "both", "global", "best", prints=fp))
+
+
+@query(_CHAINS.replace("@live", _LIVE) + """, o AS (SELECT ord, fp, row_number() OVER (ORDER BY ord) AS r FROM g WHERE ord = copy_of),
+w AS (SELECT 0::BIGINT AS r, []::BIGINT[] AS kept UNION ALL SELECT o.r, CASE WHEN len([x FOR x IN w.kept IF bit_count(xor(x, o.fp)) <= 3]) > 0 THEN w.kept ELSE w.kept || [o.fp] END FROM w JOIN o ON o.r = w.r + 1),
+last AS (SELECT kept FROM w ORDER BY r DESC LIMIT 1),
+s AS (SELECT min(ord) AS ord FROM o WHERE list_contains((SELECT kept FROM last), fp) GROUP BY fp),
+hit AS (SELECT a AS ord, b, distance FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY band, b) AS r FROM pair JOIN s ON b = s.ord) WHERE r = 1)
+SELECT g.ord AS doc_id, s.ord IS NOT NULL AS keep, CASE WHEN g.ord <> copy_of THEN 'exact_dup' WHEN s.ord IS NULL THEN 'near_dup' ELSE 'keep' END AS reason,
+  CASE WHEN g.ord <> copy_of THEN copy_of WHEN s.ord IS NULL THEN b END AS dup_of, CASE WHEN g.ord <> copy_of THEN 0 WHEN s.ord IS NULL THEN distance END AS score FROM g LEFT JOIN s ON s.ord = g.ord LEFT JOIN hit ON hit.ord = g.ord""")
+def simhash_greedy(spark, sf):
+    """Only kept documents are indexed."""
+    d, fp = _chained(spark, sf)
+    return _ids(dedup.greedy(d, prints=fp).drop("ord"))
+
+
+@query(f"SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY md5({COLLAPSED}) ORDER BY doc_id) AS r FROM documents) WHERE r = 1")
+def dedup_run_kept(spark, sf):
+    """What a run into a folder keeps, read from there."""
+    _, kept, _ = dedup_run.run(docs(spark, sf), Tables(spark, "run").at, [sf], mode="exact", scope="global")
+    return kept.select(F.col("ord").alias("doc_id"))
+
+
+@query(_reason(True) + f", k AS (SELECT md5({COLLAPSED}) AS k FROM judged WHERE drop_reason IS NULL) SELECT DISTINCT k AS digest FROM k")
+def stream_distinct(spark, sf):
+    """Texts of a stream that passes the filters, each once."""
+    out = Tables(spark, "stream").at
+    docs(spark, sf).write.parquet(f"{out}/in")
+    schema = spark.read.parquet(f"{out}/in").schema
+    exact.filtered_stream(spark.readStream.schema(schema).parquet(f"{out}/in"), f"{out}/out", f"{out}/state").awaitTermination()
+    return spark.read.schema(schema).parquet(f"{out}/out").select(F.md5(X.collapse("text")).alias("digest"))
+
+
+# --- written and read again
+def _shards(spark, sf) -> tuple[DataFrame, DataFrame, str]:
+    """Documents that pass the filters in shards of 100, the files they were written to, and their folder."""
+    out = Tables(spark, "shards").at
+    kept = reports.sharded(filters.kept(docs(spark, sf)), 100)
+    return kept, Tables(spark, "shards").save(jsonl.write_shards(kept, out), "files"), out
+
+
+@query(_reason(True) + ", k AS (SELECT *, row_number() OVER (ORDER BY ord) - 1 AS r FROM judged WHERE drop_reason IS NULL) SELECT doc_id, text, source, domain, r // 100 AS shard, r % 100 AS place FROM k")
+def jsonl_shards(spark, sf):
+    """Compressed shards, read in order."""
+    _, files, _ = _shards(spark, sf)
+    back = jsonl.read(spark, [r.path for r in files.collect()], "doc_id string, text string, source string, domain string")
+    shard = F.shiftright("ord", 43)
+    return back.select("doc_id", "text", "source", "domain", shard.alias("shard"), (F.row_number().over(Window.partitionBy(shard).orderBy("ord")) - 1).cast("long").alias("place"))
+
+
+@query(_reason(True) + f""", k AS (SELECT *, (row_number() OVER (ORDER BY ord) - 1) // 100 AS s FROM judged WHERE drop_reason IS NULL)
+SELECT printf('shard_%05d.jsonl.zst', s) AS file, count(*) AS docs, sum(strlen(text))::BIGINT AS bytes, sum({TOKENS})::BIGINT AS est_tokens FROM k GROUP BY s""")
+def jsonl_manifests(spark, sf):
+    """Manifests beside the shards, read again."""
+    kept, _, out = _shards(spark, sf)
+    jsonl.write_manifests(reports.shard_manifest(kept), spark.createDataFrame([], "shard_id long, drop_reason string, n long"), out, "d", "s")
+    schema = "shard_path string, counts struct<docs: long, bytes: long, est_tokens: long>"
+    return spark.read.schema(schema).option("multiLine", "true").option("pathGlobFilter", "*.manifest.json").json(out).select(F.substring_index("shard_path", "/", -1).alias("file"), "counts.*")
+
+
+@query(_reason(True) + """, k AS (SELECT *, (row_number() OVER (ORDER BY ord) - 1) // 100 AS s FROM judged WHERE drop_reason IS NULL)
+SELECT printf('shard_%05d.jsonl.zst', s) AS file, count(*) AS n_docs, sum(length(text))::BIGINT AS total_chars, 0::BIGINT AS n_bad FROM k GROUP BY s""")
+def jsonl_file_stats(spark, sf):
+    _, files, _ = _shards(spark, sf)
+    listed = files.select(F.lit("s").alias("source"), F.lit("d").alias("domain"), F.regexp_replace("path", "^file:/*", "/").alias("file"))
+    return jsonl.file_stats(spark, listed).select(F.element_at(F.split("file", "/"), -1).alias("file"), "n_docs", "total_chars", "n_bad")
+
+
+@query("SELECT regexp_replace(lang || '/' || source, '[^A-Za-z0-9._-]+', '_', 'g') AS domain_safe, doc_id::VARCHAR AS doc_id FROM documents")
+def split_files(spark, sf):
+    """Lines in folders by domain, read again; every other line is no JSON and left out."""
+    lines = docs(spark, sf).select(F.to_json(F.struct("doc_id", F.concat_ws("/", "domain", "source").alias("domain"))).alias("value"))
+    out = f"{Tables(spark, 'split').at}/split"
+    jsonl.split_by_domain(lines.select(F.explode(F.array("value", F.substring("value", 1, 9))).alias("value")), out)
+    return spark.read.schema("value string, domain_safe string").text(out).select("domain_safe", F.get_json_object("value", "$.doc_id").alias("doc_id"))
+
+
+@query("SELECT 2 * count(*) AS lines, count(*) AS bad FROM documents")
+def split_bad_lines(spark, sf):
+    lines = docs(spark, sf).select(F.to_json(F.struct("doc_id", "domain")).alias("value"))
+    return jsonl.bad_lines(lines.select(F.explode(F.array("value", F.substring("value", 1, 9))).alias("value")), fast=True)
+
+
+@query(f"SELECT doc_id::VARCHAR AS doc_id, {T} AS text FROM documents")
+def repaired_lines(spark, sf):
+    """Lines whose strings hold raw line ends, repaired and read."""
+    out = Tables(spark, "repair").at
+    broken = F.regexp_replace(F.to_json(F.struct("doc_id", "text")), r"(?<!\\)\\n", "\n")
+    docs(spark, sf).select(broken.alias("value")).write.text(f"{out}/broken")
+    files = [r.f for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(f"{out}/broken").select(F.col("path").alias("f")).collect()]
+    jsonl.repair(spark, files, f"{out}/good").write.format("noop").mode("overwrite").save()
+    good = [f"{out}/good/{f.rsplit('/', 1)[1]}.zst" for f in files]
+    return jsonl.read(spark, good, "doc_id string, text string").drop("ord")
+
+
+@query(_QA)
+def posts_xml(spark, sf):
+    """Conversations as posts in XML, read and assembled. Scores leave no ties, as rows have no order across files."""
+    c = table(spark, sf, "conversations")
+    q = c.where("role = 'user'").groupBy(F.col("conv_id").cast("string").alias("_Id")).agg(F.min_by(F.coalesce("text", F.lit("")), "turn").alias("_Body")).select("_Id", F.lit("1").alias("_PostTypeId"), F.lit(None).cast("string").alias("_ParentId"), "_Body", F.lit("0").alias("_Score"))
+    score = F.length(F.coalesce("text", F.lit(""))) * 1000 + 999 - F.col("turn")
+    a = c.where("role = 'assistant'").select(F.concat_ws("-", F.lit("a"), "conv_id", "turn").alias("_Id"), F.lit("2").alias("_PostTypeId"), F.col("conv_id").cast("string").alias("_ParentId"), F.coalesce("text", F.lit("")).alias("_Body"), score.cast("string").alias("_Score"))
+    out = f"{Tables(spark, 'posts').at}/xml"
+    q.unionByName(a).write.format("xml").option("rootTag", "posts").option("rowTag", "row").save(out)
+    return transforms.stackexchange(dumps.posts(spark, out)).select("doc_id", "text")
+
+
+@query(_QA.replace("SELECT q.conv_id::VARCHAR AS doc_id, trim('Q: ' || chr(10) || ", "SELECT q.conv_id::VARCHAR AS id, ").replace(" || chr(10) || 'A: ' || ", " AS question, coalesce(").replace(", ' ' || chr(10)) AS text", ", '') AS answer"))
+def qa_raw(spark, sf):
+    """Questions and answers as records, not as text."""
+    c = table(spark, sf, "conversations")
+    first = c.where("role = 'user'").groupBy("conv_id").agg(F.min_by("text", "turn").alias("Body"), F.min("turn").alias("turn"))
+    order = F.col("conv_id") * 100000 + F.col("turn")
+    none = F.lit(None).cast("string")
+    q = first.select(F.col("conv_id").cast("string").alias("Id"), F.lit("1").alias("PostTypeId"), none.alias("ParentId"), "Body", F.lit(0).alias("Score"), order.alias("ord"))
+    a = c.where("role = 'assistant'").select(F.concat(F.lit("a"), order.cast("string")).alias("Id"), F.lit("2").alias("PostTypeId"), F.col("conv_id").cast("string").alias("ParentId"), F.col("text").alias("Body"), F.length(F.coalesce("text", F.lit(""))).alias("Score"), order.alias("ord"))
+    return transforms.stackexchange_raw(q.unionByName(a)).select("id", F.col("question.body").alias("question"), F.col("answer.body").alias("answer"))
+
+
+_WIKI = ORACLES["strip_wikitext_pages"].replace("SELECT page_id,", "SELECT page_id::VARCHAR AS id, url AS title,") + " WHERE page_id % 3 > 0"
+
+
+@query(_WIKI)
+def wiki_dump(spark, sf):
+    """Pages as a dump in XML, every third in another name space, read as articles."""
+    p = table(spark, sf, "pages")
+    text = F.col("html").alias("text")
+    pages = p.select(F.col("url").alias("title"), F.when(F.col("page_id") % 3 > 0, "0").otherwise("1").alias("ns"), F.col("page_id").cast("string").alias("id"), F.struct(F.lit("2020").alias("timestamp"), text).alias("revision"))
+    out = f"{Tables(spark, 'wiki').at}/xml"
+    pages.write.format("xml").option("rootTag", "mediawiki").option("rowTag", "page").option("compression", "gzip").save(out)
+    return transforms.wiki_dump(dumps.wiki_pages(spark, out)).select("id", "title", "text")
+
+
+@query(f"SELECT doc_id::VARCHAR AS doc_id, CASE WHEN {T} = '' THEN '' ELSE lang || chr(10) || chr(10) || text END AS text FROM documents")
+def wiki_articles(spark, sf):
+    """Extracted articles as lines of JSON between blank and bad ones, read as documents."""
+    lines = table(spark, sf, "documents").select(F.explode(F.array(F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.col("lang").alias("title"), "text")), F.lit(""), F.lit("{no"))).alias("value"))
+    out = f"{Tables(spark, 'articles').at}/lines"
+    lines.write.text(out)
+    return transforms.wikipedia(dumps.wiki_articles(spark, out)).select("doc_id", "text")
+
+
+@query(f"SELECT doc_id, nfc_normalize({T}) || CASE WHEN suffix({T}, chr(10)) THEN '' ELSE chr(10) END AS line FROM documents")
+def nfc_lines(spark, sf):
+    return docs(spark, sf).select(F.col("ord").alias("doc_id"), X.nfc_line("text").alias("line"))
+
+
+@query("SELECT doc_id, printf('shard_%05d.jsonl.zst', doc_id::INT) AS name FROM documents")
+def shard_names(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", X.shard_name("shard", "doc_id").alias("name"))
+
+
+@query(f"SELECT k AS domain, round(w, 6) AS weight, 'split' AS source, 'in/' || k || '.jsonl.zst' AS path FROM (SELECT k, w / sum(w) OVER () AS w FROM (VALUES {', '.join(f'({k!r}, {v}::DOUBLE)' for k, v in mix.BASE_WEIGHTS.items())}) t(k, w))")
+def split_manifest(spark, sf):
+    """A manifest for files by domain, written, read and laid out as a table."""
+    m = manifest.parse(json.loads(manifest.split_manifest("in")))
+    return m.table(spark).select("domain", F.round(F.lit(1.0) * F.element_at(F.create_map(*[F.lit(x) for kv in m.weights.items() for x in kv]), F.col("domain")) * F.col("weight"), 6).alias("weight"), "source", "path")
+
+
 # --- reports
 @query(_reason(True) + f", k AS (SELECT *, (row_number() OVER (ORDER BY ord) - 1) // 100 AS shard_id FROM judged WHERE drop_reason IS NULL) SELECT shard_id::BIGINT AS shard_id, count(*) AS docs, sum(strlen(text))::BIGINT AS bytes, sum({TOKENS})::BIGINT AS est_tokens FROM k GROUP BY 1")
 def shard_manifest(spark, sf):
@@ -458,6 +669,39 @@ def loader_fim(spark, sf):
     return _rows(spark, sf).select("doc_id", F.array_join(pack.fill_in_middle("ids", F.lit(4), F.lit(6), 901, 902, 903), ",").alias("ids"))
 
 
+_DRAW = "('0x' || substr(md5({}), 1, 15))::BIGINT"
+_LEN = "greatest(len(ids) - 1, 2)"
+
+
+@query(_IDS + f""", f AS (SELECT *, {_DRAW.format("'first:5:' || doc_id")} % {_LEN} AS x, {_DRAW.format("'other:5:' || doc_id")} % ({_LEN} - 1) AS y FROM i),
+c AS (SELECT *, CASE WHEN y < x THEN y ELSE y + 1 END AS z FROM f), e AS (SELECT *, least(x, z) + 1 AS a, greatest(x, z) + 1 AS b FROM c)
+SELECT doc_id, array_to_string(CASE WHEN len(ids) < 8 THEN ids ELSE ([901] || ids[1:a] || [902] || ids[b + 1:] || [903] || ids[a + 1:b])[1:len(ids)] END, ',') AS ids FROM e""")
+def loader_fim_drawn(spark, sf):
+    """The same with cut points drawn by document."""
+    rows = _rows(spark, sf)
+    return rows.select("doc_id", F.array_join(pack.fill_in_middle("ids", *pack.middle_cuts("ids", 5, "doc_id"), 901, 902, 903), ",").alias("ids"))
+
+
+@query(_STREAM + f", n AS (SELECT max(row) + 1 AS n FROM w) SELECT i AS draw, row, domain FROM (SELECT unnest(range(500)) AS i) JOIN n ON true JOIN w ON row = {_DRAW.format(chr(39) + 'row:3:' + chr(39) + ' || i')} % n.n")
+def loader_draws(spark, sf):
+    """500 rows of a pack with replacement."""
+    rows = Tables(spark, "pack").save(pack.pack(_lengths(spark, sf), 256, 0), "rows")
+    return pack.sampled_rows(rows, 500, rows.count(), 3).select("draw", "row", "domain")
+
+
+@query(f"SELECT i AS draw, CASE WHEN u < 0.5 THEN 'a' WHEN u < 0.75 THEN 'b' ELSE 'c' END AS pack FROM (SELECT i, {_DRAW.format(chr(39) + 'pack:3:' + chr(39) + ' || i')} / {1 << 60}::DOUBLE AS u FROM (SELECT unnest(range(4000)) AS i))")
+def loader_mixture(spark, sf):
+    return pack.mixture(spark, {"a": 2.0, "b": 1.0, "c": 1.0}, 4000, 3)
+
+
+@query(_STREAM + "SELECT row::BIGINT AS row, ids || repeat(',0', (256 - n)::INT) AS input_ids, domain FROM w")
+def pack_matrix(spark, sf):
+    """A pack as a matrix of integers in a file, read from there."""
+    out = Tables(spark, "matrix").at
+    packs.export(Tables(spark, "pack").save(pack.pack(_lengths(spark, sf), 256, 0), "rows"), out, 256)
+    return packs.read(spark, out).select("row", F.array_join("input_ids", ",").alias("input_ids"), "domain")
+
+
 @query("SELECT config FROM (VALUES ('eng_Latn'), ('eng_Cyrl')) t(config)")
 def hf_config_filter(spark, sf):
     configs = spark.createDataFrame([(c,) for c in ("asm_Beng", "fra_Latn", "eng_Latn", "eng_Cyrl")], "config string")
