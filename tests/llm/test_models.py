@@ -238,3 +238,12 @@ def test_quality_and_language_of_nothing_and_of_repeated_rows(spark):
     assert sorted((r.doc_id, r.lang_pred) for r in got)[-1] == (90, "en") and len(got) == 4
     kept = language_id.keep(d, model)
     assert kept.columns == d.columns and {r.score for r in kept.collect()} == {"x"}
+
+
+def test_text_of_three_languages_stays(spark):
+    words = {"en": "the house and the garden with that old tree", "de": "das haus und der garten mit dem alten baum", "ru": "дом и сад со старым деревом на улице"}
+    rows = [(i, " ".join(words[k].split()[i % 3 :]), k) for i, k in enumerate(list(words) * 20)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    mixed = spark.createDataFrame([(1, " ".join(words.values())), (2, "123 ..."), (3, None)], "doc_id long, text string")
+    assert [r.doc_id for r in language_id.keep(mixed, model).collect()] == [1]
+    assert language_id.keep(mixed, model, least=0.5).count() == 0

@@ -236,8 +236,9 @@ def identify(docs: DataFrame, model: Model, with_spans: bool = False) -> DataFra
     return docs.select(*columns).mapInArrow(_predict(model, columns, with_spans), T.StructType(fields + extra))
 
 
-def keep(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
-    """The rows, with their columns, whose language is known and that of `least` of the words with letters."""
+def keep(docs: DataFrame, model: Model, least: float = 0.0) -> DataFrame:
+    """The rows, with their columns, that are not `und`. A text of several languages stays, however they share it, unless `least` asks
+    that one language has so much of the words with letters."""
     plain = docs.select("*", F.lit(True).alias("_row"))
     fields = list(plain.schema)
     names = [f"c{i}" for i in range(len(fields))]
