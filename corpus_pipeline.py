@@ -17,7 +17,7 @@ from textmill.llm._stage import Stage
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose words are mostly of learned languages stay; the model learns from the labelled ones."""
+    """Documents with a language stay, those of several too; what has no letters goes. The model learns from the labelled ones."""
     return language_id.keep(docs, language_id.fit(docs.where(language_id.remainder(4) != 2)))
 
 
