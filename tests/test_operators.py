@@ -204,6 +204,22 @@ def test_acceptance(spark):
     assert got["a"].sci_le2_rate == float(len(sp.encode("1.5e-3")) <= 2)
 
 
+def test_places(spark):
+    """Places among equal keys, null and the word null apart, over several blocks of a column with gaps."""
+    rng = random.Random(8)
+    rows = [(k, rng.choice(["hot", "hot", None, "null"]), rng.choice([None, 1])) for k in rng.sample(range(20000), 400)]
+    got = mix.placed(spark.createDataFrame(rows, "o long, a string, b int"), "o", "a", "b").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.nth == sum((a, b) == (r.a, r.b) and o <= r.o for o, a, b in rows)
+    assert mix.placed(spark.createDataFrame([], "o long, a string"), "o", "a").count() == 0
+
+
+def test_seeds_of_passes():
+    seeds = {mix.chance_seed(s, k, e) for s in (1, 2) for k in ("a", "b") for e in (0, 1)}
+    assert len(seeds) == 8 and all(0 <= x < 2**31 - 1 for x in seeds) and mix.chance_seed(1, "a", 0) in seeds
+
+
 def test_weights(spark):
     with pytest.raises(ValueError):
         mix.validated({"a": 0.5}, "x")

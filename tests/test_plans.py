@@ -1,10 +1,12 @@
 import json
+import subprocess
 
 import pytest
 import zstandard
 
-from textmill.operators import pack
+from textmill.operators import pack, reports
 from textmill.plans import manifest, pipeline
+from textmill.sources import files, jsonl
 
 
 def test_mix_report_and_ingest(spark, tmp_path):
@@ -42,3 +44,40 @@ def test_normalise_to_pack(spark, tmp_path):
     assert [r.docs for r in counts.orderBy("shard_id").collect()] == [2, 2, 1] and drops.first().drop_reason == "too_short"
     rows = pipeline.packed(kept, pack.Tokenizer(str(tmp_path / "t.json")), {"d": 1.0}, {"d": {"s": 1.0}}, 435, seq_len=64)
     assert rows.count() == 5 and all(len(r.input_ids) == 64 for r in rows.collect())
+
+
+def test_phase_of_a_curriculum():
+    m = manifest.parse(json.loads(manifest.split_manifest("splits")))
+    new = {"reasoning_scaffolding": {"split": manifest.Source("split", 1.0, paths=["r.jsonl"])}}
+    late = manifest.phase(m, sources=new)
+    assert abs(late.weights["filtered_web"] - 0.285) < 1e-12 and abs(sum(late.weights.values()) - 1) < 1e-12
+    assert late.source_weights["reasoning_scaffolding"] == {"split": 1.0} and "reasoning_scaffolding" not in m.weights
+    with pytest.raises(ValueError):
+        manifest.phase(m)  # a domain without sources
+    with pytest.raises(ValueError):
+        manifest.phase(m, {"math": 0.5})  # weights that do not sum to 1
+    with pytest.raises(ValueError):
+        manifest.phase(m, sources={"reasoning_scaffolding": {"split": manifest.Source("split", 0.5)}})
+
+
+def test_run_info_as_a_report(tmp_path):
+    m = manifest.parse(json.loads(manifest.split_manifest("splits")))
+    info = manifest.run_info(m, seed=m.seed)
+    reports.write_json(info, str(tmp_path / "out" / "run.json"))
+    assert json.loads((tmp_path / "out" / "run.json").read_text()) == info and [p.name for p in (tmp_path / "out").iterdir()] == ["run.json"]
+    assert info["manifest_sha256"] != manifest.run_info(manifest.phase(m, {"math": 0.10, "reference": 0.10}))["manifest_sha256"]
+    assert manifest.code_state(str(tmp_path)) == {"commit": None, "changed": None}
+    run = lambda *c: subprocess.run(["git", "-C", str(tmp_path), "-c", "user.name=a", "-c", "user.email=a@b", *c], check=True, capture_output=True)
+    run("init")
+    run("commit", "--allow-empty", "-m", "x")
+    state = manifest.code_state(str(tmp_path))
+    assert len(state["commit"]) == 40 and state["changed"]  # the report is not committed
+    with pytest.raises(TypeError), files.Written(str(tmp_path / "broken.json")) as f:
+        f.write(None)
+    assert not (tmp_path / "broken.json").exists()
+
+
+def test_data_root(tmp_path):
+    for n in ("b.jsonl", "a.jsonl"):
+        (tmp_path / n).write_text("")
+    assert jsonl.under_root(["*.jsonl", str(tmp_path / "a.jsonl")], str(tmp_path)) == [str(tmp_path / "a.jsonl"), str(tmp_path / "b.jsonl")]

@@ -12,11 +12,12 @@ too, so join keys are that much finer and nothing is lost.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions.simhash import BANDS, bands, fingerprints, hamming, part
 from textmill.functions.text import collapse, exact_hash, quality_score
+from textmill.operators.mix import placed
 from textmill.plans.tables import Tables
 
 DECISION = ["doc_id", "source", "domain", "keep", "reason", "dup_of", "score", "cluster_id", "cluster_size", "match_id", "distance"]
@@ -159,7 +160,8 @@ def near_decisions(docs: DataFrame, mode: str = "both", scope: str = "per-source
         reason = F.when(copy, "exact_dup").when(keep & (F.col("cluster_size") > 1), "keep_best").when(keep, "keep").otherwise("near_dup")
         dup_of = F.when(copy, F.col("first_id")).when(~keep, F.col("best.doc_id"))
     else:
-        d = d.withColumn("cluster_size", F.when(~copy, F.count(F.lit(1)).over(Window.partitionBy("root").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0))).cast("int"))
+        sizes = placed(roots, "ord", "root").select("ord", F.col("nth").cast("int").alias("cluster_size"))
+        d = d.join(sizes, "ord", "left")
         keep = ~copy & F.col("match_ord").isNull()
         reason = F.when(copy, "exact_dup").when(keep, "keep").otherwise("near_dup")
         dup_of = F.when(copy, F.col("first_id")).when(~keep, F.col("cluster_id"))

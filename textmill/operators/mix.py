@@ -83,6 +83,14 @@ def running(df: DataFrame, key: str, order: str, value: str, block: int = 4096)
     return d.withColumn("_in", F.coalesce(F.sum(value).over(within), F.lit(0))).join(totals, [key, "_block"]).withColumn("before", F.col("_above") + F.col("_in")).drop("_block", "_in", "_above")
 
 
+def placed(df: DataFrame, order: str, *keys: str) -> DataFrame:
+    """The rows with `nth`, their place from 1 among those of equal keys (null is a key) by an integral column. Counts run within blocks of
+    rows, then over the blocks, so a key with a third of all rows is no one task's work."""
+    key = F.to_json(F.array(*[F.col(k).cast("string") for k in keys]))
+    d = running(df.withColumns({"_key": key, "_one": F.lit(1)}), "_key", order, "_one")
+    return d.withColumn("nth", F.col("before") + 1).drop("_key", "_one", "before")
+
+
 def boosted_budgets(target_bytes: int, boost_code: float = 1.0, boost_math: float = 1.0) -> dict[str, int]:
     w = BASE_WEIGHTS | {"code_docs": BASE_WEIGHTS["code_docs"] * boost_code, "math": BASE_WEIGHTS["math"] * boost_math}
     return {k: int(target_bytes * v / sum(w.values())) for k, v in w.items()}
@@ -152,9 +160,8 @@ def sampler_plan(docs: DataFrame, domains: dict[str, float], sources: dict[str,
     the first n of a source at most, so n bounds what comes to the driver; interleaved() is for mixes of any size. A source
     that runs out begins anew with `repeat`, else it is an error."""
     pairs = [(d, s) for d, m in sources.items() for s in m]
-    w = Window.partitionBy("domain", "source").orderBy("ord")
     first = docs.where(F.concat_ws("\x01", "domain", "source").isin(["\x01".join(p) for p in pairs])).select("domain", "source", "ord", est_tokens("text", chars_per_token).alias("t"))
-    first = first.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= n)
+    first = placed(first, "ord", "domain", "source").where(F.col("nth") <= n)
     queue = {(r["domain"], r["source"]): r["rows"] for r in first.groupBy("domain", "source").agg(F.array_sort(F.collect_list(F.struct("ord", "t"))).alias("rows")).toLocalIterator()}
     sampler, at, out = Sampler(domains, sources, seed), dict.fromkeys(pairs, 0), []
     while len(out) < n:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions.text import est_tokens, identifiers, n_bytes, placeholder, sci_numbers
 from textmill.operators.transforms import canonical_domain
+from textmill.sources import files
 
 
 def sharded(docs: DataFrame, shard_size: int = 5000, block: int = 4096) -> DataFrame:
@@ -73,6 +75,12 @@ def report(shards: DataFrame, shard_drops: DataFrame, decided: DataFrame) -> dic
     }
 
 
+def write_json(report: dict, path: str) -> None:
+    """A report as a file of any store, in place only when it is whole."""
+    with files.Written(path) as f:
+        f.write(json.dumps(report, indent=2, sort_keys=True, default=str, ensure_ascii=False).encode())
+
+
 def histogram(docs: DataFrame, k: int = 50) -> DataFrame:
     """(kind, domain, docs, bytes): raw and canonical names, the k largest by bytes of each."""
     raw = docs.groupBy(F.coalesce("domain", F.lit("")).alias("domain")).agg(F.count(F.lit(1)).alias("docs"), F.sum(n_bytes("text")).alias("bytes"))
@@ -84,12 +92,14 @@ def histogram(docs: DataFrame, k: int = 50) -> DataFrame:
 def domain_yield(docs: DataFrame, most_lines: int | None = None, most_docs: int | None = None) -> DataFrame:
     """(domain, docs, avg_yield): characters per document, summed over its rows, then averaged. Caps, if given, count rows and distinct
     documents by ord."""
+    from textmill.operators.mix import placed
+
     d = docs.select("domain", F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("line_"), F.col("ord").cast("string"))).alias("doc"), "ord", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("chars"))
     if most_lines is not None:
-        d = d.withColumn("r", F.row_number().over(Window.partitionBy("domain").orderBy("ord"))).where(F.col("r") <= most_lines)
+        d = placed(d, "ord", "domain").where(F.col("nth") <= most_lines).drop("nth")
     if most_docs is not None:
         # the place of a document is that of its first row; all up to the row that brings the last document in count
-        first = d.groupBy("domain", "doc").agg(F.min("ord").alias("first")).withColumn("nth", F.row_number().over(Window.partitionBy("domain").orderBy("first")))
+        first = placed(d.groupBy("domain", "doc").agg(F.min("ord").alias("first")), "first", "domain")
         last = first.where(F.col("nth") == most_docs).select("domain", F.col("first").alias("last"))
         d = d.join(F.broadcast(last), "domain", "left").where(F.col("last").isNull() | (F.col("ord") <= F.col("last")))
     return d.groupBy("domain", "doc").agg(F.sum("chars").alias("chars")).groupBy("domain").agg(F.count(F.lit(1)).alias("docs"), F.avg("chars").alias("avg_yield"))

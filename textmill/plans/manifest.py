@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import json
 import os
-from dataclasses import dataclass, field
+import subprocess
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from textmill.operators.mix import BASE_WEIGHTS, validated
 from textmill.sources import jsonl
 
+# What the later phase of a curriculum changes in the target mix.
+LATE_PHASE = {"filtered_web": 0.285, "reasoning_scaffolding": 0.015}
 OUTPUTS = {"normalized_dir": "out/normalized", "dedup_dir": "out/dedup", "packed_dir": "out/packed"}
 
 
@@ -90,6 +93,16 @@ def split_manifest(split_dir: str, weights: dict[str, float] = BASE_WEIGHTS, tok
     return json.dumps({"seed": seed, "chars_per_token": 4.0, "outputs": outputs, "dedup": dedup, "packing": {"seq_len": 4096, "tokenizer_path": tokenizer}, "domains": domains}, indent=2)
 
 
+def phase(m: Manifest, weights: dict[str, float] = LATE_PHASE, sources: dict[str, dict[str, Source]] | None = None) -> Manifest:
+    """A phase of a curriculum: the manifest with the weights of some domains changed. A domain that is new brings its sources."""
+    every = m.sources | (sources or {})
+    if missing := sorted(set(weights) - set(every)):
+        raise ValueError(f"no sources in {missing}")
+    for d, members in (sources or {}).items():
+        validated({n: s.weight for n, s in members.items()}, f"sources of {d}")
+    return replace(m, weights=validated(m.weights | weights, "domains"), sources=every)
+
+
 def audit(m: Manifest, root: str | None = None) -> dict:
     """Per local source of positive weight: files, bytes, first paths, a probe of each file's first line; what is missing, a placeholder or broken."""
     report = {"sources": [], "missing": [], "placeholders": [], "probe_errors": [], "skipped_too_long": []}
@@ -123,7 +136,18 @@ def check(report: dict) -> None:
             raise ValueError(f"{kind}: {report[kind]}")
 
 
+def code_state(folder: str | None = None) -> dict:
+    """The commit of the code in a folder, by default this package's, and whether files differ from it; both null without git."""
+    git = ["git", "-C", folder or os.path.dirname(os.path.abspath(__file__))]
+    try:
+        commit, changed = (subprocess.run([*git, *c], capture_output=True, text=True, check=True, timeout=30).stdout.strip() for c in (["rev-parse", "HEAD"], ["status", "--porcelain"]))
+    except (OSError, subprocess.SubprocessError):
+        return {"commit": None, "changed": None}
+    return {"commit": commit, "changed": bool(changed)}
+
+
 def run_info(m: Manifest, **more) -> dict:
+    """What a run was made from: a hash of its manifest, the state of the code, and whatever else is given."""
     from textmill.functions.text import params_hash
 
-    return {"manifest_sha256": params_hash({"seed": m.seed, "weights": m.weights, "sources": m.source_weights, "packing": m.packing}), **more}
+    return {"manifest_sha256": params_hash({"seed": m.seed, "weights": m.weights, "sources": m.source_weights, "packing": m.packing}), "code": code_state(), **more}
