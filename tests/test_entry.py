@@ -19,9 +19,15 @@ def test_against_sql(spark):
     c = duckdb.connect()
     for t in ("documents", "pages", "conversations", "labels", "orders"):
         c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
-    for name in ("filter_reasons", "quality_score", "exact_dedup_per_source", "chunk_documents", "qa_pairs", "shard_manifest", "byte_budget", "loader_fim", "pack_rows", "pack_segments", "interleaved_mix", "hamming_band_join", "simhash_best", "simhash_greedy", "jsonl_shards", "repaired_lines", "posts_xml", "loader_fim_drawn", "loader_draws"):
+    for name in (
+        "filter_reasons", "quality_score", "exact_dedup_per_source", "chunk_documents", "qa_pairs", "shard_manifest", "byte_budget",
+        "loader_fim", "pack_rows", "pack_segments", "interleaved_mix", "hamming_band_join", "simhash_best", "simhash_greedy",
+        "jsonl_shards", "repaired_lines", "posts_xml", "loader_fim_drawn", "loader_draws"
+    ):
         got = entry.queries()[name](spark, sf)
         want = c.sql(entry.oracle_sql()[name])
         order = sorted(got.columns)
         assert order == sorted(want.columns), name
-        assert sorted(map(str, (tuple(r[k] for k in order) for r in got.collect()))) == sorted(map(str, want.select(*order).fetchall())), name
+        assert sorted(
+            map(str, (tuple(r[k] for k in order) for r in got.collect()))
+        ) == sorted(map(str, want.select(*order).fetchall())), name

@@ -16,7 +16,10 @@ def values(spark, texts, *columns):
 
 def test_scalars(spark):
     texts = [None, "", "a", "a   b\n", "x" * 10, "y" * 6, "tab\there\x85", "a b c a b c"]
-    got = values(spark, texts, X.collapse(F.coalesce("text", F.lit(""))), X.est_tokens("text"), X.printable_ratio("text"), X.repetition_3gram("text"), X.n_bytes("text"))
+    got = values(
+        spark, texts, X.collapse(F.coalesce("text", F.lit(""))), X.est_tokens("text"), X.printable_ratio("text"),
+        X.repetition_3gram("text"), X.n_bytes("text")
+    )
     for t, (c, n, p, r, b) in zip(texts, got):
         t = t or ""
         w = t.split()
@@ -78,7 +81,15 @@ def test_filters(spark):
 
 
 def test_normalise(spark):
-    rows = spark.read.json(spark.sparkContext.parallelize(['{"content": "c", "id": "7", "url": "u", "license": "MIT", "timestamp": "t"}', '{"text": "", "question": {"title": "T", "body": "B", "tags": "x", "creation_date": "d"}, "answer": {"body": "A"}}', '{"text": "only"}']))
+    rows = spark.read.json(
+        spark.sparkContext.parallelize(
+            [
+                '{"content": "c", "id": "7", "url": "u", "license": "MIT", "timestamp": "t"}',
+                '{"text": "", "question": {"title": "T", "body": "B", "tags": "x", "creation_date": "d"}, "answer": {"body": "A"}}',
+                '{"text": "only"}'
+            ]
+        )
+    )
     a, b, c = sorted(transforms.normalise(rows, "dom", "src", "L").collect(), key=lambda r: r.text)[::-1][::-1]
     by = {r.text: r for r in (a, b, c)}
     assert by["c"].doc_id == "7" and by["c"].license_tag == "MIT" and by["c"].created_at == "t" and by["c"].meta == {"url": "u"}
@@ -90,13 +101,23 @@ def test_normalise(spark):
 def test_chunks(spark):
     d = spark.createDataFrame([("a", "x" * 25), ("b", ""), ("c", "abc")], "doc_id string, text string")
     got = {r.doc_id: (r.text, r.chunk_start) for r in transforms.chunk(d, 10, 2).collect()}
-    assert got == {"a::chunk0": ("x" * 10, 0), "a::chunk1": ("x" * 10, 8), "a::chunk2": ("x" * 9, 16), "a::chunk3": ("x", 24), "c::chunk0": ("abc", 0)}
+    assert got == {
+        "a::chunk0": ("x" * 10, 0), "a::chunk1": ("x" * 10, 8), "a::chunk2": ("x" * 9, 16), "a::chunk3": ("x", 24), "c::chunk0": ("abc", 0)
+    }
     with pytest.raises(ValueError):
         transforms.chunk(d, 5, 5)
 
 
 def test_stackexchange(spark):
-    posts = spark.createDataFrame([("1", "1", None, "3", "T", "<p>q</p>", "<t>", "d", "0", 0), ("2", "2", "1", None, None, "best", None, None, "9", 1), ("3", "2", "9", None, None, "taken", None, None, "0", 2), ("4", "1", None, None, "U", "q2", "", "d", "0", 3), ("5", "2", "4", None, None, "first", None, None, "1", 4), ("6", "2", "4", None, None, "second", None, None, "1", 5), ("7", "1", None, None, "V", "q3", "", "d", "0", 6)], "Id string, PostTypeId string, ParentId string, AcceptedAnswerId string, Title string, Body string, Tags string, CreationDate string, Score string, ord long")
+    posts = spark.createDataFrame(
+        [
+            ("1", "1", None, "3", "T", "<p>q</p>", "<t>", "d", "0", 0), ("2", "2", "1", None, None, "best", None, None, "9", 1),
+            ("3", "2", "9", None, None, "taken", None, None, "0", 2), ("4", "1", None, None, "U", "q2", "", "d", "0", 3),
+            ("5", "2", "4", None, None, "first", None, None, "1", 4), ("6", "2", "4", None, None, "second", None, None, "1", 5),
+            ("7", "1", None, None, "V", "q3", "", "d", "0", 6)
+        ],
+        "Id string, PostTypeId string, ParentId string, AcceptedAnswerId string, Title string, Body string, Tags string, CreationDate string, Score string, ord long"
+    )
     got = {r.doc_id: r.text for r in transforms.stackexchange(posts).collect()}
     assert got == {"1": "Q: T\nq\nA: taken", "4": "Q: U\nq2\nA: first", "7": "Q: V\nq3\nA:"}
     assert {r.id: r.answer.body for r in transforms.stackexchange_raw(posts).collect()} == {"1": "best", "4": "first", "7": ""}
@@ -104,5 +125,7 @@ def test_stackexchange(spark):
 
 def test_json_has_all_keys(spark):
     d = spark.createDataFrame([("1", "é")], "doc_id string, text string")
-    assert set(re.findall(r'"(\w+)":', transforms.to_json(d).first()[0])) == {"text", "source", "domain", "doc_id", "license_tag", "created_at", "meta"}
+    assert set(re.findall(r'"(\w+)":', transforms.to_json(d).first()[0])) == {
+        "text", "source", "domain", "doc_id", "license_tag", "created_at", "meta"
+    }
     assert unicodedata.normalize("NFC", "é") in transforms.to_json(d).first()[0]

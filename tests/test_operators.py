@@ -8,7 +8,10 @@ from textmill.streaming import exact
 
 
 def frame(spark, texts, sources=None):
-    return spark.createDataFrame([(i, f"d{i}", t, "s" if not sources else sources[i], "x") for i, t in enumerate(texts)], "ord long, doc_id string, text string, source string, domain string")
+    return spark.createDataFrame(
+        [(i, f"d{i}", t, "s" if not sources else sources[i], "x") for i, t in enumerate(texts)],
+        "ord long, doc_id string, text string, source string, domain string"
+    )
 
 
 def by_id(d):
@@ -89,7 +92,9 @@ def test_pairs_against_all_pairs(spark):
     rng = random.Random(4)
     prints = {rng.getrandbits(64) for _ in range(15)}
     prints = sorted({x ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 5))) for x in prints for _ in range(8)})
-    d = spark.createDataFrame([("", i, [x - (1 << 64) if x >> 63 else x]) for i, x in enumerate(prints)], "scope string, first long, fp array<long>")
+    d = spark.createDataFrame(
+        [("", i, [x - (1 << 64) if x >> 63 else x]) for i, x in enumerate(prints)], "scope string, first long, fp array<long>"
+    )
     got = {(r.a, r.b, r.band, r.distance) for r in dedup.band_pairs(d, 3).collect()}
     want = set()
     for a, x in enumerate(prints):
@@ -113,13 +118,18 @@ def stream(docs, size, eos):
     return out + [(eos, None, None, None)] * (-len(out) % size)
 
 
-@pytest.mark.parametrize("seed, lengths, block", [(0, [0, 1, 3, 5, 7, 8, 9, 16, 20], 7), (1, [1, 2, 3], 5), (2, [0, 8, 30], 1), (3, [7], 1000)])
+@pytest.mark.parametrize(
+    "seed, lengths, block", [(0, [0, 1, 3, 5, 7, 8, 9, 16, 20], 7), (1, [1, 2, 3], 5), (2, [0, 8, 30], 1), (3, [7], 1000)]
+)
 def test_pack_against_one_stream(spark, seed, lengths, block):
     """Also without any document of a row's length, and with blocks of any size."""
     rng = random.Random(seed)
     size = 8
     docs = [(f"d{i}", [rng.randint(1, 99) for _ in range(rng.choice(lengths))], f"s{i}") for i in range(60)]
-    d = spark.createDataFrame([(i, n, "x", s, t) for i, (n, t, s) in enumerate(docs)], "mix_ord long, doc_id string, domain string, source string, tokens array<int>")
+    d = spark.createDataFrame(
+        [(i, n, "x", s, t) for i, (n, t, s) in enumerate(docs)],
+        "mix_ord long, doc_id string, domain string, source string, tokens array<int>"
+    )
     got = pack.pack(d, size, 0, block=block).orderBy("row").collect()
     want = stream(docs, size, 0)
     assert [r.row for r in got] == list(range(len(want) // size))
@@ -133,7 +143,9 @@ def test_pack_against_one_stream(spark, seed, lengths, block):
 
 
 def test_pack_of_nothing(spark):
-    assert pack.pack(spark.createDataFrame([], "mix_ord long, doc_id string, domain string, source string, tokens array<int>"), 8, 0).count() == 0
+    assert pack.pack(
+        spark.createDataFrame([], "mix_ord long, doc_id string, domain string, source string, tokens array<int>"), 8, 0
+    ).count() == 0
 
 
 def test_loader(spark):
@@ -181,12 +193,16 @@ def test_sampler(spark):
 
 def test_interleaved(spark):
     docs = frame(spark, ["word " * 8] * 40 + ["word " * 80] * 10, ["a"] * 40 + ["b"] * 10)
-    got = mix.numbered(mix.interleaved(docs, {("x", "a"): 3.0, ("x", "b"): 1.0}, 1600, repeat=True), "at", "domain", "source", "ord").orderBy("mix_ord").collect()
+    got = mix.numbered(
+        mix.interleaved(docs, {("x", "a"): 3.0, ("x", "b"): 1.0}, 1600, repeat=True), "at", "domain", "source", "ord"
+    ).orderBy("mix_ord").collect()
     assert [r.mix_ord for r in got] == list(range(len(got)))
     for n in (len(got) // 2, len(got)):
         own = {s: sum(r.est_tokens for r in got[:n] if r.source == s) for s in "ab"}
         assert abs(own["a"] / sum(own.values()) - 0.75) < 0.1
-    assert max(r.epoch for r in got) == 2 and {(r.source, r.ord, r.epoch) for r in got if r.source == "b"} == {("b", i, 0) for i in range(40, 44)}
+    assert max(r.epoch for r in got) == 2 and {
+        (r.source, r.ord, r.epoch) for r in got if r.source == "b"
+    } == {("b", i, 0) for i in range(40, 44)}
     with pytest.raises(ValueError):
         mix.interleaved(docs, {("x", "a"): 3.0, ("x", "b"): 1.0}, 1600)
     with pytest.raises(ValueError):
@@ -194,7 +210,9 @@ def test_interleaved(spark):
 
 
 def test_acceptance(spark):
-    d = spark.createDataFrame([("a", "value_x = 1.5e-3 and value_x"), ("a", "plain words"), (None, "é" * 20), ("b", "")], "domain string, text string")
+    d = spark.createDataFrame(
+        [("a", "value_x = 1.5e-3 and value_x"), ("a", "plain words"), (None, "é" * 20), ("b", "")], "domain string, text string"
+    )
     got = {r.domain: r for r in reports.acceptance(d, "/opt/tokenizers/piece_bpe_32k.model", 1.0, 1.0, 0.0, 0.0).collect()}
     from sentencepiece import SentencePieceProcessor
 
@@ -230,7 +248,10 @@ def test_weights(spark):
 
 
 def test_yields_with_caps(spark):
-    d = spark.createDataFrame([(0, "a", "x", "1234"), (1, "a", "x", "12"), (2, "b", "x", "1"), (3, "c", "x", "12345")], "ord long, doc_id string, domain string, text string")
+    d = spark.createDataFrame(
+        [(0, "a", "x", "1234"), (1, "a", "x", "12"), (2, "b", "x", "1"), (3, "c", "x", "12345")],
+        "ord long, doc_id string, domain string, text string"
+    )
     assert tuple(reports.domain_yield(d).first()) == ("x", 3, 4.0)
     assert tuple(reports.domain_yield(d, most_docs=2).first()) == ("x", 2, 3.5)
     assert tuple(reports.domain_yield(d, most_lines=2).first()) == ("x", 1, 6.0)

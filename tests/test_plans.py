@@ -12,7 +12,19 @@ from textmill.sources import files, jsonl
 def test_mix_report_and_ingest(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text("".join(json.dumps({"text": "x" * n}) + "\n" for n in (3, 5)))
     (tmp_path / "b.jsonl.zst").write_bytes(zstandard.compress(b""))
-    m = manifest.parse({"domains": {"one": {"weight": 0.5, "sources": {"a": {"weight": 1, "params": {"paths": "a.jsonl"}}}}, "two": {"weight": 0.5, "sources": {"b": {"weight": 0.5, "params": {"paths": "b.jsonl.zst"}}, "open-web-math": {"weight": 0.5, "type": "hf_stream"}}}}})
+    m = manifest.parse(
+        {
+            "domains": {
+                "one": {"weight": 0.5, "sources": {"a": {"weight": 1, "params": {"paths": "a.jsonl"}}}},
+                "two": {
+                    "weight": 0.5,
+                    "sources": {
+                        "b": {"weight": 0.5, "params": {"paths": "b.jsonl.zst"}}, "open-web-math": {"weight": 0.5, "type": "hf_stream"}
+                    }
+                }
+            }
+        }
+    )
     rows = spark.createDataFrame([(0, "12345678", "s")], "ord long, text string, source string")
     r = pipeline.mix_report(spark, m, str(tmp_path), samples=lambda p: rows)
     assert r["sources"]["one/a"]["n_docs"] == 2 and r["sources"]["two/b"]["n_docs"] == 0 and len(r["empty_files"]) == 1
@@ -22,7 +34,10 @@ def test_mix_report_and_ingest(spark, tmp_path):
 
 
 def test_tokenizer_corpus(spark):
-    docs = spark.createDataFrame([(i, "é" * 50, d) for i, d in enumerate(["web", "books_x", "wiki", "forums_qa", "code", "math", "tutorials", "paper"])], "ord long, text string, domain string")
+    docs = spark.createDataFrame(
+        [(i, "é" * 50, d) for i, d in enumerate(["web", "books_x", "wiki", "forums_qa", "code", "math", "tutorials", "paper"])],
+        "ord long, text string, domain string"
+    )
     got = {r.domain: r.bytes_used for r in pipeline.tokenizer_corpus(docs, 1000).collect()}
     assert got["filtered_web"] == 101 and got["tutorials_notebooks"] == 20
     twice = pipeline.tokenizer_corpus(docs, 1000, passes=2).groupBy("domain").sum("bytes_used").collect()
@@ -39,7 +54,9 @@ def test_normalise_to_pack(spark, tmp_path):
     t = Tokenizer(models.WordLevel({"</s>": 0, "word": 1}, unk_token="word"))
     t.pre_tokenizer = pre_tokenizers.Whitespace()
     t.save(str(tmp_path / "t.json"))
-    records = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(60))) for i in range(5)] + [(5, "short")], "ord long, text string")
+    records = spark.createDataFrame(
+        [(i, " ".join(f"w{i}x{k}" for k in range(60))) for i in range(5)] + [(5, "short")], "ord long, text string"
+    )
     kept, counts, drops = pipeline.normalise(records, "d", "s", shard_size=2)
     assert [r.docs for r in counts.orderBy("shard_id").collect()] == [2, 2, 1] and drops.first().drop_reason == "too_short"
     rows = pipeline.packed(kept, pack.Tokenizer(str(tmp_path / "t.json")), {"d": 1.0}, {"d": {"s": 1.0}}, 435, seq_len=64)
@@ -64,10 +81,14 @@ def test_run_info_as_a_report(tmp_path):
     m = manifest.parse(json.loads(manifest.split_manifest("splits")))
     info = manifest.run_info(m, seed=m.seed)
     reports.write_json(info, str(tmp_path / "out" / "run.json"))
-    assert json.loads((tmp_path / "out" / "run.json").read_text()) == info and [p.name for p in (tmp_path / "out").iterdir()] == ["run.json"]
+    assert json.loads((tmp_path / "out" / "run.json").read_text()) == info and [
+        p.name for p in (tmp_path / "out").iterdir()
+    ] == ["run.json"]
     assert info["manifest_sha256"] != manifest.run_info(manifest.phase(m, {"math": 0.10, "reference": 0.10}))["manifest_sha256"]
     assert manifest.code_state(str(tmp_path)) == {"commit": None, "changed": None}
-    run = lambda *c: subprocess.run(["git", "-C", str(tmp_path), "-c", "user.name=a", "-c", "user.email=a@b", *c], check=True, capture_output=True)
+    run = lambda *c: subprocess.run(
+        ["git", "-C", str(tmp_path), "-c", "user.name=a", "-c", "user.email=a@b", *c], check=True, capture_output=True
+    )
     run("init")
     run("commit", "--allow-empty", "-m", "x")
     state = manifest.code_state(str(tmp_path))

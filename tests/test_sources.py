@@ -46,17 +46,25 @@ def test_order_over_splits(spark, tmp_path):
 
 
 def test_shards_and_split(spark, tmp_path):
-    d = spark.createDataFrame([(i, str(i), "text", "s", "dom" if i % 2 else None) for i in range(7)], "ord long, doc_id string, text string, source string, domain string")
+    d = spark.createDataFrame(
+        [(i, str(i), "text", "s", "dom" if i % 2 else None) for i in range(7)],
+        "ord long, doc_id string, text string, source string, domain string"
+    )
     shards = reports.sharded(d, 3)
     got = jsonl.write_shards(shards, str(tmp_path / "out")).orderBy("shard_id").collect()
     assert [r.docs for r in got] == [3, 3, 1]
-    jsonl.write_manifests(reports.shard_manifest(shards), shards.selectExpr("shard_id", "'x' AS drop_reason", "1L AS n").limit(0), str(tmp_path / "out"), "d", "s")
+    jsonl.write_manifests(
+        reports.shard_manifest(shards), shards.selectExpr("shard_id", "'x' AS drop_reason", "1L AS n").limit(0), str(tmp_path / "out"), "d",
+        "s"
+    )
     assert json.loads((tmp_path / "out/shard_00000.jsonl.manifest.json").read_text())["counts"]["docs"] == 3
     back = jsonl.read(spark, [r.path for r in got], "doc_id string, domain string")
     assert [r.doc_id for r in back.orderBy("ord").collect()] == [str(i) for i in range(7)]
     text = spark.createDataFrame([('{"domain": "a/b"}',), ('{"x": 1}',), ("{bad",), ("",)], "value string")
     assert {r.domain_safe for r in jsonl.split_by_domain(text, str(tmp_path / "split")).collect()} == {"a_b", "unknown"}
-    assert [tuple(r) for r in jsonl.bad_lines(text).collect()] == [(3, 1)] and [tuple(r) for r in jsonl.bad_lines(text, fast=True).collect()] == [(3, 2)]
+    assert [tuple(r) for r in jsonl.bad_lines(text).collect()] == [(3, 1)] and [
+        tuple(r) for r in jsonl.bad_lines(text, fast=True).collect()
+    ] == [(3, 2)]
     stats = jsonl.file_stats(spark, spark.createDataFrame([("s", "d", got[0].path)], "source string, domain string, file string")).first()
     assert (stats.n_docs, stats.total_chars, stats.n_bad) == (3, 12, 0)
 
@@ -66,11 +74,15 @@ def test_dumps(spark, tmp_path):
     r = dumps.posts(spark, dumps.posts_path(str(tmp_path))).first()
     assert (r.Id, r.Body) == ("1", "<p>q</p>")
     (tmp_path / "bad.xml").write_text('<posts><row Id="1" Body="<p>q</p>" /><row Id="2" ParentId="1" Body="a > b" /><row></posts>')
-    assert [(r.Id, r.Body, r.ord) for r in dumps.posts_broken(spark, str(tmp_path / "bad.xml")).collect()] == [("1", "<p>q</p>", 0), ("2", "a > b", 1)]
+    assert [
+        (r.Id, r.Body, r.ord) for r in dumps.posts_broken(spark, str(tmp_path / "bad.xml")).collect()
+    ] == [("1", "<p>q</p>", 0), ("2", "a > b", 1)]
     assert [r.Body for r in dumps.posts(spark, str(tmp_path / "bad.xml")).orderBy("ord").collect()] == ["<p>q</p>", "a > b"]
     with pytest.raises(ValueError):
         dumps.posts_path("x.txt")
-    (tmp_path / "w.xml").write_text("<mediawiki><page><title>A</title><ns>0</ns><id>5</id><revision><timestamp>t</timestamp><text>[[x|y]] {{z}}</text></revision></page><page><title>B</title><ns>1</ns><id>6</id></page></mediawiki>")
+    (tmp_path / "w.xml").write_text(
+        "<mediawiki><page><title>A</title><ns>0</ns><id>5</id><revision><timestamp>t</timestamp><text>[[x|y]] {{z}}</text></revision></page><page><title>B</title><ns>1</ns><id>6</id></page></mediawiki>"
+    )
     from textmill.operators.transforms import wiki_dump
 
     assert [tuple(r) for r in wiki_dump(dumps.wiki_pages(spark, str(tmp_path / "w.xml"))).collect()] == [("5", "A", "t", "y")]
@@ -80,12 +92,16 @@ def test_dumps(spark, tmp_path):
 
 
 def test_hub(spark):
-    assert hub.resolved("open-web-math", {})["domain"] == "math" and hub.resolved("fineweb2", {"config_name": "deu_Latn"})["config_name"] == "deu_Latn"
+    assert hub.resolved("open-web-math", {})["domain"] == "math" and hub.resolved(
+        "fineweb2", {"config_name": "deu_Latn"}
+    )["config_name"] == "deu_Latn"
     with pytest.raises(ValueError):
         hub.resolved("nothing", {})
     assert hub.split_of(lambda s: s, ["validation", "test"]) == "test"
     c = spark.createDataFrame([(x,) for x in ("asm_Beng", "fra_Latn", "eng_Latn", "eng_Cyrl")], "config string")
-    assert [hub.matching_configs(c, **k).count() for k in ({"lang": "eng"}, {"lang": "eng", "script": "Latn"}, {"contains": "ENG"}, {})] == [2, 1, 3, 4]
+    assert [
+        hub.matching_configs(c, **k).count() for k in ({"lang": "eng"}, {"lang": "eng", "script": "Latn"}, {"contains": "ENG"}, {})
+    ] == [2, 1, 3, 4]
     rows = spark.createDataFrame([(0, None, "a", "u"), (1, "7", "b", None)], "ord long, id string, text string, url string")
     got = {r.text: r for r in hub.documents(rows, "s", "d", meta_fields=["url", "none"]).collect()}
     assert got["a"].meta == {"url": "u"} and len(got["a"].doc_id) == 16 and got["b"].meta is None and got["b"].doc_id == "7"
@@ -112,9 +128,14 @@ def test_manifest(tmp_path):
 
 
 def test_pack_files(spark, tmp_path):
-    rows = spark.createDataFrame([(0, [1, 2], [("a", 0, 2)], "x", "s"), (1, [3, 4], [("a", 2, 3), ("b", 0, 1)], "y", "s")], "row long, input_ids array<int>, segments array<struct<doc_id:string,start:int,end:int>>, domain string, source string")
+    rows = spark.createDataFrame(
+        [(0, [1, 2], [("a", 0, 2)], "x", "s"), (1, [3, 4], [("a", 2, 3), ("b", 0, 1)], "y", "s")],
+        "row long, input_ids array<int>, segments array<struct<doc_id:string,start:int,end:int>>, domain string, source string"
+    )
     assert packs.export(rows, str(tmp_path / "p"), 2)["num_seqs"] == 2
-    assert [(r.row, r.input_ids, r.domain) for r in packs.read(spark, str(tmp_path / "p")).orderBy("row").collect()] == [(0, [1, 2], "x"), (1, [3, 4], "y")]
+    assert [
+        (r.row, r.input_ids, r.domain) for r in packs.read(spark, str(tmp_path / "p")).orderBy("row").collect()
+    ] == [(0, [1, 2], "x"), (1, [3, 4], "y")]
 
 
 def test_files(tmp_path):

@@ -39,7 +39,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(F.col("doc_id").alias("ord"), F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), "source", F.col("lang").alias("domain"))
+    return table(spark, sf, "documents").select(
+        F.col("doc_id").alias("ord"), F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), "source",
+        F.col("lang").alias("domain")
+    )
 
 
 # --- SQL parts
@@ -66,7 +69,9 @@ _SUMMARY = "SELECT coalesce(drop_reason, 'keep') AS outcome, count(*) AS docs, s
 
 
 def _summary(d: DataFrame) -> DataFrame:
-    return d.groupBy(F.coalesce("drop_reason", F.lit("keep")).alias("outcome")).agg(F.count(F.lit(1)).alias("docs"), F.sum(X.n_bytes("text")).alias("bytes"), F.sum(X.est_tokens("text")).alias("est_tokens"))
+    return d.groupBy(F.coalesce("drop_reason", F.lit("keep")).alias("outcome")).agg(
+        F.count(F.lit(1)).alias("docs"), F.sum(X.n_bytes("text")).alias("bytes"), F.sum(X.est_tokens("text")).alias("est_tokens")
+    )
 
 
 # --- filters
@@ -85,9 +90,13 @@ def filter_no_lang(spark, sf):
     return _summary(filters.judged(docs(spark, sf), filters.WITHOUT_LANGUAGE))
 
 
-@query(_reason(True) + ", l AS (SELECT doc_id, min(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id) SELECT coalesce(drop_reason, 'keep') AS outcome, quality, toxic, count(*) AS docs FROM judged JOIN l ON judged.ord = l.doc_id GROUP BY ALL")
+@query(
+    _reason(True) + ", l AS (SELECT doc_id, min(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id) SELECT coalesce(drop_reason, 'keep') AS outcome, quality, toxic, count(*) AS docs FROM judged JOIN l ON judged.ord = l.doc_id GROUP BY ALL"
+)
 def filter_vs_labels(spark, sf):
-    labels = table(spark, sf, "labels").groupBy(F.col("doc_id").alias("ord")).agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    labels = table(spark, sf, "labels").groupBy(F.col("doc_id").alias("ord")).agg(
+        F.min("quality").alias("quality"), F.max("toxic").alias("toxic")
+    )
     judged = filters.judged(docs(spark, sf)).select("ord", F.coalesce("drop_reason", F.lit("keep")).alias("outcome"))
     return judged.join(labels, "ord").groupBy("outcome", "quality", "toxic").agg(F.count(F.lit(1)).alias("docs"))
 
@@ -115,7 +124,9 @@ def repetition_3gram(spark, sf):
 _PRINTABLE = r"(length(text) - length(regexp_replace(regexp_replace(text, '[^\p{C}\p{Z}]', '', 'g'), ' ', '', 'g'))) / length(text)"
 
 
-@query(f"SELECT doc_id, CASE WHEN length(text) > 0 THEN round({_PRINTABLE}, 6) ELSE 0.0 END AS ratio FROM (SELECT doc_id, {T} AS text FROM documents)")
+@query(
+    f"SELECT doc_id, CASE WHEN length(text) > 0 THEN round({_PRINTABLE}, 6) ELSE 0.0 END AS ratio FROM (SELECT doc_id, {T} AS text FROM documents)"
+)
 def printable_ratio(spark, sf):
     return docs(spark, sf).select(F.col("ord").alias("doc_id"), F.round(X.printable_ratio("text"), 6).alias("ratio"))
 
@@ -129,19 +140,27 @@ def quality_score(spark, sf):
     return docs(spark, sf).select(F.col("ord").alias("doc_id"), F.round(X.quality_score("text"), 6).alias("score"))
 
 
-@query(f"SELECT page_id, CASE WHEN regexp_matches(lower(url), '{'|'.join(h.replace('.', '[.]') for h in X.LOW_SIGNAL_HOSTS)}') THEN -0.5 ELSE 0.0 END AS penalty FROM pages")
+@query(
+    f"SELECT page_id, CASE WHEN regexp_matches(lower(url), '{'|'.join(h.replace('.', '[.]') for h in X.LOW_SIGNAL_HOSTS)}') THEN -0.5 ELSE 0.0 END AS penalty FROM pages"
+)
 def url_penalty(spark, sf):
     return table(spark, sf, "pages").select("page_id", X.url_penalty("url").alias("penalty"))
 
 
-@query("SELECT page_id, CASE WHEN s = '' THEN 'unknown' ELSE s END AS name FROM (SELECT page_id, regexp_replace(coalesce(url, ''), '[^A-Za-z0-9._-]+', '_', 'g') AS s FROM pages)")
+@query(
+    "SELECT page_id, CASE WHEN s = '' THEN 'unknown' ELSE s END AS name FROM (SELECT page_id, regexp_replace(coalesce(url, ''), '[^A-Za-z0-9._-]+', '_', 'g') AS s FROM pages)"
+)
 def safe_names(spark, sf):
     return table(spark, sf, "pages").select("page_id", X.safe_name("url").alias("name"))
 
 
-@query(r"SELECT doc_id, least(50, len([x FOR x IN regexp_extract_all(text, '[\p{L}\p{N}_]+') IF regexp_full_match(x, '[A-Za-z_][A-Za-z0-9_]*')]))::INT AS n_ident, len(regexp_extract_all(text, '(?i)\b(\d+(?:\.\d+)?e[+-]?\d+)\b', 1)[1:20])::INT AS n_sci FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)")
+@query(
+    r"SELECT doc_id, least(50, len([x FOR x IN regexp_extract_all(text, '[\p{L}\p{N}_]+') IF regexp_full_match(x, '[A-Za-z_][A-Za-z0-9_]*')]))::INT AS n_ident, len(regexp_extract_all(text, '(?i)\b(\d+(?:\.\d+)?e[+-]?\d+)\b', 1)[1:20])::INT AS n_sci FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)"
+)
 def ident_sci_counts(spark, sf):
-    return docs(spark, sf).select(F.col("ord").alias("doc_id"), F.size(X.identifiers("text")).alias("n_ident"), F.size(X.sci_numbers("text")).alias("n_sci"))
+    return docs(spark, sf).select(
+        F.col("ord").alias("doc_id"), F.size(X.identifiers("text")).alias("n_ident"), F.size(X.sci_numbers("text")).alias("n_sci")
+    )
 
 
 _HTML = r"trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce({0}, ''), '(?s)<pre><code>(.*?)</code></pre>', '\1', 'g'), '(?s)<code>(.*?)</code>', '\1', 'g'), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))"
@@ -152,13 +171,17 @@ def strip_html_pages(spark, sf):
     return table(spark, sf, "pages").select("page_id", X.strip_html("html").alias("text"))
 
 
-@query(r"SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?s)\{\{.*?\}\}', ' ', 'g'), '\[\[(?:[^\]|]+\|)?([^\]]+)\]\]', '\1', 'g'), '''''+', '', 'g'), '(?s)<ref[^>]*>.*?</ref>', ' ', 'g'), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM pages")
+@query(
+    r"SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?s)\{\{.*?\}\}', ' ', 'g'), '\[\[(?:[^\]|]+\|)?([^\]]+)\]\]', '\1', 'g'), '''''+', '', 'g'), '(?s)<ref[^>]*>.*?</ref>', ' ', 'g'), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM pages"
+)
 def strip_wikitext_pages(spark, sf):
     return table(spark, sf, "pages").select("page_id", X.strip_wikitext("html").alias("text"))
 
 
 # --- records to documents
-@query(f"SELECT page_id::VARCHAR AS doc_id, {_HTML.format('html')} AS text, 'pages' AS source, 'filtered_web' AS domain, url FROM pages WHERE html <> ''")
+@query(
+    f"SELECT page_id::VARCHAR AS doc_id, {_HTML.format('html')} AS text, 'pages' AS source, 'filtered_web' AS domain, url FROM pages WHERE html <> ''"
+)
 def normalise_pages(spark, sf):
     records = table(spark, sf, "pages").select(F.col("page_id").alias("id"), X.strip_html("html").alias("content"), "url")
     made = transforms.normalise(records, "filtered_web", "pages").where("text <> ''")
@@ -177,12 +200,21 @@ def qa_pairs(spark, sf):
     c = table(spark, sf, "conversations")
     first = c.where("role = 'user'").groupBy("conv_id").agg(F.min_by("text", "turn").alias("Body"), F.min("turn").alias("turn"))
     order = F.col("conv_id") * 100000 + F.col("turn")
-    q = first.select(F.col("conv_id").cast("string").alias("Id"), F.lit("1").alias("PostTypeId"), F.lit(None).cast("string").alias("ParentId"), "Body", F.lit(0).alias("Score"), order.alias("ord"))
-    a = c.where("role = 'assistant'").select(F.concat(F.lit("a"), order.cast("string")).alias("Id"), F.lit("2").alias("PostTypeId"), F.col("conv_id").cast("string").alias("ParentId"), F.col("text").alias("Body"), F.length(F.coalesce("text", F.lit(""))).alias("Score"), order.alias("ord"))
+    q = first.select(
+        F.col("conv_id").cast("string").alias("Id"), F.lit("1").alias("PostTypeId"), F.lit(None).cast("string").alias("ParentId"), "Body",
+        F.lit(0).alias("Score"), order.alias("ord")
+    )
+    a = c.where("role = 'assistant'").select(
+        F.concat(F.lit("a"), order.cast("string")).alias("Id"), F.lit("2").alias("PostTypeId"),
+        F.col("conv_id").cast("string").alias("ParentId"), F.col("text").alias("Body"),
+        F.length(F.coalesce("text", F.lit(""))).alias("Score"), order.alias("ord")
+    )
     return transforms.stackexchange(q.unionByName(a)).select("doc_id", "text")
 
 
-@query(f"SELECT doc_id::VARCHAR || '::chunk' || i AS doc_id, i::INT AS chunk_index, (i * 800)::INT AS chunk_start, substr(text, i * 800 + 1, 1000) AS text FROM (SELECT doc_id, {T} AS text, unnest(range(0, ((length({T}) + 799) // 800))) AS i FROM documents)")
+@query(
+    f"SELECT doc_id::VARCHAR || '::chunk' || i AS doc_id, i::INT AS chunk_index, (i * 800)::INT AS chunk_start, substr(text, i * 800 + 1, 1000) AS text FROM (SELECT doc_id, {T} AS text, unnest(range(0, ((length({T}) + 799) // 800))) AS i FROM documents)"
+)
 def chunk_documents(spark, sf):
     return transforms.chunk(docs(spark, sf), 1000, 200).select("doc_id", "chunk_index", "chunk_start", "text")
 
@@ -209,7 +241,9 @@ def exact_dedup_per_source(spark, sf):
 @query(f"""SELECT doc_id, r = 1 AS keep, CASE WHEN r = 1 THEN 'keep' ELSE 'exact_dup' END AS reason, CASE WHEN r > 1 THEN f END AS dup_of FROM
 (SELECT doc_id, row_number() OVER w AS r, first_value(doc_id) OVER w AS f FROM documents WINDOW w AS (PARTITION BY md5({COLLAPSED}) ORDER BY doc_id))""")
 def exact_dedup_decisions(spark, sf):
-    return dedup.exact_decisions(docs(spark, sf), "global", with_hash=False).select(F.col("ord").alias("doc_id"), "keep", "reason", F.col("dup_of").cast("long").alias("dup_of"))
+    return dedup.exact_decisions(docs(spark, sf), "global", with_hash=False).select(
+        F.col("ord").alias("doc_id"), "keep", "reason", F.col("dup_of").cast("long").alias("dup_of")
+    )
 
 
 @query(_QUALITY + f"""SELECT ord AS doc_id, n AS group_size FROM (SELECT ord, count(*) OVER (PARTITION BY k) AS n, row_number() OVER (PARTITION BY k ORDER BY round(score, 6) DESC, ord DESC) AS r
@@ -238,7 +272,9 @@ def near_dedup_greedy(spark, sf):
 @query()
 def near_pairs(spark, sf):
     """Fingerprints of documents within 3 bits of each other, by their first documents, with how many documents have each."""
-    prints = docs(spark, sf).select("ord", fingerprints()("text")["fp"].alias("fp")).groupBy("fp").agg(F.min("ord").alias("first"), F.count(F.lit(1)).alias("n")).select(F.lit("").alias("scope"), "first", "fp", "n")
+    prints = docs(spark, sf).select("ord", fingerprints()("text")["fp"].alias("fp")).groupBy("fp").agg(
+        F.min("ord").alias("first"), F.count(F.lit(1)).alias("n")
+    ).select(F.lit("").alias("scope"), "first", "fp", "n")
     prints = Tables(spark, "prints").save(prints, "prints")
     pairs = dedup.band_pairs(prints.drop("n"), 3).groupBy("a", "b").agg(F.min("band").alias("band"), F.min("distance").alias("distance"))
     size = lambda k: prints.select(F.col("first").alias(k), F.col("n").alias(f"n_{k}"))
@@ -328,7 +364,9 @@ def simhash_greedy(spark, sf):
     return _ids(dedup.greedy(d, prints=fp).drop("ord"))
 
 
-@query(f"SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY md5({COLLAPSED}) ORDER BY doc_id) AS r FROM documents) WHERE r = 1")
+@query(
+    f"SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY md5({COLLAPSED}) ORDER BY doc_id) AS r FROM documents) WHERE r = 1"
+)
 def dedup_run_kept(spark, sf):
     """What a run into a folder keeps, read from there."""
     _, kept, _ = dedup_run.run(docs(spark, sf), Tables(spark, "run").at, [sf], mode="exact", scope="global")
@@ -353,13 +391,18 @@ def _shards(spark, sf) -> tuple[DataFrame, DataFrame, str]:
     return kept, Tables(spark, "shards").save(jsonl.write_shards(kept, out), "files"), out
 
 
-@query(_reason(True) + ", k AS (SELECT *, row_number() OVER (ORDER BY ord) - 1 AS r FROM judged WHERE drop_reason IS NULL) SELECT doc_id, text, source, domain, r // 100 AS shard, r % 100 AS place FROM k")
+@query(
+    _reason(True) + ", k AS (SELECT *, row_number() OVER (ORDER BY ord) - 1 AS r FROM judged WHERE drop_reason IS NULL) SELECT doc_id, text, source, domain, r // 100 AS shard, r % 100 AS place FROM k"
+)
 def jsonl_shards(spark, sf):
     """Compressed shards, read in order."""
     _, files, _ = _shards(spark, sf)
     back = jsonl.read(spark, [r.path for r in files.collect()], "doc_id string, text string, source string, domain string")
     shard = F.shiftright("ord", 43)
-    return back.select("doc_id", "text", "source", "domain", shard.alias("shard"), (F.row_number().over(Window.partitionBy(shard).orderBy("ord")) - 1).cast("long").alias("place"))
+    return back.select(
+        "doc_id", "text", "source", "domain", shard.alias("shard"),
+        (F.row_number().over(Window.partitionBy(shard).orderBy("ord")) - 1).cast("long").alias("place")
+    )
 
 
 @query(_reason(True) + f""", k AS (SELECT *, (row_number() OVER (ORDER BY ord) - 1) // 100 AS s FROM judged WHERE drop_reason IS NULL)
@@ -367,9 +410,13 @@ SELECT printf('shard_%05d.jsonl.zst', s) AS file, count(*) AS docs, sum(strlen(t
 def jsonl_manifests(spark, sf):
     """Manifests beside the shards, read again."""
     kept, _, out = _shards(spark, sf)
-    jsonl.write_manifests(reports.shard_manifest(kept), spark.createDataFrame([], "shard_id long, drop_reason string, n long"), out, "d", "s")
+    jsonl.write_manifests(
+        reports.shard_manifest(kept), spark.createDataFrame([], "shard_id long, drop_reason string, n long"), out, "d", "s"
+    )
     schema = "shard_path string, counts struct<docs: long, bytes: long, est_tokens: long>"
-    return spark.read.schema(schema).option("multiLine", "true").option("pathGlobFilter", "*.manifest.json").json(out).select(F.substring_index("shard_path", "/", -1).alias("file"), "counts.*")
+    return spark.read.schema(schema).option("multiLine", "true").option("pathGlobFilter", "*.manifest.json").json(out).select(
+        F.substring_index("shard_path", "/", -1).alias("file"), "counts.*"
+    )
 
 
 @query(_reason(True) + """, k AS (SELECT *, (row_number() OVER (ORDER BY ord) - 1) // 100 AS s FROM judged WHERE drop_reason IS NULL)
@@ -380,13 +427,17 @@ def jsonl_file_stats(spark, sf):
     return jsonl.file_stats(spark, listed).select(F.element_at(F.split("file", "/"), -1).alias("file"), "n_docs", "total_chars", "n_bad")
 
 
-@query("SELECT regexp_replace(lang || '/' || source, '[^A-Za-z0-9._-]+', '_', 'g') AS domain_safe, doc_id::VARCHAR AS doc_id FROM documents")
+@query(
+    "SELECT regexp_replace(lang || '/' || source, '[^A-Za-z0-9._-]+', '_', 'g') AS domain_safe, doc_id::VARCHAR AS doc_id FROM documents"
+)
 def split_files(spark, sf):
     """Lines in folders by domain, read again; every other line is no JSON and left out."""
     lines = docs(spark, sf).select(F.to_json(F.struct("doc_id", F.concat_ws("/", "domain", "source").alias("domain"))).alias("value"))
     out = f"{Tables(spark, 'split').at}/split"
     jsonl.split_by_domain(lines.select(F.explode(F.array("value", F.substring("value", 1, 9))).alias("value")), out)
-    return spark.read.schema("value string, domain_safe string").text(out).select("domain_safe", F.get_json_object("value", "$.doc_id").alias("doc_id"))
+    return spark.read.schema("value string, domain_safe string").text(out).select(
+        "domain_safe", F.get_json_object("value", "$.doc_id").alias("doc_id")
+    )
 
 
 @query("SELECT 2 * count(*) AS lines, count(*) AS bad FROM documents")
@@ -401,7 +452,10 @@ def repaired_lines(spark, sf):
     out = Tables(spark, "repair").at
     broken = F.regexp_replace(F.to_json(F.struct("doc_id", "text")), r"(?<!\\)\\n", "\n")
     docs(spark, sf).select(broken.alias("value")).write.text(f"{out}/broken")
-    files = [r.f for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(f"{out}/broken").select(F.col("path").alias("f")).collect()]
+    files = [
+        r.f
+        for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(f"{out}/broken").select(F.col("path").alias("f")).collect()
+    ]
     jsonl.repair(spark, files, f"{out}/good").write.format("noop").mode("overwrite").save()
     good = [f"{out}/good/{f.rsplit('/', 1)[1]}.zst" for f in files]
     return jsonl.read(spark, good, "doc_id string, text string").drop("ord")
@@ -411,27 +465,48 @@ def repaired_lines(spark, sf):
 def posts_xml(spark, sf):
     """Conversations as posts in XML, read and assembled. Scores leave no ties, as rows have no order across files."""
     c = table(spark, sf, "conversations")
-    q = c.where("role = 'user'").groupBy(F.col("conv_id").cast("string").alias("_Id")).agg(F.min_by(F.coalesce("text", F.lit("")), "turn").alias("_Body")).select("_Id", F.lit("1").alias("_PostTypeId"), F.lit(None).cast("string").alias("_ParentId"), "_Body", F.lit("0").alias("_Score"))
+    q = c.where("role = 'user'").groupBy(F.col("conv_id").cast("string").alias("_Id")).agg(
+        F.min_by(F.coalesce("text", F.lit("")), "turn").alias("_Body")
+    ).select("_Id", F.lit("1").alias("_PostTypeId"), F.lit(None).cast("string").alias("_ParentId"), "_Body", F.lit("0").alias("_Score"))
     score = F.length(F.coalesce("text", F.lit(""))) * 1000 + 999 - F.col("turn")
-    a = c.where("role = 'assistant'").select(F.concat_ws("-", F.lit("a"), "conv_id", "turn").alias("_Id"), F.lit("2").alias("_PostTypeId"), F.col("conv_id").cast("string").alias("_ParentId"), F.coalesce("text", F.lit("")).alias("_Body"), score.cast("string").alias("_Score"))
+    a = c.where("role = 'assistant'").select(
+        F.concat_ws("-", F.lit("a"), "conv_id", "turn").alias("_Id"), F.lit("2").alias("_PostTypeId"),
+        F.col("conv_id").cast("string").alias("_ParentId"), F.coalesce("text", F.lit("")).alias("_Body"),
+        score.cast("string").alias("_Score")
+    )
     out = f"{Tables(spark, 'posts').at}/xml"
     q.unionByName(a).write.format("xml").option("rootTag", "posts").option("rowTag", "row").save(out)
     return transforms.stackexchange(dumps.posts(spark, out)).select("doc_id", "text")
 
 
-@query(_QA.replace("SELECT q.conv_id::VARCHAR AS doc_id, trim('Q: ' || chr(10) || ", "SELECT q.conv_id::VARCHAR AS id, ").replace(" || chr(10) || 'A: ' || ", " AS question, coalesce(").replace(", ' ' || chr(10)) AS text", ", '') AS answer"))
+@query(
+    _QA.replace(
+        "SELECT q.conv_id::VARCHAR AS doc_id, trim('Q: ' || chr(10) || ", "SELECT q.conv_id::VARCHAR AS id, "
+    ).replace(" || chr(10) || 'A: ' || ", " AS question, coalesce(").replace(", ' ' || chr(10)) AS text", ", '') AS answer")
+)
 def qa_raw(spark, sf):
     """Questions and answers as records, not as text."""
     c = table(spark, sf, "conversations")
     first = c.where("role = 'user'").groupBy("conv_id").agg(F.min_by("text", "turn").alias("Body"), F.min("turn").alias("turn"))
     order = F.col("conv_id") * 100000 + F.col("turn")
     none = F.lit(None).cast("string")
-    q = first.select(F.col("conv_id").cast("string").alias("Id"), F.lit("1").alias("PostTypeId"), none.alias("ParentId"), "Body", F.lit(0).alias("Score"), order.alias("ord"))
-    a = c.where("role = 'assistant'").select(F.concat(F.lit("a"), order.cast("string")).alias("Id"), F.lit("2").alias("PostTypeId"), F.col("conv_id").cast("string").alias("ParentId"), F.col("text").alias("Body"), F.length(F.coalesce("text", F.lit(""))).alias("Score"), order.alias("ord"))
-    return transforms.stackexchange_raw(q.unionByName(a)).select("id", F.col("question.body").alias("question"), F.col("answer.body").alias("answer"))
+    q = first.select(
+        F.col("conv_id").cast("string").alias("Id"), F.lit("1").alias("PostTypeId"), none.alias("ParentId"), "Body",
+        F.lit(0).alias("Score"), order.alias("ord")
+    )
+    a = c.where("role = 'assistant'").select(
+        F.concat(F.lit("a"), order.cast("string")).alias("Id"), F.lit("2").alias("PostTypeId"),
+        F.col("conv_id").cast("string").alias("ParentId"), F.col("text").alias("Body"),
+        F.length(F.coalesce("text", F.lit(""))).alias("Score"), order.alias("ord")
+    )
+    return transforms.stackexchange_raw(q.unionByName(a)).select(
+        "id", F.col("question.body").alias("question"), F.col("answer.body").alias("answer")
+    )
 
 
-_WIKI = ORACLES["strip_wikitext_pages"].replace("SELECT page_id,", "SELECT page_id::VARCHAR AS id, url AS title,") + " WHERE page_id % 3 > 0"
+_WIKI = ORACLES["strip_wikitext_pages"].replace(
+    "SELECT page_id,", "SELECT page_id::VARCHAR AS id, url AS title,"
+) + " WHERE page_id % 3 > 0"
 
 
 @query(_WIKI)
@@ -439,7 +514,10 @@ def wiki_dump(spark, sf):
     """Pages as a dump in XML, every third in another name space, read as articles."""
     p = table(spark, sf, "pages")
     text = F.col("html").alias("text")
-    pages = p.select(F.col("url").alias("title"), F.when(F.col("page_id") % 3 > 0, "0").otherwise("1").alias("ns"), F.col("page_id").cast("string").alias("id"), F.struct(F.lit("2020").alias("timestamp"), text).alias("revision"))
+    pages = p.select(
+        F.col("url").alias("title"), F.when(F.col("page_id") % 3 > 0, "0").otherwise("1").alias("ns"),
+        F.col("page_id").cast("string").alias("id"), F.struct(F.lit("2020").alias("timestamp"), text).alias("revision")
+    )
     out = f"{Tables(spark, 'wiki').at}/xml"
     pages.write.format("xml").option("rootTag", "mediawiki").option("rowTag", "page").option("compression", "gzip").save(out)
     return transforms.wiki_dump(dumps.wiki_pages(spark, out)).select("id", "title", "text")
@@ -448,7 +526,14 @@ def wiki_dump(spark, sf):
 @query(f"SELECT doc_id::VARCHAR AS doc_id, CASE WHEN {T} = '' THEN '' ELSE lang || chr(10) || chr(10) || text END AS text FROM documents")
 def wiki_articles(spark, sf):
     """Extracted articles as lines of JSON between blank and bad ones, read as documents."""
-    lines = table(spark, sf, "documents").select(F.explode(F.array(F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.col("lang").alias("title"), "text")), F.lit(""), F.lit("{no"))).alias("value"))
+    lines = table(spark, sf, "documents").select(
+        F.explode(
+            F.array(
+                F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.col("lang").alias("title"), "text")), F.lit(""),
+                F.lit("{no")
+            )
+        ).alias("value")
+    )
     out = f"{Tables(spark, 'articles').at}/lines"
     lines.write.text(out)
     return transforms.wikipedia(dumps.wiki_articles(spark, out)).select("doc_id", "text")
@@ -464,15 +549,26 @@ def shard_names(spark, sf):
     return table(spark, sf, "documents").select("doc_id", X.shard_name("shard", "doc_id").alias("name"))
 
 
-@query(f"SELECT k AS domain, round(w, 6) AS weight, 'split' AS source, 'in/' || k || '.jsonl.zst' AS path FROM (SELECT k, w / sum(w) OVER () AS w FROM (VALUES {', '.join(f'({k!r}, {v}::DOUBLE)' for k, v in mix.BASE_WEIGHTS.items())}) t(k, w))")
+@query(
+    f"SELECT k AS domain, round(w, 6) AS weight, 'split' AS source, 'in/' || k || '.jsonl.zst' AS path FROM (SELECT k, w / sum(w) OVER () AS w FROM (VALUES {', '.join(f'({k!r}, {v}::DOUBLE)' for k, v in mix.BASE_WEIGHTS.items())}) t(k, w))"
+)
 def split_manifest(spark, sf):
     """A manifest for files by domain, written, read and laid out as a table."""
     m = manifest.parse(json.loads(manifest.split_manifest("in")))
-    return m.table(spark).select("domain", F.round(F.lit(1.0) * F.element_at(F.create_map(*[F.lit(x) for kv in m.weights.items() for x in kv]), F.col("domain")) * F.col("weight"), 6).alias("weight"), "source", "path")
+    return m.table(spark).select(
+        "domain",
+        F.round(
+            F.lit(1.0) * F.element_at(F.create_map(*[F.lit(x) for kv in m.weights.items() for x in kv]), F.col("domain")) * F.col("weight"),
+            6
+        ).alias("weight"),
+        "source", "path"
+    )
 
 
 # --- reports
-@query(_reason(True) + f", k AS (SELECT *, (row_number() OVER (ORDER BY ord) - 1) // 100 AS shard_id FROM judged WHERE drop_reason IS NULL) SELECT shard_id::BIGINT AS shard_id, count(*) AS docs, sum(strlen(text))::BIGINT AS bytes, sum({TOKENS})::BIGINT AS est_tokens FROM k GROUP BY 1")
+@query(
+    _reason(True) + f", k AS (SELECT *, (row_number() OVER (ORDER BY ord) - 1) // 100 AS shard_id FROM judged WHERE drop_reason IS NULL) SELECT shard_id::BIGINT AS shard_id, count(*) AS docs, sum(strlen(text))::BIGINT AS bytes, sum({TOKENS})::BIGINT AS est_tokens FROM k GROUP BY 1"
+)
 def shard_manifest(spark, sf):
     return reports.shard_manifest(reports.sharded(reports.sized(filters.kept(docs(spark, sf))), 100))
 
@@ -482,12 +578,16 @@ def drops_by_domain(spark, sf):
     return reports.drops(filters.judged(docs(spark, sf)), "domain")
 
 
-@query(f"SELECT 'domain' AS kind, lang AS name, count(*) AS docs, sum({TOKENS})::BIGINT AS est_tokens FROM documents GROUP BY lang UNION ALL SELECT 'source', source, count(*), sum({TOKENS})::BIGINT FROM documents GROUP BY source")
+@query(
+    f"SELECT 'domain' AS kind, lang AS name, count(*) AS docs, sum({TOKENS})::BIGINT AS est_tokens FROM documents GROUP BY lang UNION ALL SELECT 'source', source, count(*), sum({TOKENS})::BIGINT FROM documents GROUP BY source"
+)
 def pack_manifest(spark, sf):
     return reports.pack_manifest(docs(spark, sf))
 
 
-@query(f"SELECT source, count(*) AS docs, sum({TOKENS})::BIGINT AS est_tokens FROM documents GROUP BY 1 ORDER BY est_tokens DESC, source LIMIT 10")
+@query(
+    f"SELECT source, count(*) AS docs, sum({TOKENS})::BIGINT AS est_tokens FROM documents GROUP BY 1 ORDER BY est_tokens DESC, source LIMIT 10"
+)
 def top_sources(spark, sf):
     return reports.top_sources(docs(spark, sf))
 
@@ -495,7 +595,9 @@ def top_sources(spark, sf):
 @query(_QUALITY + f""", e AS (SELECT ord, round(score, 6) AS score, row_number() OVER (PARTITION BY md5({COLLAPSED}) ORDER BY ord) AS r FROM q)
 SELECT ord::VARCHAR AS doc_id, score FROM e WHERE r > 1 ORDER BY score, doc_id LIMIT 5""")
 def worst_examples(spark, sf):
-    d = dedup.exact_first(docs(spark, sf), "global").select("doc_id", (~F.col("is_copy")).alias("keep"), F.round(X.quality_score("text"), 6).alias("score"))
+    d = dedup.exact_first(docs(spark, sf), "global").select(
+        "doc_id", (~F.col("is_copy")).alias("keep"), F.round(X.quality_score("text"), 6).alias("score")
+    )
     return reports.worst(d).select("doc_id", "score")
 
 
@@ -506,7 +608,10 @@ _NAMED = "CASE source WHEN 'src0' THEN 'web' WHEN 'src1' THEN 'wiki' WHEN 'src2'
 def _renamed(d: DataFrame) -> DataFrame:
     """Sources as domains, some under an alias."""
     s = F.col("source")
-    return d.withColumn("domain", F.when(s == "src0", "web").when(s == "src1", "wiki").when(s == "src2", "code").when(s == "src3", "filtered_web").otherwise(s))
+    return d.withColumn(
+        "domain",
+        F.when(s == "src0", "web").when(s == "src1", "wiki").when(s == "src2", "code").when(s == "src3", "filtered_web").otherwise(s)
+    )
 
 
 @query(f"""WITH r AS (SELECT {_NAMED} AS domain, count(*) AS docs, sum(strlen({T}))::BIGINT AS bytes FROM documents GROUP BY 1)
@@ -515,7 +620,9 @@ def domain_histogram_raw_canonical(spark, sf):
     return reports.histogram(_renamed(docs(spark, sf)))
 
 
-@query("SELECT domain_safe, count(*) AS docs FROM (SELECT regexp_replace(lang || '/' || source, '[^A-Za-z0-9._-]+', '_', 'g') AS domain_safe FROM documents) GROUP BY 1 ORDER BY docs DESC, domain_safe LIMIT 50")
+@query(
+    "SELECT domain_safe, count(*) AS docs FROM (SELECT regexp_replace(lang || '/' || source, '[^A-Za-z0-9._-]+', '_', 'g') AS domain_safe FROM documents) GROUP BY 1 ORDER BY docs DESC, domain_safe LIMIT 50"
+)
 def split_counts(spark, sf):
     lines = docs(spark, sf).select(F.to_json(F.struct("doc_id", F.concat_ws("/", "domain", "source").alias("domain"))).alias("value"))
     return jsonl.split_counts(jsonl.split_by_domain(lines))
@@ -529,7 +636,9 @@ def domain_yield(spark, sf):
     return reports.domain_yield(docs(spark, sf)).withColumn("avg_yield", F.round("avg_yield", 6))
 
 
-@query(f"WITH y AS ({_YIELD}), w AS (SELECT domain, 0.25 / avg_yield AS w FROM y) SELECT domain, round(w / sum(w) OVER (), 6) AS weight FROM w")
+@query(
+    f"WITH y AS ({_YIELD}), w AS (SELECT domain, 0.25 / avg_yield AS w FROM y) SELECT domain, round(w / sum(w) OVER (), 6) AS weight FROM w"
+)
 def yield_corrected_weights(spark, sf):
     yields = reports.domain_yield(docs(spark, sf))
     return mix.yield_corrected(yields.select("domain", F.lit(0.25).alias("weight")), yields).withColumn("weight", F.round("weight", 6))
@@ -577,7 +686,9 @@ def byte_budget(spark, sf):
     return mix.byte_budget(docs(spark, sf), {"en": 100000, "de": 100000}).select(F.col("ord").alias("doc_id"), "bytes_used")
 
 
-@query("SELECT doc_id, lang AS domain FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY md5('7:' || doc_id), doc_id) AS r FROM documents) WHERE r <= 25")
+@query(
+    "SELECT doc_id, lang AS domain FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY md5('7:' || doc_id), doc_id) AS r FROM documents) WHERE r <= 25"
+)
 def per_domain_sample(spark, sf):
     return mix.sample_per_domain(table(spark, sf, "documents").select("doc_id", F.col("lang").alias("domain")), 25, 7)
 
@@ -587,8 +698,12 @@ def shuffled_order(spark, sf):
     """Places in the shuffled order: running counts over ranges of the hash, so no one task sorts all rows."""
     h = F.sha2(F.concat_ws(":", F.lit("7:all:0"), F.col("doc_id").cast("string")), 256)
     d = table(spark, sf, "documents").select("doc_id", h.alias("h"), F.conv(F.substring(h, 1, 3), 16, 10).cast("int").alias("range"))
-    before = d.groupBy("range").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.sum("n").over(Window.orderBy("range")) - F.col("n")).drop("n")
-    return d.join(F.broadcast(before), "range").select("doc_id", (F.row_number().over(Window.partitionBy("range").orderBy("h", "doc_id")) + F.col("before")).alias("place"))
+    before = d.groupBy("range").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "before", F.sum("n").over(Window.orderBy("range")) - F.col("n")
+    ).drop("n")
+    return d.join(F.broadcast(before), "range").select(
+        "doc_id", (F.row_number().over(Window.partitionBy("range").orderBy("h", "doc_id")) + F.col("before")).alias("place")
+    )
 
 
 @query()
@@ -636,22 +751,30 @@ w AS (SELECT pos // 256 AS row, string_agg(id, ',' ORDER BY pos) AS ids, count(*
 """
 
 
-@query(_STREAM + "SELECT row::BIGINT AS row, ids || repeat(',0', (256 - n)::INT) AS input_ids, domain, source, n_segments::INT AS n_segments FROM w")
+@query(
+    _STREAM + "SELECT row::BIGINT AS row, ids || repeat(',0', (256 - n)::INT) AS input_ids, domain, source, n_segments::INT AS n_segments FROM w"
+)
 def pack_rows(spark, sf):
-    return pack.pack(_lengths(spark, sf), 256, 0).select("row", F.array_join("input_ids", ",").alias("input_ids"), "domain", "source", F.size("segments").alias("n_segments"))
+    return pack.pack(_lengths(spark, sf), 256, 0).select(
+        "row", F.array_join("input_ids", ",").alias("input_ids"), "domain", "source", F.size("segments").alias("n_segments")
+    )
 
 
 @query(_STREAM + """, g AS (SELECT (pos // 256)::BIGINT AS row, doc_id, (min(i) - 1)::INT AS start, max(i)::INT AS end FROM tok WHERE i IS NOT NULL GROUP BY ALL)
 SELECT *, CASE WHEN count(*) OVER (PARTITION BY row) = 1 THEN start END AS start_token FROM g""")
 def pack_segments(spark, sf):
-    return pack.index(pack.pack(_lengths(spark, sf), 256, 0)).select("row", F.explode("segments").alias("s"), "start_token").select("row", "s.doc_id", "s.start", "s.end", "start_token")
+    return pack.index(pack.pack(_lengths(spark, sf), 256, 0)).select(
+        "row", F.explode("segments").alias("s"), "start_token"
+    ).select("row", "s.doc_id", "s.start", "s.end", "start_token")
 
 
 _IDS = f"WITH d AS ({_SOURCE}), l AS (SELECT ord AS doc_id, [length(x) FOR x IN string_split({COLLAPSED}, ' ') IF x <> ''] AS ids FROM d), i AS (SELECT * FROM l WHERE len(ids) > 0)"
 
 
 def _rows(spark, sf) -> DataFrame:
-    return docs(spark, sf).select(F.col("ord").alias("doc_id"), F.transform(X.tokens("text"), F.length).alias("ids")).where(F.size("ids") > 0)
+    return docs(spark, sf).select(
+        F.col("ord").alias("doc_id"), F.transform(X.tokens("text"), F.length).alias("ids")
+    ).where(F.size("ids") > 0)
 
 
 @query(_IDS + "SELECT doc_id, array_to_string(ids[2:] || [-100], ',') AS labels FROM i")
@@ -664,7 +787,9 @@ def loader_prefix(spark, sf):
     return _rows(spark, sf).select("doc_id", F.array_join(pack.domain_prefix("ids", 999), ",").alias("ids"))
 
 
-@query(_IDS + "SELECT doc_id, array_to_string(CASE WHEN len(ids) < 8 THEN ids ELSE ([901] || ids[1:4] || [902] || ids[7:] || [903] || ids[5:6])[1:len(ids)] END, ',') AS ids FROM i")
+@query(
+    _IDS + "SELECT doc_id, array_to_string(CASE WHEN len(ids) < 8 THEN ids ELSE ([901] || ids[1:4] || [902] || ids[7:] || [903] || ids[5:6])[1:len(ids)] END, ',') AS ids FROM i"
+)
 def loader_fim(spark, sf):
     return _rows(spark, sf).select("doc_id", F.array_join(pack.fill_in_middle("ids", F.lit(4), F.lit(6), 901, 902, 903), ",").alias("ids"))
 
@@ -679,17 +804,23 @@ SELECT doc_id, array_to_string(CASE WHEN len(ids) < 8 THEN ids ELSE ([901] || id
 def loader_fim_drawn(spark, sf):
     """The same with cut points drawn by document."""
     rows = _rows(spark, sf)
-    return rows.select("doc_id", F.array_join(pack.fill_in_middle("ids", *pack.middle_cuts("ids", 5, "doc_id"), 901, 902, 903), ",").alias("ids"))
+    return rows.select(
+        "doc_id", F.array_join(pack.fill_in_middle("ids", *pack.middle_cuts("ids", 5, "doc_id"), 901, 902, 903), ",").alias("ids")
+    )
 
 
-@query(_STREAM + f", n AS (SELECT max(row) + 1 AS n FROM w) SELECT i AS draw, row, domain FROM (SELECT unnest(range(500)) AS i) JOIN n ON true JOIN w ON row = {_DRAW.format(chr(39) + 'row:3:' + chr(39) + ' || i')} % n.n")
+@query(
+    _STREAM + f", n AS (SELECT max(row) + 1 AS n FROM w) SELECT i AS draw, row, domain FROM (SELECT unnest(range(500)) AS i) JOIN n ON true JOIN w ON row = {_DRAW.format(chr(39) + 'row:3:' + chr(39) + ' || i')} % n.n"
+)
 def loader_draws(spark, sf):
     """500 rows of a pack with replacement."""
     rows = Tables(spark, "pack").save(pack.pack(_lengths(spark, sf), 256, 0), "rows")
     return pack.sampled_rows(rows, 500, rows.count(), 3).select("draw", "row", "domain")
 
 
-@query(f"SELECT i AS draw, CASE WHEN u < 0.5 THEN 'a' WHEN u < 0.75 THEN 'b' ELSE 'c' END AS pack FROM (SELECT i, {_DRAW.format(chr(39) + 'pack:3:' + chr(39) + ' || i')} / {1 << 60}::DOUBLE AS u FROM (SELECT unnest(range(4000)) AS i))")
+@query(
+    f"SELECT i AS draw, CASE WHEN u < 0.5 THEN 'a' WHEN u < 0.75 THEN 'b' ELSE 'c' END AS pack FROM (SELECT i, {_DRAW.format(chr(39) + 'pack:3:' + chr(39) + ' || i')} / {1 << 60}::DOUBLE AS u FROM (SELECT unnest(range(4000)) AS i))"
+)
 def loader_mixture(spark, sf):
     return pack.mixture(spark, {"a": 2.0, "b": 1.0, "c": 1.0}, 4000, 3)
 

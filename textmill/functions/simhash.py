@@ -80,7 +80,9 @@ def fingerprints(bits: int = 64):
     @F.pandas_udf(FP)
     def run(s: pd.Series) -> pd.DataFrame:
         norm = [normalise(x) for x in s]
-        return pd.DataFrame({"fp": fingerprints_of(norm, bits), "norm_len": [len(x) for x in norm], "n_tokens": [len(x.split()) for x in norm]})
+        return pd.DataFrame(
+            {"fp": fingerprints_of(norm, bits), "norm_len": [len(x) for x in norm], "n_tokens": [len(x.split()) for x in norm]}
+        )
 
     return run
 

@@ -60,7 +60,10 @@ def repetition_3gram(c, most: int = 4000) -> Column:
     """1 less the share of distinct ones among the word 3-grams of the first `most` words."""
 
     def ratio(t: Column) -> Column:
-        grams = F.transform(F.sequence(F.lit(1), F.size(t) - 2), lambda i: F.concat_ws(" ", F.element_at(t, i), F.element_at(t, i + 1), F.element_at(t, i + 2)))
+        grams = F.transform(
+            F.sequence(F.lit(1), F.size(t) - 2),
+            lambda i: F.concat_ws(" ", F.element_at(t, i), F.element_at(t, i + 1), F.element_at(t, i + 2))
+        )
         return F.when(F.size(t) < 3, F.lit(0.0)).otherwise(let(grams, lambda g: F.lit(1.0) - F.size(F.array_distinct(g)) / F.size(g)))
 
     return let(F.slice(tokens(c), 1, most), ratio)
@@ -112,13 +115,17 @@ def identifiers(c, most: int = 50) -> Column:
 
 
 def sci_numbers(c, most: int = 20) -> Column:
-    return F.slice(F.regexp_extract_all(_c(c), F.lit(r"(?i)(?<![\p{L}\p{N}_])(\p{Nd}+(?:\.\p{Nd}+)?e[+-]?\p{Nd}+)(?![\p{L}\p{N}_])"), 1), 1, most)
+    return F.slice(
+        F.regexp_extract_all(_c(c), F.lit(r"(?i)(?<![\p{L}\p{N}_])(\p{Nd}+(?:\.\p{Nd}+)?e[+-]?\p{Nd}+)(?![\p{L}\p{N}_])"), 1), 1, most
+    )
 
 
 def placeholder(license_tag, note, text) -> Column:
     """Which part of a document is a placeholder, if any."""
     word = "placeholder"
-    return F.when(_c(license_tag) == word, "license_tag").when(_c(note) == word, "meta.note").when(F.coalesce(_c(text), F.lit("")).contains(word), "text")
+    return F.when(_c(license_tag) == word, "license_tag").when(_c(note) == word, "meta.note").when(
+        F.coalesce(_c(text), F.lit("")).contains(word), "text"
+    )
 
 
 def blake2b8(text: str) -> str:

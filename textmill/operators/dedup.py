@@ -49,7 +49,10 @@ def exact_decisions(docs: DataFrame, scope: str = "per-source", with_hash: bool
     d = exact_first(docs, scope)
     keep = ~F.col("is_copy")
     hashed = exact_hash("text") if with_hash else F.lit(None).cast("string")
-    return d.select("ord", "doc_id", "source", "domain", keep.alias("keep"), F.when(keep, "keep").otherwise("exact_dup").alias("reason"), F.when(~keep, F.col("first_id")).alias("dup_of"), F.when(~keep, F.lit(0)).cast("int").alias("score"), hashed.alias("exact_hash"))
+    return d.select(
+        "ord", "doc_id", "source", "domain", keep.alias("keep"), F.when(keep, "keep").otherwise("exact_dup").alias("reason"),
+        F.when(~keep, F.col("first_id")).alias("dup_of"), F.when(~keep, F.lit(0)).cast("int").alias("score"), hashed.alias("exact_hash")
+    )
 
 
 def exact_kept(docs: DataFrame, scope: str = "per-source") -> DataFrame:
@@ -83,10 +86,14 @@ def _keys(fp: Column, bits: int, threshold: int) -> Column:
 def band_pairs(prints: DataFrame, threshold: int, bits: int = 64) -> DataFrame:
     """(scope, a, b, band, distance): fingerprints' first ords a > b that share `band`, at most `threshold` bits apart.
     prints: (scope, first, fp), a fingerprint once in a scope."""
-    keyed = prints.select("scope", "first", "fp", F.explode(_keys(F.col("fp"), bits, threshold)).alias("k")).select("scope", "first", "fp", "k.band", "k.key")
+    keyed = prints.select(
+        "scope", "first", "fp", F.explode(_keys(F.col("fp"), bits, threshold)).alias("k")
+    ).select("scope", "first", "fp", "k.band", "k.key")
     a = keyed.select("scope", "band", "key", F.col("first").alias("a"), F.col("fp").alias("fa"))
     b = keyed.select("scope", "band", "key", F.col("first").alias("b"), F.col("fp").alias("fb"))
-    near = a.join(b, ["scope", "band", "key"]).where("a > b").withColumn("distance", hamming(F.col("fa"), F.col("fb"))).where(F.col("distance") <= threshold)
+    near = a.join(b, ["scope", "band", "key"]).where("a > b").withColumn(
+        "distance", hamming(F.col("fa"), F.col("fb"))
+    ).where(F.col("distance") <= threshold)
     return near.select("scope", "a", "b", "band", "distance").distinct()
 
 
@@ -105,11 +112,18 @@ def _matches(docs: DataFrame, tables: Tables, threshold: int, bits: int) -> Data
     if threshold > 3:
         # Bands can miss here; short documents without a band match look at all before them: least distance, then least id.
         found = tables.save(found, "banded")
-        lone = found.where(F.col("match_ord").isNull() & ((F.col("norm_len") < 400) | F.lit(threshold >= bits))).select("scope", F.col("ord").alias("a"), F.col("fp").alias("fa"))
+        lone = found.where(
+            F.col("match_ord").isNull() & ((F.col("norm_len") < 400) | F.lit(threshold >= bits))
+        ).select("scope", F.col("ord").alias("a"), F.col("fp").alias("fa"))
         every = docs.select("scope", F.col("ord").alias("b"), F.col("fp").alias("fb"), F.col("doc_id").cast("string").alias("id"))
-        near = lone.join(every, "scope").where("b < a").withColumn("dist", hamming(F.col("fa"), F.col("fb"))).where(F.col("dist") <= threshold)
+        near = lone.join(every, "scope").where("b < a").withColumn(
+            "dist", hamming(F.col("fa"), F.col("fb"))
+        ).where(F.col("dist") <= threshold)
         best = near.groupBy("a").agg(F.min(F.struct("dist", "id", "b")).alias("m"))
-        found = found.join(best, found["ord"] == best["a"], "left").select("ord", "scope", "fp", "norm_len", "doc_id", F.coalesce("match_ord", "m.b").alias("match_ord"), F.coalesce("distance", "m.dist").cast("int").alias("distance"))
+        found = found.join(best, found["ord"] == best["a"], "left").select(
+            "ord", "scope", "fp", "norm_len", "doc_id", F.coalesce("match_ord", "m.b").alias("match_ord"),
+            F.coalesce("distance", "m.dist").cast("int").alias("distance")
+        )
     return found.select("ord", "match_ord", "distance")
 
 
@@ -120,7 +134,9 @@ def _roots(matches: DataFrame, tables: Tables) -> DataFrame:
     while True:
         up = at.select(F.col("ord").alias("root"), F.col("root").alias("above"))
         # only rows that are not roots have somewhere to go
-        nxt = at.join(up.where(F.col("root") != F.col("above")), "root", "left").select("ord", F.coalesce("above", "root").alias("root"), F.col("above").isNotNull().alias("moved"))
+        nxt = at.join(up.where(F.col("root") != F.col("above")), "root", "left").select(
+            "ord", F.coalesce("above", "root").alias("root"), F.col("above").isNotNull().alias("moved")
+        )
         nxt = tables.save(nxt, f"roots{step + 1}")
         tables.drop(f"roots{step}")
         step += 1
@@ -129,7 +145,10 @@ def _roots(matches: DataFrame, tables: Tables) -> DataFrame:
             return at
 
 
-def near_decisions(docs: DataFrame, mode: str = "both", scope: str = "per-source", selection: str = "best", threshold: int = 3, bits: int = 64, exact_scope: str = "global", prints: Column | None = None) -> DataFrame:
+def near_decisions(
+    docs: DataFrame, mode: str = "both", scope: str = "per-source", selection: str = "best", threshold: int = 3, bits: int = 64,
+    exact_scope: str = "global", prints: Column | None = None
+) -> DataFrame:
     """Decisions, with ord, on documents with unique `ord`; DECISION has the columns.
 
     mode both drops exact copies first, by exact_scope; near clusters all. selection best keeps of each
@@ -138,8 +157,16 @@ def near_decisions(docs: DataFrame, mode: str = "both", scope: str = "per-source
         raise ValueError(f"mode {mode}, selection {selection}")
     tables = Tables(docs.sparkSession, "dedup")
     url = F.try_element_at("meta", F.lit("url")) if "meta" in docs.columns else None
-    made = docs.select("ord", "doc_id", "source", "domain", scope_key(scope).alias("scope"), F.coalesce("text", F.lit("")).alias("text"), *([prints.alias("s")] if prints is not None else []), *([url.alias("url")] if url is not None else []))
-    slim = made.withColumns({"s": fingerprints(bits)("text") if prints is None else F.col("s"), "score": quality_score("text", "url" if url is not None else None)})
+    made = docs.select(
+        "ord", "doc_id", "source", "domain", scope_key(scope).alias("scope"), F.coalesce("text", F.lit("")).alias("text"),
+        *([prints.alias("s")] if prints is not None else []), *([url.alias("url")] if url is not None else [])
+    )
+    slim = made.withColumns(
+        {
+            "s": fingerprints(bits)("text") if prints is None else F.col("s"),
+            "score": quality_score("text", "url" if url is not None else None)
+        }
+    )
     if mode == "both":
         slim = exact_first(slim, "global") if exact_scope == "global" else exact_first(slim, scope)
     else:
@@ -150,11 +177,15 @@ def near_decisions(docs: DataFrame, mode: str = "both", scope: str = "per-source
     roots = _roots(matches, tables)
     d = slim.join(matches, "ord", "left").join(roots, "ord", "left")
     ids = slim.select(F.col("ord").alias("_o"), F.col("doc_id").alias("_id"))
-    d = d.join(ids.select(F.col("_o").alias("root"), F.col("_id").alias("cluster_id")), "root", "left").join(ids.select(F.col("_o").alias("match_ord"), F.col("_id").alias("match_id")), "match_ord", "left")
+    d = d.join(ids.select(F.col("_o").alias("root"), F.col("_id").alias("cluster_id")), "root", "left").join(
+        ids.select(F.col("_o").alias("match_ord"), F.col("_id").alias("match_id")), "match_ord", "left"
+    )
     copy = F.col("is_copy")
     if selection == "best":
         rank = F.struct("score", "n_tokens", F.col("doc_id").cast("string").alias("id"))
-        best = d.where(~copy).groupBy("root").agg(F.max_by(F.struct("ord", "doc_id"), rank).alias("best"), F.count(F.lit(1)).cast("int").alias("cluster_size"))
+        best = d.where(~copy).groupBy("root").agg(
+            F.max_by(F.struct("ord", "doc_id"), rank).alias("best"), F.count(F.lit(1)).cast("int").alias("cluster_size")
+        )
         d = d.join(best, "root", "left")
         keep = ~copy & (F.col("ord") == F.col("best.ord"))
         reason = F.when(copy, "exact_dup").when(keep & (F.col("cluster_size") > 1), "keep_best").when(keep, "keep").otherwise("near_dup")
@@ -186,7 +217,10 @@ def greedy(docs: DataFrame, threshold: int = 3, bits: int = 64, prints: Column |
     A document is kept if no earlier kept one is within reach, so the kept ones are settled in rounds: whoever has no
     unsettled earlier neighbour left is decided. Neighbours are pairs of fingerprints; rounds follow the longest chain."""
     tables = Tables(docs.sparkSession, "greedy")
-    s = docs.select("ord", "doc_id", F.lit("").alias("scope"), F.coalesce("text", F.lit("")).alias("text"), (fingerprints(bits)("text") if prints is None else prints).alias("s"))
+    s = docs.select(
+        "ord", "doc_id", F.lit("").alias("scope"), F.coalesce("text", F.lit("")).alias("text"),
+        (fingerprints(bits)("text") if prints is None else prints).alias("s")
+    )
     s = tables.save(exact_first(s, "global").select("ord", "doc_id", "scope", "s.*", "is_copy", "first_id"), "slim")
     prints = s.where("NOT is_copy").groupBy("scope", "fp").agg(F.min("ord").alias("first"))
     prints = tables.save(prints, "prints")
@@ -198,7 +232,9 @@ def greedy(docs: DataFrame, threshold: int = 3, bits: int = 64, prints: Column |
         hit = pairs.join(kept_, "b").select(F.col("a").alias("first"), F.lit(True).alias("hit")).distinct()
         wait = pairs.join(open_, "b").select(F.col("a").alias("first"), F.lit(True).alias("wait")).distinct()
         new = F.when(F.col("keep").isNotNull(), F.col("keep")).when(F.col("hit"), False).when(F.col("wait"), None).otherwise(True)
-        state = tables.save(state.join(hit, "first", "left").join(wait, "first", "left").select("first", new.alias("keep")), f"state{step + 1}")
+        state = tables.save(
+            state.join(hit, "first", "left").join(wait, "first", "left").select("first", new.alias("keep")), f"state{step + 1}"
+        )
         tables.drop(f"state{step}")
         step += 1
         if state.where("keep IS NULL").isEmpty():
@@ -207,10 +243,18 @@ def greedy(docs: DataFrame, threshold: int = 3, bits: int = 64, prints: Column |
     match = pairs.join(live, "b").groupBy(F.col("a").alias("first")).agg(F.min(F.struct("band", "b", "distance")).alias("m"))
     d = s.join(prints.select("fp", "first"), "fp", "left").join(state, "first", "left").join(match, "first", "left")
     same = (F.col("ord") != F.col("first")) & F.col("keep")
-    of = F.when(same & (F.col("m.b").isNull() | (F.col("m.band") > 0)), F.struct(F.col("first").alias("b"), F.lit(0).alias("distance"))).otherwise(F.struct("m.b", F.col("m.distance").cast("int").alias("distance")))
-    d = d.withColumn("of", of).join(s.select(F.col("ord").alias("_o"), F.col("doc_id").alias("of_id")), F.col("of.b") == F.col("_o"), "left")
+    of = F.when(
+        same & (F.col("m.b").isNull() | (F.col("m.band") > 0)), F.struct(F.col("first").alias("b"), F.lit(0).alias("distance"))
+    ).otherwise(F.struct("m.b", F.col("m.distance").cast("int").alias("distance")))
+    d = d.withColumn("of", of).join(
+        s.select(F.col("ord").alias("_o"), F.col("doc_id").alias("of_id")), F.col("of.b") == F.col("_o"), "left"
+    )
     copy, keep = F.col("is_copy"), ~F.col("is_copy") & F.col("keep") & (F.col("ord") == F.col("first"))
-    return d.select("ord", "doc_id", keep.alias("keep"), F.when(copy, "exact_dup").when(keep, "keep").otherwise("near_dup").alias("reason"), F.when(copy, F.col("first_id")).when(~keep, F.col("of_id")).alias("dup_of"), F.when(copy, F.lit(0)).when(~keep, F.col("of.distance")).cast("int").alias("score"))
+    return d.select(
+        "ord", "doc_id", keep.alias("keep"), F.when(copy, "exact_dup").when(keep, "keep").otherwise("near_dup").alias("reason"),
+        F.when(copy, F.col("first_id")).when(~keep, F.col("of_id")).alias("dup_of"),
+        F.when(copy, F.lit(0)).when(~keep, F.col("of.distance")).cast("int").alias("score")
+    )
 
 
 def stats(decided: DataFrame) -> DataFrame:

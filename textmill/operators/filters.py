@@ -15,7 +15,9 @@ from textmill.functions.text import LINE_BREAK, let, strip
 
 Filter = Callable[[Column], Column]
 # Phrases of page furniture, and words that mark toxic text.
-PHRASES = ["all rights reserved", "terms of service", "cookie policy", "subscribe to our newsletter", "privacy policy", "navigation", "footer"]
+PHRASES = [
+    "all rights reserved", "terms of service", "cookie policy", "subscribe to our newsletter", "privacy policy", "navigation", "footer"
+]
 TOXIC_WORDS = ["fuck", "shit", "bitch", "cunt", "nigger", "faggot"]
 
 
@@ -38,8 +40,13 @@ def symbol_ratio(most: float = 0.45) -> Filter:
 
 def most_frequent(lines: Column) -> Column:
     """How often the most frequent of some strings occurs: the longest run once they are sorted."""
-    run = lambda a, x: F.struct(x.alias("last"), F.when(x == a["last"], a["n"] + 1).otherwise(F.lit(1)).alias("n"), F.greatest(a["best"], F.when(x == a["last"], a["n"] + 1).otherwise(F.lit(1))).alias("best"))
-    return F.aggregate(F.array_sort(lines), F.struct(F.lit("").alias("last"), F.lit(0).alias("n"), F.lit(0).alias("best")), run, lambda a: a["best"])
+    run = lambda a, x: F.struct(
+        x.alias("last"), F.when(x == a["last"], a["n"] + 1).otherwise(F.lit(1)).alias("n"),
+        F.greatest(a["best"], F.when(x == a["last"], a["n"] + 1).otherwise(F.lit(1))).alias("best")
+    )
+    return F.aggregate(
+        F.array_sort(lines), F.struct(F.lit("").alias("last"), F.lit(0).alias("n"), F.lit(0).alias("best")), run, lambda a: a["best"]
+    )
 
 
 def repeated_lines(most: float = 0.3, least_lines: int = 6) -> Filter:
@@ -60,7 +67,10 @@ def toxicity(words: list[str] = TOXIC_WORDS) -> Filter:
 
 
 #: More filters can be put in; `chain` names those to apply, in order.
-REGISTRY: dict[str, Filter] = {"length": length(), "ascii_ratio": ascii_ratio(), "symbol_ratio": symbol_ratio(), "repeated_lines": repeated_lines(), "phrases": phrases(), "toxicity": toxicity()}
+REGISTRY: dict[str, Filter] = {
+    "length": length(), "ascii_ratio": ascii_ratio(), "symbol_ratio": symbol_ratio(), "repeated_lines": repeated_lines(),
+    "phrases": phrases(), "toxicity": toxicity()
+}
 DEFAULT = ["length", "ascii_ratio", "symbol_ratio", "repeated_lines", "phrases", "toxicity"]
 WITHOUT_LANGUAGE = [x for x in DEFAULT if x != "ascii_ratio"]
 

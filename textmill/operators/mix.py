@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 from textmill.functions.text import est_tokens, n_bytes
 
 # The target mix of the eight domains.
-BASE_WEIGHTS = {"filtered_web": 0.30, "books_longform": 0.18, "reference": 0.08, "forums_qa": 0.10, "code_docs": 0.18, "math": 0.12, "tutorials_notebooks": 0.02, "paper_teasers": 0.02}
+BASE_WEIGHTS = {
+    "filtered_web": 0.30, "books_longform": 0.18, "reference": 0.08, "forums_qa": 0.10, "code_docs": 0.18, "math": 0.12,
+    "tutorials_notebooks": 0.02, "paper_teasers": 0.02
+}
 
 
 def _all(c: str) -> Column:
@@ -35,13 +38,18 @@ def validated(weights: dict[str, float], label: str) -> dict[str, float]:
 def yield_corrected(weights: DataFrame, yields: DataFrame) -> DataFrame:
     """(domain, weight) divided by the domain's avg_yield where there is a positive one, then normalised."""
     y = yields.select("domain", F.col("avg_yield").try_cast("double").alias("y"))
-    w = weights.join(y, "domain", "left").withColumn("weight", F.when(F.col("y") > 0, F.col("weight") / F.col("y")).otherwise(F.col("weight")))
+    w = weights.join(y, "domain", "left").withColumn(
+        "weight", F.when(F.col("y") > 0, F.col("weight") / F.col("y")).otherwise(F.col("weight"))
+    )
     return w.select("domain", (F.col("weight") / _all("weight")).alias("weight"))
 
 
 def shares(docs: DataFrame) -> DataFrame:
     """(domain, docs, chars, bytes, share_chars, share_bytes)."""
-    by = docs.groupBy("domain").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.length(F.coalesce("text", F.lit("")))).alias("chars"), F.sum(n_bytes("text")).alias("bytes"))
+    by = docs.groupBy("domain").agg(
+        F.count(F.lit(1)).alias("docs"), F.sum(F.length(F.coalesce("text", F.lit("")))).alias("chars"),
+        F.sum(n_bytes("text")).alias("bytes")
+    )
     part = lambda a: F.when(_all(a) > 0, F.col(a) / _all(a)).otherwise(0.0)
     return by.select("domain", "docs", "chars", "bytes", part("chars").alias("share_chars"), part("bytes").alias("share_bytes"))
 
@@ -70,7 +78,9 @@ def byte_budget(docs: DataFrame, budgets: dict[str, int], size="text") -> DataFr
     b = docs.sparkSession.createDataFrame(list(budgets.items()), "domain string, budget long")
     sized = docs.join(F.broadcast(b), "domain").withColumn("bytes", n_bytes(size) if isinstance(size, str) else size)
     before = running(sized, "domain", "ord", "bytes")
-    return before.where((F.col("before") < F.col("budget"))).withColumn("bytes_used", F.least("bytes", F.col("budget") - F.col("before"))).where("bytes_used > 0").drop("budget")
+    return before.where((F.col("before") < F.col("budget"))).withColumn(
+        "bytes_used", F.least("bytes", F.col("budget") - F.col("before"))
+    ).where("bytes_used > 0").drop("budget")
 
 
 def running(df: DataFrame, key: str, order: str, value: str, block: int = 4096) -> DataFrame:
@@ -80,7 +90,9 @@ def running(df: DataFrame, key: str, order: str, value: str, block: int = 4096)
     totals = d.groupBy(key, "_block").agg(F.sum(value).alias("_sum"))
     above = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(key, "_block", F.coalesce(F.sum("_sum").over(above), F.lit(0)).alias("_above"))
-    return d.withColumn("_in", F.coalesce(F.sum(value).over(within), F.lit(0))).join(totals, [key, "_block"]).withColumn("before", F.col("_above") + F.col("_in")).drop("_block", "_in", "_above")
+    return d.withColumn(
+        "_in", F.coalesce(F.sum(value).over(within), F.lit(0))
+    ).join(totals, [key, "_block"]).withColumn("before", F.col("_above") + F.col("_in")).drop("_block", "_in", "_above")
 
 
 def placed(df: DataFrame, order: str, *keys: str) -> DataFrame:
@@ -102,7 +114,11 @@ def number_lines(n: int, seed: int):
     for i in range(n):
         magnitude = int(10 ** chance.uniform(0, 12))
         small, minute = chance.randrange(1 << 16), chance.randrange(24 * 60)
-        ways = (f"{magnitude:,}", f"{magnitude:o}", f"{magnitude / 7:.4g}", f"{small / 655.36:.2f} %", f"#{small:04x}", f"{minute // 60:02d}:{minute % 60:02d}", f"10^{len(str(magnitude))}", f"({small}, -{magnitude})", f"x_{i} = {magnitude % 1000}", f"{small} kg", f"§ {small % 400}", f"+{magnitude:012d}")
+        ways = (
+            f"{magnitude:,}", f"{magnitude:o}", f"{magnitude / 7:.4g}", f"{small / 655.36:.2f} %", f"#{small:04x}",
+            f"{minute // 60:02d}:{minute % 60:02d}", f"10^{len(str(magnitude))}", f"({small}, -{magnitude})", f"x_{i} = {magnitude % 1000}",
+            f"{small} kg", f"§ {small % 400}", f"+{magnitude:012d}"
+        )
         yield ways[i % len(ways)] + "\n"
 
 
@@ -153,16 +169,24 @@ class Sampler:
             shares.have[shares.names.index(name)] += tokens
 
 
-def sampler_plan(docs: DataFrame, domains: dict[str, float], sources: dict[str, dict[str, float]], n: int, seed: int = 0, repeat: bool = False, chars_per_token: float = 4.0) -> DataFrame:
+def sampler_plan(
+    docs: DataFrame, domains: dict[str, float], sources: dict[str, dict[str, float]], n: int, seed: int = 0, repeat: bool = False,
+    chars_per_token: float = 4.0
+) -> DataFrame:
     """(mix_ord, ord, epoch, domain, source, est_tokens) of n documents in the order in which the sampler takes them.
 
     A choice depends on all before it, so it is made on the driver, from one integer per document that can be taken:
     the first n of a source at most, so n bounds what comes to the driver; interleaved() is for mixes of any size. A source
     that runs out begins anew with `repeat`, else it is an error."""
     pairs = [(d, s) for d, m in sources.items() for s in m]
-    first = docs.where(F.concat_ws("\x01", "domain", "source").isin(["\x01".join(p) for p in pairs])).select("domain", "source", "ord", est_tokens("text", chars_per_token).alias("t"))
+    first = docs.where(
+        F.concat_ws("\x01", "domain", "source").isin(["\x01".join(p) for p in pairs])
+    ).select("domain", "source", "ord", est_tokens("text", chars_per_token).alias("t"))
     first = placed(first, "ord", "domain", "source").where(F.col("nth") <= n)
-    queue = {(r["domain"], r["source"]): r["rows"] for r in first.groupBy("domain", "source").agg(F.array_sort(F.collect_list(F.struct("ord", "t"))).alias("rows")).toLocalIterator()}
+    queue = {
+        (r["domain"], r["source"]): r["rows"]
+        for r in first.groupBy("domain", "source").agg(F.array_sort(F.collect_list(F.struct("ord", "t"))).alias("rows")).toLocalIterator()
+    }
     sampler, at, out = Sampler(domains, sources, seed), dict.fromkeys(pairs, 0), []
     while len(out) < n:
         d, s = sampler.next()
@@ -176,7 +200,9 @@ def sampler_plan(docs: DataFrame, domains: dict[str, float], sources: dict[str,
     return docs.sparkSession.createDataFrame(out, "mix_ord long, ord long, epoch int, domain string, source string, est_tokens long")
 
 
-def interleaved(docs: DataFrame, weights: dict[tuple[str, str], float], tokens: int, repeat: bool = False, chars_per_token: float = 4.0) -> DataFrame:
+def interleaved(
+    docs: DataFrame, weights: dict[tuple[str, str], float], tokens: int, repeat: bool = False, chars_per_token: float = 4.0
+) -> DataFrame:
     """(domain, source, ord, epoch, est_tokens, at): the mix of about `tokens` tokens, in the order of `at`, then domain, source and ord.
 
     A document stands where its source's tokens before it, divided by the source's weight, put it: the source that is furthest
@@ -185,8 +211,12 @@ def interleaved(docs: DataFrame, weights: dict[tuple[str, str], float], tokens:
     spark, total = docs.sparkSession, sum(weights.values())
     if total <= 0 or min(weights.values()) < 0:
         raise ValueError("no weight, or a negative one")
-    shares = spark.createDataFrame([(d, s, w / total) for (d, s), w in weights.items() if w > 0], "domain string, source string, weight double")
-    sized = docs.select("domain", "source", "ord", est_tokens("text", chars_per_token).alias("est_tokens")).join(F.broadcast(shares), ["domain", "source"])
+    shares = spark.createDataFrame(
+        [(d, s, w / total) for (d, s), w in weights.items() if w > 0], "domain string, source string, weight double"
+    )
+    sized = docs.select(
+        "domain", "source", "ord", est_tokens("text", chars_per_token).alias("est_tokens")
+    ).join(F.broadcast(shares), ["domain", "source"])
     sized = sized.withColumn("_key", F.to_json(F.array("domain", "source")))
     have = {(r["domain"], r["source"]): r["t"] for r in sized.groupBy("domain", "source").agg(F.sum("est_tokens").alias("t")).collect()}
     for (d, s), w in weights.items():
@@ -197,12 +227,16 @@ def interleaved(docs: DataFrame, weights: dict[tuple[str, str], float], tokens:
     last = F.floor((F.col("weight") * tokens - F.col("before")) / F.col("whole"))
     rows = before.where(F.col("before") < F.col("weight") * tokens).withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     at = (F.col("epoch") * F.col("whole") + F.col("before")) / F.col("weight")
-    return rows.select("domain", "source", "ord", F.col("epoch").cast("int").alias("epoch"), "est_tokens", at.alias("at")).where(F.col("at") < tokens)
+    return rows.select(
+        "domain", "source", "ord", F.col("epoch").cast("int").alias("epoch"), "est_tokens", at.alias("at")
+    ).where(F.col("at") < tokens)
 
 
 def numbered(rows: DataFrame, *order: str) -> DataFrame:
     """The rows with mix_ord, their place from 0 by some columns: a sort by range, counts per task, and the place within it."""
-    d = rows.orderBy(*order).withColumn("_task", F.spark_partition_id()).withColumn("_nth", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    d = rows.orderBy(*order).withColumn("_task", F.spark_partition_id()).withColumn(
+        "_nth", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    )
     from textmill.plans.tables import Tables
 
     d = Tables(rows.sparkSession, "numbered").save(d, "sorted")

@@ -133,7 +133,13 @@ def places(lengths: DataFrame, seq_len: int, block: int = BLOCK) -> DataFrame:
     """(mix_ord, at, was) of documents (mix_ord, n)."""
     from textmill.plans.tables import Tables
 
-    slim = Tables(lengths.sparkSession, "places").save(lengths.select(F.col("mix_ord").cast("long").alias("mix_ord"), F.col("n").cast("long").alias("n"), F.floor(F.col("mix_ord") / block).cast("long").alias("block")), "lengths")
+    slim = Tables(lengths.sparkSession, "places").save(
+        lengths.select(
+            F.col("mix_ord").cast("long").alias("mix_ord"), F.col("n").cast("long").alias("n"),
+            F.floor(F.col("mix_ord") / block).cast("long").alias("block")
+        ),
+        "lengths"
+    )
     moves = slim.groupBy("block").applyInArrow(_moves(seq_len), "block long, moved binary")
     begins = moves.coalesce(1).sortWithinPartitions("block").mapInArrow(_begins(seq_len), "block long, begin long")
     return slim.groupBy("block").cogroup(begins.groupBy("block")).applyInArrow(_places(seq_len), "mix_ord long, at long, was long")
@@ -145,7 +151,9 @@ def pack(docs: DataFrame, seq_len: int, eos_id: int, num_seqs: int | None = None
     A document of seq_len tokens or more begins a row, others follow an end token if anything is in the row. Rows are filled
     up with end tokens. A segment without doc_id is an end token or filling; `segments` leaves those out. A row's domain
     and source are those of the document that completes it, or, for filling, that forces it out."""
-    d = docs.select(F.col("mix_ord").cast("long").alias("mix_ord"), F.col("doc_id").cast("string").alias("doc_id"), "domain", "source", "tokens")
+    d = docs.select(
+        F.col("mix_ord").cast("long").alias("mix_ord"), F.col("doc_id").cast("string").alias("doc_id"), "domain", "source", "tokens"
+    )
     p = d.join(places(d.select("mix_ord", F.size("tokens").alias("n")), seq_len, block), "mix_ord")
     row_of = lambda c: F.floor(c / seq_len)
     # parts: a document's tokens cut at row ends
@@ -153,22 +161,38 @@ def pack(docs: DataFrame, seq_len: int, eos_id: int, num_seqs: int | None = None
     part = p.where(F.size("tokens") > 0).withColumn("row", F.explode(F.sequence(row_of(F.col("at")), row_of(stop_at - 1))))
     begin, stop = F.greatest(F.col("row") * seq_len, F.col("at")), F.least((F.col("row") + 1) * seq_len, stop_at)
     segment = F.struct("doc_id", (begin - F.col("at")).cast("int").alias("start"), (stop - F.col("at")).cast("int").alias("end"))
-    part = part.select("row", (begin - F.col("row") * seq_len).cast("int").alias("pos"), F.slice("tokens", (begin - F.col("at") + 1).cast("int"), (stop - begin).cast("int")).alias("ids"), segment.alias("segment"), "mix_ord", "domain", "source")
+    part = part.select(
+        "row", (begin - F.col("row") * seq_len).cast("int").alias("pos"),
+        F.slice("tokens", (begin - F.col("at") + 1).cast("int"), (stop - begin).cast("int")).alias("ids"), segment.alias("segment"),
+        "mix_ord", "domain", "source"
+    )
     # between documents: an end token, or filling to the end of the row
     none = F.lit(None).cast(SEGMENT)
-    gap = p.where("at > was").select(row_of(F.col("was")).alias("row"), (F.col("was") % seq_len).cast("int").alias("pos"), F.array_repeat(F.lit(eos_id), (F.col("at") - F.col("was")).cast("int")).alias("ids"), none.alias("segment"), "mix_ord", "domain", "source")
+    gap = p.where("at > was").select(
+        row_of(F.col("was")).alias("row"), (F.col("was") % seq_len).cast("int").alias("pos"),
+        F.array_repeat(F.lit(eos_id), (F.col("at") - F.col("was")).cast("int")).alias("ids"), none.alias("segment"), "mix_ord", "domain",
+        "source"
+    )
     pieces = part.unionByName(gap)
-    rows = pieces.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "ids", "segment"))).alias("p"), F.max_by(F.struct("domain", "source"), "mix_ord").alias("label"))
+    rows = pieces.groupBy("row").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "ids", "segment"))).alias("p"),
+        F.max_by(F.struct("domain", "source"), "mix_ord").alias("label")
+    )
     ids = F.flatten(F.col("p.ids"))
     filled = F.concat(ids, F.array_repeat(F.lit(eos_id), seq_len - F.size(ids)))  # the last row
-    out = rows.select("row", filled.alias("input_ids"), F.filter("p.segment", lambda s: s.isNotNull()).alias("segments"), "label.domain", "label.source")
+    out = rows.select(
+        "row", filled.alias("input_ids"), F.filter("p.segment", lambda s: s.isNotNull()).alias("segments"), "label.domain", "label.source"
+    )
     return out if num_seqs is None else out.where(F.col("row") < num_seqs)
 
 
 def index(rows: DataFrame) -> DataFrame:
     """(row, segments, domain, source, doc_id, start_token, end_token): the last three only for rows of a single segment."""
     one = lambda k: F.when(F.size("segments") == 1, F.col("segments")[0][k])
-    return rows.select("row", "segments", "domain", "source", one("doc_id").alias("doc_id"), one("start").alias("start_token"), one("end").alias("end_token"))
+    return rows.select(
+        "row", "segments", "domain", "source", one("doc_id").alias("doc_id"), one("start").alias("start_token"),
+        one("end").alias("end_token")
+    )
 
 
 def domain_prefix(ids, domain_id) -> Column:
@@ -183,7 +207,10 @@ def fill_in_middle(ids, a, b, prefix_id: int | None, suffix_id: int | None, midd
     if None in (prefix_id, suffix_id, middle_id):
         return ids
     n = F.size(ids)
-    parts = F.concat(F.array(F.lit(prefix_id)), F.slice(ids, F.lit(1), a), F.array(F.lit(suffix_id)), F.slice(ids, b + 1, n - b), F.array(F.lit(middle_id)), F.slice(ids, a + 1, b - a))
+    parts = F.concat(
+        F.array(F.lit(prefix_id)), F.slice(ids, F.lit(1), a), F.array(F.lit(suffix_id)), F.slice(ids, b + 1, n - b),
+        F.array(F.lit(middle_id)), F.slice(ids, a + 1, b - a)
+    )
     return F.when(n < 8, ids).otherwise(F.slice(parts, F.lit(1), n))
 
 
@@ -209,7 +236,9 @@ def labels(ids) -> Column:
 
 def sampled_rows(rows: DataFrame, n: int, n_rows: int, seed: int = 0) -> DataFrame:
     """n rows with replacement, as (draw, row, ...): a hash of the draw picks the row."""
-    draws = rows.sparkSession.range(n).select(F.col("id").alias("draw"), F.pmod(drawn(F.lit("row"), F.lit(seed), F.col("id")), F.lit(n_rows)).alias("row"))
+    draws = rows.sparkSession.range(n).select(
+        F.col("id").alias("draw"), F.pmod(drawn(F.lit("row"), F.lit(seed), F.col("id")), F.lit(n_rows)).alias("row")
+    )
     return draws.join(rows, "row")
 
 
@@ -223,4 +252,6 @@ def mixture(spark, weights: dict[str, float], n: int, seed: int = 0) -> DataFram
     for name in names[:-1]:
         reached += weights[name] / total
         choice = F.when(u < reached, name) if choice is None else choice.when(u < reached, name)
-    return spark.range(n).select(F.col("id").alias("draw"), (F.lit(names[0]) if choice is None else choice.otherwise(names[-1])).alias("pack"))
+    return spark.range(n).select(
+        F.col("id").alias("draw"), (F.lit(names[0]) if choice is None else choice.otherwise(names[-1])).alias("pack")
+    )

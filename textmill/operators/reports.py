@@ -33,8 +33,12 @@ def sized(docs: DataFrame, chars_per_token: float = 4.0) -> DataFrame:
 
 def shard_manifest(kept: DataFrame, chars_per_token: float = 4.0) -> DataFrame:
     """(shard_id, docs, bytes, est_tokens) of documents with shard_id, or of sized() ones."""
-    d = kept if "est_tokens" in kept.columns else kept.withColumns({"bytes": n_bytes("text"), "est_tokens": est_tokens("text", chars_per_token)})
-    return d.groupBy("shard_id").agg(F.count(F.lit(1)).alias("docs"), F.sum("bytes").alias("bytes"), F.sum("est_tokens").alias("est_tokens"))
+    d = kept if "est_tokens" in kept.columns else kept.withColumns(
+        {"bytes": n_bytes("text"), "est_tokens": est_tokens("text", chars_per_token)}
+    )
+    return d.groupBy("shard_id").agg(
+        F.count(F.lit(1)).alias("docs"), F.sum("bytes").alias("bytes"), F.sum("est_tokens").alias("est_tokens")
+    )
 
 
 def drops(judged: DataFrame, *keys: str) -> DataFrame:
@@ -47,8 +51,13 @@ def tokens_by(docs: DataFrame, *keys: str, chars_per_token: float = 4.0) -> Data
 
 def pack_manifest(docs: DataFrame) -> DataFrame:
     """(kind, name, docs, est_tokens) by domain and by source; sources of one name in several domains are one."""
-    g = docs.withColumn("t", est_tokens("text")).groupingSets([["domain"], ["source"]], "domain", "source").agg(F.grouping("domain").alias("g"), F.count(F.lit(1)).alias("docs"), F.sum("t").alias("est_tokens"))
-    return g.select(F.when(F.col("g") == 0, "domain").otherwise("source").alias("kind"), F.when(F.col("g") == 0, F.col("domain")).otherwise(F.col("source")).alias("name"), "docs", "est_tokens")
+    g = docs.withColumn("t", est_tokens("text")).groupingSets([["domain"], ["source"]], "domain", "source").agg(
+        F.grouping("domain").alias("g"), F.count(F.lit(1)).alias("docs"), F.sum("t").alias("est_tokens")
+    )
+    return g.select(
+        F.when(F.col("g") == 0, "domain").otherwise("source").alias("kind"),
+        F.when(F.col("g") == 0, F.col("domain")).otherwise(F.col("source")).alias("name"), "docs", "est_tokens"
+    )
 
 
 def top_sources(docs: DataFrame, k: int = 10) -> DataFrame:
@@ -83,9 +92,13 @@ def write_json(report: dict, path: str) -> None:
 
 def histogram(docs: DataFrame, k: int = 50) -> DataFrame:
     """(kind, domain, docs, bytes): raw and canonical names, the k largest by bytes of each."""
-    raw = docs.groupBy(F.coalesce("domain", F.lit("")).alias("domain")).agg(F.count(F.lit(1)).alias("docs"), F.sum(n_bytes("text")).alias("bytes"))
+    raw = docs.groupBy(F.coalesce("domain", F.lit("")).alias("domain")).agg(
+        F.count(F.lit(1)).alias("docs"), F.sum(n_bytes("text")).alias("bytes")
+    )
     canon = raw.groupBy(canonical_domain("domain").alias("domain")).agg(F.sum("docs").alias("docs"), F.sum("bytes").alias("bytes"))
-    top = lambda d, kind: d.orderBy(F.desc("bytes"), "domain").limit(k).select(F.lit(kind).alias("kind"), "domain", "docs", "bytes")
+    top = lambda d, kind: d.orderBy(F.desc("bytes"), "domain").limit(k).select(
+        F.lit(kind).alias("kind"), "domain", "docs", "bytes"
+    )
     return top(raw, "raw").unionByName(top(canon, "canonical"))
 
 
@@ -94,7 +107,10 @@ def domain_yield(docs: DataFrame, most_lines: int | None = None, most_docs: int
     documents by ord."""
     from textmill.operators.mix import placed
 
-    d = docs.select("domain", F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("line_"), F.col("ord").cast("string"))).alias("doc"), "ord", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("chars"))
+    d = docs.select(
+        "domain", F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("line_"), F.col("ord").cast("string"))).alias("doc"), "ord",
+        F.length(F.coalesce("text", F.lit(""))).cast("long").alias("chars")
+    )
     if most_lines is not None:
         d = placed(d, "ord", "domain").where(F.col("nth") <= most_lines).drop("nth")
     if most_docs is not None:
@@ -102,7 +118,9 @@ def domain_yield(docs: DataFrame, most_lines: int | None = None, most_docs: int
         first = placed(d.groupBy("domain", "doc").agg(F.min("ord").alias("first")), "first", "domain")
         last = first.where(F.col("nth") == most_docs).select("domain", F.col("first").alias("last"))
         d = d.join(F.broadcast(last), "domain", "left").where(F.col("last").isNull() | (F.col("ord") <= F.col("last")))
-    return d.groupBy("domain", "doc").agg(F.sum("chars").alias("chars")).groupBy("domain").agg(F.count(F.lit(1)).alias("docs"), F.avg("chars").alias("avg_yield"))
+    return d.groupBy("domain", "doc").agg(F.sum("chars").alias("chars")).groupBy("domain").agg(
+        F.count(F.lit(1)).alias("docs"), F.avg("chars").alias("avg_yield")
+    )
 
 
 def placeholders(docs: DataFrame) -> DataFrame:
@@ -125,7 +143,10 @@ def _short(sp, found) -> list[int]:
     return [sum(short[x] for x in xs) for xs in found]
 
 
-def acceptance(samples: DataFrame, model: str, most_token_per_char: float = 0.6, most_byte_fallback: float = 0.08, least_ident: float = 0.7, least_sci: float = 0.6) -> DataFrame:
+def acceptance(
+    samples: DataFrame, model: str, most_token_per_char: float = 0.6, most_byte_fallback: float = 0.08, least_ident: float = 0.7,
+    least_sci: float = 0.6
+) -> DataFrame:
     """(domain, token_per_char, byte_fallback_rate, ident_le2_rate, sci_le2_rate, samples, ok) of a sentencepiece model."""
     @F.pandas_udf("tokens long, fallback long, ident long, ident2 long, sci long, sci2 long")
     def evaluate(text: pd.Series, ident: pd.Series, sci: pd.Series) -> pd.DataFrame:
@@ -137,8 +158,16 @@ def acceptance(samples: DataFrame, model: str, most_token_per_char: float = 0.6,
         })
 
     d = samples.where("text IS NOT NULL AND text <> ''").withColumn("e", evaluate("text", identifiers("text"), sci_numbers("text")))
-    g = d.groupBy(F.trim(F.coalesce("domain", F.lit("unknown"))).alias("domain")).agg(F.sum(F.length("text")).alias("chars"), F.count(F.lit(1)).alias("samples"), *[F.sum(f"e.{c}").alias(c) for c in ("tokens", "fallback", "ident", "ident2", "sci", "sci2")])
+    g = d.groupBy(F.trim(F.coalesce("domain", F.lit("unknown"))).alias("domain")).agg(
+        F.sum(F.length("text")).alias("chars"), F.count(F.lit(1)).alias("samples"),
+        *[F.sum(f"e.{c}").alias(c) for c in ("tokens", "fallback", "ident", "ident2", "sci", "sci2")]
+    )
     rate = lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1))
-    g = g.select("domain", rate("tokens", "chars").alias("token_per_char"), rate("fallback", "tokens").alias("byte_fallback_rate"), rate("ident2", "ident").alias("ident_le2_rate"), rate("sci2", "sci").alias("sci_le2_rate"), "samples", "ident", "sci")
-    ok = (F.col("token_per_char") <= most_token_per_char) & (F.col("byte_fallback_rate") <= most_byte_fallback) & ((F.col("ident") == 0) | (F.col("ident_le2_rate") >= least_ident)) & ((F.col("sci") == 0) | (F.col("sci_le2_rate") >= least_sci))
+    g = g.select(
+        "domain", rate("tokens", "chars").alias("token_per_char"), rate("fallback", "tokens").alias("byte_fallback_rate"),
+        rate("ident2", "ident").alias("ident_le2_rate"), rate("sci2", "sci").alias("sci_le2_rate"), "samples", "ident", "sci"
+    )
+    ok = (F.col("token_per_char") <= most_token_per_char) & (F.col("byte_fallback_rate") <= most_byte_fallback) & (
+        (F.col("ident") == 0) | (F.col("ident_le2_rate") >= least_ident)
+    ) & ((F.col("sci") == 0) | (F.col("sci_le2_rate") >= least_sci))
     return g.withColumn("ok", ok).drop("ident", "sci")

@@ -45,15 +45,27 @@ def normalise(records: DataFrame, domain: str, source: str, license_tag: str | N
     their several names; title, url, tags and language into meta. Domain and source come from the arguments."""
     text = _some(_field(records, "text"), _field(records, "content"))
     if "question" in records.columns:
-        text = F.coalesce(text, F.when(F.col("question").isNotNull(), question_text(_field(records, "question.title"), _field(records, "question.body"), _field(records, "answer.body"))))
+        text = F.coalesce(
+            text,
+            F.when(
+                F.col("question").isNotNull(),
+                question_text(_field(records, "question.title"), _field(records, "question.body"), _field(records, "answer.body"))
+            )
+        )
     meta = F.coalesce(_tree(records, "meta"), F.create_map().cast("map<string,string>"))
     for key, path in (("title", "title"), ("url", "url"), ("tags", "tags"), ("language", "language"), ("tags", "question.tags")):
         value = _field(records, path)
-        meta = F.when(value.isNotNull() & ~F.map_contains_key(meta, key), F.map_concat(meta, F.create_map(F.lit(key), value))).otherwise(meta)
+        meta = F.when(
+            value.isNotNull() & ~F.map_contains_key(meta, key), F.map_concat(meta, F.create_map(F.lit(key), value))
+        ).otherwise(meta)
     base = records.select(
-        F.coalesce(text, F.lit("")).alias("text"), F.lit(source).alias("source"), F.lit(domain).alias("domain"), _some(_field(records, "doc_id"), _field(records, "id")).alias("doc_id"),
+        F.coalesce(text, F.lit("")).alias("text"), F.lit(source).alias("source"), F.lit(domain).alias("domain"), _some(
+            _field(records, "doc_id"), _field(records, "id")
+        ).alias("doc_id"),
         _some(_field(records, "license_tag"), _field(records, "license"), F.lit(license_tag).cast("string")).alias("license_tag"),
-        _some(*[_field(records, x) for x in ("created_at", "timestamp", "creation_date", "question.creation_date")]).alias("created_at"), F.when(F.size(meta) > 0, meta).alias("meta"),
+        _some(
+            *[_field(records, x) for x in ("created_at", "timestamp", "creation_date", "question.creation_date")]
+        ).alias("created_at"), F.when(F.size(meta) > 0, meta).alias("meta"),
         *[c for c in ("ord",) if c in records.columns],
     )
     return base.withColumn("doc_id", F.coalesce("doc_id", stable_hash(F.concat(F.lit(f"{source}::"), F.col("text")))))
@@ -70,10 +82,18 @@ def chunk(docs: DataFrame, chars: int, overlap: int = 0) -> DataFrame:
     step = chars - overlap
     starts = F.when(F.length("text") > 0, F.sequence(F.lit(0), F.length("text") - 1, F.lit(step)))
     out = docs.select("*", F.posexplode(starts).alias("chunk_index", "chunk_start"))
-    out = out.withColumns({"text": F.substring(F.col("text"), F.col("chunk_start") + 1, F.lit(chars)), "doc_id": F.concat(F.col("doc_id").cast("string"), F.lit("::chunk"), F.col("chunk_index").cast("string")), "chunk_overlap": F.lit(overlap)})
+    out = out.withColumns(
+        {
+            "text": F.substring(F.col("text"), F.col("chunk_start") + 1, F.lit(chars)),
+            "doc_id": F.concat(F.col("doc_id").cast("string"), F.lit("::chunk"), F.col("chunk_index").cast("string")),
+            "chunk_overlap": F.lit(overlap)
+        }
+    )
     if "meta" in docs.columns:
         extra = F.create_map(*[x for k in ("chunk_index", "chunk_start", "chunk_overlap") for x in (F.lit(k), F.col(k).cast("string"))])
-        out = out.withColumn("meta", F.map_concat(F.coalesce("meta", F.create_map().cast("map<string,string>")), extra)).drop("chunk_index", "chunk_start", "chunk_overlap")
+        out = out.withColumn(
+            "meta", F.map_concat(F.coalesce("meta", F.create_map().cast("map<string,string>")), extra)
+        ).drop("chunk_index", "chunk_start", "chunk_overlap")
     return out
 
 
@@ -85,31 +105,53 @@ def canonical_domain(c, unknown: bool = False) -> Column:
         return named
     from textmill.operators.mix import BASE_WEIGHTS
 
-    return F.when(named.isin(list(BASE_WEIGHTS)), named).when(named.startswith("books"), "books_longform").when(named.startswith("paper"), "paper_teasers").otherwise("filtered_web")
+    return F.when(named.isin(list(BASE_WEIGHTS)), named).when(
+        named.startswith("books"), "books_longform"
+    ).when(named.startswith("paper"), "paper_teasers").otherwise("filtered_web")
 
 
 def wikipedia(pages: DataFrame, domain: str = "reference", source: str = "wikipedia", license_tag: str = "CC-BY-SA") -> DataFrame:
     """Documents from extracted articles (id, title, text): the title above the text."""
     title, body = (F.coalesce(_field(pages, x), F.lit("")) for x in ("title", "text"))
     text = F.when((title != "") & (body != ""), F.concat(title, F.lit("\n\n"), body)).otherwise(body)
-    made = pages.select(text.alias("text"), title.alias("title"), _some(_field(pages, "id"), _field(pages, "doc_id")).alias("doc_id"), _some(_field(pages, "created_at"), _field(pages, "timestamp")).alias("created_at"))
-    return made.select("text", F.lit(source).alias("source"), F.lit(domain).alias("domain"), F.coalesce("doc_id", stable_hash(F.concat_ws(":", F.lit(source), "title", "text"))).alias("doc_id"), F.lit(license_tag).alias("license_tag"), "created_at", F.when(F.col("title") != "", F.create_map(F.lit("title"), F.col("title"))).alias("meta"))
+    made = pages.select(
+        text.alias("text"), title.alias("title"), _some(_field(pages, "id"), _field(pages, "doc_id")).alias("doc_id"),
+        _some(_field(pages, "created_at"), _field(pages, "timestamp")).alias("created_at")
+    )
+    return made.select(
+        "text", F.lit(source).alias("source"), F.lit(domain).alias("domain"),
+        F.coalesce("doc_id", stable_hash(F.concat_ws(":", F.lit(source), "title", "text"))).alias("doc_id"),
+        F.lit(license_tag).alias("license_tag"), "created_at",
+        F.when(F.col("title") != "", F.create_map(F.lit("title"), F.col("title"))).alias("meta")
+    )
 
 
 def wiki_dump(pages: DataFrame) -> DataFrame:
     """(id, title, timestamp, text) of the articles, name space 0, of dump pages (ns, id, title, revision)."""
     revision = lambda x: F.coalesce(F.col(f"revision.{x}").cast("string"), F.lit(""))
-    return pages.where(F.col("ns").cast("string") == "0").select(F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id"), F.coalesce("title", F.lit("")).alias("title"), revision("timestamp").alias("timestamp"), strip_wikitext(revision("text")).alias("text"))
+    return pages.where(F.col("ns").cast("string") == "0").select(
+        F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id"), F.coalesce("title", F.lit("")).alias("title"),
+        revision("timestamp").alias("timestamp"), strip_wikitext(revision("text")).alias("text")
+    )
 
 
-def stackexchange(posts: DataFrame, domain: str = "forums_qa", source: str = "stackexchange", limit: int | None = None, accepted: bool = True) -> DataFrame:
+def stackexchange(
+    posts: DataFrame, domain: str = "forums_qa", source: str = "stackexchange", limit: int | None = None, accepted: bool = True
+) -> DataFrame:
     """A document per question of posts (Id, PostTypeId, ParentId, AcceptedAnswerId, Title, Body, Tags, CreationDate, Score, ord):
     its accepted answer, looked up among all answers, else that of the highest score, the first of equals, else none."""
-    p = posts.select(*[_field(posts, c).alias(c) for c in ("Id", "PostTypeId", "ParentId", "AcceptedAnswerId", "Title", "Body", "Tags", "CreationDate")], F.coalesce(_field(posts, "Score").cast("int"), F.lit(0)).alias("Score"), "ord")
-    answers = p.where((F.col("PostTypeId") == "2") & F.col("ParentId").isNotNull()).select("Id", "ParentId", "Score", "ord", strip_html("Body").alias("body"))
+    p = posts.select(
+        *[_field(posts, c).alias(c) for c in ("Id", "PostTypeId", "ParentId", "AcceptedAnswerId", "Title", "Body", "Tags", "CreationDate")],
+        F.coalesce(_field(posts, "Score").cast("int"), F.lit(0)).alias("Score"), "ord"
+    )
+    answers = p.where((F.col("PostTypeId") == "2") & F.col("ParentId").isNotNull()).select(
+        "Id", "ParentId", "Score", "ord", strip_html("Body").alias("body")
+    )
     best = answers.groupBy("ParentId").agg(F.max_by("body", F.struct("Score", -F.col("ord"))).alias("best"))
     questions = p.where((F.col("PostTypeId") == "1") & F.col("Id").isNotNull())
-    latest = questions.groupBy("Id").agg(F.max_by(F.struct("AcceptedAnswerId", "Title", "Body", "Tags", "CreationDate"), "ord").alias("q"), F.min("ord").alias("ord")).select("Id", "ord", "q.*")
+    latest = questions.groupBy("Id").agg(
+        F.max_by(F.struct("AcceptedAnswerId", "Title", "Body", "Tags", "CreationDate"), "ord").alias("q"), F.min("ord").alias("ord")
+    ).select("Id", "ord", "q.*")
     if limit is not None:
         latest = latest.orderBy("ord").limit(limit)
     out = latest.join(best, latest["Id"] == best["ParentId"], "left")
@@ -119,17 +161,37 @@ def stackexchange(posts: DataFrame, domain: str = "forums_qa", source: str = "st
         out = out.join(by_id, out["AcceptedAnswerId"] == by_id["answer_id"], "left")
         answer = F.coalesce("taken", "best")
     text = question_text(F.col("Title"), strip_html("Body"), answer)
-    return out.select(text.alias("text"), F.lit(source).alias("source"), F.lit(domain).alias("domain"), F.col("Id").alias("doc_id"), F.lit(None).cast("string").alias("license_tag"), F.col("CreationDate").alias("created_at"), F.create_map(F.lit("tags"), F.coalesce("Tags", F.lit(""))).alias("meta"))
+    return out.select(
+        text.alias("text"), F.lit(source).alias("source"), F.lit(domain).alias("domain"), F.col("Id").alias("doc_id"),
+        F.lit(None).cast("string").alias("license_tag"), F.col("CreationDate").alias("created_at"),
+        F.create_map(F.lit("tags"), F.coalesce("Tags", F.lit(""))).alias("meta")
+    )
 
 
 def stackexchange_raw(posts: DataFrame) -> DataFrame:
     """(id, question, answer) structs instead of documents; the best answer alone counts."""
-    d = posts.where((_field(posts, "PostTypeId") == "2") & F.col("ParentId").isNotNull()).groupBy(F.col("ParentId").cast("string").alias("parent")).agg(F.max_by(strip_html(F.col("Body")), F.struct(F.coalesce(F.col("Score").cast("int"), F.lit(0)), -F.col("ord"))).alias("body"))
+    d = posts.where(
+        (_field(posts, "PostTypeId") == "2") & F.col("ParentId").isNotNull()
+    ).groupBy(F.col("ParentId").cast("string").alias("parent")).agg(
+        F.max_by(strip_html(F.col("Body")), F.struct(F.coalesce(F.col("Score").cast("int"), F.lit(0)), -F.col("ord"))).alias("body")
+    )
     q = posts.where(_field(posts, "PostTypeId") == "1")
-    question = F.struct(F.coalesce(_field(q, "Title"), F.lit("")).alias("title"), strip_html("Body").alias("body"), F.coalesce(_field(q, "Tags"), F.lit("")).alias("tags"), F.coalesce(_field(q, "CreationDate"), F.lit("")).alias("creation_date"))
-    return q.select(F.col("Id").cast("string").alias("id"), question.alias("question")).join(d, F.col("id") == F.col("parent"), "left").select("id", "question", F.struct(F.coalesce("body", F.lit("")).alias("body")).alias("answer"))
+    question = F.struct(
+        F.coalesce(_field(q, "Title"), F.lit("")).alias("title"), strip_html("Body").alias("body"),
+        F.coalesce(_field(q, "Tags"), F.lit("")).alias("tags"), F.coalesce(_field(q, "CreationDate"), F.lit("")).alias("creation_date")
+    )
+    return q.select(
+        F.col("Id").cast("string").alias("id"), question.alias("question")
+    ).join(d, F.col("id") == F.col("parent"), "left").select(
+        "id", "question", F.struct(F.coalesce("body", F.lit("")).alias("body")).alias("answer")
+    )
 
 
 def to_json(docs: DataFrame) -> DataFrame:
     """One column `value` of JSON with all seven keys."""
-    return docs.select(F.to_json(F.struct(*[F.col(f.name) if f.name in docs.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in DOC]), {"ignoreNullFields": "false"}).alias("value"))
+    return docs.select(
+        F.to_json(
+            F.struct(*[F.col(f.name) if f.name in docs.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in DOC]),
+            {"ignoreNullFields": "false"}
+        ).alias("value")
+    )

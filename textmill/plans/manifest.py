@@ -70,7 +70,9 @@ def parse(payload: dict) -> Manifest:
         for name, s in d["sources"].items():
             params = s.get("params") or {}
             paths = params.get("paths") or s.get("paths") or [f"{outputs['normalized_dir']}/{domain}/{name}/*.jsonl.zst"]
-            sources[domain][name] = Source(name, own[name], s.get("type", "local_dir"), params, [paths] if isinstance(paths, str) else list(paths))
+            sources[domain][name] = Source(
+                name, own[name], s.get("type", "local_dir"), params, [paths] if isinstance(paths, str) else list(paths)
+            )
     chars = float(payload.get("chars_per_token", packing.get("chars_per_token", 4.0)))
     return Manifest(int(payload.get("seed", 0)), outputs, payload.get("dedup", {}), packing, chars, validated(weights, "domains"), sources)
 
@@ -87,10 +89,22 @@ def load(path: str) -> Manifest:
 def split_manifest(split_dir: str, weights: dict[str, float] = BASE_WEIGHTS, tokenizer: str = "${TOKENIZER_JSON}", seed: int = 1234) -> str:
     """A manifest, as JSON, which is YAML too, with one split file per domain."""
     total = sum(weights.values())
-    domains = {d: {"weight": w / total, "sources": {"split": {"weight": 1.0, "type": "local_dir", "params": {"paths": [f"{split_dir}/{d}.jsonl.zst"]}}}} for d, w in weights.items()}
+    domains = {
+        d: {
+            "weight": w / total,
+            "sources": {"split": {"weight": 1.0, "type": "local_dir", "params": {"paths": [f"{split_dir}/{d}.jsonl.zst"]}}}
+        }
+        for d, w in weights.items()
+    }
     outputs = {k: v.replace("out/", "data/") for k, v in OUTPUTS.items()} | {"raw_dir": "data/raw"}
     dedup = {"mode": "exact", "scope": "per-source", "simhash_threshold": 3, "hash_bits": 64}
-    return json.dumps({"seed": seed, "chars_per_token": 4.0, "outputs": outputs, "dedup": dedup, "packing": {"seq_len": 4096, "tokenizer_path": tokenizer}, "domains": domains}, indent=2)
+    return json.dumps(
+        {
+            "seed": seed, "chars_per_token": 4.0, "outputs": outputs, "dedup": dedup,
+            "packing": {"seq_len": 4096, "tokenizer_path": tokenizer}, "domains": domains
+        },
+        indent=2
+    )
 
 
 def phase(m: Manifest, weights: dict[str, float] = LATE_PHASE, sources: dict[str, dict[str, Source]] | None = None) -> Manifest:
@@ -111,7 +125,9 @@ def audit(m: Manifest, root: str | None = None) -> dict:
             if m.weights[domain] <= 0 or s.weight <= 0 or s.type not in ("local_dir", "local_jsonl"):
                 continue
             files = jsonl.under_root(s.paths, root)
-            report["sources"].append({"domain": domain, "source": name, "n_files": len(files), "bytes": sum(map(os.path.getsize, files)), "first": files[:3]})
+            report["sources"].append(
+                {"domain": domain, "source": name, "n_files": len(files), "bytes": sum(map(os.path.getsize, files)), "first": files[:3]}
+            )
             if not files:
                 report["missing"].append({"domain": domain, "source": name, "paths": s.paths})
             for f in files[:1]:
@@ -140,7 +156,10 @@ def code_state(folder: str | None = None) -> dict:
     """The commit of the code in a folder, by default this package's, and whether files differ from it; both null without git."""
     git = ["git", "-C", folder or os.path.dirname(os.path.abspath(__file__))]
     try:
-        commit, changed = (subprocess.run([*git, *c], capture_output=True, text=True, check=True, timeout=30).stdout.strip() for c in (["rev-parse", "HEAD"], ["status", "--porcelain"]))
+        commit, changed = (
+            subprocess.run([*git, *c], capture_output=True, text=True, check=True, timeout=30).stdout.strip()
+            for c in (["rev-parse", "HEAD"], ["status", "--porcelain"])
+        )
     except (OSError, subprocess.SubprocessError):
         return {"commit": None, "changed": None}
     return {"commit": commit, "changed": bool(changed)}
@@ -150,4 +169,7 @@ def run_info(m: Manifest, **more) -> dict:
     """What a run was made from: a hash of its manifest, the state of the code, and whatever else is given."""
     from textmill.functions.text import params_hash
 
-    return {"manifest_sha256": params_hash({"seed": m.seed, "weights": m.weights, "sources": m.source_weights, "packing": m.packing}), "code": code_state(), **more}
+    return {
+        "manifest_sha256": params_hash({"seed": m.seed, "weights": m.weights, "sources": m.source_weights, "packing": m.packing}),
+        "code": code_state(), **more
+    }

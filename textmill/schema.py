@@ -9,13 +9,17 @@ from pyspark.sql import types as T
 #: A normalised document. `ord` is added where order matters: first row wins, caps, packing.
 DOC = T.StructType([
     T.StructField("text", T.StringType()), T.StructField("source", T.StringType()), T.StructField("domain", T.StringType()), T.StructField("doc_id", T.StringType()),
-    T.StructField("license_tag", T.StringType()), T.StructField("created_at", T.StringType()), T.StructField("meta", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("license_tag", T.StringType()), T.StructField("created_at", T.StringType()), T.StructField(
+        "meta", T.MapType(T.StringType(), T.StringType())
+    ),
 ])
 
 
 def session(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
     """A session with adaptive execution, UTC and Arrow."""
-    b = SparkSession.builder.appName("textmill").config("spark.sql.adaptive.enabled", "true").config("spark.sql.session.timeZone", "UTC").config("spark.sql.execution.arrow.pyspark.enabled", "true")
+    b = SparkSession.builder.appName("textmill").config(
+        "spark.sql.adaptive.enabled", "true"
+    ).config("spark.sql.session.timeZone", "UTC").config("spark.sql.execution.arrow.pyspark.enabled", "true")
     if master:
         b = b.master(master)
     if shuffle_partitions:

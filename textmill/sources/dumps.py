@@ -37,7 +37,9 @@ def posts(spark: SparkSession, path: str) -> DataFrame:
     """Rows of POST and `ord`, read by Spark's own reader, in splits. If any row is none to it, all are read by posts_broken;
     to know that takes a scan before the one that reads."""
     schema = ", ".join(f"_{f} string" for f in _FIELDS)
-    rows = spark.read.format("xml").option("rowTag", "row").option("columnNameOfCorruptRecord", "_bad").schema(f"{schema}, _bad string").load(path)
+    rows = spark.read.format("xml").option("rowTag", "row").option(
+        "columnNameOfCorruptRecord", "_bad"
+    ).schema(f"{schema}, _bad string").load(path)
     if not rows.where("_bad IS NOT NULL AND _Id IS NULL").isEmpty():
         return posts_broken(spark, path)
     return rows.select(*[F.col(f"_{f}").alias(f) for f in _FIELDS], F.monotonically_increasing_id().alias("ord"))
@@ -48,9 +50,14 @@ def posts_broken(spark: SparkSession, path: str) -> DataFrame:
     outside quotes, an attribute is a name and a value in double quotes, entities stay as they are; a row without any is none."""
     lines = spark.read.option("lineSep", "<row").text(path)
     head = F.regexp_extract("value", r"""^((?:[^"'>]|"[^"]*"|'[^']*')*+)>""", 1)
-    parts = lines.select(head.alias("head")).select(*[F.regexp_extract_all("head", F.lit(r'(\w+)="([^"]*)"'), F.lit(k)).alias(c) for k, c in ((1, "names"), (2, "values"))])
+    parts = lines.select(head.alias("head")).select(
+        *[F.regexp_extract_all("head", F.lit(r'(\w+)="([^"]*)"'), F.lit(k)).alias(c) for k, c in ((1, "names"), (2, "values"))]
+    )
     rows = parts.where(F.size("names") > 0)
-    return rows.select(*[F.try_element_at("values", F.nullif(F.array_position("names", f).cast("int"), F.lit(0))).alias(f) for f in _FIELDS], F.monotonically_increasing_id().alias("ord"))
+    return rows.select(
+        *[F.try_element_at("values", F.nullif(F.array_position("names", f).cast("int"), F.lit(0))).alias(f) for f in _FIELDS],
+        F.monotonically_increasing_id().alias("ord")
+    )
 
 
 def wiki_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -63,4 +70,6 @@ def wiki_articles(spark: SparkSession, path: str) -> DataFrame:
     """Articles from lines of JSON, files of a folder included; blank and bad lines are left out."""
     schema = "id string, doc_id string, title string, text string, created_at string, timestamp string, url string"
     lines = spark.read.option("recursiveFileLookup", "true").text(path)
-    return lines.select(F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("a"), F.expr("try_parse_json(value)").isNotNull().alias("good")).where("good").select("a.*")
+    return lines.select(
+        F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("a"), F.expr("try_parse_json(value)").isNotNull().alias("good")
+    ).where("good").select("a.*")

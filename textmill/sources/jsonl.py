@@ -31,7 +31,9 @@ def expand(inputs: list[str]) -> list[str]:
 
 def walk(path: str) -> list[str]:
     """A file itself; of a folder all *.jsonl* below, sorted."""
-    return sorted(p for p in glob.glob(f"{glob.escape(path)}/**/*.jsonl*", recursive=True) if os.path.isfile(p)) if os.path.isdir(path) else [path]
+    return sorted(
+        p for p in glob.glob(f"{glob.escape(path)}/**/*.jsonl*", recursive=True) if os.path.isfile(p)
+    ) if os.path.isdir(path) else [path]
 
 
 def under_root(paths: list[str], root: str | None = None) -> list[str]:
@@ -45,7 +47,10 @@ def dedup_inputs(paths: list[str], out_dir: str) -> list[str]:
     """Files to dedup: .jsonl and .jsonl.zst, without manifests and without what lies in out_dir."""
     out = os.path.realpath(out_dir) + os.sep
     files = [f for p in expand(paths) for f in walk(p)]
-    return [f for f in files if f.endswith((".jsonl", ".jsonl.zst")) and ".manifest." not in os.path.basename(f) and not os.path.realpath(f).startswith(out)]
+    return [
+        f
+        for f in files if f.endswith((".jsonl", ".jsonl.zst")) and ".manifest." not in os.path.basename(f) and not os.path.realpath(f).startswith(out)
+    ]
 
 
 def read(spark: SparkSession, paths: list[str], schema: T.StructType | str, strict: bool = True) -> DataFrame:
@@ -55,7 +60,10 @@ def read(spark: SparkSession, paths: list[str], schema: T.StructType | str, stri
     kind = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
     full = kind if strict else T.StructType([*kind, T.StructField("_bad", T.StringType())])
     r = spark.read.schema(full).option("mode", "FAILFAST" if strict else "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad")
-    rows = r.json(paths).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_id"))
+    rows = r.json(paths).select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_id")
+    )
     if not all(f.endswith(".zst") for f in paths):
         # a plain file can be several splits: ids count from a split's first row on, and a row is a byte long at least
         first = rows.groupBy("_file", "_start").agg(F.min("_id").alias("_first"))
@@ -105,17 +113,30 @@ def write_shards(docs: DataFrame, out_dir: str, prefix: str = "shard", level: in
 def to_json_column(docs: DataFrame):
     from textmill.schema import DOC
 
-    return F.to_json(F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in docs.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in DOC]), {"ignoreNullFields": "false"})
+    return F.to_json(
+        F.struct(
+            *[
+                F.col(f.name).cast(f.dataType).alias(f.name) if f.name in docs.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                for f in DOC
+            ]
+        ),
+        {"ignoreNullFields": "false"}
+    )
 
 
-def write_manifests(manifest: DataFrame, drops: DataFrame, out_dir: str, domain: str, source: str, seed: int = 0, prefix: str = "shard") -> None:
+def write_manifests(
+    manifest: DataFrame, drops: DataFrame, out_dir: str, domain: str, source: str, seed: int = 0, prefix: str = "shard"
+) -> None:
     """prefix_00000.jsonl.manifest.json per shard: counts, and drops by reason. A row per shard comes to the driver."""
     by_shard: dict[int, dict[str, int]] = {}
     for r in drops.toLocalIterator():
         by_shard.setdefault(r["shard_id"], {})[r["drop_reason"]] = r["n"]
     for r in manifest.toLocalIterator():
         name = f"{prefix}_{r['shard_id']:05d}.jsonl"
-        body = {"shard_path": f"{out_dir}/{name}.zst", "domain": domain, "source": source, "seed": seed, "counts": {k: r[k] for k in ("docs", "bytes", "est_tokens")}, "drops": by_shard.get(r["shard_id"], {})}
+        body = {
+            "shard_path": f"{out_dir}/{name}.zst", "domain": domain, "source": source, "seed": seed,
+            "counts": {k: r[k] for k in ("docs", "bytes", "est_tokens")}, "drops": by_shard.get(r["shard_id"], {})
+        }
         with files.Written(f"{out_dir}/{name}.manifest.json") as f:
             f.write(json.dumps(body, indent=2).encode())
 
@@ -196,7 +217,9 @@ def repaired(raw: bytes, validate: bool = True, most_bad: int = 1000) -> tuple[l
     return good, bad
 
 
-def repair(spark: SparkSession, paths: list[str], out_dir: str | None = None, backup: bool = True, validate: bool = True, most_bad: int = 1000) -> DataFrame:
+def repair(
+    spark: SparkSession, paths: list[str], out_dir: str | None = None, backup: bool = True, validate: bool = True, most_bad: int = 1000
+) -> DataFrame:
     """Repairs files in parallel, one a task: into out_dir, or in place with a .bak copy; what was not compressed gets .zst to its name.
     Returns (path, records_ok, records_bad)."""
     listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths)))
@@ -220,9 +243,17 @@ def file_stats(spark: SparkSession, listed: DataFrame) -> DataFrame:
     """(source, domain, file, n_docs, total_chars, total_bytes, n_bad) of listed files (source, domain, file): every line is a document, and
     one that is no JSON counts in n_bad as well."""
     paths = [r["file"] for r in listed.select("file").distinct().collect()]
-    lines = spark.read.text(paths).select("value", F.regexp_replace("_metadata.file_path", "^file:/*", "/").alias("file")) if paths else spark.createDataFrame([], "value string, file string")
+    lines = spark.read.text(paths).select(
+        "value", F.regexp_replace("_metadata.file_path", "^file:/*", "/").alias("file")
+    ) if paths else spark.createDataFrame([], "value string, file string")
     text = F.get_json_object("value", "$.text")
-    by = lines.groupBy("file").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.length(F.coalesce(text, F.lit("")))).alias("total_chars"), F.sum(F.when(F.expr("try_parse_json(value) IS NULL"), 1).otherwise(0)).alias("n_bad"))
+    by = lines.groupBy("file").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.sum(F.length(F.coalesce(text, F.lit("")))).alias("total_chars"),
+        F.sum(F.when(F.expr("try_parse_json(value) IS NULL"), 1).otherwise(0)).alias("n_bad")
+    )
     size = spark.createDataFrame([(p, os.path.getsize(p)) for p in paths], "file string, total_bytes long")
     none = F.lit(0).cast("long")
-    return listed.join(size, "file", "left").join(by, "file", "left").select("source", "domain", "file", F.coalesce("n_docs", none).alias("n_docs"), F.coalesce("total_chars", none).alias("total_chars"), F.coalesce("total_bytes", none).alias("total_bytes"), F.coalesce("n_bad", none).alias("n_bad"))
+    return listed.join(size, "file", "left").join(by, "file", "left").select(
+        "source", "domain", "file", F.coalesce("n_docs", none).alias("n_docs"), F.coalesce("total_chars", none).alias("total_chars"),
+        F.coalesce("total_bytes", none).alias("total_bytes"), F.coalesce("n_bad", none).alias("n_bad")
+    )
