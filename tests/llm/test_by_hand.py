@@ -35,7 +35,9 @@ def line_features(text):
     """(features, number of words) of each line with a word."""
     words = WORD.findall(text)
     grams = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
-    repeated = [any(grams[tuple(words[j : j + 5])] > 1 for j in range(max(0, i - 4), min(i, len(words) - 5) + 1)) for i in range(len(words))]
+    repeated = [
+        any(grams[tuple(words[j : j + 5])] > 1 for j in range(max(0, i - 4), min(i, len(words) - 5) + 1)) for i in range(len(words))
+    ]
     seen, out, at = set(), [], 0
     for line in text.split("\n"):
         own = WORD.findall(line)
@@ -47,7 +49,9 @@ def line_features(text):
         letters = sum(map(len, own))
         out.append(([
             1, min(share("#*$%&|<>", n), 1), min(share("|", n), 1), min(share("!", n), 1), share(capital, letters), share("0123456789", letters),
-            min(share("#*$%&|<>{}[]=_~^\\/@+", n), 1), min(share(",;:", n), 1), own[-1][-1] in ".!?\"')", own[0][0] in capital, line in seen,
+            min(
+                share("#*$%&|<>{}[]=_~^\\/@+", n), 1
+            ), min(share(",;:", n), 1), own[-1][-1] in ".!?\"')", own[0][0] in capital, line in seen,
             sum(repeated[at : at + n]) / n, min(math.log1p(n) / 5, 1), 1 - len(set(own)) / n,
         ], n))
         seen.add(line)
@@ -127,7 +131,10 @@ def languages_by_hand(learn, rows):
         if not kinds:
             return [0.0] * len(langs), False
         can = [bool(kinds & uses[x]) for x in langs]
-        s = [sum(math.log((grams[x][g] + 0.1) / whole[x]) for g in word_grams(word)) if ok or not any(can) else -math.inf for x, ok in zip(langs, can)]
+        s = [
+            sum(math.log((grams[x][g] + 0.1) / whole[x]) for g in word_grams(word)) if ok or not any(can) else -math.inf
+            for x, ok in zip(langs, can)
+        ]
         total = max(s) + math.log(sum(math.exp(v - max(s)) for v in s))
         return [max(v - total, -12.0) for v in s], True
 
@@ -156,8 +163,14 @@ def test_languages_of_all_documents(spark):
 
 
 def test_languages_of_several_scripts(spark):
-    learn = [("the quick brown fox and the lazy dog " * 5, "en"), ("быстрая лиса и ленивая собака " * 5, "ru"), ("η γρήγορη αλεπού και ο τεμπέλης σκύλος " * 5, "el"), ("der schnelle fuchs und der faule hund " * 5, "de")]
-    texts = ["the dog и собака и лиса", "42 — 7", "", None, "σκύλος fox собака", "漢字 the", "Ünïcödé hund und fuchs", "dog " * 40 + "собака " * 41 + "1 2 3", "ffi² и"]
+    learn = [
+        ("the quick brown fox and the lazy dog " * 5, "en"), ("быстрая лиса и ленивая собака " * 5, "ru"),
+        ("η γρήγορη αλεπού και ο τεμπέλης σκύλος " * 5, "el"), ("der schnelle fuchs und der faule hund " * 5, "de")
+    ]
+    texts = [
+        "the dog и собака и лиса", "42 — 7", "", None, "σκύλος fox собака", "漢字 the", "Ünïcödé hund und fuchs",
+        "dog " * 40 + "собака " * 41 + "1 2 3", "ffi² и"
+    ]
     rows = list(enumerate(texts))
     model = language_id.fit(spark.createDataFrame([(i, *x) for i, x in enumerate(learn)], "doc_id long, text string, lang string"))
     got = language_id.identify(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()

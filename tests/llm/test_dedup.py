@@ -54,7 +54,10 @@ def test_exact(spark):
 
 
 def test_exact_repeated_rows_and_clashing_columns(spark):
-    d = spark.createDataFrame([(1, "x", 1, "a"), (1, "x", 2, "b"), (None, "x", 3, "c"), (None, None, 4, "d")], "doc_id long, text string, row_key int, digest string")
+    d = spark.createDataFrame(
+        [(1, "x", 1, "a"), (1, "x", 2, "b"), (None, "x", 3, "c"), (None, None, 4, "d")],
+        "doc_id long, text string, row_key int, digest string"
+    )
     assert sum(r.kept for r in exact_dedup.groups(d).collect()) == 2
     kept = exact_dedup.dedup(d)
     assert kept.columns == d.columns and kept.count() == 2 and kept.where("text = 'x'").first().doc_id == 1
@@ -115,7 +118,9 @@ def brute_classes(rows, threshold=0.8):
         w = WORD.findall(t or "")
         sh[i] = collections.Counter([tuple(w[k : k + 5]) for k in range(len(w) - 4)] or ([tuple(w)] if w else []))
     df = collections.Counter(x for s in sh.values() for x in s)
-    wt = {i: {x: c * (1 + math.log((1 + len(rows)) / (1 + df[x])) / math.log(1 + len(rows)) / 2) for x, c in s.items()} for i, s in sh.items()}
+    wt = {
+        i: {x: c * (1 + math.log((1 + len(rows)) / (1 + df[x])) / math.log(1 + len(rows)) / 2) for x, c in s.items()} for i, s in sh.items()
+    }
     root = {i: i for i in sh}
 
     def find(x):
@@ -145,7 +150,9 @@ def test_near(spark):
 
 
 def test_near_without_ids_or_rows(spark):
-    d = spark.createDataFrame([(None, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (2, "a b c d e f")], "doc_id long, text string")
+    d = spark.createDataFrame(
+        [(None, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (2, "a b c d e f")], "doc_id long, text string"
+    )
     got = near_dedup.classes(d).collect()
     assert sorted((r.doc_id or 0, r.class_id or 0) for r in got) == [(0, 0), (1, 1), (2, 1), (2, 1)]
     assert near_dedup.classes(d.limit(0)).count() == 0

@@ -46,13 +46,26 @@ def test_salvage_of_damage_anywhere():
 
 
 def test_warc_round_trip(spark, tmp_path):
-    rows = [(1, "http://a", "x"), (2, None, "x"), (3, "u v\n", None), (4, "", ""), (None, "http://n", "x"), (5, "http://é", "é" * 5000), (2, "again", "x")]
+    rows = [
+        (1, "http://a", "x"), (2, None, "x"), (3, "u v\n", None), (4, "", ""), (None, "http://n", "x"), (5, "http://é", "é" * 5000),
+        (2, "again", "x")
+    ]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     warc.write(pages, f"file://{tmp_path}/w", archive_bytes=2000)
-    got = sorted(((r.record_id, r.type, r.refers_to, r.payload_bytes, r.payload_digest) for r in warc.read(spark, f"file://{tmp_path}/w").where("reason IS NULL").collect()), key=str)
+    got = sorted(
+        (
+            (r.record_id, r.type, r.refers_to, r.payload_bytes, r.payload_digest)
+            for r in warc.read(spark, f"file://{tmp_path}/w").where("reason IS NULL").collect()
+        ),
+        key=str
+    )
     u = lambda i: f"<urn:page:{i}>"
     d = lambda s: warc.digest(s.encode())
-    want = [(u(1), "response", None, 1, d("x")), (u(2), "revisit", u(1), 1, d("x")), (u(2), "revisit", u(1), 1, d("x")), (u(""), "revisit", u(1), 1, d("x")), (u(3), "response", None, 0, d("")), (u(4), "revisit", u(3), 0, d("")), (u(5), "response", None, 10000, d("é" * 5000))]
+    want = [
+        (u(1), "response", None, 1, d("x")), (u(2), "revisit", u(1), 1, d("x")), (u(2), "revisit", u(1), 1, d("x")),
+        (u(""), "revisit", u(1), 1, d("x")), (u(3), "response", None, 0, d("")), (u(4), "revisit", u(3), 0, d("")),
+        (u(5), "response", None, 10000, d("é" * 5000))
+    ]
     assert got == sorted(want, key=str)
 
 
@@ -109,12 +122,17 @@ def test_plan_is_best_fit_decreasing():
 
 def test_packing(spark):
     t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    rows = [(i, "word " * n) for i, n in enumerate([0, 1, 5, 2046, 2047, 2048, 5000, 300, 300])] + [(9, None), (None, "Two words"), (10, "it's ÉCOLE  naïve…　x ½")]
+    rows = [
+        (i, "word " * n) for i, n in enumerate([0, 1, 5, 2046, 2047, 2048, 5000, 300, 300])
+    ] + [(9, None), (None, "Two words"), (10, "it's ÉCOLE  naïve…　x ½")]
     got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     want = []
     for i, x in rows:
         ids = t.encode(x or "", add_special_tokens=False).ids + [0]
-        want += [(i, k, s, len(ids[s : s + 2048]), zlib.crc32(b"".join(v.to_bytes(4, "little") for v in ids[s : s + 2048]))) for k, s in enumerate(range(0, len(ids), 2048))]
+        want += [
+            (i, k, s, len(ids[s : s + 2048]), zlib.crc32(b"".join(v.to_bytes(4, "little") for v in ids[s : s + 2048])))
+            for k, s in enumerate(range(0, len(ids), 2048))
+        ]
     assert sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got), key=str) == sorted(want, key=str)
     bins = {}
     for r in got:

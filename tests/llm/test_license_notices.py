@@ -29,9 +29,15 @@ def test_numbered_bsd():
 
 def test_blank_comment_lines():
     for mark in (" *", "#", "//", ";;"):
-        gpl = ["Copyright (c) X", "", *L.SENTENCES["gpl3-grant"][0].replace(" modify it", "\nmodify it").split("\n"), "", *L.SENTENCES["gpl-hope"][0].split(" but ", 1), "", "See the GNU General Public", "License for more details."]
+        gpl = [
+            "Copyright (c) X", "", *L.SENTENCES["gpl3-grant"][0].replace(" modify it", "\nmodify it").split("\n"), "",
+            *L.SENTENCES["gpl-hope"][0].split(" but ", 1), "", "See the GNU General Public", "License for more details."
+        ]
         gpl[4] += ""
-        mit = ["Copyright (c) X", "", *L.MIT_GRANT.replace(" and associated", "\nand associated").split("\n"), "", *L.MIT_NOTICE.replace(" in all", "\nin all").split("\n")]
+        mit = [
+            "Copyright (c) X", "", *L.MIT_GRANT.replace(" and associated", "\nand associated").split("\n"), "",
+            *L.MIT_NOTICE.replace(" in all", "\nin all").split("\n")
+        ]
         got = found(commented(mit, mark), "/*\n" + commented(mit, mark) + "\n */")
         assert got == [["MIT"], ["MIT"]], mark
         assert found(commented(gpl[:4], mark)) == [["GPL-3.0-or-later"]], mark
@@ -41,7 +47,9 @@ def test_versions_reserved_rights_and_distance():
     spdx = "SPDX-License-Identifier: "
     names = [f"{x}-{k}" for x in ("GPL-2.0", "GPL-3.0", "LGPL-3.0", "AGPL-3.0") for k in ("only", "or-later")]
     assert found(*[spdx + x for x in names]) == [[x] for x in names]
-    assert found("All rights reserved.", "Copyright X. All rights reserved.\n\n" + "\n".join(bsd(("1.", "2.", "3."), True))) == [["Proprietary"], ["BSD-3-Clause"]]
+    assert found(
+        "All rights reserved.", "Copyright X. All rights reserved.\n\n" + "\n".join(bsd(("1.", "2.", "3."), True))
+    ) == [["Proprietary"], ["BSD-3-Clause"]]
     far = L.MIT_GRANT + "\n\n" + "other words here. " * 400 + "\n\n" + L.SENTENCES["as-is"][1]
     assert found(far) == [["MIT"]]
     data, off = texts(pa.array([far, L.MIT_GRANT + "\n\n" + L.MIT_NOTICE + "\n\n" + L.SENTENCES["as-is"][1]]))
@@ -49,7 +57,11 @@ def test_versions_reserved_rights_and_distance():
 
 
 def test_apache_notice_once():
-    notice = ["Licensed under the Apache License, Version 2.0 (the \"License\");", "you may not use this file except in compliance with the License.", "You may obtain a copy of the License at", "", "    http://www.apache.org/licenses/LICENSE-2.0"]
+    notice = [
+        "Licensed under the Apache License, Version 2.0 (the \"License\");",
+        "you may not use this file except in compliance with the License.", "You may obtain a copy of the License at", "",
+        "    http://www.apache.org/licenses/LICENSE-2.0"
+    ]
     for mark in ("", "#", " *"):
         assert found(commented(notice, mark) if mark else "\n".join(notice)) == [["Apache-2.0"]]
 

@@ -23,12 +23,17 @@ def test_viterbi_is_best():
         for i in range(4):
             x = s[first[i] : first[i + 1]]
             value = lambda q: sum(x[t, z] for t, z in enumerate(q)) - p * sum(u != v for u, v in zip(q, q[1:]))  # noqa: B023, E731
-            assert math.isclose(max(map(value, itertools.product(range(3), repeat=len(x)))), value(got[first[i] : first[i + 1]].tolist()), abs_tol=1e-9)
+            assert math.isclose(
+                max(map(value, itertools.product(range(3), repeat=len(x)))), value(got[first[i] : first[i + 1]].tolist()), abs_tol=1e-9
+            )
 
 
 def _languages(spark, n=80):
     rng = random.Random(0)
-    words = {"en": "the house with three open windows stands near".split(), "de": "das haus mit drei offenen fenstern steht über".split(), "ru": "дом с тремя открытыми окнами стоит у реки".split()}
+    words = {
+        "en": "the house with three open windows stands near".split(), "de": "das haus mit drei offenen fenstern steht über".split(),
+        "ru": "дом с тремя открытыми окнами стоит у реки".split()
+    }
     rows = [(i, " ".join(rng.choices(words[la], k=12)), la) for i, la in zip(range(n), itertools.cycle(words))]
     return rows + [(n, None, "en"), (n + 1, "", None), (n + 2, "12 34 !!", "de"), (None, "the open windows", None)]
 
@@ -53,8 +58,14 @@ def test_language_without_labels(spark):
 
 
 def test_licences():
-    notice = license_scan.MIT_GRANT.replace("and associated", "\n * and associated") + "\n\n * " + license_scan.MIT_NOTICE.replace("in all", "in\n * all")
-    t = ["Foo bar.\nLicensed under CC BY-NC 4.0.\nmore", "xx&&& yy\nReleased under the MIT License.", None, "", "/*\n * " + notice + "\n */", "All rights reserved. Licensed under the Apache License, Version 2.0.", "licensed under nothing.", "word " * 5000 + "\nMIT License\n"]
+    notice = license_scan.MIT_GRANT.replace(
+        "and associated", "\n * and associated"
+    ) + "\n\n * " + license_scan.MIT_NOTICE.replace("in all", "in\n * all")
+    t = [
+        "Foo bar.\nLicensed under CC BY-NC 4.0.\nmore", "xx&&& yy\nReleased under the MIT License.", None, "", "/*\n * " + notice + "\n */",
+        "All rights reserved. Licensed under the Apache License, Version 2.0.", "licensed under nothing.",
+        "word " * 5000 + "\nMIT License\n"
+    ]
     data, off = texts(pa.array(t))
     _, found = license_scan.recognise(data, off)
     got = [[x for _, _, x in license_scan.match(f)] for f in found]
@@ -63,7 +74,12 @@ def test_licences():
 
 def test_licences_against_plain_search(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
-    names = {"Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0-only", "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "Released under the MIT License.": "MIT", "All rights reserved.": "Proprietary"}
+    names = {
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0-only",
+        "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "Released under the MIT License.": "MIT",
+        "All rights reserved.": "Proprietary"
+    }
     want = {r.doc_id: sorted({v for k, v in names.items() if any(x.strip() == k for x in (r.text or "").split("\n"))}) for r in d.collect()}
     assert {r.doc_id: list(r.licences) for r in license_scan.scan(d).collect()} == want
 
@@ -166,7 +182,9 @@ def _score_by_hand(rows, out, n_classes, passes):
     from textmill.llm._text import mix, spans
 
     low = lambda t: [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in WORD.findall(t or "")] + ["\n"]
-    hashed = lambda w: int(mix(spans(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(w.encode())])), 1)[0].astype(np.int64))
+    hashed = lambda w: int(
+        mix(spans(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(w.encode())])), 1)[0].astype(np.int64)
+    )
     train = [low(t) for i, t in rows if not out[i]]
     count = {}
     for w in itertools.chain(*train):
@@ -215,14 +233,18 @@ def test_class_lm_by_hand(spark, caplog):
     """Whole scores against the same algorithm word by word; repeated rows, a very long text, extra columns, an empty table."""
     rng = random.Random(5)
     grammar = [["the", "A", "one"], ["cat", "dog", "bird", "fish"], ["sees", "hears"], ["the", "a"], ["tree", "sky", "sea"]]
-    rows = [(i, " ".join(rng.choice(g) for g in grammar * rng.randint(1, 4))) for i in range(60)] + [(60, None), (7, "the zebra"), (7, "the zebra"), (61, "the cat " * 3000)]
+    rows = [
+        (i, " ".join(rng.choice(g) for g in grammar * rng.randint(1, 4))) for i in range(60)
+    ] + [(60, None), (7, "the zebra"), (7, "the zebra"), (61, "the cat " * 3000)]
     out = {i: i % 5 == 1 for i, _ in rows}
     d = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, score string")
     with caplog.at_level("INFO", class_lm.__name__):
         got = class_lm.scored(d, F.col("doc_id") % 5 == 1, n_classes=7, unit_bytes=700).collect()
     want, rose = _score_by_hand(rows, out, 7, class_lm.PASSES)
     key = lambda x: (x[0], x[1])
-    for (i, x), (j, y) in zip(sorted(((r.doc_id, r.score) for r in got), key=key), sorted(zip((i for i, _ in rows), want), key=key), strict=True):
+    for (i, x), (j, y) in zip(
+        sorted(((r.doc_id, r.score) for r in got), key=key), sorted(zip((i for i, _ in rows), want), key=key), strict=True
+    ):
         assert i == j and math.isclose(x, y, rel_tol=1e-6)
     logged, kept = caplog.records[-1].args
     assert np.allclose(logged, rose) and kept >= logged[0]
@@ -241,7 +263,10 @@ def test_quality_and_language_of_nothing_and_of_repeated_rows(spark):
 
 
 def test_text_of_three_languages_stays(spark):
-    words = {"en": "the house and the garden with that old tree", "de": "das haus und der garten mit dem alten baum", "ru": "дом и сад со старым деревом на улице"}
+    words = {
+        "en": "the house and the garden with that old tree", "de": "das haus und der garten mit dem alten baum",
+        "ru": "дом и сад со старым деревом на улице"
+    }
     rows = [(i, " ".join(words[k].split()[i % 3 :]), k) for i, k in enumerate(list(words) * 20)]
     model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     mixed = spark.createDataFrame([(1, " ".join(words.values())), (2, "123 ..."), (3, None)], "doc_id long, text string")

@@ -23,7 +23,12 @@ def crowd_frame(spark, vectors):
     rows = []
     for i, v in enumerate(vectors):
         h = np.array(sorted(v), np.uint64)
-        rows.append((i, sum(v.values()), [7] + [1000 * k + max(i, 1) for k in range(15)], bytearray(pack(h)), bytearray(pack(np.array([v[int(x)] for x in h], np.float32)))))
+        rows.append(
+            (
+                i, sum(v.values()), [7] + [1000 * k + max(i, 1) for k in range(15)], bytearray(pack(h)),
+                bytearray(pack(np.array([v[int(x)] for x in h], np.float32)))
+            )
+        )
     return spark.createDataFrame(rows, "text_id long, total double, bands array<long>, shingles binary, weights binary")
 
 
@@ -64,7 +69,9 @@ def test_every_link_of_a_group_is_counted(spark):
 def test_common_weights_and_forest():
     rng = np.random.default_rng(0)
     for n, m, most in ((3, 4, 10), (40, 30, 60), (1, 1, 1)):
-        side = lambda k: [(np.sort(rng.choice(80, rng.integers(0, most + 1), False)).astype(np.uint64), None) for _ in range(k)]  # noqa: B023, E731
+        side = lambda k: [
+            (np.sort(rng.choice(80, rng.integers(0, most + 1), False)).astype(np.uint64), None) for _ in range(k)
+        ]  # noqa: B023, E731
         left, right = ([(h, rng.integers(1, 4, len(h)) * (1.0 + h.astype(float) / 80)) for h, _ in side(k)] for k in (n, m))
         got = near_dedup.common(left, right)
         for i, (h, w) in enumerate(left):

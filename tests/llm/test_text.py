@@ -25,7 +25,9 @@ def test_words_and_windows():
         win = dict(zip(at.tolist(), windows(h, 3)[at].tolist())) if len(at) else {}
         for i in range(b - a):
             words = WORD.findall(t[a + i] or "")
-            mine = [w.data[x:y].tobytes().decode() for x, y in zip(w.start[w.first[i] : w.first[i + 1]], w.end[w.first[i] : w.first[i + 1]])]
+            mine = [
+                w.data[x:y].tobytes().decode() for x, y in zip(w.start[w.first[i] : w.first[i + 1]], w.end[w.first[i] : w.first[i + 1]])
+            ]
             assert mine == words
             for k in range(len(words) - 2):
                 key, value = tuple(words[k : k + 3]), win[int(w.first[i]) + k]

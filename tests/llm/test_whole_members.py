@@ -13,7 +13,10 @@ def test_one_bad_record_of_a_member():
     bad = rec(3).replace(b"<p>3", b"<p>4")
     raw = gz(rec(0) + rec(1) + b"junk" + rec(2) + bad + rec(4))
     assert ids(raw) == ["0", "1", "2", "4"]
-    assert [r[4] for r in warc.salvage(raw) if r[4]] == [f"no version line, at {2 * len(rec(0))} to {2 * len(rec(0)) + 4} of the member", f"payload digest differs, at {3 * len(rec(0)) + 4} to {4 * len(rec(0)) + 4} of the member"]
+    assert [r[4] for r in warc.salvage(raw) if r[4]] == [
+        f"no version line, at {2 * len(rec(0))} to {2 * len(rec(0)) + 4} of the member",
+        f"payload digest differs, at {3 * len(rec(0)) + 4} to {4 * len(rec(0)) + 4} of the member"
+    ]
 
 
 def test_damaged_end_of_a_member():

@@ -189,7 +189,9 @@ class ByteBPE:
         wide = np.zeros(w.n_docs, bool)
         if n and (data >= 0xC2).any():
             d1 = np.r_[data[1:], np.uint8(0)]
-            lead = ((data == 0xC2) & ((d1 == 0x85) | (d1 == 0xA0))) | (data == 0xE1) & (d1 == 0x9A) | (data == 0xE2) & ((d1 == 0x80) | (d1 == 0x81)) | (data == 0xE3) & (d1 == 0x80)
+            lead = (
+                (data == 0xC2) & ((d1 == 0x85) | (d1 == 0xA0))
+            ) | (data == 0xE1) & (d1 == 0x9A) | (data == 0xE2) & ((d1 == 0x80) | (d1 == 0x81)) | (data == 0xE3) & (d1 == 0x80)
             wide[np.searchsorted(offsets, np.flatnonzero(lead), "right") - 1] = True
         opens = np.repeat(w.first[:-1], np.diff(w.first)) == np.arange(w.n)  # first word of its text
         before = np.where(opens, offsets[w.doc], np.r_[0, w.end[:-1]])
@@ -257,7 +259,9 @@ def encoded(docs: DataFrame, path: str | None = None, with_ids: bool = False) ->
     """Per row of (doc_id, text): doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids."""
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_run(path, with_ids), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
+    return docs.select("doc_id", "text").mapInArrow(
+        _run(path, with_ids), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    )
 
 
 def op3_byte_bpe(spark, sf_dir: str) -> DataFrame:

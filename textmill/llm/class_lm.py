@@ -77,7 +77,12 @@ def _units(unit_bytes: int):
                 h = np.array(held.slice(a, b - a).to_pylist(), bool)
                 train = np.bincount(index[~np.repeat(h, n_tokens)], minlength=len(vocab))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([k]), pa.array([pack_sorted(vocab)], pa.binary()), pa.array([pack(train.astype(np.uint32))], pa.binary()), pa.array([pack(index.astype(np.int32))], pa.binary()), pa.array([ids.slice(a, b - a).to_pylist()], pa.list_(pa.int64())), pa.array([h.tolist()], pa.list_(pa.bool_())), pa.array([n_tokens.tolist()], pa.list_(pa.int32()))],
+                    [
+                        pa.array([k]), pa.array([pack_sorted(vocab)], pa.binary()), pa.array([pack(train.astype(np.uint32))], pa.binary()),
+                        pa.array([pack(index.astype(np.int32))], pa.binary()),
+                        pa.array([ids.slice(a, b - a).to_pylist()], pa.list_(pa.int64())), pa.array([h.tolist()], pa.list_(pa.bool_())),
+                        pa.array([n_tokens.tolist()], pa.list_(pa.int32()))
+                    ],
                     ["unit", "vocab", "train", "tokens", "doc_id", "held", "n_tokens"],
                 )
                 k += 1
@@ -95,7 +100,13 @@ def _send_counts(n_buckets: int):
                 vocab, train = unpack_sorted(v), unpack(t, np.uint32)
                 at = C.cuts(vocab, n_buckets)
                 rows = np.flatnonzero(np.diff(at)).tolist()
-                yield pa.RecordBatch.from_pydict({"bucket": pa.array(rows, pa.int32()), "unit": pa.array([unit] * len(rows), pa.int64()), "a": pa.array([pack_sorted(vocab[at[i] : at[i + 1]]) for i in rows], pa.binary()), "b": pa.array([pack(train[at[i] : at[i + 1]]) for i in rows], pa.binary())})
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "bucket": pa.array(rows, pa.int32()), "unit": pa.array([unit] * len(rows), pa.int64()),
+                        "a": pa.array([pack_sorted(vocab[at[i] : at[i + 1]]) for i in rows], pa.binary()),
+                        "b": pa.array([pack(train[at[i] : at[i + 1]]) for i in rows], pa.binary())
+                    }
+                )
 
     return run
 
@@ -109,15 +120,21 @@ def _count(n_top: int):
         """For each unit the training counts of its words; with the first unit, figures of the bucket."""
         keys = [unpack_sorted(x) for x in group.column("a").to_pylist()]
         words, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        n = np.bincount(inverse, np.concatenate([unpack(x, np.uint32) for x in group.column("b").to_pylist()]), len(words)).astype(np.uint32)
+        n = np.bincount(
+            inverse, np.concatenate([unpack(x, np.uint32) for x in group.column("b").to_pylist()]), len(words)
+        ).astype(np.uint32)
         at = np.cumsum([0, *map(len, keys)])
         order = np.lexsort((words, -n.astype(np.int64)))[:n_top]
         top = [{"hash": int(words[i].astype(np.int64)), "n": int(n[i])} for i in order if n[i] and words[i] != END]
         rows = group.num_rows
         first = lambda x, none: [x] + [none] * (rows - 1)
         return pa.table({
-            "unit": group.column("unit"), "bucket": group.column("bucket"), "counts": pa.array([pack(n[inverse[x:y]]) for x, y in zip(at[:-1], at[1:])], pa.binary()),
-            "top": pa.array(first(top, []), _TOP), "n_types": pa.array(first(int((n > 0).sum()), 0), pa.int64()), "n1": pa.array(first(int((n == 1).sum()), 0), pa.int64()), "n2": pa.array(first(int((n == 2).sum()), 0), pa.int64()), "n_tokens": pa.array(first(int(n.sum()), 0), pa.int64()),
+            "unit": group.column("unit"), "bucket": group.column("bucket"), "counts": pa.array(
+                [pack(n[inverse[x:y]]) for x, y in zip(at[:-1], at[1:])], pa.binary()
+            ),
+            "top": pa.array(first(top, []), _TOP), "n_types": pa.array(first(int((n > 0).sum()), 0), pa.int64()), "n1": pa.array(
+                first(int((n == 1).sum()), 0), pa.int64()
+            ), "n2": pa.array(first(int((n == 2).sum()), 0), pa.int64()), "n_tokens": pa.array(first(int(n.sum()), 0), pa.int64()),
         })
 
     return run
@@ -182,8 +199,19 @@ def _profiles(u: Unit, classes: np.ndarray, n_buckets: int, n_classes: int) -> p
     per_word = np.bincount(word, minlength=len(u.vocab))
     rows = np.flatnonzero(np.diff(at)).tolist()
     a = [pack_sorted(u.vocab[at[i] : at[i + 1]]) for i in rows]
-    b = [frames(pack(per_word[at[i] : at[i + 1]].astype(np.uint16)), pack(code[to[i] : to[i + 1]]), pack(n[to[i] : to[i + 1]].astype(np.uint32)), pack(classes[at[i] : at[i + 1]])) for i in rows]
-    return pa.table({"bucket": pa.array([*rows, -1], pa.int32()), "unit": pa.array([u.id] * (len(rows) + 1), pa.int64()), "a": pa.array([*a, None], pa.binary()), "b": pa.array([*b, pack(_matrix(u, classes, n_classes))], pa.binary())})
+    b = [
+        frames(
+            pack(per_word[at[i] : at[i + 1]].astype(np.uint16)), pack(code[to[i] : to[i + 1]]),
+            pack(n[to[i] : to[i + 1]].astype(np.uint32)), pack(classes[at[i] : at[i + 1]])
+        )
+        for i in rows
+    ]
+    return pa.table(
+        {
+            "bucket": pa.array([*rows, -1], pa.int32()), "unit": pa.array([u.id] * (len(rows) + 1), pa.int64()),
+            "a": pa.array([*a, None], pa.binary()), "b": pa.array([*b, pack(_matrix(u, classes, n_classes))], pa.binary())
+        }
+    )
 
 
 def likelihood(m: np.ndarray) -> float:
@@ -226,7 +254,13 @@ def _exchange(matrix: np.ndarray, n_classes: int, move: bool = True):
             best = old
         best[words == END] = 0
         types = np.bincount(best[profile.any(axis=1)], minlength=n_classes)  # a word of the training texts has a class before it
-        return pa.table({"unit": group.column("unit"), "bucket": group.column("bucket"), "classes": pa.array([pack(best[inverse[x:y]]) for x, y in zip(at[:-1], at[1:])], pa.binary()), "types": pa.array([pack(types)] + [None] * (group.num_rows - 1), pa.binary())})
+        return pa.table(
+            {
+                "unit": group.column("unit"), "bucket": group.column("bucket"),
+                "classes": pa.array([pack(best[inverse[x:y]]) for x, y in zip(at[:-1], at[1:])], pa.binary()),
+                "types": pa.array([pack(types)] + [None] * (group.num_rows - 1), pa.binary())
+            }
+        )
 
     return run
 
@@ -266,9 +300,17 @@ def scored(docs: DataFrame, held, n_classes: int = CLASSES, passes: int = PASSES
     spark = docs.sparkSession
     stage = Stage(spark, "classlm")
     unit_bytes = C.chunk_size(C.measure(docs)[1], unit_bytes)
-    units = stage.save(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held.alias("held")).mapInArrow(_units(unit_bytes), UNITS), "units", "none")
+    units = stage.save(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held.alias("held")).mapInArrow(_units(unit_bytes), UNITS),
+        "units", "none"
+    )
     n_buckets = C.buckets(2 * units.select("unit").count(), spark)
-    counted = stage.save(units.select("unit", "vocab", "train").mapInArrow(_send_counts(n_buckets), SENT).groupBy("bucket").applyInArrow(_count(n_classes), COUNTED), "counted", "none")
+    counted = stage.save(
+        units.select("unit", "vocab", "train").mapInArrow(
+            _send_counts(n_buckets), SENT
+        ).groupBy("bucket").applyInArrow(_count(n_classes), COUNTED),
+        "counted", "none"
+    )
     n_types, n1, n2, n_tokens = (int(x or 0) for x in counted.agg(*[F.sum(c) for c in ("n_types", "n1", "n2", "n_tokens")]).first())
     top = counted.select(F.explode("top").alias("t")).select("t.*").orderBy(F.desc("n"), "hash").limit(n_classes - 2).collect()
     top = np.array([r["hash"] for r in top], np.int64).astype(np.uint64)
@@ -296,12 +338,17 @@ def scored(docs: DataFrame, held, n_classes: int = CLASSES, passes: int = PASSES
             stage.drop(f"profiles{i}")
             classes, before = before, classes
             break
-        before, classes = classes, stage.save(made.where("bucket >= 0").groupBy("bucket").applyInArrow(_exchange(matrix, n_classes), answered), f"classes{i}", "none")
+        before, classes = classes, stage.save(
+            made.where("bucket >= 0").groupBy("bucket").applyInArrow(_exchange(matrix, n_classes), answered), f"classes{i}", "none"
+        )
         stage.drop(f"profiles{i}", *[f"classes{i - 2}"] * (i > 1))
 
     def as_seeded() -> DataFrame:
         made = units.mapInArrow(first_pass, SENT).where("bucket >= 0")
-        return stage.save(made.groupBy("bucket").applyInArrow(_exchange(np.zeros((n_classes, n_classes), np.int64), n_classes, False), answered), "seeded", "none")
+        return stage.save(
+            made.groupBy("bucket").applyInArrow(_exchange(np.zeros((n_classes, n_classes), np.int64), n_classes, False), answered),
+            "seeded", "none"
+        )
 
     def figures(rows: pa.Table, answers: pa.Table) -> pa.Table:
         u = Unit(rows.to_pylist()[0])
@@ -310,7 +357,9 @@ def scored(docs: DataFrame, held, n_classes: int = CLASSES, passes: int = PASSES
 
     def settled(classes: DataFrame, name: str) -> tuple[DataFrame, np.ndarray]:
         both = stage.save(counted.select("unit", "bucket", "counts").join(classes.drop("types"), ["unit", "bucket"]), name, "none")
-        return both, _summed(units.groupBy("unit").cogroup(both.groupBy("unit")).applyInArrow(figures, "unit long, b binary"), n_classes**2).reshape(n_classes, n_classes)
+        return both, _summed(
+            units.groupBy("unit").cogroup(both.groupBy("unit")).applyInArrow(figures, "unit long, b binary"), n_classes**2
+        ).reshape(n_classes, n_classes)
 
     if classes is None:
         classes = as_seeded()
@@ -331,9 +380,18 @@ def scored(docs: DataFrame, held, n_classes: int = CLASSES, passes: int = PASSES
         base, own = model.logs(n, u.previous(c, 0), np.minimum(c, n_classes - 1))
         begin = u.end - u.n
         add = lambda x: np.add.reduceat(x, begin) if len(begin) else x
-        return pa.table({"doc_id": pa.array(u.row["doc_id"], pa.int64()), "held_out": pa.array(u.row["held"], pa.bool_()), "n_tokens": pa.array(u.n, pa.int64()), "n_known": pa.array(add((n > 0).astype(np.int64)), pa.int64()), "train_tokens": pa.array([n_tokens] * len(u.n), pa.int64()), "base_score": pa.array(add(base), pa.float64()), "score": pa.array(add(own), pa.float64())})
-
-    return units.groupBy("unit").cogroup(both.groupBy("unit")).applyInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        return pa.table(
+            {
+                "doc_id": pa.array(u.row["doc_id"], pa.int64()), "held_out": pa.array(u.row["held"], pa.bool_()),
+                "n_tokens": pa.array(u.n, pa.int64()), "n_known": pa.array(add((n > 0).astype(np.int64)), pa.int64()),
+                "train_tokens": pa.array([n_tokens] * len(u.n), pa.int64()), "base_score": pa.array(add(base), pa.float64()),
+                "score": pa.array(add(own), pa.float64())
+            }
+        )
+
+    return units.groupBy("unit").cogroup(both.groupBy("unit")).applyInArrow(
+        score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    )
 
 
 def op6_class_lm(spark, sf_dir: str) -> DataFrame:

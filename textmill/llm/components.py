@@ -32,4 +32,6 @@ def components(links: DataFrame, stage: Stage) -> DataFrame:
         mark, step = now, step + 1
         edges = stage.save(_star(_star(edges, True), False), f"edges{step}")
         stage.drop(f"edges{step - 1}")
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("class_id")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("class_id")).distinct())
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("class_id")).unionByName(
+        edges.select(F.col("v").alias("node"), F.col("v").alias("class_id")).distinct()
+    )

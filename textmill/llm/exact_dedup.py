@@ -38,7 +38,9 @@ def misra_gries(batches, k: int = COUNTERS):
     for batch in batches:
         counts = batch.column("digest").to_pandas().value_counts()
         held = _lower(held.add(counts, fill_value=0).astype("int64") if len(held) else counts, k)
-    yield pa.RecordBatch.from_arrays([pa.array(held.index.astype(object), pa.string()), pa.array(held.to_numpy(), pa.int64())], ["digest", "least"])
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(held.index.astype(object), pa.string()), pa.array(held.to_numpy(), pa.int64())], ["digest", "least"]
+    )
 
 
 def heavy(digests: DataFrame, k: int = COUNTERS) -> DataFrame:
@@ -48,9 +50,13 @@ def heavy(digests: DataFrame, k: int = COUNTERS) -> DataFrame:
     least three quarters of that left; no more than 4 * k / 3 digests do, and these candidates are counted exactly.
     """
     n = digests.count()
-    summed = digests.select("digest").mapInArrow(lambda b: misra_gries(b, 4 * k), "digest string, least long").groupBy("digest").agg(F.sum("least").alias("least"))
+    summed = digests.select("digest").mapInArrow(
+        lambda b: misra_gries(b, 4 * k), "digest string, least long"
+    ).groupBy("digest").agg(F.sum("least").alias("least"))
     candidates = summed.where(F.col("least") * (4 * k) >= 3 * n)
-    exact = digests.join(F.broadcast(candidates.select("digest")), "digest").groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "row_key")).alias("best"))
+    exact = digests.join(F.broadcast(candidates.select("digest")), "digest").groupBy("digest").agg(
+        F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "row_key")).alias("best")
+    )
     return exact.where(F.col("group_size") * k > n)
 
 
@@ -61,8 +67,12 @@ def _settled(docs: DataFrame, stage: Stage, k: int) -> DataFrame:
     hot = digests.join(F.broadcast(winners), "digest")
     rest = digests.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
     # counts and winners are aggregates, made in part before the shuffle; only digests of several rows are met by a join
-    several = rest.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "row_key")).alias("best")).where("group_size > 1")
-    rest = rest.join(several, "digest", "left").withColumns({"group_size": F.coalesce("group_size", F.lit(1)), "best": F.coalesce("best", F.struct("doc_id", "row_key"))})
+    several = rest.groupBy("digest").agg(
+        F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "row_key")).alias("best")
+    ).where("group_size > 1")
+    rest = rest.join(several, "digest", "left").withColumns(
+        {"group_size": F.coalesce("group_size", F.lit(1)), "best": F.coalesce("best", F.struct("doc_id", "row_key"))}
+    )
     columns = ["doc_id", "row_key", "digest", "group_size", "best"]
     return hot.select(columns).unionByName(rest.select(columns))
 
@@ -71,7 +81,10 @@ def groups(docs: DataFrame, k: int = COUNTERS) -> DataFrame:
     """Per row of (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256."""
     stage = Stage(docs.sparkSession, "exact")
     s = _settled(docs.select("doc_id", "text").withColumn("row_key", F.monotonically_increasing_id()), stage, k)
-    return s.select("doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("row_key") == F.col("best.row_key")).alias("kept"), F.col("digest").alias("text_sha256"))
+    return s.select(
+        "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("row_key") == F.col("best.row_key")).alias("kept"),
+        F.col("digest").alias("text_sha256")
+    )
 
 
 def dedup(docs: DataFrame, k: int = COUNTERS) -> DataFrame:

@@ -33,7 +33,12 @@ TOGETHER = 8
 #: A language uses a script that makes up this share of its letters.
 USES = 0.01
 # First code points of the ranges of scripts, by the Unicode blocks.
-SCRIPTS = [("latin", 0x41, 0x24F), ("greek", 0x370, 0x3FF), ("cyrillic", 0x400, 0x52F), ("armenian", 0x530, 0x58F), ("hebrew", 0x590, 0x5FF), ("arabic", 0x600, 0x6FF), ("devanagari", 0x900, 0x97F), ("bengali", 0x980, 0x9FF), ("tamil", 0xB80, 0xBFF), ("thai", 0xE00, 0xE7F), ("georgian", 0x10A0, 0x10FF), ("ethiopic", 0x1200, 0x137F), ("latin", 0x1E00, 0x1EFF), ("greek", 0x1F00, 0x1FFF), ("kana", 0x3040, 0x30FF), ("han", 0x3400, 0x9FFF), ("hangul", 0xAC00, 0xD7AF)]
+SCRIPTS = [
+    ("latin", 0x41, 0x24F), ("greek", 0x370, 0x3FF), ("cyrillic", 0x400, 0x52F), ("armenian", 0x530, 0x58F), ("hebrew", 0x590, 0x5FF),
+    ("arabic", 0x600, 0x6FF), ("devanagari", 0x900, 0x97F), ("bengali", 0x980, 0x9FF), ("tamil", 0xB80, 0xBFF), ("thai", 0xE00, 0xE7F),
+    ("georgian", 0x10A0, 0x10FF), ("ethiopic", 0x1200, 0x137F), ("latin", 0x1E00, 0x1EFF), ("greek", 0x1F00, 0x1FFF),
+    ("kana", 0x3040, 0x30FF), ("han", 0x3400, 0x9FFF), ("hangul", 0xAC00, 0xD7AF)
+]
 
 
 @lru_cache(1)
@@ -88,7 +93,9 @@ class Model:
         c = np.array([counts[i] for i in order], np.float64).reshape(len(langs), 1 << BITS) + 0.1
         self.log_p = (np.log(c) - np.log(c.sum(axis=1, keepdims=True))).astype(np.float32)
         s = np.array([scripts[i] for i in order], np.float64).reshape(len(langs), 32)
-        self.uses = ((s >= USES * s.sum(axis=1, keepdims=True)) & (s > 0)) @ (1 << np.arange(s.shape[1])) if langs else np.zeros(0, np.int64)
+        self.uses = (
+            (s >= USES * s.sum(axis=1, keepdims=True)) & (s > 0)
+        ) @ (1 << np.arange(s.shape[1])) if langs else np.zeros(0, np.int64)
 
     def scores(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
         """Log posteriors of the languages per word (0 for all where there is no letter), and whether it has a letter."""
@@ -165,12 +172,22 @@ def _count(batches):
                 bits = has[m].astype(np.int64)
                 scripts += ((bits[:, None] >> np.arange(32)) & 1).sum(axis=0)
         if found:
-            yield pa.RecordBatch.from_pydict({"lang": pa.array(list(found)), "counts": pa.array([pack(x.astype(np.int64)) for x, _ in found.values()], pa.binary()), "scripts": pa.array([pack(x.astype(np.int64)) for _, x in found.values()], pa.binary())})
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "lang": pa.array(list(found)), "counts": pa.array([pack(x.astype(np.int64)) for x, _ in found.values()], pa.binary()),
+                    "scripts": pa.array([pack(x.astype(np.int64)) for _, x in found.values()], pa.binary())
+                }
+            )
 
 
 def _sum(group: pa.Table) -> pa.Table:
     total = lambda k: pack(np.sum([unpack(x, np.int64) for x in group.column(k).to_pylist()], axis=0))
-    return pa.table({"lang": group.column("lang").slice(0, 1), "counts": pa.array([total("counts")], pa.binary()), "scripts": pa.array([total("scripts")], pa.binary())})
+    return pa.table(
+        {
+            "lang": group.column("lang").slice(0, 1), "counts": pa.array([total("counts")], pa.binary()),
+            "scripts": pa.array([total("scripts")], pa.binary())
+        }
+    )
 
 
 def remainder(n: int):
@@ -199,7 +216,9 @@ def predict(model: Model, w: Words, penalty: float = PENALTY) -> tuple[list, lis
     labels = viterbi(scores, w.first, penalty)
     votes = np.bincount((w.doc * n_langs + labels)[letter], minlength=w.n_docs * n_langs).reshape(-1, n_langs)
     total, best = votes.sum(axis=1), votes.argmax(axis=1)
-    return [model.langs[i] if t else "und" for i, t in zip(best.tolist(), total.tolist())], (votes.max(axis=1) / np.maximum(total, 1)).tolist(), labels
+    return [
+        model.langs[i] if t else "und" for i, t in zip(best.tolist(), total.tolist())
+    ], (votes.max(axis=1) / np.maximum(total, 1)).tolist(), labels
 
 
 def _predict(model: Model, columns: list[str], with_spans: bool):
@@ -219,19 +238,27 @@ def _predict(model: Model, columns: list[str], with_spans: bool):
                         found.append([{"first_word": s, "end_word": e, "lang": model.langs[p[s]]} for s, e in zip(cut, [*cut[1:], len(p)])])
             out = {c: batch.column(c) for c in columns} | {"lang_pred": pa.array(lang, pa.string()), "score": pa.array(score, pa.float64())}
             if with_spans:
-                out["spans"] = pa.array(found, pa.list_(pa.struct([("first_word", pa.int32()), ("end_word", pa.int32()), ("lang", pa.string())])))
+                out["spans"] = pa.array(
+                    found, pa.list_(pa.struct([("first_word", pa.int32()), ("end_word", pa.int32()), ("lang", pa.string())]))
+                )
             yield pa.RecordBatch.from_pydict(out)
 
     return run
 
 
-SPANS = T.ArrayType(T.StructType([T.StructField("first_word", T.IntegerType()), T.StructField("end_word", T.IntegerType()), T.StructField("lang", T.StringType())]))
+SPANS = T.ArrayType(
+    T.StructType(
+        [T.StructField("first_word", T.IntegerType()), T.StructField("end_word", T.IntegerType()), T.StructField("lang", T.StringType())]
+    )
+)
 
 
 def identify(docs: DataFrame, model: Model, with_spans: bool = False) -> DataFrame:
     """The rows with lang_pred, score and, if asked for, spans (of words, numbered from 0, `end_word` excluded)."""
     fields = [f for f in docs.schema if f.name not in ("lang_pred", "score", "spans")]
-    extra = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())] + [T.StructField("spans", SPANS)] * with_spans
+    extra = [
+        T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())
+    ] + [T.StructField("spans", SPANS)] * with_spans
     columns = [f.name for f in fields]
     return docs.select(*columns).mapInArrow(_predict(model, columns, with_spans), T.StructType(fields + extra))
 

@@ -32,40 +32,94 @@ RESERVED = "Proprietary"
 MIT_GRANT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
 MIT_NOTICE = "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
 SENTENCES = {
-    "mit-line": ["Released under the MIT License.", "Licensed under the MIT License.", "This project is licensed under the MIT License.", "Distributed under the MIT License.", "The MIT License (MIT)", "MIT License", "SPDX-License-Identifier: MIT"],
+    "mit-line": [
+        "Released under the MIT License.", "Licensed under the MIT License.", "This project is licensed under the MIT License.",
+        "Distributed under the MIT License.", "The MIT License (MIT)", "MIT License", "SPDX-License-Identifier: MIT"
+    ],
     "mit-grant": [MIT_GRANT, MIT_GRANT + " " + MIT_NOTICE],
     "mit-notice": [MIT_NOTICE],
-    "apache-line": ["Licensed under the Apache License, Version 2.0.", "Released under the Apache License, Version 2.0.", "Apache License, Version 2.0", "SPDX-License-Identifier: Apache-2.0"],
-    "apache-grant": ["Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.", "Licensed under the Apache License, Version 2.0 (the \"License\");", "Licensed under the Apache License, Version 2.0 (the \"License\")"],
+    "apache-line": [
+        "Licensed under the Apache License, Version 2.0.", "Released under the Apache License, Version 2.0.", "Apache License, Version 2.0",
+        "SPDX-License-Identifier: Apache-2.0"
+    ],
+    "apache-grant": [
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
+        "Licensed under the Apache License, Version 2.0 (the \"License\");",
+        "Licensed under the Apache License, Version 2.0 (the \"License\")"
+    ],
     "apache-use": ["you may not use this file except in compliance with the License."],
-    "apache-copy": ["You may obtain a copy of the License at", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"],
-    "gpl3-line": ["This work is licensed under the GNU General Public License, version 3.", "Licensed under the GNU General Public License, version 3.", "Licensed under the GNU GPL, version 3.", "SPDX-License-Identifier: GPL-3.0-only"],
+    "apache-copy": [
+        "You may obtain a copy of the License at", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"
+    ],
+    "gpl3-line": [
+        "This work is licensed under the GNU General Public License, version 3.",
+        "Licensed under the GNU General Public License, version 3.", "Licensed under the GNU GPL, version 3.",
+        "SPDX-License-Identifier: GPL-3.0-only"
+    ],
     "gpl3-later-line": ["SPDX-License-Identifier: GPL-3.0-or-later"],
-    "gpl2-line": ["This work is licensed under the GNU General Public License, version 2.", "Licensed under the GNU General Public License, version 2.", "SPDX-License-Identifier: GPL-2.0-only"],
+    "gpl2-line": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "Licensed under the GNU General Public License, version 2.", "SPDX-License-Identifier: GPL-2.0-only"
+    ],
     "gpl2-later-line": ["SPDX-License-Identifier: GPL-2.0-or-later"],
-    "gpl3-grant": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
-    "gpl2-grant": ["This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."],
-    "gpl-hope": ["This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."],
+    "gpl3-grant": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    ],
+    "gpl2-grant": [
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."
+    ],
+    "gpl-hope": [
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."
+    ],
     "gpl-see": ["See the GNU General Public License for more details."],
     "lgpl-line": ["Licensed under the GNU Lesser General Public License, version 3.", "SPDX-License-Identifier: LGPL-3.0-only"],
     "lgpl-later-line": ["SPDX-License-Identifier: LGPL-3.0-or-later"],
     "agpl-line": ["Licensed under the GNU Affero General Public License, version 3.", "SPDX-License-Identifier: AGPL-3.0-only"],
     "agpl-later-line": ["SPDX-License-Identifier: AGPL-3.0-or-later"],
-    "bsd-use": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"],
-    "bsd-source": ["Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."],
-    "bsd-binary": ["Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."],
-    "bsd-name": ["Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."],
+    "bsd-use": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+    ],
+    "bsd-source": [
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."
+    ],
+    "bsd-binary": [
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+    ],
+    "bsd-name": [
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    ],
     "bsd3-line": ["Licensed under the 3-Clause BSD License.", "SPDX-License-Identifier: BSD-3-Clause"],
     "bsd2-line": ["Licensed under the 2-Clause BSD License.", "SPDX-License-Identifier: BSD-2-Clause"],
-    "isc-grant": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
-    "mpl-line": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License, version 2.0.", "SPDX-License-Identifier: MPL-2.0"],
+    "isc-grant": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+    ],
+    "mpl-line": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "Licensed under the Mozilla Public License, version 2.0.", "SPDX-License-Identifier: MPL-2.0"
+    ],
     "mpl-copy": ["If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."],
     "unlicense": ["This is free and unencumbered software released into the public domain."],
-    "cc0-line": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "Licensed under CC0 1.0.", "SPDX-License-Identifier: CC0-1.0"],
-    "cc-by-line": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License.", "SPDX-License-Identifier: CC-BY-4.0"],
-    "cc-by-sa-line": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "SPDX-License-Identifier: CC-BY-SA-4.0"],
-    "cc-by-nc-line": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "SPDX-License-Identifier: CC-BY-NC-4.0"],
-    "cc-by-nd-line": ["Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."],
+    "cc0-line": [
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+        "Licensed under CC0 1.0.", "SPDX-License-Identifier: CC0-1.0"
+    ],
+    "cc-by-line": [
+        "Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-4.0"
+    ],
+    "cc-by-sa-line": [
+        "Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-SA-4.0"
+    ],
+    "cc-by-nc-line": [
+        "Licensed under CC BY-NC 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-NC-4.0"
+    ],
+    "cc-by-nd-line": [
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."
+    ],
     "as-is": [
         "The software is provided \"as is\", without warranty of any kind.",
         "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
@@ -76,13 +130,41 @@ SENTENCES = {
 }
 # Licences by the identifiers that state them, the more telling rule first.
 RULES = [
-    ("MIT", ("mit-line", "mit-grant", "mit-notice", "as-is")), ("MIT", ("mit-grant", "mit-notice", "as-is")), ("MIT", ("mit-line", "mit-grant", "mit-notice")), ("MIT", ("mit-grant", "mit-notice")), ("MIT", ("mit-grant", "as-is")), ("Apache-2.0", ("apache-grant", "apache-use", "apache-copy")), ("Apache-2.0", ("apache-grant", "apache-copy")), ("Apache-2.0", ("apache-grant",)),
-    ("GPL-3.0-or-later", ("gpl3-grant", "gpl-hope", "gpl-see")), ("GPL-2.0-or-later", ("gpl2-grant", "gpl-hope", "gpl-see")), ("GPL-3.0-or-later", ("gpl3-grant",)), ("GPL-2.0-or-later", ("gpl2-grant",)),
-    ("BSD-3-Clause", ("bsd-use", "bsd-source", "bsd-binary", "bsd-name", "as-is")), ("BSD-3-Clause", ("bsd-use", "bsd-source", "bsd-binary", "bsd-name")), ("BSD-2-Clause", ("bsd-use", "bsd-source", "bsd-binary", "as-is")), ("ISC", ("isc-grant", "as-is")), ("BSD-2-Clause", ("bsd-use", "bsd-source", "bsd-binary")), ("MPL-2.0", ("mpl-line", "mpl-copy")),
-    ("MIT", ("mit-line",)), ("MIT", ("mit-grant",)), ("Apache-2.0", ("apache-line",)), ("GPL-3.0-only", ("gpl3-line",)), ("GPL-2.0-only", ("gpl2-line",)), ("LGPL-3.0-only", ("lgpl-line",)), ("AGPL-3.0-only", ("agpl-line",)),
-    ("GPL-3.0-or-later", ("gpl3-later-line",)), ("GPL-2.0-or-later", ("gpl2-later-line",)), ("LGPL-3.0-or-later", ("lgpl-later-line",)), ("AGPL-3.0-or-later", ("agpl-later-line",)),
-    ("BSD-3-Clause", ("bsd3-line",)), ("BSD-2-Clause", ("bsd2-line",)), ("ISC", ("isc-grant",)), ("MPL-2.0", ("mpl-line",)), ("Unlicense", ("unlicense",)), ("CC0-1.0", ("cc0-line",)),
-    ("CC-BY-4.0", ("cc-by-line",)), ("CC-BY-SA-4.0", ("cc-by-sa-line",)), ("CC-BY-NC-4.0", ("cc-by-nc-line",)), ("CC-BY-ND-4.0", ("cc-by-nd-line",)), (RESERVED, ("reserved",)),
+    (
+        "MIT", ("mit-line", "mit-grant", "mit-notice", "as-is")
+    ), ("MIT", ("mit-grant", "mit-notice", "as-is")), (
+        "MIT", ("mit-line", "mit-grant", "mit-notice")
+    ), ("MIT", ("mit-grant", "mit-notice")), ("MIT", ("mit-grant", "as-is")), (
+        "Apache-2.0", ("apache-grant", "apache-use", "apache-copy")
+    ), ("Apache-2.0", ("apache-grant", "apache-copy")), ("Apache-2.0", ("apache-grant",)),
+    (
+        "GPL-3.0-or-later", ("gpl3-grant", "gpl-hope", "gpl-see")
+    ), (
+        "GPL-2.0-or-later", ("gpl2-grant", "gpl-hope", "gpl-see")
+    ), ("GPL-3.0-or-later", ("gpl3-grant",)), ("GPL-2.0-or-later", ("gpl2-grant",)),
+    (
+        "BSD-3-Clause", ("bsd-use", "bsd-source", "bsd-binary", "bsd-name", "as-is")
+    ), (
+        "BSD-3-Clause", ("bsd-use", "bsd-source", "bsd-binary", "bsd-name")
+    ), (
+        "BSD-2-Clause", ("bsd-use", "bsd-source", "bsd-binary", "as-is")
+    ), ("ISC", ("isc-grant", "as-is")), ("BSD-2-Clause", ("bsd-use", "bsd-source", "bsd-binary")), ("MPL-2.0", ("mpl-line", "mpl-copy")),
+    ("MIT", ("mit-line",)), ("MIT", ("mit-grant",)), (
+        "Apache-2.0", ("apache-line",)
+    ), ("GPL-3.0-only", ("gpl3-line",)), ("GPL-2.0-only", ("gpl2-line",)), (
+        "LGPL-3.0-only", ("lgpl-line",)
+    ), ("AGPL-3.0-only", ("agpl-line",)),
+    ("GPL-3.0-or-later", ("gpl3-later-line",)), ("GPL-2.0-or-later", ("gpl2-later-line",)), (
+        "LGPL-3.0-or-later", ("lgpl-later-line",)
+    ), ("AGPL-3.0-or-later", ("agpl-later-line",)),
+    (
+        "BSD-3-Clause", ("bsd3-line",)
+    ), (
+        "BSD-2-Clause", ("bsd2-line",)
+    ), ("ISC", ("isc-grant",)), ("MPL-2.0", ("mpl-line",)), ("Unlicense", ("unlicense",)), ("CC0-1.0", ("cc0-line",)),
+    ("CC-BY-4.0", ("cc-by-line",)), (
+        "CC-BY-SA-4.0", ("cc-by-sa-line",)
+    ), ("CC-BY-NC-4.0", ("cc-by-nc-line",)), ("CC-BY-ND-4.0", ("cc-by-nd-line",)), (RESERVED, ("reserved",)),
 ]
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -94,7 +176,10 @@ _STOPS[[ord(c) for c in ".!?"]] = True
 
 
 def normalised(text: str) -> tuple[str, ...]:
-    words = ("".join(c for c in w if c.isascii() and c.isalnum() or not c.isascii()) for w in "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text).split())
+    words = (
+        "".join(c for c in w if c.isascii() and c.isalnum() or not c.isascii())
+        for w in "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text).split()
+    )
     return tuple(w for w in words if w)
 
 
@@ -126,7 +211,9 @@ class Sentences:
         head = data[w.start + (data[w.start] == ord("(")) * (w.end - w.start > 1)]
         digit = (head >= 48) & (head <= 57)
         tail = data[w.end - 1]
-        mark = begins & (w.end - w.start - (b - a) == 1 + (data[w.start] == ord("("))) & ((tail == ord(".")) | (tail == ord(")"))) & ((b - a == 1) | (digit & (b - a == 2)))
+        mark = begins & (
+            w.end - w.start - (b - a) == 1 + (data[w.start] == ord("("))
+        ) & ((tail == ord(".")) | (tail == ord(")"))) & ((b - a == 1) | (digit & (b - a == 2)))
         closes |= mark
         closes[:-1] |= mark[1:]
         closes[w.first[1:][np.diff(w.first) > 0] - 1] = True
@@ -221,17 +308,25 @@ def _scan(batches):
             matches = []
             for i, f in enumerate(found):
                 m = match(f) if f else []
-                matches.append([{"licence": x, "first_byte": f[s][0] - int(base[i]), "end_byte": f[e - 1][1] - int(base[i])} for s, e, x in m])
+                matches.append(
+                    [{"licence": x, "first_byte": f[s][0] - int(base[i]), "end_byte": f[e - 1][1] - int(base[i])} for s, e, x in m]
+                )
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id").slice(a, b - a), "n_sentences": pa.array(count, pa.int64()), "n_known": pa.array([len(f) for f in found], pa.int64()),
-                "licences": pa.array([sorted({m["licence"] for m in ms}) for ms in matches], pa.list_(pa.string())), "matches": pa.array(matches, _MATCHES),
+                "doc_id": batch.column("doc_id").slice(a, b - a), "n_sentences": pa.array(count, pa.int64()), "n_known": pa.array(
+                    [len(f) for f in found], pa.int64()
+                ),
+                "licences": pa.array(
+                    [sorted({m["licence"] for m in ms}) for ms in matches], pa.list_(pa.string())
+                ), "matches": pa.array(matches, _MATCHES),
             })
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """Per row of (doc_id, text): doc_id, n_sentences, n_known, licences (each once, sorted), matches (with bytes of the text)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_scan, f"doc_id {kind}, n_sentences long, n_known long, licences array<string>, matches {MATCHES}")
+    return docs.select("doc_id", "text").mapInArrow(
+        _scan, f"doc_id {kind}, n_sentences long, n_known long, licences array<string>, matches {MATCHES}"
+    )
 
 
 def op4_license_scan(spark, sf_dir: str) -> DataFrame:

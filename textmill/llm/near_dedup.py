@@ -51,7 +51,9 @@ BLOCK = 1024
 def shingles(w: Words, wh: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all shingles, and the text of each."""
     at = inside(w.first, size)
-    h, doc = (windows(wh, size, 2)[at] if len(at) else np.zeros(0, np.uint64)), np.repeat(np.arange(w.n_docs), np.maximum(np.diff(w.first) - size + 1, 0))
+    h, doc = (
+        windows(wh, size, 2)[at] if len(at) else np.zeros(0, np.uint64)
+    ), np.repeat(np.arange(w.n_docs), np.maximum(np.diff(w.first) - size + 1, 0))
     n = np.diff(w.first)
     short = np.flatnonzero((n > 0) & (n < size))
     if len(short):
@@ -182,7 +184,13 @@ def _sign(n_docs: int, size: int, threshold: float, bands: int, rows: int, sprea
                 m = df[x:y] > 1
                 out[4].append(pack(h[x:y][m]))
                 out[5].append(pack(w32[x:y][m]))
-        return pa.table({"doc_id": pa.array(out[0], pa.int64()), "same": pa.array(out[1], pa.binary()), "total": pa.array(out[2], pa.float64()), "bands": pa.array(out[3], pa.list_(pa.int64())), "shingles": pa.array(out[4], pa.binary()), "weights": pa.array(out[5], pa.binary())})
+        return pa.table(
+            {
+                "doc_id": pa.array(out[0], pa.int64()), "same": pa.array(out[1], pa.binary()), "total": pa.array(out[2], pa.float64()),
+                "bands": pa.array(out[3], pa.list_(pa.int64())), "shingles": pa.array(out[4], pa.binary()),
+                "weights": pa.array(out[5], pa.binary())
+            }
+        )
 
     return run
 
@@ -214,7 +222,9 @@ def blocks(groups: DataFrame, stage: Stage, small: int = SMALL, block: int = BLO
     home = F.max(F.struct("n", F.xxhash64("band", "key").alias("home")))["home"].alias("home")
     homes = stage.save(many.groupBy("text_id").agg(home, F.sum(F.expr("shiftleft(1L, band)")).alias("crowded")), "homes")
     parts = homes.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / block).alias("parts"))
-    placed = homes.join(parts, "home").select("text_id", F.xxhash64("home", F.pmod(F.xxhash64("text_id"), F.col("parts"))).alias("block"), "crowded")
+    placed = homes.join(parts, "home").select(
+        "text_id", F.xxhash64("home", F.pmod(F.xxhash64("text_id"), F.col("parts"))).alias("block"), "crowded"
+    )
     placed = stage.save(placed, "placed")
     there = stage.save(many.join(placed, "text_id").select("band", "key", "block").distinct(), "there")
     p, q = there.withColumnRenamed("block", "p"), there.withColumnRenamed("block", "q")
@@ -225,7 +235,9 @@ def common(left: list[tuple[np.ndarray, np.ndarray]], right: list[tuple[np.ndarr
     """Sums of minima of all pairs of two lists of (shingles, weights)."""
 
     def flat(side):
-        return np.repeat(np.arange(len(side)), [len(h) for h, _ in side]), np.concatenate([h for h, _ in side]), np.concatenate([w for _, w in side])
+        return np.repeat(
+            np.arange(len(side)), [len(h) for h, _ in side]
+        ), np.concatenate([h for h, _ in side]), np.concatenate([w for _, w in side])
 
     (i, h, w), (j, g, v) = flat(left), flat(right)
     both = np.intersect1d(h, g)
@@ -291,8 +303,16 @@ def _compare(threshold: float):
         own = not right.any()
         sides = []
         for t in (group.filter(pa.array(~right)), group.filter(pa.array(right if not own else ~right))):
-            v = [(unpack(h, np.uint64), unpack(w, np.float32).astype(np.float64)) for h, w in zip(t.column("shingles").to_pylist(), t.column("weights").to_pylist())]
-            sides.append((t.column("text_id").to_numpy(), t.column("total").to_numpy(), np.array(t.column("bands").to_pylist()), t.column("crowded").to_numpy(), v))
+            v = [
+                (unpack(h, np.uint64), unpack(w, np.float32).astype(np.float64))
+                for h, w in zip(t.column("shingles").to_pylist(), t.column("weights").to_pylist())
+            ]
+            sides.append(
+                (
+                    t.column("text_id").to_numpy(), t.column("total").to_numpy(), np.array(t.column("bands").to_pylist()),
+                    t.column("crowded").to_numpy(), v
+                )
+            )
         (a, total_a, bands_a, crowded, va), (b, total_b, bands_b, _, vb) = sides
         found, ids, n = ([], [], []), [], []
         if len(a) and len(b):
@@ -314,7 +334,12 @@ def _compare(threshold: float):
                 ids, n = ids[n > 0], n[n > 0]
         column = lambda links, counts, kind: pa.concat_arrays([pa.array(links, kind), pa.array(counts, kind)])
         none = [None] * len(ids)
-        return pa.table({"a": column(found[0], ids, pa.int64()), "b": column(found[1], none, pa.int64()), "similarity": column(found[2], none, pa.float64()), "n": column([None] * len(found[0]), n, pa.int64())})
+        return pa.table(
+            {
+                "a": column(found[0], ids, pa.int64()), "b": column(found[1], none, pa.int64()),
+                "similarity": column(found[2], none, pa.float64()), "n": column([None] * len(found[0]), n, pa.int64())
+            }
+        )
 
     return run
 
@@ -324,7 +349,9 @@ def compared(placed: DataFrame, meet: DataFrame, signed: DataFrame, threshold: f
     texts_ = placed.join(signed, "text_id").select("block", "text_id", "total", "bands", "crowded", "shingles", "weights")
     left = meet.join(texts_, F.col("p") == F.col("block")).withColumn("right", F.lit(False))
     right = meet.where("p < q").join(texts_, F.col("q") == F.col("block")).withColumn("right", F.lit(True))
-    return left.unionByName(right).drop("block").groupBy("p", "q").applyInArrow(_compare(threshold), "a long, b long, similarity double, n long")
+    return left.unionByName(right).drop("block").groupBy("p", "q").applyInArrow(
+        _compare(threshold), "a long, b long, similarity double, n long"
+    )
 
 
 def _verify(threshold: float):
@@ -357,7 +384,9 @@ def verified(pairs: DataFrame, signed: DataFrame, threshold: float) -> DataFrame
     groups = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")).withColumn("parts", F.ceil(F.col("n") / VERIFY).cast("int"))
     left = pairs.join(groups, "b").withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int"))
     members = left.join(vectors, left["a"] == vectors["text_id"]).select("b", "part", "a", "total", "shingles", "weights")
-    centres = left.select("b", "part").distinct().join(vectors, F.col("b") == F.col("text_id")).select("b", "part", F.lit(None).cast("long").alias("a"), "total", "shingles", "weights")
+    centres = left.select("b", "part").distinct().join(vectors, F.col("b") == F.col("text_id")).select(
+        "b", "part", F.lit(None).cast("long").alias("a"), "total", "shingles", "weights"
+    )
     return members.unionByName(centres).groupBy("b", "part").applyInArrow(_verify(threshold), "a long, b long, similarity double")
 
 
@@ -375,18 +404,28 @@ def links_of(texts_: DataFrame, stage: Stage, threshold: float, small: int = SMA
     return few.unionByName(many.where("b IS NOT NULL").drop("n")), n_links
 
 
-def linked(docs: DataFrame, stage: Stage, threshold: float = THRESHOLD, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, chunk_bytes: int = C.CHUNK, spread: float | None = SPREAD) -> tuple[DataFrame, DataFrame, DataFrame]:
+def linked(
+    docs: DataFrame, stage: Stage, threshold: float = THRESHOLD, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS,
+    chunk_bytes: int = C.CHUNK, spread: float | None = SPREAD
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Members (doc_id, text_id) of texts that have a partner or a copy or might; links between texts, and their numbers, as links_of() gives them."""
     n_docs, n_bytes = C.measure(docs)
     table, n = C.chunked(stage, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), n_bytes, chunk_bytes)
     sent = table.select("chunk", "text").mapInArrow(_send(C.buckets(n, docs.sparkSession), size), C.SENT)
     answers = stage.save(C.exchange(sent, _frequencies), "frequencies")
     stage.release()
-    signed = stage.save(C.with_answers(table, answers, _sign(n_docs, size, threshold, bands, rows, spread), SIGNED).where("doc_id IS NOT NULL"), "signed")
+    signed = stage.save(
+        C.with_answers(table, answers, _sign(n_docs, size, threshold, bands, rows, spread), SIGNED).where("doc_id IS NOT NULL"), "signed"
+    )
     stage.drop("chunks", "frequencies")
     reps = signed.groupBy("same").agg(F.min("doc_id").alias("text_id"))
     members = stage.save(signed.select("doc_id", "same").distinct().join(reps, "same").select("doc_id", "text_id"), "members")
-    texts_ = stage.save(signed.join(reps.select(F.col("text_id").alias("doc_id"), F.col("same").alias("its")), "doc_id").where(F.col("same") == F.col("its")).withColumnRenamed("doc_id", "text_id").drop("its", "same").dropDuplicates(["text_id"]), "texts")
+    texts_ = stage.save(
+        signed.join(
+            reps.select(F.col("text_id").alias("doc_id"), F.col("same").alias("its")), "doc_id"
+        ).where(F.col("same") == F.col("its")).withColumnRenamed("doc_id", "text_id").drop("its", "same").dropDuplicates(["text_id"]),
+        "texts"
+    )
     links, n_links = links_of(texts_, stage, threshold)
     stage.drop("signed", "texts", "groups", "pairs", "homes", "placed", "there", "meet")
     return members, links, n_links
@@ -399,9 +438,15 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, chunk_bytes: int = C.
     members, links, n_links = linked(docs, stage, threshold, chunk_bytes=chunk_bytes, spread=spread)
     parts = components(links, stage)
     known = members.join(parts, F.col("text_id") == F.col("node"), "left").drop("node").join(n_links, "text_id", "left")
-    known = known.groupBy("doc_id").agg(F.min("text_id").alias("text_id"), F.min(F.coalesce("class_id", "text_id")).alias("class_id"), F.max(F.coalesce("n_links", F.lit(0))).alias("n_links"))
+    known = known.groupBy("doc_id").agg(
+        F.min("text_id").alias("text_id"), F.min(F.coalesce("class_id", "text_id")).alias("class_id"),
+        F.max(F.coalesce("n_links", F.lit(0))).alias("n_links")
+    )
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(known, "doc_id", "left")
-    return out.select("doc_id", F.coalesce("text_id", "doc_id").alias("text_id"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return out.select(
+        "doc_id", F.coalesce("text_id", "doc_id").alias("text_id"), F.coalesce("class_id", "doc_id").alias("class_id"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links")
+    )
 
 
 def dedup(docs: DataFrame, threshold: float = THRESHOLD, chunk_bytes: int = C.CHUNK, spread: float | None = SPREAD) -> DataFrame:
@@ -409,7 +454,9 @@ def dedup(docs: DataFrame, threshold: float = THRESHOLD, chunk_bytes: int = C.CH
     stage = Stage(docs.sparkSession, "near")
     members, links, _ = linked(docs, stage, threshold, chunk_bytes=chunk_bytes, spread=spread)
     parts = components(links, stage)
-    gone = members.join(parts, F.col("text_id") == F.col("node"), "left").where(F.col("doc_id") > F.coalesce("class_id", "text_id")).select(F.col("doc_id").alias("_gone")).distinct()
+    gone = members.join(parts, F.col("text_id") == F.col("node"), "left").where(
+        F.col("doc_id") > F.coalesce("class_id", "text_id")
+    ).select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
 
 

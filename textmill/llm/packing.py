@@ -102,7 +102,9 @@ def _lexicon(path: str) -> Lexicon:
 
         t = Tokenizer.from_file(path)
         t.encode_special_tokens = True
-        _LEXICONS[path] = Lexicon(lambda words: [e.ids for e in t.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)], [0])
+        _LEXICONS[path] = Lexicon(
+            lambda words: [e.ids for e in t.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)], [0]
+        )
     return _LEXICONS[path]
 
 
@@ -138,7 +140,11 @@ def pieces(path: str, seq_len: int):
                 rank = seen[length] + nth
                 seen += np.bincount(length, minlength=seq_len + 1)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(doc + a)).cast(pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array([part] * len(doc), pa.int32()), pa.array(rank, pa.int64())],
+                    [
+                        ids.take(pa.array(doc + a)).cast(pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
+                        pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array([part] * len(doc), pa.int32()),
+                        pa.array(rank, pa.int64())
+                    ],
                     ["doc_id", "piece", "start", "length", "ids_crc32", "part", "rank"],
                 )
 
@@ -169,7 +175,9 @@ def pack(docs: DataFrame, seq_len: int = SEQ_LEN, tokenizer: str | None = None)
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
     made = stage.save(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(pieces(path, seq_len), PIECE), "pieces")
     # rank is the rank within a task's pieces of that length; those of earlier tasks come before
-    per_part = stage.save(made.groupBy("length", "part").agg(F.max("rank").alias("last")).withColumn("n", F.col("last") + 1).drop("last"), "counts")
+    per_part = stage.save(
+        made.groupBy("length", "part").agg(F.max("rank").alias("last")).withColumn("n", F.col("last") + 1).drop("last"), "counts"
+    )
     counts = {r["length"]: r["n"] for r in per_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # seq_len rows at most
     before = per_part.select("part", "length", (F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")).alias("before"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"

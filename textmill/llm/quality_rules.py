@@ -27,7 +27,13 @@ from textmill.llm._text import Words, inside, mix, pack, slices, spans, texts, u
 
 PER_CLASS, MOST_LINES, ROUNDS, CONTENT = 2000, 400, 2, 0.5
 NEED_WORDS, REPEAT_SHARE, WINDOW = 10, 20, 5
-_TABLES = {k: np.isin(np.arange(256), [ord(c) for c in v]) for k, v in {"symbol": "#*$%&|<>", "pipe": "|", "shout": "!", "digit": "0123456789", "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "stop": ".!?\"')", "mark": "#*$%&|<>{}[]=_~^\\/@+", "comma": ",;:"}.items()}
+_TABLES = {
+    k: np.isin(np.arange(256), [ord(c) for c in v])
+    for k, v in {
+        "symbol": "#*$%&|<>", "pipe": "|", "shout": "!", "digit": "0123456789", "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "stop": ".!?\"')",
+        "mark": "#*$%&|<>{}[]=_~^\\/@+", "comma": ",;:"
+    }.items()
+}
 N_FEATURES = 14
 
 
@@ -83,7 +89,9 @@ class Lines:
         n_distinct = np.bincount(np.repeat(np.arange(len(begin)), n)[distinct], minlength=len(begin))
         self.x = np.stack([
             np.ones(len(begin)), np.minimum(share("symbol", n), 1), np.minimum(share("pipe", n), 1), np.minimum(share("shout", n), 1), share("upper", chars), share("digit", chars), np.minimum(share("mark", n), 1), np.minimum(share("comma", n), 1),
-            _TABLES["stop"][data[w.end[last] - 1]], _TABLES["upper"][data[w.start[begin]]], dup, np.add.reduceat(repeated.astype(np.int64), begin) / n, np.minimum(np.log1p(n) / 5, 1), 1 - n_distinct / n,
+            _TABLES["stop"][data[w.end[last] - 1]], _TABLES["upper"][data[w.start[begin]]], dup, np.add.reduceat(
+                repeated.astype(np.int64), begin
+            ) / n, np.minimum(np.log1p(n) / 5, 1), 1 - n_distinct / n,
         ], 1).astype(np.float32)
 
 
@@ -192,7 +200,12 @@ def _features(batches):
             f = Lines(data[off[a] : off[b]], off[a : b + 1] - off[a])
             n = np.diff(f.first)
             go = np.flatnonzero((n > 0) & (n <= MOST_LINES))
-            yield pa.RecordBatch.from_pydict({"quality": batch.column("quality").slice(a, b - a).take(pa.array(go)), "x": pa.array([pack(f.x[f.first[i] : f.first[i + 1]].ravel()) for i in go], pa.binary())})
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "quality": batch.column("quality").slice(a, b - a).take(pa.array(go)),
+                    "x": pa.array([pack(f.x[f.first[i] : f.first[i + 1]].ravel()) for i in go], pa.binary())
+                }
+            )
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Field:
@@ -211,7 +224,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Field
     return fit_field(np.concatenate(x).astype(np.float64), np.cumsum([0, *map(len, x)]), np.array([q == 1 for q, _ in rows]))
 
 
-FIGURES = [("n_words", "long"), ("word_chars", "long"), ("n_symbols", "long"), ("n_dup_lines", "long"), ("n_repeat_words", "long"), ("base_failed", "boolean"), ("kept", "boolean"), ("content_share", "double")]
+FIGURES = [
+    ("n_words", "long"), ("word_chars", "long"), ("n_symbols", "long"), ("n_dup_lines", "long"), ("n_repeat_words", "long"),
+    ("base_failed", "boolean"), ("kept", "boolean"), ("content_share", "double")
+]
 
 
 def _judge(field: Field, columns: list[str]):
@@ -223,8 +239,14 @@ def _judge(field: Field, columns: list[str]):
                 label = field.decode(f.x, f.first)
                 content = np.bincount(f.doc, label * f.n_line_words, b - a) / np.maximum(f.n_words, 1)
                 failed = (f.n_words < NEED_WORDS) | (100 * f.n_repeat_words > REPEAT_SHARE * f.n_words)
-                values = {"n_words": f.n_words, "word_chars": f.word_chars, "n_symbols": f.n_symbols, "n_dup_lines": f.n_dup_lines, "n_repeat_words": f.n_repeat_words, "base_failed": failed, "kept": ~failed & (content >= CONTENT), "content_share": content}
-                yield pa.RecordBatch.from_pydict({c: batch.column(c).slice(a, b - a) for c in columns} | {k: pa.array(v) for k, v in values.items()})
+                values = {
+                    "n_words": f.n_words, "word_chars": f.word_chars, "n_symbols": f.n_symbols, "n_dup_lines": f.n_dup_lines,
+                    "n_repeat_words": f.n_repeat_words, "base_failed": failed, "kept": ~failed & (content >= CONTENT),
+                    "content_share": content
+                }
+                yield pa.RecordBatch.from_pydict(
+                    {c: batch.column(c).slice(a, b - a) for c in columns} | {k: pa.array(v) for k, v in values.items()}
+                )
 
     return run
 
@@ -232,7 +254,9 @@ def _judge(field: Field, columns: list[str]):
 def judged(docs: DataFrame, field: Field) -> DataFrame:
     """Per row of (doc_id, text): doc_id and FIGURES."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_judge(field, ["doc_id"]), f"doc_id {kind}, " + ", ".join(f"{k} {v}" for k, v in FIGURES))
+    return docs.select("doc_id", "text").mapInArrow(
+        _judge(field, ["doc_id"]), f"doc_id {kind}, " + ", ".join(f"{k} {v}" for k, v in FIGURES)
+    )
 
 
 def keep(docs: DataFrame, field: Field) -> DataFrame:

@@ -101,7 +101,12 @@ def _send_windows(n_buckets: int, size: int):
         hits = [unpack_sorted(x) for x in answers.column("a").to_pylist()]
         hits = np.sort(np.concatenate(hits)) if hits else np.zeros(0, np.uint64)
         if not len(hits) or not docs.num_rows:
-            return pa.table({"bucket": pa.array([], pa.int32()), "chunk": pa.array([], pa.int32()), "a": pa.array([], pa.binary()), "b": pa.array([], pa.binary())})
+            return pa.table(
+                {
+                    "bucket": pa.array([], pa.int32()), "chunk": pa.array([], pa.int32()), "a": pa.array([], pa.binary()),
+                    "b": pa.array([], pa.binary())
+                }
+            )
         data, off = texts(docs.column("text"))
         keys, tails = [], []
         for a, b in slices(off):
@@ -165,7 +170,9 @@ def _remove(size: int, with_text: bool):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return None
-        docs = docs.sort_by([("doc_id", "ascending")]) if docs.column("doc_id").null_count == 0 else docs.take(pa.compute.sort_indices(docs, [("doc_id", "ascending")], null_placement="at_start"))
+        docs = docs.sort_by([("doc_id", "ascending")]) if docs.column("doc_id").null_count == 0 else docs.take(
+            pa.compute.sort_indices(docs, [("doc_id", "ascending")], null_placement="at_start")
+        )
         early = [unpack_sorted(x) for x in answers.column("a").to_pylist()]
         tails = [unpack(x, np.uint64) for x in answers.column("b").to_pylist()]
         early = np.concatenate(early) if early else np.zeros(0, np.uint64)
@@ -197,7 +204,10 @@ def _remove(size: int, with_text: bool):
                 digest.append(hashlib.sha256(kept).hexdigest())
                 if with_text:
                     text.append(kept if n_removed[len(digest) - 1] else None)
-        out = {"doc_id": docs.column("doc_id").cast(pa.int64()), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept_sha256": pa.array(digest, pa.string())}
+        out = {
+            "doc_id": docs.column("doc_id").cast(pa.int64()), "n_words": pa.array(n_words, pa.int64()),
+            "n_removed": pa.array(n_removed, pa.int64()), "kept_sha256": pa.array(digest, pa.string())
+        }
         if with_text:
             rest = {k: docs.column(k) for k in docs.column_names if k not in ("chunk", "doc_id")}
             was = pa.array(text, pa.binary()).cast(pa.string())

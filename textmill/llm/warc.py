@@ -62,7 +62,11 @@ def record(page_id, url, payload: bytes, size: int, sha: str, refers_to) -> byte
     head = [
         "WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <urn:page:{name}>", f"WARC-Target-URI: {uri}", "WARC-Date: 1970-01-01T00:00:00Z",
         "Content-Type: application/http;msgtype=response", f"WARC-Payload-Digest: sha1:{sha}",
-        *([] if refers_to is None else [f"WARC-Refers-To: <urn:page:{refers_to}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]),
+        *(
+            [] if refers_to is None else [
+                f"WARC-Refers-To: <urn:page:{refers_to}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+            ]
+        ),
         f"Content-Length: {len(block)}",
     ]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
@@ -76,7 +80,10 @@ def _members(batches):
                 out, n = [*out, []], 0
             n += size
             z = zlib.compressobj(3, zlib.DEFLATED, 31)
-            out[-1] += [z.compress(record(page_id, url, (payload or "").encode(), size, sha, None if first is None or first == page_id else first)), z.flush()]
+            out[-1] += [
+                z.compress(record(page_id, url, (payload or "").encode(), size, sha, None if first is None or first == page_id else first)),
+                z.flush()
+            ]
         yield pa.RecordBatch.from_pydict({"value": pa.array([b"".join(x) for x in out if x], pa.binary())})
 
 
@@ -87,7 +94,9 @@ def write(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE) -> None:
     same = p.groupBy("sha", "size").agg(F.count(F.lit(1)).alias("n"), F.min("page_id").alias("first")).where("n > 1").drop("n")
     marked = p.join(same, ["sha", "size"], "left")
     members = marked.select("page_id", "url", "html", "size", "sha", "first").mapInArrow(_members, "value binary")
-    out = members.select(F.col("value").cast("string").alias("value")).write.option("encoding", "ISO-8859-1").option("lineSep", _EMPTY_MEMBER)
+    out = members.select(
+        F.col("value").cast("string").alias("value")
+    ).write.option("encoding", "ISO-8859-1").option("lineSep", _EMPTY_MEMBER)
     out.option("maxRecordsPerFile", max(1, archive_bytes // BLOCK)).option("compression", "none").text(path)
 
 
@@ -247,7 +256,10 @@ def _records(with_payload: bool):
                         size, sha = int(m[1]) if m else None, head.get("warc-payload-digest", "").removeprefix("sha1:") or None
                     else:
                         size, sha = len(body), digest(body)
-                    row = (path.as_py(), offset, length, None, head.get("warc-type"), head.get("warc-record-id"), head.get("warc-target-uri"), head.get("warc-refers-to"), size, sha)
+                    row = (
+                        path.as_py(), offset, length, None, head.get("warc-type"), head.get("warc-record-id"), head.get("warc-target-uri"),
+                        head.get("warc-refers-to"), size, sha
+                    )
                     rows.append(row + (body,) if with_payload else row)
                 names = [x.split()[0] for x in READ.split(", ")] + ["payload"] * with_payload
                 kinds = [pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 5, pa.int64(), pa.string()] + [pa.binary()] * with_payload
@@ -270,7 +282,10 @@ def op1_warc_salvage(spark, sf_dir: str) -> DataFrame:
     found = stage.save(read(spark, f"{stage.at}/archives", with_payload=False), "read")
     number = lambda c: F.regexp_extract(c, r"<urn:page:(-?\d+)>", 1).try_cast("long")
     records = found.where("reason IS NULL")
-    return records.select(number(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), number(F.col("refers_to")).alias("refers_to"))
+    return records.select(
+        number(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"),
+        number(F.col("refers_to")).alias("refers_to")
+    )
 
 
 OP1_SQL = """
