@@ -272,3 +272,39 @@ def test_text_of_three_languages_stays(spark):
     mixed = spark.createDataFrame([(1, " ".join(words.values())), (2, "123 ..."), (3, None)], "doc_id long, text string")
     assert [r.doc_id for r in language_id.keep(mixed, model).collect()] == [1]
     assert language_id.keep(mixed, model, least=0.5).count() == 0
+
+
+def _peak(f) -> int:
+    import tracemalloc
+
+    f()
+    tracemalloc.start()
+    try:
+        f()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_class_lm_takes_units_one_at_a_time_and_in_small_arrays():
+    """What a task holds does not grow with the units of its batch, and is a few numbers a token within one."""
+    import pyarrow as pa
+
+    from textmill.llm._text import pack, pack_sorted
+
+    rng = np.random.default_rng(3)
+    vocab = np.unique(np.r_[class_lm.END, rng.integers(2, 1 << 63, 20_000).astype(np.uint64)])
+    tokens = rng.integers(1, len(vocab), 400_000).astype(np.int32)
+    tokens[499::500] = 0
+    train = np.bincount(tokens, minlength=len(vocab)).astype(np.uint32)
+    row = {
+        "unit": 1, "vocab": pack_sorted(vocab), "train": pack(train), "tokens": pack(tokens), "doc_id": list(range(800)),
+        "held": [False] * 800, "n_tokens": [500] * 800
+    }
+    few, many = (pa.RecordBatch.from_pylist([{k: row[k] for k in ("unit", "vocab", "train")}] * n) for n in (2, 40))
+    send = lambda batch: sum(x.num_rows for x in class_lm._send_counts(16)(iter([batch])))
+    assert send(many) == 20 * send(few)
+    assert _peak(lambda: send(many)) < 1.5 * _peak(lambda: send(few))
+    u, classes = class_lm.Unit(row), (np.arange(len(vocab)) % 63 + 1).astype(np.uint8)
+    classes[0] = 0
+    assert _peak(lambda: class_lm._profiles(u, classes, 16, 64)) < 60 * len(tokens)

@@ -14,7 +14,8 @@ the discount of a class is its share of the unknown word; all is interpolated wi
 After an unknown word, class counts take the place of transitions. The events are the words of the training texts and one
 unknown word, the same as those of the base.
 
-A unit is about UNIT bytes of text from one scan task, written once as numbers of its own vocabulary.
+A unit is about UNIT bytes of text from one scan task, written once as numbers of its own vocabulary. Tasks take units
+apart one at a time, whatever a batch holds, and a unit's texts by slices, with only the columns that they use.
 
 Nulls and so on: a null or empty text is its end token alone; rows stand each for themselves, also with equal or null
 doc_ids (without one a row is never held out); extra columns are ignored; an empty table gives an empty
@@ -38,6 +39,7 @@ from textmill.llm._text import Words, mix, pack, pack_sorted, slices, spans, tex
 
 log = logging.getLogger(__name__)
 UNIT, CLASSES, PASSES, LAMBDA, PRIOR = 12 << 20, 64, 2, 0.95, 20.0
+STEP = 1 << 17  # tokens scored at a time, in whole texts
 END = np.uint64(1)  # in place of the end token's hash
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -65,21 +67,23 @@ def _units(unit_bytes: int):
             data, off = texts(batch.column("text"))
             ids, held = batch.column("doc_id"), batch.column("held")
             for a, b in slices(off, unit_bytes):
-                keys, n_tokens = [], []
+                vocabs, parts, n_tokens = [], [], []
                 for x, y in slices(off[a : b + 1]):
                     part = off[a + x : a + y + 1] - off[a + x]
                     low = _LOWER[data[off[a + x] : off[a + y]]]
                     w = Words(low, part)
-                    keys.append(np.insert(mix(spans(low, w.start, w.end), 1), w.first[1:], END))
+                    keys, inverse = np.unique(np.insert(mix(spans(low, w.start, w.end), 1), w.first[1:], END), return_inverse=True)
+                    vocabs.append(keys)
+                    parts.append(inverse.astype(np.int32))
                     n_tokens.append(np.diff(w.first) + 1)
-                keys, n_tokens = np.concatenate(keys), np.concatenate(n_tokens)
-                vocab, index = np.unique(keys, return_inverse=True)
+                vocab, n_tokens = np.unique(np.concatenate(vocabs)), np.concatenate(n_tokens)
+                index = np.concatenate([np.searchsorted(vocab, v).astype(np.int32)[i] for v, i in zip(vocabs, parts)])
                 h = np.array(held.slice(a, b - a).to_pylist(), bool)
                 train = np.bincount(index[~np.repeat(h, n_tokens)], minlength=len(vocab))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([k]), pa.array([pack_sorted(vocab)], pa.binary()), pa.array([pack(train.astype(np.uint32))], pa.binary()),
-                        pa.array([pack(index.astype(np.int32))], pa.binary()),
+                        pa.array([pack(index)], pa.binary()),
                         pa.array([ids.slice(a, b - a).to_pylist()], pa.list_(pa.int64())), pa.array([h.tolist()], pa.list_(pa.bool_())),
                         pa.array([n_tokens.tolist()], pa.list_(pa.int32()))
                     ],
@@ -93,20 +97,26 @@ def _units(unit_bytes: int):
 SENT = "bucket int, unit long, a binary, b binary"
 
 
+def _each(batches):
+    """Rows one by one: a batch may hold all units of a scan task, and only one of them is copied."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _send_counts(n_buckets: int):
     def run(batches):
-        for batch in batches:
-            for unit, v, t in zip(*(batch.column(c).to_pylist() for c in ("unit", "vocab", "train"))):
-                vocab, train = unpack_sorted(v), unpack(t, np.uint32)
-                at = C.cuts(vocab, n_buckets)
-                rows = np.flatnonzero(np.diff(at)).tolist()
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "bucket": pa.array(rows, pa.int32()), "unit": pa.array([unit] * len(rows), pa.int64()),
-                        "a": pa.array([pack_sorted(vocab[at[i] : at[i + 1]]) for i in rows], pa.binary()),
-                        "b": pa.array([pack(train[at[i] : at[i + 1]]) for i in rows], pa.binary())
-                    }
-                )
+        for row in _each(batches):
+            vocab, train = unpack_sorted(row["vocab"]), unpack(row["train"], np.uint32)
+            at = C.cuts(vocab, n_buckets)
+            rows = np.flatnonzero(np.diff(at)).tolist()
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "bucket": pa.array(rows, pa.int32()), "unit": pa.array([row["unit"]] * len(rows), pa.int64()),
+                    "a": pa.array([pack_sorted(vocab[at[i] : at[i + 1]]) for i in rows], pa.binary()),
+                    "b": pa.array([pack(train[at[i] : at[i + 1]]) for i in rows], pa.binary())
+                }
+            )
 
     return run
 
@@ -144,16 +154,17 @@ class Unit:
     """A unit's row. Classes are given per word of its vocabulary; the end token's is 0."""
 
     def __init__(self, row: dict):
-        self.id, self.vocab, self.train = row["unit"], unpack_sorted(row["vocab"]), unpack(row["train"], np.uint32)
+        self.id, self.vocab = row["unit"], unpack_sorted(row["vocab"])
         self.tokens, self.n = unpack(row["tokens"], np.int32), np.array(row["n_tokens"], np.int64)
-        self.row, self.held = row, np.array(row["held"], bool)
+        self.held = np.array(row["held"], bool)
         self.end = np.cumsum(self.n)
+        self.begin = self.end - self.n
 
-    def previous(self, values: np.ndarray, start) -> np.ndarray:
-        """Values of tokens moved on by one, `start` at the begin of each text."""
+    def previous(self, values: np.ndarray, start, a: int = 0, b: int | None = None) -> np.ndarray:
+        """Values of the tokens of texts a to b (all) moved on by one, `start` at the begin of each text."""
         out = np.empty_like(values)
         out[1:] = values[:-1]
-        out[np.r_[0, self.end[:-1]]] = start
+        out[self.begin[a:b] - self.begin[a]] = start
         return out
 
 
@@ -177,22 +188,24 @@ def seeded(vocab: np.ndarray, top: np.ndarray, n_classes: int) -> np.ndarray:
 
 
 def _matrix(u: Unit, classes: np.ndarray, n_classes: int) -> np.ndarray:
-    c = classes[u.tokens].astype(np.int64)
+    c = classes[u.tokens].astype(np.int32)
     go = ~np.repeat(u.held, u.n)
     return np.bincount((u.previous(c, 0) * n_classes + c)[go], minlength=n_classes**2)
 
 
 def _profiles(u: Unit, classes: np.ndarray, n_buckets: int, n_classes: int) -> pa.Table:
     """Per bucket the unit's words with the counts of classes before and after each; bucket -1: the class bigrams."""
-    c = classes[u.tokens].astype(np.int64)
-    before = u.previous(c, 0)
-    after = np.r_[c[1:], 0]
+    kind = np.uint32 if len(u.vocab) * 2 * n_classes < 1 << 32 else np.int64
     go = ~np.repeat(u.held, u.n)
-    t = u.tokens.astype(np.int64) * (2 * n_classes)
-    keys = np.sort(np.concatenate([(t + before)[go], (t + n_classes + after)[go & (u.vocab[u.tokens] != END)]]))
+    c, own = classes[u.tokens], (u.vocab != END)[u.tokens] & go
+    t = u.tokens.astype(kind) * kind(2 * n_classes)
+    keys = np.concatenate([t[go] + u.previous(c, 0)[go], t[own] + np.append(c[1:], np.uint8(0))[own] + kind(n_classes)])
+    del t, c, go, own
+    keys.sort()
     begin = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
-    n = np.diff(np.r_[begin, len(keys)])
+    n = np.diff(begin, append=len(keys)).astype(np.uint32)
     keys = keys[begin]
+    del begin
     word, code = keys // (2 * n_classes), (keys % (2 * n_classes)).astype(np.uint8)
     at = C.cuts(u.vocab, n_buckets)
     to = np.searchsorted(word, at)
@@ -202,7 +215,7 @@ def _profiles(u: Unit, classes: np.ndarray, n_buckets: int, n_classes: int) -> p
     b = [
         frames(
             pack(per_word[at[i] : at[i + 1]].astype(np.uint16)), pack(code[to[i] : to[i + 1]]),
-            pack(n[to[i] : to[i + 1]].astype(np.uint32)), pack(classes[at[i] : at[i + 1]])
+            pack(n[to[i] : to[i + 1]]), pack(classes[at[i] : at[i + 1]])
         )
         for i in rows
     ]
@@ -315,12 +328,12 @@ def scored(docs: DataFrame, held, n_classes: int = CLASSES, passes: int = PASSES
     top = counted.select(F.explode("top").alias("t")).select("t.*").orderBy(F.desc("n"), "hash").limit(n_classes - 2).collect()
     top = np.array([r["hash"] for r in top], np.int64).astype(np.uint64)
     seeds = lambda u: seeded(u.vocab, top, n_classes)
+    bare = units.drop("train", "doc_id")
 
     def first_pass(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                u = Unit(row)
-                yield from _profiles(u, seeds(u), n_buckets, n_classes).to_batches()
+        for row in _each(batches):
+            u = Unit(row)
+            yield from _profiles(u, seeds(u), n_buckets, n_classes).to_batches()
 
     def later_pass(rows: pa.Table, answers: pa.Table) -> pa.Table:
         u = Unit(rows.to_pylist()[0])
@@ -330,7 +343,7 @@ def scored(docs: DataFrame, held, n_classes: int = CLASSES, passes: int = PASSES
     rose: list[float] = []  # likelihoods of the classes before each pass
     classes = before = None
     for i in range(passes):
-        made = units.mapInArrow(first_pass, SENT) if i == 0 else units.groupBy("unit").cogroup(classes.groupBy("unit")).applyInArrow(later_pass, SENT)
+        made = bare.mapInArrow(first_pass, SENT) if i == 0 else bare.groupBy("unit").cogroup(classes.groupBy("unit")).applyInArrow(later_pass, SENT)
         made = stage.save(made, f"profiles{i}", "none")
         matrix = _summed(made.where("bucket = -1"), n_classes**2).reshape(n_classes, n_classes)
         rose.append(likelihood(matrix))
@@ -344,7 +357,7 @@ def scored(docs: DataFrame, held, n_classes: int = CLASSES, passes: int = PASSES
         stage.drop(f"profiles{i}", *[f"classes{i - 2}"] * (i > 1))
 
     def as_seeded() -> DataFrame:
-        made = units.mapInArrow(first_pass, SENT).where("bucket >= 0")
+        made = bare.mapInArrow(first_pass, SENT).where("bucket >= 0")
         return stage.save(
             made.groupBy("bucket").applyInArrow(_exchange(np.zeros((n_classes, n_classes), np.int64), n_classes, False), answered),
             "seeded", "none"
@@ -358,7 +371,7 @@ def scored(docs: DataFrame, held, n_classes: int = CLASSES, passes: int = PASSES
     def settled(classes: DataFrame, name: str) -> tuple[DataFrame, np.ndarray]:
         both = stage.save(counted.select("unit", "bucket", "counts").join(classes.drop("types"), ["unit", "bucket"]), name, "none")
         return both, _summed(
-            units.groupBy("unit").cogroup(both.groupBy("unit")).applyInArrow(figures, "unit long, b binary"), n_classes**2
+            bare.groupBy("unit").cogroup(both.groupBy("unit")).applyInArrow(figures, "unit long, b binary"), n_classes**2
         ).reshape(n_classes, n_classes)
 
     if classes is None:
@@ -373,23 +386,27 @@ def scored(docs: DataFrame, held, n_classes: int = CLASSES, passes: int = PASSES
     model = ClassModel(matrix, types, n_tokens, n_types, d)
 
     def score(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        u = Unit(rows.to_pylist()[0])
+        row = rows.to_pylist()[0]
+        u = Unit(row)
         count, c = gathered(answers, "counts", np.uint32).astype(np.int64), gathered(answers, "classes", np.uint8).astype(np.int64)
-        c = np.where(count > 0, c, n_classes)[u.tokens]
-        n = count[u.tokens]
-        base, own = model.logs(n, u.previous(c, 0), np.minimum(c, n_classes - 1))
-        begin = u.end - u.n
-        add = lambda x: np.add.reduceat(x, begin) if len(begin) else x
+        c = np.where(count > 0, c, n_classes)
+        sums = []
+        for a, b in slices(np.r_[0, u.end], STEP):
+            tokens, begin = u.tokens[u.begin[a] : u.end[b - 1]], u.begin[a:b] - u.begin[a]
+            n, k = count[tokens], c[tokens]
+            base, own = model.logs(n, u.previous(k, 0, a, b), np.minimum(k, n_classes - 1))
+            sums.append([np.add.reduceat(x, begin) for x in ((n > 0).astype(np.int64), base, own)])
+        known, base, own = map(np.concatenate, zip(*sums))
         return pa.table(
             {
-                "doc_id": pa.array(u.row["doc_id"], pa.int64()), "held_out": pa.array(u.row["held"], pa.bool_()),
-                "n_tokens": pa.array(u.n, pa.int64()), "n_known": pa.array(add((n > 0).astype(np.int64)), pa.int64()),
-                "train_tokens": pa.array([n_tokens] * len(u.n), pa.int64()), "base_score": pa.array(add(base), pa.float64()),
-                "score": pa.array(add(own), pa.float64())
+                "doc_id": pa.array(row["doc_id"], pa.int64()), "held_out": pa.array(row["held"], pa.bool_()),
+                "n_tokens": pa.array(u.n, pa.int64()), "n_known": pa.array(known, pa.int64()),
+                "train_tokens": pa.array([n_tokens] * len(u.n), pa.int64()), "base_score": pa.array(base, pa.float64()),
+                "score": pa.array(own, pa.float64())
             }
         )
 
-    return units.groupBy("unit").cogroup(both.groupBy("unit")).applyInArrow(
+    return units.drop("train").groupBy("unit").cogroup(both.groupBy("unit")).applyInArrow(
         score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
 
