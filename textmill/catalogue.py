@@ -278,7 +278,7 @@ def near_pairs(spark, sf):
     prints = Tables(spark, "prints").save(prints, "prints")
     pairs = dedup.band_pairs(prints.drop("n"), 3).groupBy("a", "b").agg(F.min("band").alias("band"), F.min("distance").alias("distance"))
     size = lambda k: prints.select(F.col("first").alias(k), F.col("n").alias(f"n_{k}"))
-    return pairs.join(size("a"), "a").join(size("b"), "b")
+    return pairs.join(size("a").hint("merge"), "a").join(size("b").hint("merge"), "b")
 
 
 @query()
