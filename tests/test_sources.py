@@ -148,3 +148,21 @@ def test_files(tmp_path):
     assert sorted(p.name for p in tmp_path.iterdir()) == ["b.jsonl.zst", "deep"]
     with pytest.raises(ValueError):
         files.local("s3://bucket/x")
+
+
+def test_jsonl_by_uri(spark, tmp_path):
+    """Files may be named by URIs, as in a checkpoint folder that has one."""
+    jsonl.write_zst([b'{"a": 1}', b'{"a": 2}'], str(tmp_path / "x.jsonl.zst"))
+    for path in (f"file://{tmp_path}/x.jsonl.zst", f"file:{tmp_path}/x.jsonl.zst", f"{tmp_path}/x.jsonl.zst"):
+        assert [r.a for r in jsonl.read(spark, [path], "a long").orderBy("ord").collect()] == [1, 2]
+
+
+def test_shards_judge_documents_once(spark, monkeypatch):
+    """Shards and manifests are made of a written table of the documents that pass."""
+    from textmill import catalogue
+
+    seen = []
+    monkeypatch.setattr(catalogue.reports, "sharded", lambda d, n, f=catalogue.reports.sharded: (seen.append(d), f(d, n))[1])
+    got = catalogue.jsonl_manifests(spark, "/root/testdata/sf0.001").collect()
+    assert len(seen) == 2 and not any("documents.parquet" in f for d in seen for f in d.inputFiles())
+    assert sum(r.docs for r in got) == catalogue.filters.kept(catalogue.docs(spark, "/root/testdata/sf0.001")).count()

@@ -72,7 +72,9 @@ def read(spark: SparkSession, paths: list[str], schema: T.StructType | str, stri
         rows = rows.where("_bad IS NULL").drop("_bad")
     # a compressed file is one split, within which ids rise
     place = F.pmod("_id", F.lit(1 << 43)) if not all(f.endswith(".zst") for f in paths) else F.pmod("_id", F.lit(1 << 33))
-    names = spark.createDataFrame([(os.path.abspath(f), i) for i, f in enumerate(sorted(set(paths)))], "_path string, _n long")
+    name = lambda f: f if "://" in f else os.path.abspath(f)
+    numbered = [(name(re.sub("^file:/*", "/", f)), i) for i, f in enumerate(sorted(set(paths)))]
+    names = spark.createDataFrame(numbered, "_path string, _n long")
     rows = rows.withColumn("_path", F.regexp_replace("_file", "^file:/*", "/")).join(names, "_path")
     columns = [f.name for f in kind]
     return rows.select(*columns, (F.col("_n") * F.lit(1 << 43) + place).alias("ord"))
